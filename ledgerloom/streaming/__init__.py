@@ -1,0 +1,6 @@
+"""No streaming operators.
+
+The jobs this library rebuilds are all batch: the late group file is handled by
+a union (``plans.experiment``) and the daily domain report by a dated run
+(``plans.domains``).  The package only keeps the place.
+"""
