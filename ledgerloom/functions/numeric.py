@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -29,6 +31,15 @@ HART_BOTTOM = (
 HART_SWITCH = 7.07106781186547
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, however often the body names it.
+
+    For long formulas on result rows: it keeps the expression (and the generated code)
+    from growing with every mention.
+    """
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def round_even(value: Column, digits: int) -> Column:
     """Round a double half to even, in binary arithmetic as numpy does it."""
     scale = float(10**digits)
@@ -53,16 +64,22 @@ def _polynomial(coefficients: tuple[float, ...], x: Column) -> Column:
 
 
 def normal_tail(z: Column) -> Column:
-    """Upper tail of the standard normal distribution, P(Z > z), exact to double precision."""
-    size = F.abs(z)
-    density = F.exp(-size * size / 2)
-    near = density * _polynomial(HART_TOP, size) / _polynomial(HART_BOTTOM, size)
-    fraction = size + F.lit(0.65)
-    for numerator in (4, 3, 2, 1):
-        fraction = size + F.lit(float(numerator)) / fraction
-    far = density / fraction / F.lit(2.506628274631)
-    tail = F.when(size < F.lit(HART_SWITCH), near).otherwise(far)
-    return F.when(z >= 0, tail).otherwise(F.lit(1.0) - tail)
+    """Upper tail of the standard normal distribution, P(Z > z), to double precision."""
+
+    def tail_of(size: Column) -> Column:
+        density = F.exp(-size * size / 2)
+        near = density * _polynomial(HART_TOP, size) / _polynomial(HART_BOTTOM, size)
+        fraction = size + F.lit(0.65)
+        for numerator in (4, 3, 2, 1):
+            fraction = size + F.lit(float(numerator)) / fraction
+        far = density / fraction / F.lit(2.506628274631)
+        return F.when(size < F.lit(HART_SWITCH), near).otherwise(far)
+
+    def signed(x: Column) -> Column:
+        upper = let(F.abs(x), tail_of)
+        return F.when(x >= 0, upper).otherwise(F.lit(1.0) - upper)
+
+    return let(z, signed)
 
 
 def normal_cdf(x: Column, mean: Column | float = 0.0, sd: Column | float = 1.0) -> Column:

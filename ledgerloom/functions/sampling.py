@@ -9,9 +9,11 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerloom.functions.numeric import let
+
 # 32-bit mask, multiplier of a two-round xor-shift mixer, golden-ratio step.
 MASK32 = 4294967295
 MIX_MULTIPLIER = 73244475
@@ -25,28 +27,54 @@ def _low32(x: Column) -> Column:
     return x.bitwiseAND(F.lit(MASK32))
 
 
+def _scatter(x: Column) -> Column:
+    return _low32(F.shiftright(x, 16).bitwiseXOR(x) * F.lit(MIX_MULTIPLIER))
+
+
+def _fold(x: Column) -> Column:
+    return F.shiftright(x, 16).bitwiseXOR(x)
+
+
 def mix32(x: Column) -> Column:
     """Scatter a 32-bit number (held in a BIGINT) over the 32-bit range."""
-    for _ in range(2):
-        x = _low32(F.shiftright(x, 16).bitwiseXOR(x) * F.lit(MIX_MULTIPLIER))
-    return F.shiftright(x, 16).bitwiseXOR(x)
+    for step in (_scatter, _scatter, _fold):
+        x = let(x, step)
+    return x
 
 
-def key_hash(key: Column, seed: int) -> Column:
-    """32-bit hash of a BIGINT row key."""
+def with_mixed(df: DataFrame, name: str, start: Column) -> DataFrame:
+    """``mix32`` of a number as a new column, one projection per step.
+
+    Each step names the step before several times; as separate projections the steps
+    stay small compiled code, which matters once per row and replicate.
+    """
+    df = df.withColumn(name, start)
+    for step in (_scatter, _scatter, _fold):
+        df = df.withColumn(name, step(F.col(name)))
+    return df
+
+
+def with_key_hash(df: DataFrame, name: str, key: Column, seed: int) -> DataFrame:
+    """32-bit hash of a BIGINT row key as a new column."""
     key = key.cast("bigint")
-    low = mix32(_low32(key).bitwiseXOR(F.lit(seed & MASK32)))
-    return mix32(low.bitwiseXOR(_low32(F.shiftright(key, 32))))
+    high = f"{name}_high"
+    df = df.withColumn(high, _low32(F.shiftright(key, 32)))
+    df = with_mixed(df, name, _low32(key).bitwiseXOR(F.lit(seed & MASK32)))
+    return with_mixed(df, name, F.col(name).bitwiseXOR(F.col(high))).drop(high)
 
 
-def replicate_draw(hashed_key: Column, replicate: Column) -> Column:
-    """Uniform integer in [0, 2**32) for one row and one replicate (BIGINT)."""
-    return mix32(_low32(hashed_key + replicate.cast("bigint") * F.lit(GOLDEN_STEP)))
+def with_draw(df: DataFrame, name: str, hashed: str, replicate: str) -> DataFrame:
+    """Uniform integer in [0, 2**32) for one row and one replicate as a new column."""
+    step = F.col(replicate).cast("bigint") * F.lit(GOLDEN_STEP)
+    return with_mixed(df, name, _low32(F.col(hashed) + step))
 
 
 def uniform_draw(key: Column, seed: int) -> Column:
-    """Uniform double in [0, 1) from a row key."""
-    return key_hash(key, seed) / F.lit(float(MASK32 + 1))
+    """Uniform double in [0, 1) from a BIGINT row key, the same as ``with_key_hash`` gives."""
+    key = key.cast("bigint")
+    low = mix32(_low32(key).bitwiseXOR(F.lit(seed & MASK32)))
+    mixed = mix32(low.bitwiseXOR(_low32(F.shiftright(key, 32))))
+    return mixed / F.lit(float(MASK32 + 1))
 
 
 def poisson_cuts() -> list[int]:

@@ -7,14 +7,15 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Code ranges (last digit 1 to 5) and the name of each customer segment.
-SEGMENTS = (
-    ((111, 211, 311), "Одноразовые"),
-    ((151, 251, 351), "Ушедшие"),
-    ((411,), "Недавние"),
-    ((451, 551), "Потенциально - постоянные"),
-    ((511,), "Новенькие"),
-)
+# First two digits (recency, frequency) of the codes of each customer
+# segment; the last digit is 1 to 5.
+SEGMENTS = {
+    "Одноразовые": (11, 21, 31),
+    "Ушедшие": (15, 25, 35),
+    "Недавние": (41,),
+    "Потенциально - постоянные": (45, 55),
+    "Новенькие": (51,),
+}
 
 # Line widths of a drawn edge by amount class, thinnest first.
 EDGE_WIDTHS = (0.1, 0.3, 0.5, 1.0, 2.0, 3.0)
@@ -43,14 +44,11 @@ def high_is_good(value: Column, cuts: Sequence[Column]) -> Column:
 
 def segment_name(code: Column) -> Column:
     """Customer segment of a three-digit code; NULL for codes no segment covers."""
-    choice = None
-    for starts, name in SEGMENTS:
-        inside = None
-        for start in starts:
-            part = code.between(start, start + 4)
-            inside = part if inside is None else inside | part
-        choice = F.when(inside, F.lit(name)) if choice is None else choice.when(inside, F.lit(name))
-    return choice
+    names = F.create_map(
+        *[F.lit(x) for name, starts in SEGMENTS.items() for start in starts for x in (start, name)]
+    )
+    start = F.floor(code / 10).cast("int")
+    return F.when((code % 10).between(1, 5), F.try_element_at(names, start))
 
 
 def verdict(p_value: Column, alpha: float = 0.05) -> Column:

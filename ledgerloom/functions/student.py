@@ -1,89 +1,78 @@
-"""Two-sided p-values of Student's t distribution as column arithmetic.
+"""Two-sided p-values of Student's t distribution in built-in SQL functions.
 
 For many degrees of freedom a normalising transform (Hill 1970) is exact to about ten
-digits; for few, the incomplete beta function is summed as a continued fraction.
+digits; for few, the incomplete beta function is summed as a continued fraction.  The
+formulas are SQL text: as chained columns their hundreds of terms would take longer to
+build than to run.
 """
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from ledgerloom.functions.numeric import normal_tail
+from ledgerloom.functions.numeric import let, normal_tail
 
 # Above this many degrees of freedom the transform is used.
-MANY = 100.0
+MANY = 100
 FRACTION_STEPS = 120
 
-# Stirling series of the log gamma function, divisors of z**-1, z**-3, ...
-STIRLING = (12.0, -360.0, 1260.0, -1680.0, 1188.0)
-GAMMA_SHIFT = 8
-
 
-def log_gamma(x: Column) -> Column:
-    """Natural logarithm of the gamma function for x > 0."""
-    z = x + GAMMA_SHIFT
-    series = sum((F.lit(1.0) / (F.lit(d) * F.pow(z, 2.0 * i + 1)) for i, d in enumerate(STIRLING)),
-                 F.lit(0.0))
-    product = x
-    for step in range(1, GAMMA_SHIFT):
-        product = product * (x + step)
-    return (z - 0.5) * F.log(z) - z + F.lit(0.5 * math.log(2 * math.pi)) + series - F.log(product)
+def log_gamma(x: str) -> str:
+    """SQL text of the log gamma function for x > 0: Stirling's series after a shift by 8."""
+    series = "1/(12*z) - 1/(360*pow(z,3)) + 1/(1260*pow(z,5)) - 1/(1680*pow(z,7)) + 1/(1188*pow(z,9))"
+    product = " * ".join(f"(z - {8 - i})" for i in range(8))
+    stirling = f"(z - 0.5D) * ln(z) - z + 0.5D * ln(2 * pi()) + {series} - ln({product})"
+    return f"element_at(transform(array({x} + 8D), z -> {stirling}), 1)"
 
 
-def _beta_share(a: Column, b: Column, x: Column) -> Column:
-    """Regularised incomplete beta I_x(a, b) for x below (a + 1) / (a + b + 2)."""
-    start = F.struct(
-        F.lit(1.0).alias("c"),
-        (F.lit(1.0) / (1 - (a + b) * x / (a + 1))).alias("d"),
-        (F.lit(1.0) / (1 - (a + b) * x / (a + 1))).alias("f"),
+def _few(t: str, df: str) -> str:
+    """SQL text of the p-value by the continued fraction of the incomplete beta function."""
+    # I_x(a, 1/2) with x = df / (df + t^2) below the mean of the beta law; above it the
+    # mirrored function 1 - I_(1-x)(1/2, a) converges instead.
+    x = f"({df} / ({df} + {t} * {t}))"
+    past_mean = f"{x} > ({df} / 2 + 1) / ({df} / 2 + 2.5D)"
+    sides = (
+        f"if({past_mean}, struct(0.5D AS a, {df} / 2 AS b, 1 - {x} AS x, true AS mirrored), "
+        f"struct({df} / 2 AS a, 0.5D AS b, {x} AS x, false AS mirrored))"
     )
-
-    def term(state: Column, step: Column) -> Column:
-        """One step of the modified Lentz recurrence."""
-        d = F.lit(1.0) / (1 + step * state["d"])
-        c = 1 + step / state["c"]
-        return F.struct(c.alias("c"), d.alias("d"), (state["f"] * c * d).alias("f"))
-
-    def both(state: Column, i: Column) -> Column:
-        m = F.ceil(i / 2).cast("double")
-        rising = m * (b - m) * x / ((a + 2 * m - 1) * (a + 2 * m))
-        k = m - 1
-        falling = -(a + k) * (a + b + k) * x / ((a + 2 * k) * (a + 2 * k + 1))
-        # Step 1 belongs to the start; then rising and falling terms alternate.
-        return term(state, F.when(i % 2 == 0, rising).otherwise(falling))
-
-    steps = F.sequence(F.lit(2), F.lit(FRACTION_STEPS))
-    fraction = F.aggregate(steps, start, both, lambda state: state["f"])
-    front = F.exp(
-        log_gamma(a + b) - log_gamma(a) - log_gamma(b) + a * F.log(x) + b * F.log(1 - x)
+    # Modified Lentz recurrence: step 1 belongs to the start, then the two kinds of
+    # numerators alternate.
+    first = "1 / (1 - (p.a + p.b) * p.x / (p.a + 1))"
+    even = "(i/2) * (p.b - i/2) * p.x / ((p.a + i - 1) * (p.a + i))"
+    odd = (
+        "-(p.a + (i-1)/2) * (p.a + p.b + (i-1)/2) * p.x / ((p.a + i - 1) * (p.a + i))"
+    )
+    step = f"if(i % 2 = 0, {even}, {odd})"
+    fraction = (
+        f"aggregate(sequence(2, {FRACTION_STEPS}), struct(1D AS c, {first} AS d, {first} AS f), "
+        f"(s, i) -> element_at(transform(array({step}), n -> "
+        "struct(1 + n / s.c AS c, 1 / (1 + n * s.d) AS d, "
+        "s.f * (1 + n / s.c) / (1 + n * s.d) AS f)), 1), s -> s.f)"
+    )
+    log_beta = (
+        f"{log_gamma('p.a')} + {log_gamma('p.b')} - {log_gamma('(p.a + p.b)')}"
+    )
+    share = f"exp(p.a * ln(p.x) + p.b * ln(1 - p.x) - ({log_beta})) * {fraction} / p.a"
+    return (
+        f"element_at(transform(array({sides}), p -> if(p.mirrored, 1 - {share}, {share})), 1)"
     )
-    return front * fraction / a
 
 
-def _many(t: Column, df: Column) -> Column:
-    """Normal deviate with the same tail as ``t`` (Hill 1970)."""
-    a = df - 0.5
-    b = 48 * a * a
-    y = a * F.log1p(t * t / df)
-    tail = (((-0.4 * y - 3.3) * y - 24) * y - 85.5) / (0.8 * y * y + 100 + b)
-    return ((tail + y + 3) / b + 1) * F.sqrt(y)
+def _normal_deviate(t: str, df: str) -> str:
+    """SQL text of the normal deviate with the same tail as ``t`` (Hill 1970)."""
+    b = f"(48 * ({df} - 0.5D) * ({df} - 0.5D))"
+    tail = f"(((-0.4D * y - 3.3D) * y - 24) * y - 85.5D) / (0.8D * y * y + 100 + {b})"
+    y = f"({df} - 0.5D) * log1p({t} * {t} / {df})"
+    return f"element_at(transform(array({y}), y -> (({tail} + y + 3) / {b} + 1) * sqrt(y)), 1)"
 
 
-def t_two_sided(t: Column, df: Column) -> Column:
-    """P(|T| > |t|); NULL when t or df is missing or df is not positive."""
-    square = t * t
-    share = df / (df + square)
-    half, one_half = df / 2, F.lit(0.5)
-    # The fraction converges below the mean of the beta law; its mirror above.
-    direct = _beta_share(half, one_half, share)
-    mirrored = 1 - _beta_share(one_half, half, square / (df + square))
-    few = F.when(share > (half + 1) / (half + 2.5), mirrored).otherwise(direct)
+def t_two_sided(t: str, df: str) -> Column:
+    """P(|T| > |t|) from the names of two columns; NULL when t or df is missing or df <= 0."""
+    many = let(F.expr(_normal_deviate(t, df)), lambda z: 2 * normal_tail(z))
     return (
-        F.when(t.isNull() | df.isNull() | (df <= 0), F.lit(None).cast("double"))
-        .when(t == 0, F.lit(1.0))
-        .when(df > MANY, 2 * normal_tail(_many(t, df)))
-        .otherwise(few)
+        F.when(F.col(t).isNull() | F.col(df).isNull() | (F.col(df) <= 0), F.lit(None))
+        .when(F.col(t) == 0, F.lit(1.0))
+        .when(F.col(df) > MANY, many)
+        .otherwise(F.expr(_few(t, df)))
     )

@@ -7,16 +7,13 @@ from pyspark.sql import functions as F
 
 from ledgerloom.functions.scoring import EDGE_WIDTHS, WIDEST_EDGE, step_score
 from ledgerloom.operators.ordering import approximate_quantiles, exact_quantiles
-from ledgerloom.operators.skew import COUNT, skew_safe_join
+from ledgerloom.operators.skew import ONE_TASK_ROWS, heavy_keys, skew_safe_join
 from ledgerloom.session import reliable_checkpoint
 
 # Colour and size of a drawn sender and receiver.
 SENDER_LOOK = ("blue", 300)
 RECEIVER_LOOK = ("red", 500)
 
-# Below this many edges even one node with all of them is a normal task.
-ONE_TASK_EDGES = 500_000
-
 
 def aggregate_edges(transfers: DataFrame, sender: str, receiver: str, amount: str) -> DataFrame:
     """One edge per (sender, receiver) with the summed amount: ``src``, ``dst``, ``amount``."""
@@ -46,11 +43,11 @@ def node_roles(edges: DataFrame) -> DataFrame:
 
 
 def graph_size(edges: DataFrame) -> DataFrame:
-    """Node and edge count (one row)."""
-    nodes = edges.select(F.explode(F.array("src", "dst")).alias("node"))
-    counts = nodes.agg(F.count_distinct("node").alias("n_nodes"))
-    return counts.withColumn(
-        "n_edges", edges.agg(F.count(F.lit(1)).alias("n")).scalar()
+    """Node and edge count (one row), in one pass over the edge ends."""
+    ends = edges.select(F.explode(F.array("src", "dst")).alias("node"))
+    return ends.agg(
+        F.count_distinct("node").alias("n_nodes"),
+        (F.count(F.lit(1)) / 2).cast("bigint").alias("n_edges"),
     )
 
 
@@ -72,35 +69,31 @@ def edge_widths(edges: DataFrame, exact: bool = True, as_written: bool = False)
 
 
 def _pointing(edges: DataFrame) -> DataFrame:
-    """Edges as (high, low) node pairs without loops and doubles."""
-    return (
-        edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-        .filter(F.col("u") != F.col("v"))
-        .distinct()
-    )
+    """Edges as distinct (high, low) node pairs; a loop has the same node twice."""
+    return edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
 
 
-def _relink(links: DataFrame, lowest: DataFrame, small: bool) -> DataFrame:
-    """Replace ``u`` of every (u, v) by the lowest neighbour of ``u``; hubs are salted."""
-    if small:
-        return links.join(lowest.select("u", "m"), "u")
-    return skew_safe_join(links, lowest.select("u", "m"), ["u"], "inner", lowest.select("u", COUNT))
+def _both_ways(edges: DataFrame) -> DataFrame:
+    return edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
 
 
-def _large_star(edges: DataFrame, small: bool) -> DataFrame:
-    both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    lowest = both.groupBy("u").agg(
-        F.least(F.min("v"), F.col("u")).alias("m"), F.count(F.lit(1)).alias(COUNT)
-    )
-    linked = _relink(both.filter(F.col("v") > F.col("u")), lowest, small)
-    return _pointing(linked.select(F.col("v").alias("u"), F.col("m").alias("v")))
+def _large_star(edges: DataFrame, hubs: dict[int, int]) -> DataFrame:
+    """Link every larger neighbour of a node to the node's smallest neighbour."""
+    both = _both_ways(edges)
+    lowest = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+    linked = skew_safe_join(both.filter(F.col("v") > F.col("u")), lowest, ["u"], heavy=hubs)
+    moved = linked.select(F.col("v").alias("u"), F.col("m").alias("v"))
+    return _pointing(moved).filter(F.col("u") != F.col("v"))
 
 
-def _small_star(edges: DataFrame, small: bool) -> DataFrame:
-    lowest = edges.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias(COUNT))
-    linked = _relink(edges, lowest, small).select(F.col("v").alias("u"), F.col("m").alias("v"))
+def _small_star(edges: DataFrame, hubs: dict[int, int]) -> DataFrame:
+    """Link a node and its smaller neighbours to the smallest of them."""
+    lowest = edges.groupBy("u").agg(F.min("v").alias("m"))
+    linked = skew_safe_join(edges, lowest, ["u"], heavy=hubs).select(
+        F.col("v").alias("u"), F.col("m").alias("v")
+    )
     own = lowest.select("u", F.col("m").alias("v"))
-    return _pointing(linked.unionByName(own))
+    return _pointing(linked.unionByName(own)).filter(F.col("u") != F.col("v"))
 
 
 def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
@@ -109,15 +102,12 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     Alternates the large-star and small-star steps of Kiveris et al. (2014) until the
     edges are stars around the smallest node.  Each round is one checkpoint to the
     shared folder and one small aggregate that counts and fingerprints the edge set.
-    Hub nodes are salted unless the counted edges fit one task anyway.
+    Joins on hub nodes are salted.
     """
     start = edges.select(F.col("src").alias("u"), F.col("dst").alias("v")).dropna()
-    # Every node keeps a loop, so that nodes and links are one checkpointed table.
-    loops = F.array(F.struct("u", "v"), F.struct("u", F.col("u").alias("v")),
-                    F.struct(F.col("v").alias("u"), "v"))
-    base = reliable_checkpoint(start.select(F.inline(loops)).distinct())
-    nodes = base.filter(F.col("u") == F.col("v")).select(F.col("u").alias("node"))
-    current = _pointing(base)
+    base = reliable_checkpoint(_pointing(start))
+    nodes = base.select(F.explode(F.array("u", "v")).alias("node")).distinct()
+    current = base.filter(F.col("u") != F.col("v"))
 
     def fingerprint(df: DataFrame):
         return df.agg(
@@ -128,8 +118,10 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
 
     before = fingerprint(current)
     for _ in range(max_rounds):
-        small = before[0] <= ONE_TASK_EDGES
-        current = reliable_checkpoint(_small_star(_large_star(current, small), small))
+        # A node has at most as many links after the first step as neighbours before it.
+        small = 2 * before[0] <= ONE_TASK_ROWS
+        hubs = {} if small else heavy_keys(_both_ways(current), ["u"])
+        current = reliable_checkpoint(_small_star(_large_star(current, hubs), hubs))
         after = fingerprint(current)
         if after == before:
             break

@@ -13,11 +13,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.numeric import normal_tail, ratio
-from ledgerloom.functions.sampling import MASK32, key_hash, poisson_weight, replicate_draw
+from ledgerloom.functions.sampling import MASK32, poisson_weight, with_draw, with_key_hash
 from ledgerloom.operators.aggregates import histogram
 from ledgerloom.operators.ordering import quantiles_from_counts, running_counts
 from ledgerloom.operators.stats import t_test
-from ledgerloom.session import reliable_checkpoint
+from ledgerloom.session import reliable_checkpoint, shuffle_width
 
 REPLICATE = "replicate"
 # Half widths of the rank band that may hold a resample's median, widest first.
@@ -27,32 +27,52 @@ BAND_SIGMAS = 6.0
 
 def _with_draw(df: DataFrame) -> DataFrame:
     """The draw of every (row, replicate) pair."""
-    return df.withColumn("__draw", replicate_draw(F.col("__h"), F.col(REPLICATE)))
+    return with_draw(df, "__draw", "__h", REPLICATE)
 
 
 def _expand(df: DataFrame, replicates: int) -> DataFrame:
-    """Every row once per replicate, with its draw; nothing is shuffled."""
+    """Every row once per replicate, with its draw.
+
+    The rows are spread evenly first: each becomes hundreds, so that one narrow shuffle
+    is small beside the work it balances.
+    """
     numbers = F.explode(F.sequence(F.lit(1), F.lit(replicates)))
-    return _with_draw(df.withColumn(REPLICATE, numbers))
+    spread = df.repartition(shuffle_width(df.sparkSession), "__h")
+    return _with_draw(spread.withColumn(REPLICATE, numbers))
+
+
+def _keep(df: DataFrame, column: str, condition: Column) -> DataFrame:
+    """Rows that meet a condition on a computed column.
+
+    Written as a generator: a filter would be pushed below the projections and copy the
+    whole chain of the column into itself.
+    """
+    return df.withColumn(column, F.explode(F.when(condition, F.array(F.col(column)))))
 
 
 def _samples(df: DataFrame, value: str, group: str, key: Column, a, b, seed: int) -> DataFrame:
     is_a, is_b = F.col(group) == F.lit(a), F.col(group) == F.lit(b)
-    return df.filter((is_a | is_b) & F.col(value).isNotNull()).select(
+    rows = df.filter((is_a | is_b) & F.col(value).isNotNull()).select(
         F.when(is_a, F.lit("a")).otherwise(F.lit("b")).alias("__side"),
         F.col(value).cast("double").alias("__v"),
-        key_hash(key, seed).alias("__h"),
+        key.cast("bigint").alias("__key"),
     )
+    return with_key_hash(rows, "__h", F.col("__key"), seed).drop("__key")
+
+
+def _weighted(drawn: DataFrame) -> DataFrame:
+    """How many times each replicate picks a row."""
+    return drawn.withColumn("__w", poisson_weight(F.col("__draw"))).drop("__draw")
 
 
 def _picked(drawn: DataFrame) -> DataFrame:
-    """Rows picked at least once, with the number of times each replicate picks them."""
-    return drawn.withColumn("__w", poisson_weight(F.col("__draw"))).filter(F.col("__w") > 0)
+    """Rows picked at least once, with the number of times."""
+    return _keep(_weighted(drawn), "__w", F.col("__w") > 0)
 
 
 def _mean_replicates(samples: DataFrame, replicates: int) -> DataFrame:
     """Difference of weighted means per replicate: partial sums on the map side only."""
-    weighted = _picked(_expand(samples, replicates))
+    weighted = _weighted(_expand(samples, replicates))
     sides = []
     for side in ("a", "b"):
         here = F.col("__side") == side
@@ -110,12 +130,14 @@ def _median_replicates(samples: DataFrame, replicates: int) -> DataFrame:
         .when(F.col("__v") > F.col("high"), outside_high)
         .otherwise(F.col("__v")),
     )
-    quick = _weighted_medians(_picked(_expand(folded, replicates)))
+    quick = reliable_checkpoint(_weighted_medians(_picked(_expand(folded, replicates))))
     inside = F.abs("median") < F.lit(float("inf"))  # false for infinite and NaN medians
+    medians = quick.filter(inside)
     missed = quick.filter(~inside).select(REPLICATE, "__side")
-    # At most two rows per replicate, and none in practice.
-    again = _picked(_with_draw(samples.join(F.broadcast(missed), "__side")))
-    medians = quick.filter(inside).unionByName(_weighted_medians(again))
+    if not missed.isEmpty():
+        # At most two rows per replicate, and none in practice.
+        again = _picked(_with_draw(samples.join(F.broadcast(missed), "__side")))
+        medians = medians.unionByName(_weighted_medians(again))
     return (
         medians.groupBy(REPLICATE)
         .agg(
@@ -192,8 +214,8 @@ def repeated_samples(
     before the shuffle; samples the limit cut short are taken again without it, so every
     sample is exact.
     """
-    rows = df.filter(F.col(strata).isin(list(labels))).withColumn(
-        "__h", key_hash(F.col(key), seed)
+    rows = with_key_hash(
+        df.filter(F.col(strata).isin(list(labels))), "__h", F.col(key), seed
     )
     spare = size + 8 * math.sqrt(size) + 20
     # One row per label.
@@ -202,28 +224,30 @@ def repeated_samples(
         strata, (F.lit(spare) / F.col("__n") * F.lit(float(MASK32 + 1))).alias("__limit")
     )
     columns = [*df.columns, REPLICATE, "__draw"]
+    drawn = _expand(rows.join(F.broadcast(limits), strata), replicates)
     few = reliable_checkpoint(
-        _expand(rows.join(F.broadcast(limits), strata), replicates)
-        .filter(F.col("__draw") < F.col("__limit"))
-        .select(*columns)
+        _keep(drawn, "__draw", F.col("__draw") < F.col("__limit")).select(*columns)
     )
     reached = few.groupBy(REPLICATE, strata).agg(F.count(F.lit(1)).alias("__got"))
     wanted = sizes.withColumn(REPLICATE, F.explode(F.sequence(F.lit(1), F.lit(replicates))))
     target = F.least(F.col("__n"), F.lit(size))
-    # At most one row per replicate and label, and none in practice.
-    short = F.broadcast(
+    short = (
         wanted.join(reached, [REPLICATE, strata], "left")
         .filter(F.coalesce(F.col("__got"), F.lit(0)) < target)
         .select(REPLICATE, strata)
     )
-    enough = few.join(short, [REPLICATE, strata], "left_anti")
-    whole = _with_draw(rows.join(short, strata)).select(*columns)
     order = Window.partitionBy(REPLICATE, strata).orderBy("__draw", key)
 
     def smallest(candidates: DataFrame) -> DataFrame:
         ranked = candidates.withColumn("__rank", F.row_number().over(order))
         return ranked.filter(F.col("__rank") <= size).drop("__rank", "__draw")
 
+    if short.isEmpty():
+        return smallest(few)
+    # At most one row per replicate and label, and none in practice.
+    short = F.broadcast(reliable_checkpoint(short))
+    enough = few.join(short, [REPLICATE, strata], "left_anti")
+    whole = _with_draw(rows.join(short, strata)).select(*columns)
     return smallest(enough).unionByName(smallest(whole))
 
 

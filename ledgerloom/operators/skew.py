@@ -2,28 +2,51 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.session import shuffle_width
 
-COUNT = "__rows"
-FAN = "__fan"
 SALT = "__salt"
+# Up to this many rows even a single key with all of them is a normal task.
+ONE_TASK_ROWS = 1_000_000
+# Items the frequency sketch follows: its error is a few of these parts of all rows.
+SKETCH_ITEMS = 20_000
 
 
-def heavy_keys(key_counts: DataFrame, width: int) -> DataFrame:
-    """Keys that hold more than one ``width``-th of all rows, with their number of salts.
+def heavy_keys(df: DataFrame, on: list[str], one_task_rows: int = ONE_TASK_ROWS) -> dict[int, int]:
+    """Hashes of the keys that hold more than one partition's share, with a number of salts.
 
-    ``key_counts`` has the key columns and a row count.  Fewer than ``width`` keys can
-    pass, and their salts add up to less than two times ``width``: both bounds hold for
-    any data, so the result may be broadcast.
+    One pass over the key columns with a mergeable frequent-items sketch of fixed size;
+    its result is one row.  Fewer keys than shuffle partitions can pass, and their salts
+    add up to less than two times that number, whatever the data.  The counts only steer
+    the balance, so their small error never changes a result.
     """
-    total = key_counts.agg(F.sum(COUNT).alias("total")).scalar()
-    share = F.col(COUNT) * F.lit(width) / total
-    return key_counts.filter(share > 1).select(
-        *[c for c in key_counts.columns if c != COUNT], F.ceil(share).cast("int").alias(FAN)
+    width = shuffle_width(df.sparkSession)
+    hashed = F.xxhash64(*on).alias("key")
+    tracked = max(SKETCH_ITEMS, 16 * width)
+    found = (
+        df.select(hashed)
+        .agg(
+            F.count(F.lit(1)).alias("rows"),
+            F.expr(f"approx_top_k(key, {width}, {tracked})").alias("top"),
+        )
+        .first()
     )
+    if found["rows"] <= one_task_rows:
+        return {}
+    share = found["rows"] / width
+    return {
+        item["item"]: -int(-item["count"] // share)
+        for item in found["top"] or []
+        if item["count"] > share
+    }
+
+
+def _fan(on: list[str], heavy: dict[int, int]) -> Column:
+    """Number of salts of a row's key."""
+    pairs = [F.lit(x) for pair in heavy.items() for x in pair]
+    return F.coalesce(F.try_element_at(F.create_map(*pairs), F.xxhash64(*on)), F.lit(1))
 
 
 def skew_safe_join(
@@ -31,38 +54,26 @@ def skew_safe_join(
     right: DataFrame,
     on: list[str],
     how: str = "inner",
-    key_counts: DataFrame | None = None,
+    sketch_of: DataFrame | None = None,
+    one_task_rows: int = ONE_TASK_ROWS,
+    heavy: dict[int, int] | None = None,
 ) -> DataFrame:
     """Join many ``left`` rows to few ``right`` rows per key.
 
     Rows of a heavy left key are spread over salts in proportion to their number, and
-    the matching right rows are copied once per salt.  NULL keys are spread as well
-    (they never match).  ``how`` is inner, left, left_semi or left_anti.  Pass
-    ``key_counts`` (keys and ``__rows``) when the counts are at hand.
+    the matching right rows are copied once per salt; without heavy keys it is a plain
+    join.  ``how`` is inner, left, left_semi or left_anti.  ``sketch_of`` is a cheaper
+    table with the same keys to look for heavy ones in; ``heavy`` is what such a look found.
     """
-    width = shuffle_width(left.sparkSession)
-    if key_counts is None:
-        key_counts = left.groupBy(*on).agg(F.count(F.lit(1)).alias(COUNT))
-    key_counts = key_counts.dropna(subset=on)
-    heavy = F.broadcast(heavy_keys(key_counts, width))
-    scatter = F.xxhash64(*[F.col(c) for c in left.columns])
-    any_null = F.lit(False)
-    for column in on:
-        any_null = any_null | F.col(column).isNull()
-    salted_left = (
-        left.join(heavy, on, "left")
-        .withColumn(
-            SALT,
-            F.when(F.col(FAN).isNotNull(), F.pmod(scatter, F.col(FAN)))
-            .when(any_null, F.pmod(scatter, F.lit(width)))
-            .otherwise(F.lit(0))
-            .cast("int"),
-        )
-        .drop(FAN)
-    )
-    salted_right = (
-        right.join(heavy, on, "left")
-        .withColumn(SALT, F.explode(F.sequence(F.lit(0), F.coalesce(F.col(FAN), F.lit(1)) - 1)))
-        .drop(FAN)
+    if heavy is None:
+        heavy = heavy_keys(left if sketch_of is None else sketch_of, on, one_task_rows)
+    if not heavy:
+        return left.join(right, on, how)
+    fan = _fan(on, heavy)
+    scatter = F.pmod(F.xxhash64(*[F.col(c) for c in left.columns]), fan).cast("int")
+    salts = F.explode(F.sequence(F.lit(0), fan - 1))
+    return (
+        left.withColumn(SALT, scatter)
+        .join(right.withColumn(SALT, salts), [*on, SALT], how)
+        .drop(SALT)
     )
-    return salted_left.join(salted_right, [*on, SALT], how).drop(SALT)

@@ -54,7 +54,7 @@ def t_test(
     moments = df.groupBy(*keys).agg(*two_sample_moments(value, group, a, b))
     t, freedom = student_columns() if equal_var else welch_columns()
     scored = moments.withColumn("t", t).withColumn("df", freedom)
-    return scored.withColumn("p_value", t_two_sided(F.col("t"), F.col("df"))).select(
+    return scored.withColumn("p_value", t_two_sided("t", "df")).select(
         *keys, "n1", "n2", "m1", "m2", "t", "df", "p_value"
     )
 

@@ -116,7 +116,9 @@ def favourite_weekday(items: DataFrame, bought: DataFrame) -> DataFrame:
     """
     lines = items.groupBy("order_id", "product_id").agg(F.count(F.lit(1)).alias("lines"))
     days = bought.select("order_id", weekday_name(F.col("order_approved_at")).alias("weekday"))
-    joined = skew_safe_join(lines, days, ["order_id"]).filter(F.col("product_id").isNotNull())
+    joined = skew_safe_join(lines, days, ["order_id"], sketch_of=items).filter(
+        F.col("product_id").isNotNull()
+    )
     return top_value_per_key(joined, "product_id", "weekday", F.col("lines"), "prod_count")
 
 

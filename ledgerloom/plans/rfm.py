@@ -9,6 +9,7 @@ from ledgerloom.functions.dates import report_day, whole_days
 from ledgerloom.functions.scoring import high_is_good, low_is_good, segment_name
 from ledgerloom.operators.aggregates import value_counts
 from ledgerloom.operators.ordering import column_quantiles
+from ledgerloom.session import reliable_checkpoint
 
 MEASURES = ("Recency", "Frequency", "Monetary")
 QUINTILES = (0.2, 0.4, 0.6, 0.8)
@@ -18,7 +19,9 @@ def rfm_measures(customers: DataFrame, bought: DataFrame, items: DataFrame) -> D
     """Per person: full days since the last purchase, purchases, money.
 
     The report day is one day after the last purchase of all.  Only purchases with items
-    count.  Everything is summed per order, then per customer id, before each join.
+    count.  Everything is summed per order, then per customer id, before each join.  The
+    one row per person that remains is checkpointed: the report day, the cut points and
+    the scores all read it.
     """
     order_totals = items.groupBy("order_id").agg(
         F.coalesce(F.sum("price"), F.lit(0.0)).alias("price")
@@ -31,7 +34,7 @@ def rfm_measures(customers: DataFrame, bought: DataFrame, items: DataFrame) -> D
         F.count("customer_id").alias("n"),
         F.sum("price").alias("price"),
     )
-    per_person = (
+    per_person = reliable_checkpoint(
         per_customer.join(customers.select("customer_id", "customer_unique_id"), "customer_id")
         .filter(F.col("customer_unique_id").isNotNull())
         .groupBy("customer_unique_id")

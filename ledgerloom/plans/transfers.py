@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.functions.dates import calendar_days
 from ledgerloom.operators.skew import skew_safe_join
+from ledgerloom.session import reliable_checkpoint
 
 WINDOW = (-1, 7)
 
@@ -34,10 +35,14 @@ def dated_transfers(transfers: DataFrame, issues: DataFrame) -> DataFrame:
 def clean_links(
     transfers: DataFrame, issues: DataFrame, window: tuple[int, int] = WINDOW
 ) -> Links:
-    """Transfers inside the window to receivers the sender never paid outside of it."""
+    """Transfers inside the window to receivers the sender never paid outside of it.
+
+    The few transfers inside the window are checkpointed: they are a result of their own
+    and the probe side of the anti join.
+    """
     dated = dated_transfers(transfers, issues)
     inside = F.col("diff_time").between(*window)
-    in_window = dated.filter(inside)
+    in_window = reliable_checkpoint(dated.filter(inside))
     known = dated.filter(~inside).select("id_sender", "id_receiver").distinct()
     # One row per pair on the right; a hot pair on the left is spread.
     cleaned = skew_safe_join(in_window, known, ["id_sender", "id_receiver"], "left_anti")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -32,25 +33,25 @@ def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 
 
-def _ensure_checkpoint_dir(spark: SparkSession) -> None:
+def _checkpoint_folder(spark: SparkSession) -> str:
     context = spark.sparkContext
-    if context.getCheckpointDir() is not None:
-        return
-    configured = context.getConf().get("spark.checkpoint.dir")
-    if configured is None:
-        configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured is None:
+    folder = context.getConf().get("spark.checkpoint.dir")
+    folder = folder or spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if folder is None:
         if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-        configured = tempfile.mkdtemp(prefix="ledgerloom-checkpoint-")
-    context.setCheckpointDir(configured)
+        folder = tempfile.mkdtemp(prefix="ledgerloom-")
+        context.setCheckpointDir(folder)
+    return folder
 
 
 def reliable_checkpoint(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared checkpoint folder and cut its lineage.
+    """Write ``df`` as a table in the shared checkpoint folder and read it back.
 
-    The folder comes from ``spark.checkpoint.dir``; a temporary one is made only
-    in local mode.  The copy survives the loss of any executor.
+    This cuts the lineage, survives the loss of any executor, and gives the next plan the
+    real size of the table.  The folder comes from ``spark.checkpoint.dir``; a temporary
+    one is made only in local mode.
     """
-    _ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    path = f"{_checkpoint_folder(df.sparkSession).rstrip('/')}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
