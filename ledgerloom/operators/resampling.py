@@ -240,7 +240,7 @@ def repeated_samples(
 
     def smallest(candidates: DataFrame) -> DataFrame:
         ranked = candidates.withColumn("__rank", F.row_number().over(order))
-        return ranked.filter(F.col("__rank") <= size).drop("__rank", "__draw")
+        return ranked.filter(F.col("__rank") <= size).select(*df.columns, REPLICATE)
 
     if short.isEmpty():
         return smallest(few)
