@@ -28,6 +28,12 @@ def month_number(ts: Column) -> Column:
     return F.year(ts) * 12 + F.month(ts)
 
 
+def label_of_number(number: Column) -> Column:
+    """``YYYY-MM`` of a ``month_number``."""
+    year, month = F.floor((number - 1) / 12).cast("int"), (number - 1) % 12 + 1
+    return F.format_string("%04d-%02d", year, month)
+
+
 def months_between_labels(earlier: Column, later: Column) -> Column:
     """Month boundaries crossed from ``earlier`` to ``later`` (both date or timestamp)."""
     return month_number(later) - month_number(earlier)

@@ -32,20 +32,24 @@ def mean_of_counts(df: DataFrame, key: Column, counted: str, name: str) -> DataF
 
 
 def top_value_per_key(
-    df: DataFrame, key: str, value: str, amount: Column, result: str = "n"
+    df: DataFrame, key: str, value: str, values: Sequence[str], amount: Column, result: str = "n"
 ) -> DataFrame:
     """Per key the value with the largest summed amount; ties go to the first name.
 
-    Sums per (key, value) are combined on the map side, then the best pair is a plain
-    aggregate, so no task ever sorts the rows of one key.
+    ``values`` are all names that occur.  Sums per (key, value) are combined on the map
+    side, then sum and place of the name travel as one whole number, so that the best
+    pair is a plain hash aggregate and no task sorts the rows of one key.
     """
+    names = sorted(values)
+    size = len(names) + 1
+    place = F.array_position(F.array(*[F.lit(n) for n in names]), F.col(value))
     summed = df.groupBy(key, value).agg(F.sum(amount).alias(result))
-    best = F.min(F.struct((-F.col(result)).alias("__order"), F.col(value))).alias("__best")
-    return (
-        summed.groupBy(key)
-        .agg(best)
-        .select(key, F.col(f"__best.{value}"), (-F.col("__best.__order")).alias(result))
+    best = F.max(F.col(result).cast("bigint") * size + (len(names) - place))
+    top = summed.groupBy(key).agg(best.alias("__best"))
+    name = F.element_at(
+        F.array(*[F.lit(n) for n in names]), (len(names) - F.col("__best") % size).cast("int")
     )
+    return top.select(key, name.alias(value), F.floor(F.col("__best") / size).alias(result))
 
 
 def histogram(
@@ -99,7 +103,7 @@ def pivot_counts(
     df: DataFrame, index: str, column: str, value: str, wanted: Sequence[int], prefix: str
 ) -> DataFrame:
     """Wide table with one column per wanted value; the list is given, so no extra job runs."""
-    wide = df.groupBy(index).pivot(column, list(wanted)).agg(F.first(value))
+    wide = df.groupBy(index).pivot(column, list(wanted)).agg(F.max(value))
     return wide.select(index, *[F.col(str(w)).alias(f"{prefix}{w}") for w in wanted])
 
 

@@ -6,7 +6,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.scoring import EDGE_WIDTHS, WIDEST_EDGE, step_score
-from ledgerloom.operators.ordering import approximate_quantiles, exact_quantiles
+from ledgerloom.operators.ordering import (
+    approximate_quantiles,
+    exact_quantiles,
+    running_counts,
+)
 from ledgerloom.operators.skew import ONE_TASK_ROWS, heavy_keys, skew_safe_join
 from ledgerloom.session import reliable_checkpoint
 
@@ -59,13 +63,15 @@ def edge_widths(edges: DataFrame, exact: bool = True, as_written: bool = False)
     """
     compute = exact_quantiles if exact else approximate_quantiles
     cuts = compute(edges, "amount", (0.0, 0.2, 0.4, 0.6, 0.8, 1.0))
-    packed = cuts.select(F.struct(*[f"q{i}" for i in range(6)]).alias("s")).scalar()
-    cut = [F.col(f"__cuts.q{i}") for i in range(6)]
+    row = cuts.first()  # six numbers, used as literals
+    if row is None:
+        return edges.withColumn("width", F.lit(None).cast("double"))
+    cut = [F.lit(row[f"q{i}"]) for i in range(6)]
     if as_written:
         width = step_score(F.col("amount"), [cut[0], cut[5]], (*EDGE_WIDTHS[:2], WIDEST_EDGE))
     else:
         width = step_score(F.col("amount"), cut, (*EDGE_WIDTHS, WIDEST_EDGE))
-    return edges.withColumn("__cuts", packed).withColumn("width", width).drop("__cuts")
+    return edges.withColumn("width", width)
 
 
 def _pointing(edges: DataFrame) -> DataFrame:
@@ -96,43 +102,62 @@ def _small_star(edges: DataFrame, hubs: dict[int, int]) -> DataFrame:
     return _pointing(linked.unionByName(own)).filter(F.col("u") != F.col("v"))
 
 
-def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
-    """Weakly connected components: ``node`` and ``component`` (the smallest node of it).
+def _fingerprint(df: DataFrame):
+    return df.agg(
+        F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v")), F.bit_xor(F.xxhash64("v", "u"))
+    ).first()
 
-    Alternates the large-star and small-star steps of Kiveris et al. (2014) until the
-    edges are stars around the smallest node.  Each round is one checkpoint to the
-    shared folder and one small aggregate that counts and fingerprints the edge set.
-    Joins on hub nodes are salted.
-    """
-    start = edges.select(F.col("src").alias("u"), F.col("dst").alias("v")).dropna()
-    base = reliable_checkpoint(_pointing(start))
-    nodes = base.select(F.explode(F.array("u", "v")).alias("node")).distinct()
-    current = base.filter(F.col("u") != F.col("v"))
-
-    def fingerprint(df: DataFrame):
-        return df.agg(
-            F.count(F.lit(1)),
-            F.bit_xor(F.xxhash64("u", "v")),
-            F.bit_xor(F.xxhash64("v", "u")),
-        ).first()
 
-    before = fingerprint(current)
+def _star_rounds(base: DataFrame, max_rounds: int) -> DataFrame:
+    """Numbered links to stars around the smallest node of each component."""
+    current = base.filter(F.col("u") != F.col("v"))
+    before = _fingerprint(current)
     for _ in range(max_rounds):
         # A node has at most as many links after the first step as neighbours before it.
         small = 2 * before[0] <= ONE_TASK_ROWS
         hubs = {} if small else heavy_keys(_both_ways(current), ["u"])
         current = reliable_checkpoint(_small_star(_large_star(current, hubs), hubs))
-        after = fingerprint(current)
+        after = _fingerprint(current)
         if after == before:
-            break
+            return current
         before = after
-    else:
-        raise RuntimeError(f"no fixed point after {max_rounds} rounds")
+    raise RuntimeError(f"no fixed point after {max_rounds} rounds")
+
+
+def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
+    """Weakly connected components: ``node`` and ``component`` (the smallest node of it).
+
+    Alternates the large-star and small-star steps of Kiveris et al. (2014) until the
+    edges are stars around the smallest node.  Each round is one checkpoint to the
+    shared folder and one small aggregate that counts and fingerprints the edge set.
+    Joins on hub nodes are salted.  Nodes are numbered in their own order first: minima
+    of whole numbers are hash aggregates, minima of texts would sort every round.
+    """
+    named = edges.select(F.col("src").alias("u"), F.col("dst").alias("v")).dropna()
+    named = reliable_checkpoint(_pointing(named))
+    ends = named.select(F.explode(F.array("u", "v")).alias("node"))
+    numbers = reliable_checkpoint(
+        running_counts(ends.distinct(), "node", {"n": F.lit(1)}).select(
+            "node", F.col("n_before").alias("id")
+        )
+    )
+    numbered = named
+    for end in ("u", "v"):
+        numbered = skew_safe_join(
+            numbered, numbers.withColumnsRenamed({"node": end, "id": f"{end}_id"}), [end],
+            sketch_of=named,
+        )
+    base = reliable_checkpoint(
+        numbered.select(F.col("u_id").alias("u"), F.col("v_id").alias("v"))
+    )
+    stars = _star_rounds(_pointing(base), max_rounds)
     # A star edge is (node, centre); the centre itself has none.
-    centres = current.select(F.col("u").alias("node"), F.col("v").alias("component"))
-    return nodes.join(centres, "node", "left").select(
-        "node", F.coalesce("component", "node").alias("component")
+    centres = stars.select(F.col("u").alias("id"), F.col("v").alias("centre"))
+    labelled = numbers.join(centres, "id", "left").select(
+        "node", F.coalesce("centre", "id").alias("id")
     )
+    names = numbers.select("id", F.col("node").alias("component"))
+    return skew_safe_join(labelled, names, ["id"]).select("node", "component")
 
 
 def component_edges(edges: DataFrame, components: DataFrame) -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.functions.dates import month_label
+from ledgerloom.functions.dates import label_of_number, month_number
 from ledgerloom.functions.numeric import percent
 from ledgerloom.operators.aggregates import pivot_counts
 
@@ -15,11 +15,12 @@ from ledgerloom.operators.aggregates import pivot_counts
 def monthly_activity(customers: DataFrame, bought: DataFrame) -> DataFrame:
     """Person and month pairs, each once, with the person's first month.
 
-    Purchases shrink to distinct pairs on the map side before the first month is taken,
-    so a person holds at most one row per month, however often they buy.
+    Months are whole numbers (hash aggregation needs fixed-width minima).  Purchases
+    shrink to distinct pairs on the map side before the first month is taken, so a person
+    holds at most one row per month, however often they buy.
     """
     months = bought.select(
-        "customer_id", month_label(F.col("order_approved_at")).alias("month")
+        "customer_id", month_number(F.col("order_approved_at")).alias("month")
     ).distinct()
     pairs = (
         months.join(customers.select("customer_id", "customer_unique_id"), "customer_id")
@@ -31,25 +32,18 @@ def monthly_activity(customers: DataFrame, bought: DataFrame) -> DataFrame:
     return pairs.join(first, "customer_unique_id")
 
 
-def _months_apart(first, later):
-    number = lambda label: F.substring(label, 1, 4).cast("int") * 12 + F.substring(
-        label, 6, 2
-    ).cast("int")
-    return number(later) - number(first)
-
-
 def cohort_counts(
     customers: DataFrame, bought: DataFrame, first: str = "2017-01", last: str = "2017-12"
 ) -> DataFrame:
     """Distinct people per first month and months since then."""
-    activity = monthly_activity(customers, bought)
-    offset = _months_apart(F.col("first_month"), F.col("month"))
-    return (
-        activity.filter(F.col("first_month").between(first, last))
-        .withColumn("months_since", offset)
-        .groupBy("first_month", "months_since")
-        .agg(F.count_distinct("customer_unique_id").alias("people"))
+    bounds = [int(label[:4]) * 12 + int(label[5:]) for label in (first, last)]
+    counted = (
+        monthly_activity(customers, bought)
+        .filter(F.col("first_month").between(*bounds))
+        .groupBy("first_month", (F.col("month") - F.col("first_month")).alias("months_since"))
+        .agg(F.count("customer_unique_id").alias("people"))  # pairs are distinct
     )
+    return counted.withColumn("first_month", label_of_number(F.col("first_month")))
 
 
 def retention(counts: DataFrame, offsets: Sequence[int], month: int = 3) -> DataFrame:

@@ -7,6 +7,7 @@ order_estimated_delivery_date), ``items`` (order_id, product_id, price).
 
 from __future__ import annotations
 
+from calendar import day_name
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -119,7 +120,9 @@ def favourite_weekday(items: DataFrame, bought: DataFrame) -> DataFrame:
     joined = skew_safe_join(lines, days, ["order_id"], sketch_of=items).filter(
         F.col("product_id").isNotNull()
     )
-    return top_value_per_key(joined, "product_id", "weekday", F.col("lines"), "prod_count")
+    return top_value_per_key(
+        joined, "product_id", "weekday", day_name, F.col("lines"), "prod_count"
+    )
 
 
 def purchases_per_week(customers: DataFrame, bought: DataFrame, leap: bool = True) -> DataFrame:

@@ -8,28 +8,20 @@ from pyspark.sql import functions as F
 from ledgerloom.functions.text import last_part
 
 
-def zone_stats(domains: DataFrame) -> DataFrame:
-    """Per zone the number of domains and the longest one (first by name on ties)."""
-    zone = last_part(F.col("domain")).alias("zone")
-    longest = F.min(F.struct((-F.length("domain")).alias("order"), "domain", "rank"))
-    return (
-        domains.filter(F.col("domain").isNotNull())
-        .groupBy(zone)
-        .agg(F.count("domain").alias("n"), longest.alias("longest"))
-    )
-
-
 def top_zones(domains: DataFrame, rows: int = 10) -> DataFrame:
     """The zones with most domains."""
-    return zone_stats(domains).select("zone", "n").orderBy(F.desc("n"), "zone").limit(rows)
+    zone = last_part(F.col("domain")).alias("zone")
+    counted = domains.groupBy(zone).agg(F.count("domain").alias("n"))
+    return counted.filter(F.col("n") > 0).orderBy(F.desc("n"), "zone").limit(rows)
 
 
 def longest_domain(domains: DataFrame) -> DataFrame:
-    """The longest domain with its rank and length (one row)."""
-    best = zone_stats(domains).agg(F.min("longest").alias("b"))
-    return best.select(
-        F.col("b.rank").alias("rank"), F.col("b.domain").alias("domain"),
-        (-F.col("b.order")).alias("len_domain"),
+    """The longest domain with its rank and length (one row); the first name on ties."""
+    return (
+        domains.select("rank", "domain", F.length("domain").alias("len_domain"))
+        .filter(F.col("domain").isNotNull())
+        .orderBy(F.desc("len_domain"), "domain", "rank")
+        .limit(1)
     )
 
 
@@ -41,8 +33,7 @@ def domain_rank(domains: DataFrame, domain: str) -> DataFrame:
 def domain_report(domains: DataFrame, ds: str, domain: str, rows: int = 10) -> DataFrame:
     """The three results of one day as labelled rows: ``ds``, ``section``, ``key``, ``value``.
 
-    Zones and longest domain come from the same per-zone aggregate; the rank is a
-    filtered scan.
+    Each part is one pruned scan: a hash aggregate, a top-1 per partition, and a filter.
     """
 
     def section(df: DataFrame, name: str, key, value) -> DataFrame:

@@ -59,15 +59,15 @@ def rfm_cuts(measures: DataFrame, exact: bool = True) -> DataFrame:
 
 
 def rfm_scores(measures: DataFrame, cuts: DataFrame) -> DataFrame:
-    """Scores 1 to 5, the three-digit code and the segment of every person."""
-    packed = cuts.agg(
-        *[
-            F.max(F.when(F.col("column_name") == name, F.array("q0", "q1", "q2", "q3"))).alias(name)
-            for name in MEASURES
-        ]
-    ).select(F.struct(*MEASURES).alias("s"))
-    cut = {name: [F.col(f"__cuts.{name}")[i] for i in range(4)] for name in MEASURES}
-    scored = measures.withColumn("__cuts", packed.scalar()).select(
+    """Scores 1 to 5, the three-digit code and the segment of every person.
+
+    The cut points, four numbers for each of three measures, become literals of the plan.
+    """
+    cut = {
+        row["column_name"]: [F.lit(row[f"q{i}"]) for i in range(len(QUINTILES))]
+        for row in cuts.collect()
+    }
+    scored = measures.select(
         *measures.columns,
         low_is_good(F.col("Recency"), cut["Recency"]).alias("R"),
         high_is_good(F.col("Frequency"), cut["Frequency"]).alias("F"),

@@ -78,7 +78,7 @@ def test_top_value_breaks_ties_by_name(spark):
     df = spark.createDataFrame(
         [("p", d) for d in ("Tue", "Tue", "Mon", "Mon", "Sun")], "product string, weekday string"
     )
-    assert rows(aggregates.top_value_per_key(df, "product", "weekday", F.lit(1))) == [("p", "Mon", 2)]
+    assert rows(aggregates.top_value_per_key(df, "product", "weekday", ["Mon", "Sun", "Tue"], F.lit(1))) == [("p", "Mon", 2)]
 
 
 def test_profiles(spark):
