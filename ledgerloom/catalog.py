@@ -17,6 +17,7 @@ from ledgerloom.operators import (
 from ledgerloom.plans import (
     cohort, commerce, domains, experiment, films, readout, rfm, sales, transfer_graph, transfers,
 )
+from ledgerloom.session import reliable_checkpoint
 from ledgerloom.sources import generators, readers, standins
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -352,6 +353,28 @@ def diligent_monthly(spark, folder):
     return experiment.diligent_monthly(standins.platform(spark, folder).answers)
 
 
+@query
+def math_students(spark, folder):
+    """A SQL text as source: its HAVING names an aggregate that shadows its input column."""
+    standins.platform(spark, folder).answers.createOrReplaceTempView("ledgerloom_answers")
+    return readers.query_source(
+        spark,
+        """
+        SELECT st_id, SUM(correct) AS correct, MIN(timest) AS first_time, MAX(timest) AS last_time
+        FROM ledgerloom_answers WHERE subject = 'Math' GROUP BY st_id HAVING correct >= 2
+        """,
+    )
+
+
+@query
+def buyers_per_month(spark, folder):
+    """Distinct customers per month of purchase."""
+    bought = _bought(standins.shop(spark, folder)).withColumn(
+        "month", dates.month_label(F.col("order_approved_at"))
+    )
+    return quality.distinct_count(bought, "customer_id", ["month"])
+
+
 # --- statistics -----------------------------------------------------------------------
 
 
@@ -591,11 +614,23 @@ def _graph_rows(spark, folder):
 
 
 def _edges(spark, folder):
-    return graph.aggregate_edges(
-        _graph_rows(spark, folder), "id_sender", "id_receiver", "amount_new"
+    """Edges of the cleaned transfers, kept as a table because most graph steps read them twice."""
+    return reliable_checkpoint(
+        graph.aggregate_edges(
+            _graph_rows(spark, folder), "id_sender", "id_receiver", "amount_new"
+        )
     )
 
 
+def _trade_edges(spark, folder):
+    """Edges of all transfers, not only the cleaned ones."""
+    all_rows = standins.graph_transfers(
+        spark, folder, standins.payments(spark, folder).transfers
+    )
+    edges = graph.aggregate_edges(all_rows, "id_sender", "id_receiver", "amount_new")
+    return rounded(edges, 2, "amount")
+
+
 @query
 def transfer_edges(spark, folder):
     return rounded(_edges(spark, folder), 2, "amount")
@@ -603,12 +638,7 @@ def transfer_edges(spark, folder):
 
 @query
 def trade_edges(spark, folder):
-    """Edges of all transfers, not only the cleaned ones."""
-    all_rows = standins.graph_transfers(
-        spark, folder, standins.payments(spark, folder).transfers
-    )
-    edges = graph.aggregate_edges(all_rows, "id_sender", "id_receiver", "amount_new")
-    return rounded(edges, 2, "amount")
+    return _trade_edges(spark, folder)
 
 
 @query
@@ -633,7 +663,7 @@ def edge_widths_as_written(spark, folder):
 
 @query
 def trade_edge_widths(spark, folder):
-    widths = graph.edge_widths(trade_edges(spark, folder))
+    widths = graph.edge_widths(reliable_checkpoint(_trade_edges(spark, folder)))
     return widths.groupBy("width").agg(F.count(F.lit(1)).alias("n_edges"))
 
 
@@ -645,11 +675,7 @@ def connected_components(spark, folder):
 @query
 def trade_components(spark, folder):
     """Components of the whole trade graph: one giant component with hub nodes."""
-    all_rows = standins.graph_transfers(
-        spark, folder, standins.payments(spark, folder).transfers
-    )
-    edges = graph.aggregate_edges(all_rows, "id_sender", "id_receiver", "amount_new")
-    found = graph.connected_components(edges)
+    found = graph.connected_components(_trade_edges(spark, folder))
     return found.groupBy("component").agg(F.count(F.lit(1)).alias("n_nodes"))
 
 
@@ -739,6 +765,18 @@ def page_records(spark, folder):
     )
 
 
+@query
+def page_pairs(spark, folder):
+    """Links and paragraphs of a page side by side, cut at the shorter list."""
+    shown = pages.visible(F.col("html"))
+    lists = _pages(spark, folder).select(
+        "page_id",
+        pages.element_texts(shown, "li", "").alias("item"),
+        pages.element_texts(shown, "p", "").alias("info"),
+    )
+    return pages.ragged_rows(lists, "page_id", ["item", "info"], shortest=True)
+
+
 @query
 def page_result_message(spark, folder):
     return pages.result_message(_pages(spark, folder))

@@ -27,51 +27,46 @@ def inner_text(markup: Column) -> Column:
     return strip(decode_entities(F.regexp_replace(markup, "<[^>]*>", "")))
 
 
+def _whole_elements(html: Column, tag: str, attributes: str = r"(?:|\s[^>]*)") -> Column:
+    """Markup of all elements of a tag, in page order, found in one pass."""
+    return find_all(html, rf"(?s)<{tag}{attributes}>.*?</{tag}>", 0)
+
+
+def _class_of(element: Column) -> Column:
+    """Class attribute of the element's start tag; empty when it has none."""
+    start = F.regexp_extract(element, "(?s)^<[^>]*>", 0)
+    return strip(F.regexp_extract(start, CLASS_ATTRIBUTE, 1))
+
+
 def element_texts(html: Column, tag: str, class_name: str | None = None) -> Column:
     """Texts of the elements ``tag`` in page order, as an array.
 
     ``class_name`` None takes every element, an empty text those without a class (or an
     empty one), several words the exact attribute, one word any element that has it.
     """
-    pattern = rf"(?s)<{tag}(|\s[^>]*)>(.*?)</{tag}>"
-    pairs = F.arrays_zip(
-        find_all(html, pattern, 1).alias("attributes"), find_all(html, pattern, 2).alias("markup")
-    )
 
-    def wanted(pair: Column) -> Column:
-        classes = strip(F.regexp_extract(pair["attributes"], CLASS_ATTRIBUTE, 1))
-        if class_name == "":
-            return classes == ""
-        if " " in class_name:
+    def wanted(element: Column) -> Column:
+        classes = _class_of(element)
+        if class_name == "" or " " in class_name:
             return classes == class_name
         return F.array_contains(F.split(classes, r"\s+"), class_name)
 
+    found = _whole_elements(html, tag)
     if class_name is not None:
-        pairs = F.filter(pairs, wanted)
-    return F.transform(pairs, lambda pair: inner_text(pair["markup"]))
+        found = F.filter(found, wanted)
+    return F.transform(found, inner_text)
 
 
 def link_pairs(html: Column, class_name: str | None = None) -> Column:
     """Targets and titles of the ``<a href>`` elements in page order: array of (link, title)."""
-    pattern = r"(?s)<a(\s[^>]*)>(.*?)</a>"
-    pairs = F.arrays_zip(
-        find_all(html, pattern, 1).alias("attributes"), find_all(html, pattern, 2).alias("markup")
-    )
-
-    def wanted(pair: Column) -> Column:
-        has_target = pair["attributes"].rlike(r'\shref="')
-        if class_name is None:
-            return has_target
-        classes = strip(F.regexp_extract(pair["attributes"], CLASS_ATTRIBUTE, 1))
-        return has_target & (classes == class_name)
-
+    found = _whole_elements(html, "a", r'\s[^>]*href="[^>]*')
+    if class_name is not None:
+        found = F.filter(found, lambda element: _class_of(element) == class_name)
     return F.transform(
-        F.filter(pairs, wanted),
-        lambda pair: F.struct(
-            decode_entities(F.regexp_extract(pair["attributes"], r'\shref="([^"]*)"', 1)).alias(
-                "link"
-            ),
-            inner_text(pair["markup"]).alias("title"),
+        found,
+        lambda element: F.struct(
+            decode_entities(F.regexp_extract(element, r'\shref="([^"]*)"', 1)).alias("link"),
+            inner_text(element).alias("title"),
         ),
     )
 

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.operators.ordering import column_quantiles
+from ledgerloom.operators.skew import skew_safe_join
 
 
 def _unpivot_row(df: DataFrame, columns: Sequence[str], fields: dict[str, str]) -> DataFrame:
@@ -38,6 +39,15 @@ def null_counts(df: DataFrame) -> DataFrame:
     return column_profile(df).select("column_name", "nulls")
 
 
+def distinct_count(
+    df: DataFrame, column: str, keys: Sequence[str] = (), approximate: bool = False
+) -> DataFrame:
+    """Distinct values of a column, per key group; a sketch when ``approximate``."""
+    count = F.approx_count_distinct(column) if approximate else F.count_distinct(column)
+    known = df.dropna(subset=list(keys)) if keys else df
+    return known.groupBy(*keys).agg(count.alias("n_distinct"))
+
+
 def key_is_unique(df: DataFrame, key: str, name: str) -> DataFrame:
     """Row count, distinct keys and whether they agree (one row)."""
     return df.agg(
@@ -69,13 +79,13 @@ def describe(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 def overlap(left: DataFrame, right: DataFrame, left_key: str, right_key: str) -> DataFrame:
     """Rows of ``left`` whose key occurs in ``right``."""
     ids = right.select(F.col(right_key).alias(left_key)).distinct()
-    return left.join(ids, left_key, "left_semi")
+    return skew_safe_join(left, ids, [left_key], "left_semi")
 
 
 def orphans(left: DataFrame, right: DataFrame, left_key: str, right_key: str) -> DataFrame:
     """Rows of ``left`` whose key does not occur in ``right``."""
     ids = right.select(F.col(right_key).alias(left_key)).distinct()
-    return left.join(ids, left_key, "left_anti")
+    return skew_safe_join(left, ids, [left_key], "left_anti")
 
 
 def add_orphans(known: DataFrame, orphan_rows: DataFrame, key: str) -> DataFrame:

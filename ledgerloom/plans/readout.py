@@ -23,6 +23,7 @@ from ledgerloom.operators.stats import (
     normality_test,
     t_test,
 )
+from ledgerloom.session import reliable_checkpoint
 
 
 def conversion_readout(full: DataFrame, a="A", b="B", alpha: float = 0.05) -> DataFrame:
@@ -57,8 +58,16 @@ def _normality_rows(df: DataFrame, value: str, group: str, labels: Sequence, suf
 def average_check_readout(
     full: DataFrame, key: Column, a="A", b="B", replicates: int = 1000, alpha: float = 0.05
 ) -> DataFrame:
-    """Payments of payers: normality per group, bootstrap of the mean, U test."""
-    payers = full.filter(F.col("rev") > 0)
+    """Payments of payers: normality per group, bootstrap of the mean, U test.
+
+    The payers are checkpointed, because every test reads them.
+    """
+    payers = reliable_checkpoint(
+        full.filter((F.col("rev") > 0) & F.col("grp").isin(a, b)).select(
+            "grp", "rev", key.alias("__key")
+        )
+    )
+    key = F.col("__key")
     boot = bootstrap_summary(bootstrap_replicates(payers, "rev", "grp", a, b, key, replicates))
     rows = [
         _normality_rows(payers, "rev", "grp", (a, b)),
@@ -82,8 +91,13 @@ def ab_readout(
     """All tests of a heavy-tailed value, then the t test without the treatment's outliers.
 
     One row per test: normality, t, U, median bootstrap, and after the cut normality of
-    the treatment and t again.
+    the treatment and t again.  The parsed values are checkpointed, because every test
+    reads them.
     """
+    df = reliable_checkpoint(
+        df.filter(F.col(group).isin(treatment, control)).select(group, value, key.alias("__key"))
+    )
+    key = F.col("__key")
     boot = bootstrap_summary(
         bootstrap_replicates(df, value, group, treatment, control, key, replicates, "median")
     )

@@ -45,4 +45,4 @@ def transfer_graph(
 
 def export_graph(graph: TransferGraph, path: str) -> None:
     """One output folder per component."""
-    write_components(graph.nodes, graph.edges, path)
+    write_components(graph.nodes, graph.edges, graph.components, path)

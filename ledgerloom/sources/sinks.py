@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from ledgerloom.operators.skew import skew_safe_join
 
 
 def write_csv(df: DataFrame, path: str, header: bool = True, one_file: bool = False) -> None:
@@ -10,18 +13,32 @@ def write_csv(df: DataFrame, path: str, header: bool = True, one_file: bool = Fa
     (df.coalesce(1) if one_file else df).write.mode("overwrite").option("header", header).csv(path)
 
 
-def write_components(nodes: DataFrame, edges: DataFrame, path: str) -> None:
+def write_components(
+    nodes: DataFrame,
+    edges: DataFrame,
+    totals: DataFrame,
+    path: str,
+    rows_per_file: int = 1_000_000,
+) -> None:
     """Nodes and edges of a graph, one folder per connected component.
 
-    Rows are spread by component and node so that a giant component is written by many
-    tasks, each adding its own file.
+    A small component is one file; a giant one is written by as many tasks as its size
+    (from ``totals``: component, n_nodes, n_edges) asks for.
     """
-    nodes.repartition("component", "node").write.mode("overwrite").partitionBy(
-        "component"
-    ).parquet(f"{path}/nodes")
-    edges.repartition("component", "src").write.mode("overwrite").partitionBy(
-        "component"
-    ).parquet(f"{path}/edges")
+    for table, key, size, name in (
+        (nodes, "node", "n_nodes", "nodes"), (edges, "dst", "n_edges", "edges")
+    ):
+        files = F.greatest(F.ceil(F.col(size) / rows_per_file), F.lit(1))
+        sized = totals.select("component", files.alias("__files"))
+        (
+            skew_safe_join(table, sized, ["component"])
+            .withColumn("__file", F.pmod(F.xxhash64(key), F.col("__files")))
+            .repartition("component", "__file")
+            .drop("__files", "__file")
+            .write.mode("overwrite")
+            .partitionBy("component")
+            .parquet(f"{path}/{name}")
+        )
 
 
 def preview(df: DataFrame, rows: int = 5) -> DataFrame:

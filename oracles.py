@@ -631,6 +631,13 @@ ORACLES["diligent_monthly"] = with_tables(PLATFORM) + """
 SELECT count(DISTINCT st_id) AS count_id FROM (
   SELECT st_id FROM answers GROUP BY st_id, date_trunc('month', timest) HAVING sum(correct) >= 20)"""
 
+ORACLES["math_students"] = with_tables(PLATFORM) + """
+SELECT st_id, sum(correct)::BIGINT AS correct, min(timest) AS first_time, max(timest) AS last_time
+FROM answers WHERE subject = 'Math' GROUP BY st_id HAVING sum(correct) >= 2"""
+ORACLES["buyers_per_month"] = with_tables(SHOP) + """
+SELECT strftime(approved, '%Y-%m') AS month, count(DISTINCT customer_id) AS n_distinct
+FROM bought GROUP BY 1"""
+
 # --- statistics -----------------------------------------------------------------------
 
 FLAG_MOMENTS = (
@@ -916,6 +923,11 @@ SELECT page_id, position, t.text AS title, i.text AS item, a.text AS ad, p.text
 FROM titles t FULL JOIN items i USING (page_id, position) FULL JOIN ads a USING (page_id, position)
   FULL JOIN infos p USING (page_id, position)
 WHERE position < 14"""
+ORACLES["page_pairs"] = with_tables(
+    SHOWN, elements("li", "items", NO_CLASS), elements("p", "infos", NO_CLASS)
+) + """
+SELECT page_id, position, i.text AS item, p.text AS info
+FROM items i JOIN infos p USING (page_id, position)"""
 ORACLES["page_result_message"] = with_tables(SHOWN, LINKS) + """
 SELECT page_id, coalesce(n, 0)::INTEGER AS n_found,
   CASE WHEN coalesce(n, 0) = 0 THEN 'nothing found' WHEN n = 1 THEN 'found: ' || link
