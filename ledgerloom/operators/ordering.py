@@ -12,7 +12,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerloom.session import reliable_checkpoint, shuffle_width
+from ledgerloom.session import reliable_checkpoint
 
 SLICE = "__slice"
 
@@ -32,9 +32,8 @@ def running_counts(
         .groupBy(*keys, value)
         .agg(*[F.sum(weight).alias(name) for name, weight in weights.items()])
     )
-    width = shuffle_width(df.sparkSession)
     sliced = reliable_checkpoint(
-        counted.repartitionByRange(width, *keys, value).withColumn(SLICE, F.spark_partition_id())
+        counted.repartitionByRange(*keys, value).withColumn(SLICE, F.spark_partition_id())
     )
     earlier = (
         Window.partitionBy(*(keys or [F.lit(0)]))
@@ -42,7 +41,7 @@ def running_counts(
         .rowsBetween(Window.unboundedPreceding, -1)
     )
     whole = Window.partitionBy(*(keys or [F.lit(0)]))
-    # One row per slice and key: at most `width` rows for each key.
+    # One row per slice and key: at most one per shuffle partition for each key.
     totals = sliced.groupBy(*keys, SLICE).agg(
         *[F.sum(name).alias(f"{name}_slice") for name in weights]
     )

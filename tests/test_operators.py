@@ -40,7 +40,16 @@ def test_no_heavy_keys_in_small_tables(spark):
     assert skew.heavy_keys(one_key, ["k"]) == {}
 
 
-def test_running_counts_ranks_and_quantiles(spark):
+@pytest.fixture(params=["one slice", "many slices"])
+def slices(request, spark):
+    """Small data makes one slice; without coalescing every shuffle partition is one."""
+    name = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(name, str(request.param == "one slice").lower())
+    yield request.param
+    spark.conf.unset(name)
+
+
+def test_running_counts_ranks_and_quantiles(spark, slices):
     random.seed(2)
     data = [(random.choice("ab"), float(int(random.gauss(0, 20)))) for _ in range(4000)]
     df = spark.createDataFrame(data, "g string, v double")
@@ -51,6 +60,8 @@ def test_running_counts_ranks_and_quantiles(spark):
         assert row["n_rows"] == len(sample)
         for i, p in enumerate(probabilities):
             assert row[f"q{i}"] == pytest.approx(sample.quantile(p), abs=1e-12)
+    counts = ordering.running_counts(df, "v", {"n": F.lit(1)}, ["g"])
+    assert counts.filter("n_before + n > n_total").isEmpty()
     ranks = ordering.average_ranks(df, "v", {"n": F.lit(1)}).collect()
     want = pd.Series([v for _, v in data]).rank()
     expected = dict(zip([v for _, v in data], want))
@@ -129,7 +140,7 @@ def test_mann_whitney_published_value(spark):
     )
 
 
-def test_mann_whitney_with_ties_against_brute_force(spark):
+def test_mann_whitney_with_ties_against_brute_force(spark, slices):
     random.seed(3)
     a = [random.randrange(15) for _ in range(300)]
     b = [random.randrange(1, 17) for _ in range(250)]
