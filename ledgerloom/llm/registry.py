@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import byte_bpe, secret_scan
+from ledgerloom.llm import byte_bpe, language_id, quality_rules, secret_scan, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -37,6 +37,14 @@ def _joined_spans(spans: Column) -> Column:
     )
 
 
+@query
+def op1_simhash(spark, folder):
+    found = simhash.near_duplicates(documents(spark, folder))
+    return found.select(
+        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
+    )
+
+
 @query
 def op2_secrets(spark, folder):
     found = secret_scan.scan_secrets(documents(spark, folder))
@@ -50,6 +58,30 @@ def op2_secrets(spark, folder):
     )
 
 
+def _remainder(modulus: int) -> Column:
+    """crc32 of the id as text, modulo; null for a null id."""
+    return F.crc32(F.col("doc_id").cast("string")) % modulus
+
+
+@query
+def op4_language(spark, folder):
+    docs = documents(spark, folder)
+    held_out = F.coalesce(_remainder(3) == 1, F.lit(False))
+    model = language_id.train(docs, where=_remainder(3) != 1)
+    return language_id.predict(docs.select("doc_id", "text"), model).select(
+        "doc_id", held_out.alias("held_out"), "language.*"
+    )
+
+
+@query
+def op6_quality(spark, folder):
+    judged = quality_rules.judge(documents(spark, folder))
+    return judged.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        "base_failed", "kept", F.array_join("outliers", ",").alias("outliers"),
+    )
+
+
 def token_digests(docs: DataFrame) -> DataFrame:
     """Token ids and decoded bytes of every document, as counts and digests."""
     ranks = public_tokenizers.path(RANKS)
