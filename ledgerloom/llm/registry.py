@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import byte_bpe, language_id, quality_rules, secret_scan, simhash
+from ledgerloom.llm import (
+    byte_bpe, decontamination, language_id, quality_rules, secret_scan, simhash,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -82,6 +84,53 @@ def op6_quality(spark, folder):
     )
 
 
+@query
+def op7_decontamination(spark, folder):
+    benchmark = spark.read.parquet(f"{folder}/benchmark.parquet")
+    leaks = decontamination.find_leaks(documents(spark, folder), benchmark)
+    return leaks.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("bigint").alias("n_items"),
+        sha256(F.array_join("items", ",")).alias("items_sha256"), "contaminated",
+    )
+
+
+ORACLES["op7_decontamination"] = r"""
+WITH doc AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+    FROM documents
+), item AS (
+    SELECT CAST(item_id AS VARCHAR) AS item_id, regexp_extract_all(translate(coalesce(text, ''),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+    FROM benchmark
+), item_start AS (
+    SELECT item_id, w, unnest(range(0, len(w) - least(10, len(w)) + 1)) AS i FROM item WHERE len(w) > 0
+), item_window AS (
+    SELECT DISTINCT item_id, least(10, len(w)) AS n,
+        array_to_string(w[i + 1 : i + least(10, len(w))], ' ') AS words
+    FROM item_start
+), sizes AS (
+    SELECT DISTINCT n FROM item_window
+), doc_start AS (
+    SELECT doc_id, w, n, unnest(range(0, len(w) - n + 1)) AS i FROM doc, sizes WHERE len(w) >= n
+), doc_window AS (
+    SELECT doc_id, n, i, array_to_string(w[i + 1 : i + n], ' ') AS words FROM doc_start
+), hit AS (
+    SELECT doc_id, n, i, item_id FROM doc_window JOIN item_window USING (n, words)
+), place AS (
+    SELECT doc_id, count(DISTINCT p) AS n_hit
+    FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM hit) GROUP BY doc_id
+), listed AS (
+    SELECT doc_id, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS items
+    FROM (SELECT DISTINCT doc_id, item_id FROM hit) GROUP BY doc_id
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
+    coalesce(n_items, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256,
+    coalesce(n_hit, 0) > 0 AS contaminated
+FROM doc LEFT JOIN place USING (doc_id) LEFT JOIN listed USING (doc_id)
+"""
+
+
 def token_digests(docs: DataFrame) -> DataFrame:
     """Token ids and decoded bytes of every document, as counts and digests."""
     ranks = public_tokenizers.path(RANKS)
