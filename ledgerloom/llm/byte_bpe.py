@@ -9,18 +9,18 @@ pre-tokens are cut again and the ids are put together by position.
 from __future__ import annotations
 
 import base64
-from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.packing import (
-    PACKED, group_count, pack, packed_documents, packed_table, split_by, unpack,
+    PACKED, group_count, lean_memory, pack, packed_documents, packed_table, split_by, unpack,
 )
 
 
@@ -65,12 +65,32 @@ def _list_offsets(lengths: np.ndarray) -> np.ndarray:
     return np.concatenate([[0], np.cumsum(lengths)]).astype(np.int64)
 
 
+def _offsets(array: pa.Array) -> np.ndarray:
+    """Byte offsets of a large binary array."""
+    return np.frombuffer(array.buffers()[1], np.int64, len(array) + 1, array.offset * 8)
+
+
+def joined_tokens(ids: pa.Array, table: pa.Array) -> pa.Array:
+    """Per list of ids the bytes of its tokens, joined; null for a null list."""
+    filled = ids.fill_null([]) if ids.null_count else ids
+    tokens = table.take(filled.flatten())
+    cuts = _offsets(tokens)[_list_offsets(np.asarray(filled.value_lengths()))]
+    data = tokens.buffers()[2] or pa.py_buffer(b"")
+    buffers = [None, pa.py_buffer(np.ascontiguousarray(cuts, np.int64)), data]
+    joined = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(ids), buffers).cast(pa.binary())
+    if not ids.null_count:
+        return joined
+    return pc.if_else(ids.is_null(), pa.scalar(None, pa.binary()), joined)
+
+
 def encode_documents(
     docs: DataFrame, ranks_path: str, pattern: str, id_column: str = "doc_id",
-    text_column: str = "text",
+    text_column: str = "text", decode: bool = False,
 ) -> DataFrame:
     """One row per document row: its id (BIGINT) and ``ids`` (array of token ids).
 
+    With ``decode`` the ids are decoded again in the same task, as ``decode_documents``
+    does, into ``decoded``; that saves a second Python process per task.
     Null and empty texts have an empty array; repeated rows and null ids stay as they are.
     The rank file is read once here and sent to the workers; its size is that of the
     vocabulary, whatever the data.
@@ -81,6 +101,7 @@ def encode_documents(
     packed = packed_documents(docs, id_column, text_column, groups)
 
     def ask(key: tuple, table: pa.Table) -> pa.Table:
+        lean_memory()
         cut = regex.compile(pattern)
         words: set[str] = set()
         for blob in table["blob"].to_pylist():
@@ -94,6 +115,7 @@ def encode_documents(
         )
 
     def encode(key: tuple, table: pa.Table) -> pa.Table:
+        lean_memory()
         encoder = _encoder(ranks.value, pattern)
         known: dict[str, list[int]] = {}
         answers = []
@@ -108,6 +130,7 @@ def encode_documents(
         return packed_table(answers)
 
     def reassemble(key: tuple, table: pa.Table, answers: pa.Table) -> pa.Table:
+        lean_memory()
         cut = regex.compile(pattern)
         numbers = _Numbers()
         names, positions, sizes = [], [], []
@@ -137,17 +160,19 @@ def encode_documents(
         starts = np.asarray(joined.offsets)[_list_offsets(np.array(sizes, np.int64))]
         values = joined.values
         out = pa.LargeListArray.from_arrays(pa.array(starts, pa.int64()), values)
-        return pa.Table.from_arrays(
-            [pa.chunked_array(names, pa.int64()), pa.chunked_array([out.cast(pa.list_(pa.int32()))])],
-            names=["id", "ids"],
-        )
+        found = {"id": pa.chunked_array(names, pa.int64()), "ids": out.cast(pa.list_(pa.int32()))}
+        if decode:
+            found["decoded"] = joined_tokens(found["ids"], _token_bytes(ranks.value))
+        return pa.table(found)
 
     asked = packed.groupBy("part").applyInArrow(ask, PACKED)
     answered = asked.groupBy("part").applyInArrow(encode, PACKED)
     encoded = (
         packed.groupBy("part")
         .cogroup(answered.groupBy("part"))
-        .applyInArrow(reassemble, "id bigint, ids array<int>")
+        .applyInArrow(
+            reassemble, "id bigint, ids array<int>" + (", decoded binary" if decode else "")
+        )
     )
     return encoded.withColumnRenamed("id", id_column)
 
@@ -162,26 +187,7 @@ def decode_documents(encoded: DataFrame, ranks_path: str, ids_column: str = "ids
         ranks = encoded.sparkSession.sparkContext.broadcast(file.read())
 
     @F.arrow_udf("binary")
-    def decode(ids: pa.Array) -> pa.Array:
-        table = _token_bytes(ranks.value)
-        filled = ids.fill_null([]) if ids.null_count else ids
-        flat = filled.flatten()
-        tokens = table.take(flat)
-        sizes = np.concatenate([[0], np.cumsum(np.asarray(filled.value_lengths()))])
-        cuts = np.asarray(tokens.offsets if hasattr(tokens, "offsets") else _offsets(tokens))
-        data = tokens.buffers()[2] or pa.py_buffer(b"")
-        starts = pa.py_buffer(np.ascontiguousarray(cuts[sizes], np.int64))
-        joined = pa.LargeBinaryArray.from_buffers(
-            pa.large_binary(), len(ids), [None, starts, data]
-        ).cast(pa.binary())
-        return joined if not ids.null_count else pa.array(
-            [None if missing else value for missing, value in
-             zip(ids.is_null().to_pylist(), joined.to_pylist())], pa.binary()
-        )
-
-    return encoded.withColumn("decoded", decode(F.col(ids_column)))
-
+    def joined(ids: pa.Array) -> pa.Array:
+        return joined_tokens(ids, _token_bytes(ranks.value))
 
-def _offsets(array: pa.Array) -> np.ndarray:
-    """Byte offsets of a large binary array."""
-    return np.frombuffer(array.buffers()[1], np.int64, len(array) + 1, array.offset * 8)
+    return encoded.withColumn("decoded", joined(F.col(ids_column)))

@@ -28,6 +28,11 @@ GROUPS_PER_PARTITION = 2
 NULL_ID = np.iinfo(np.int64).min
 
 
+def lean_memory() -> None:
+    """Let a worker give freed Arrow memory back; it is kept for later tasks otherwise."""
+    pa.set_memory_pool(pa.system_memory_pool())
+
+
 def pack(columns: dict[str, pa.Array | np.ndarray | list]) -> bytes:
     """Columns of one length as a compressed Arrow stream."""
     batch = pa.RecordBatch.from_pydict(columns)
@@ -104,6 +109,7 @@ def packed_documents(docs: DataFrame, id_column: str, text_column: str, groups:
     )
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lean_memory()
         for batch in batches:
             texts = batch.column("text")
             hashes = text_hashes(texts.to_pylist())

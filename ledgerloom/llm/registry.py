@@ -134,9 +134,8 @@ FROM doc LEFT JOIN place USING (doc_id) LEFT JOIN listed USING (doc_id)
 def token_digests(docs: DataFrame) -> DataFrame:
     """Token ids and decoded bytes of every document, as counts and digests."""
     ranks = public_tokenizers.path(RANKS)
-    encoded = byte_bpe.encode_documents(docs, ranks, public_tokenizers.PATTERN)
-    decoded = byte_bpe.decode_documents(encoded, ranks)
-    return decoded.select(
+    encoded = byte_bpe.encode_documents(docs, ranks, public_tokenizers.PATTERN, decode=True)
+    return encoded.select(
         "doc_id",
         F.size("ids").cast("bigint").alias("n_tokens"),
         sha256(F.array_join(F.col("ids").cast("array<string>"), ",")).alias("ids_sha256"),
