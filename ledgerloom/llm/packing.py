@@ -82,9 +82,10 @@ def id_values(ids: pa.Array) -> np.ndarray:
     return np.asarray(ids.cast(pa.int64()).fill_null(NULL_ID))
 
 
-def text_hashes(texts: list[str | None]) -> np.ndarray:
+def text_hashes(texts: pa.Array) -> np.ndarray:
     """64-bit hash of each text; with the id it names a row even where ids repeat."""
-    hashes = (0 if text is None else xxhash.xxh64_intdigest(text.encode()) for text in texts)
+    raw = texts.cast(pa.binary()).to_pylist()
+    hashes = (0 if text is None else xxhash.xxh64_intdigest(text) for text in raw)
     return np.fromiter(hashes, np.uint64, len(texts))
 
 
@@ -112,7 +113,7 @@ def packed_documents(docs: DataFrame, id_column: str, text_column: str, groups:
         lean_memory()
         for batch in batches:
             texts = batch.column("text")
-            hashes = text_hashes(texts.to_pylist())
+            hashes = text_hashes(texts)
             dealt = row_groups(id_values(batch.column("id")), hashes, groups)
             for group, rows in split_by(dealt):
                 take = pa.array(rows)

@@ -9,7 +9,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.llm import (
-    byte_bpe, decontamination, language_id, quality_rules, secret_scan, simhash,
+    byte_bpe, decontamination, language_id, quality_rules, secret_scan, simhash, suffix_sort,
+    word_windows,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -65,6 +66,47 @@ def _remainder(modulus: int) -> Column:
     return F.crc32(F.col("doc_id").cast("string")) % modulus
 
 
+def _removed(spans: str) -> Column:
+    """Number of units in the spans."""
+    lengths = F.transform(spans, lambda s: s["end"] - s["start"])
+    return F.aggregate(lengths, F.lit(0).cast("bigint"), lambda total, n: total + n)
+
+
+@query
+def op3_word_windows(spark, folder):
+    cut = word_windows.remove_repeated_words(documents(spark, folder))
+    return cut.select(
+        "doc_id", "n_words", _removed("spans").alias("n_removed"),
+        sha256(F.col("kept_text")).alias("kept_sha256"),
+    )
+
+
+ORACLES["op3_word_windows"] = r"""
+WITH doc AS (
+    SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), starts AS (
+    SELECT doc_id, w, unnest(range(0, len(w) - 19)) AS i FROM doc
+), windows AS (
+    SELECT doc_id, i, array_to_string(w[i + 1 : i + 20], ' ') AS words FROM starts
+), again AS (
+    SELECT doc_id, i FROM windows
+    QUALIFY row_number() OVER (PARTITION BY words ORDER BY doc_id, i) > 1
+), covered AS (
+    SELECT doc_id, list(DISTINCT p) AS places
+    FROM (SELECT doc_id, unnest(range(i, i + 20)) AS p FROM again) GROUP BY doc_id
+), word AS (
+    SELECT doc_id, unnest(w) AS word, unnest(range(0, len(w))) AS p FROM doc
+), kept AS (
+    SELECT doc_id, string_agg(word, ' ' ORDER BY p) AS text
+    FROM word LEFT JOIN covered USING (doc_id)
+    WHERE places IS NULL OR NOT list_contains(places, p) GROUP BY doc_id
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words,
+    CAST(coalesce(len(places), 0) AS BIGINT) AS n_removed, sha256(coalesce(kept.text, '')) AS kept_sha256
+FROM doc LEFT JOIN covered USING (doc_id) LEFT JOIN kept USING (doc_id)
+"""
+
+
 @query
 def op4_language(spark, folder):
     docs = documents(spark, folder)
@@ -146,3 +188,45 @@ def token_digests(docs: DataFrame) -> DataFrame:
 @query
 def op9_byte_bpe(spark, folder):
     return token_digests(documents(spark, folder))
+
+
+@query
+def op10_suffix_sort(spark, folder):
+    cut = suffix_sort.remove_repeated_bytes(documents(spark, folder))
+    return cut.select(
+        "doc_id", "n_bytes", _removed("spans").alias("n_removed"),
+        F.size("spans").cast("bigint").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
+ORACLES["op10_suffix_sort"] = """
+WITH doc AS (
+    SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents
+), starts AS (
+    SELECT doc_id, h, unnest(range(0, len(h) // 2 - 99)) AS i FROM doc
+), windows AS (
+    SELECT doc_id, i, substr(h, 2 * i + 1, 200) AS bytes FROM starts
+), again AS (
+    SELECT doc_id, i FROM windows
+    QUALIFY row_number() OVER (PARTITION BY bytes ORDER BY doc_id, i) > 1
+), edges AS (
+    SELECT doc_id, i, i > lag(i) OVER (PARTITION BY doc_id ORDER BY i) + 100 AS far FROM again
+), runs AS (
+    SELECT doc_id, i, sum(CASE WHEN far IS DISTINCT FROM false THEN 1 ELSE 0 END)
+        OVER (PARTITION BY doc_id ORDER BY i) AS run
+    FROM edges
+), spans AS (
+    SELECT doc_id, run, min(i) AS low, max(i) + 100 AS high FROM runs GROUP BY doc_id, run
+), cuts AS (
+    SELECT doc_id, low, high, lead(low) OVER (PARTITION BY doc_id ORDER BY low) AS next FROM spans
+), kept AS (
+    SELECT doc_id, count(*) AS n_spans, sum(high - low) AS n_removed,
+        substr(any_value(h), 1, 2 * min(low)) || string_agg(
+            substr(h, 2 * high + 1, 2 * (coalesce(next, len(h) // 2) - high)), '' ORDER BY low) AS h
+    FROM cuts JOIN doc USING (doc_id) GROUP BY doc_id
+)
+SELECT doc_id, CAST(len(doc.h) // 2 AS BIGINT) AS n_bytes,
+    CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+    sha256(unhex(coalesce(kept.h, doc.h))) AS kept_sha256
+FROM doc LEFT JOIN kept USING (doc_id)
+"""
