@@ -12,7 +12,7 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.session import shuffle_width
@@ -103,24 +103,24 @@ def split_by(groups: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
             yield int(groups[rows[0]]), rows
 
 
-def packed_documents(docs: DataFrame, id_column: str, text_column: str, groups: int) -> DataFrame:
-    """Documents as packed rows (columns id, text, hash), dealt into ``groups``."""
+def packed_documents(
+    docs: DataFrame, id_column: str, text_column: str, groups: int, flag: Column | None = None
+) -> DataFrame:
+    """Documents as packed rows (columns id, text, hash, flag), dealt into ``groups``."""
     source = docs.select(
-        F.col(id_column).cast("bigint").alias("id"), F.col(text_column).alias("text")
+        F.col(id_column).cast("bigint").alias("id"), F.col(text_column).alias("text"),
+        *([] if flag is None else [flag.alias("flag")]),
     )
+    names = source.columns
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lean_memory()
         for batch in batches:
-            texts = batch.column("text")
-            hashes = text_hashes(texts)
+            hashes = text_hashes(batch.column("text"))
             dealt = row_groups(id_values(batch.column("id")), hashes, groups)
             for group, rows in split_by(dealt):
                 take = pa.array(rows)
-                blob = pack(
-                    {"id": batch.column("id").take(take), "text": texts.take(take),
-                     "hash": hashes[rows]}
-                )
-                yield packed_batch([(group, 0, blob)])
+                columns = {name: batch.column(name).take(take) for name in names}
+                yield packed_batch([(group, 0, pack({**columns, "hash": hashes[rows]}))])
 
     return source.mapInArrow(deal, PACKED)

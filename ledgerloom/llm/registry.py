@@ -9,8 +9,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.llm import (
-    byte_bpe, decontamination, language_id, quality_rules, secret_scan, simhash, suffix_sort,
-    word_windows,
+    byte_bpe, decontamination, language_id, lm_scoring, quality_rules, secret_scan, simhash,
+    suffix_sort, word_windows,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -173,6 +173,13 @@ FROM doc LEFT JOIN place USING (doc_id) LEFT JOIN listed USING (doc_id)
 """
 
 
+@query
+def op8_lm_scoring(spark, folder):
+    scored = lm_scoring.score(documents(spark, folder), learn=_remainder(10) != 0)
+    held_out = F.coalesce(_remainder(10) == 0, F.lit(False))
+    return scored.withColumn("held_out", held_out)
+
+
 def token_digests(docs: DataFrame) -> DataFrame:
     """Token ids and decoded bytes of every document, as counts and digests."""
     ranks = public_tokenizers.path(RANKS)
