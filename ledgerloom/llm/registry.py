@@ -9,8 +9,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.llm import (
-    byte_bpe, decontamination, language_id, lm_scoring, quality_rules, secret_scan, simhash,
-    suffix_sort, word_windows,
+    byte_bpe, decontamination, language_id, license_scan, lm_scoring, quality_rules, secret_scan,
+    simhash, suffix_sort, word_windows,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -117,6 +117,13 @@ def op4_language(spark, folder):
     )
 
 
+@query
+def op5_licenses(spark, folder):
+    found = license_scan.scan_licenses(documents(spark, folder))
+    spans = F.transform("spans", lambda s: F.concat_ws(":", s["start"], s["end"]))
+    return found.select("doc_id", "license", "coverage", F.array_join(spans, ",").alias("spans"))
+
+
 @query
 def op6_quality(spark, folder):
     judged = quality_rules.judge(documents(spark, folder))
