@@ -213,8 +213,10 @@ def classify(text: str | None, model: LanguageModel) -> tuple[str, float, bool]:
     return model.languages[best], float(chances[best]), bool(chances[best] < model.threshold)
 
 
-def predict(docs: DataFrame, model: LanguageModel, text_column: str = "text") -> DataFrame:
-    """The same rows with ``language`` (struct of lang_pred, score, rejected).
+def predict(
+    docs: DataFrame, model: LanguageModel, text_column: str = "text", output: str = "language"
+) -> DataFrame:
+    """The same rows with ``output``, a struct of lang_pred, score, rejected.
 
     A null text, or one without a letter, is ``und`` with score 0 and rejected; so is
     every text when the model has seen no labelled row.  Only the text is an input.
@@ -230,4 +232,4 @@ def predict(docs: DataFrame, model: LanguageModel, text_column: str = "text") ->
             pa.struct([("lang_pred", pa.string()), ("score", pa.float64()), ("rejected", pa.bool_())]),
         )
 
-    return docs.withColumn("language", classified(F.col(text_column)))
+    return docs.withColumn(output, classified(F.col(text_column)))

@@ -147,15 +147,19 @@ def _index(templates: tuple) -> TemplateIndex:
 
 
 def clusters(hits: list[tuple[int, int]]) -> list[list[tuple[int, int]]]:
-    """Hits grouped by diagonals, each group within BAND of its first."""
+    """Hits grouped by diagonals, each group within BAND of its first.
+
+    A place of the template that comes up again belongs to another copy of it.
+    """
     out: list[list[tuple[int, int]]] = []
-    ordered = sorted((place - where, place, where) for place, where in hits)
-    for shift, place, where in ordered:
-        if out and shift - out[-1][0][0] <= BAND:
-            out[-1].append((shift, place, where))
-        else:
-            out.append([(shift, place, where)])
-    return [[(place, where) for _, place, where in group] for group in out]
+    low, seen = 0, set()
+    for shift, place, where in sorted((place - where, place, where) for place, where in hits):
+        if not out or shift - low > BAND or where in seen:
+            out.append([])
+            low, seen = shift, set()
+        out[-1].append((place, where))
+        seen.add(where)
+    return out
 
 
 def aligned(template: list[bytes], words: list[bytes], shift: int) -> tuple[int, int, int]:

@@ -61,7 +61,7 @@ def op2_secrets(spark, folder):
     )
 
 
-def _remainder(modulus: int) -> Column:
+def remainder(modulus: int) -> Column:
     """crc32 of the id as text, modulo; null for a null id."""
     return F.crc32(F.col("doc_id").cast("string")) % modulus
 
@@ -110,8 +110,8 @@ FROM doc LEFT JOIN covered USING (doc_id) LEFT JOIN kept USING (doc_id)
 @query
 def op4_language(spark, folder):
     docs = documents(spark, folder)
-    held_out = F.coalesce(_remainder(3) == 1, F.lit(False))
-    model = language_id.train(docs, where=_remainder(3) != 1)
+    held_out = F.coalesce(remainder(3) == 1, F.lit(False))
+    model = language_id.train(docs, where=remainder(3) != 1)
     return language_id.predict(docs.select("doc_id", "text"), model).select(
         "doc_id", held_out.alias("held_out"), "language.*"
     )
@@ -182,8 +182,8 @@ FROM doc LEFT JOIN place USING (doc_id) LEFT JOIN listed USING (doc_id)
 
 @query
 def op8_lm_scoring(spark, folder):
-    scored = lm_scoring.score(documents(spark, folder), learn=_remainder(10) != 0)
-    held_out = F.coalesce(_remainder(10) == 0, F.lit(False))
+    scored = lm_scoring.score(documents(spark, folder), learn=remainder(10) != 0)
+    held_out = F.coalesce(remainder(10) == 0, F.lit(False))
     return scored.withColumn("held_out", held_out)
 
 
