@@ -6,12 +6,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.llm import decontamination, language_id, secret_scan, simhash
+from ledgerloom.llm.packing import share_package
 from ledgerloom.llm.registry import remainder, token_digests
 from ledgerloom.session import reliable_checkpoint
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is told with enough confidence."""
+    share_package(spark)
     model = language_id.train(docs, where=remainder(3) != 1)
     judged = language_id.predict(docs, model, output="__language")
     return judged.filter(~F.col("__language.rejected")).select(*docs.columns)
@@ -19,6 +21,7 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest id of each group of near-duplicates."""
+    share_package(spark)
     return simhash.keep_one_each(docs)
 
 
@@ -32,11 +35,13 @@ def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The same documents with secrets masked, and n_chars of the masked text."""
+    share_package(spark)
     return secret_scan.redact_secrets(docs)
 
 
 def tokenized(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token counts and digests of the ids and of the bytes they decode to."""
+    share_package(spark)
     return token_digests(docs)
 
 

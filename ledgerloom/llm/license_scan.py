@@ -168,7 +168,9 @@ def aligned(template: list[bytes], words: list[bytes], shift: int) -> tuple[int,
     Word i of the template is compared with words within BAND of ``shift + i``.
     """
     width = 2 * BAND + 1
-    # Best (matches, minus the span so far, first matched word, last) per diagonal.
+    # Most matches, then the shortest stretch, then the one nearest to the hits.
+    worth = lambda x: (x[0], x[1] - x[2], -abs(x[1] - shift))
+    # Best (matches, first matched word, end of the last) per diagonal.
     best: list[tuple[int, int, int]] = [(0, -1, -1)] * width
     for i, word in enumerate(template):
         row: list[tuple[int, int, int]] = []
@@ -184,9 +186,9 @@ def aligned(template: list[bytes], words: list[bytes], shift: int) -> tuple[int,
                 options.append((matches + 1, first if first >= 0 else j, j + 1))
             else:
                 options.append(best[d])
-            row.append(max(options, key=lambda x: (x[0], x[1] - x[2])))
+            row.append(max(options, key=worth))
         best = row
-    return max(best, key=lambda x: (x[0], x[1] - x[2]))
+    return max(best, key=worth)
 
 
 def _matches(

@@ -7,14 +7,17 @@ rows; only their payload is opaque to it.
 
 from __future__ import annotations
 
+import os
 from collections.abc import Iterable, Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import ledgerloom
 from ledgerloom.session import shuffle_width
 
 PACKED = "part int, origin int, blob binary"
@@ -28,6 +31,18 @@ GROUPS_PER_PARTITION = 2
 NULL_ID = np.iinfo(np.int64).min
 
 
+def share_package(spark: SparkSession) -> None:
+    """Let Python workers import this library from where the driver has it.
+
+    On a cluster the library is installed on every machine; an extra path does no harm.
+    """
+    root = str(Path(ledgerloom.__file__).resolve().parent.parent)
+    paths = spark.sparkContext.environment.get("PYTHONPATH", "")
+    if root not in paths.split(os.pathsep):
+        joined = os.pathsep.join(filter(None, [paths, root]))
+        spark.sparkContext.environment["PYTHONPATH"] = joined
+
+
 def lean_memory() -> None:
     """Let a worker give freed Arrow memory back; it is kept for later tasks otherwise."""
     pa.set_memory_pool(pa.system_memory_pool())

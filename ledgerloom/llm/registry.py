@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -12,6 +13,7 @@ from ledgerloom.llm import (
     byte_bpe, decontamination, language_id, license_scan, lm_scoring, quality_rules, secret_scan,
     simhash, suffix_sort, word_windows,
 )
+from ledgerloom.llm.packing import share_package
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -21,8 +23,13 @@ RANKS = "byte_bpe_multi_50k.tiktoken"
 
 
 def query(function: Query) -> Query:
-    QUERIES[function.__name__] = function
-    return function
+    @wraps(function)
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        share_package(spark)
+        return function(spark, folder)
+
+    QUERIES[function.__name__] = run
+    return run
 
 
 def documents(spark: SparkSession, folder: str) -> DataFrame:

@@ -227,8 +227,13 @@ class Occurrences:
         )
 
     def ranked(self) -> Occurrences:
-        """In document order."""
-        return self.take(np.lexsort((self.start, self.tag, self.id)))
+        """In document order, each place once (rows with one id and text share theirs)."""
+        order = np.lexsort((self.start, self.tag, self.id))
+        new = np.ones(len(order), bool)
+        new[1:] = False
+        for column in (self.start, self.tag, self.id):
+            new[1:] |= column[order[1:]] != column[order[:-1]]
+        return self.take(order[new])
 
 
 _STRETCH_COLUMNS = ("text", "windows", "id", "tag", "start", "place", "hash")

@@ -171,7 +171,7 @@ def _small_links(
 
 
 def links_under_keys(keys: DataFrame, max_bits: int, block: int = KEY_BLOCK) -> DataFrame:
-    """Links (``a``, ``b``) between fingerprints that share a key.
+    """Links (``a``, ``b``) that connect what the close pairs under all keys connect.
 
     Rows are sorted by key and read in order; a key's rows are compared as they pass.  A
     key with more than ``block`` fingerprints is passed on in numbered blocks, which are
