@@ -44,15 +44,21 @@ def share_package(spark: SparkSession) -> None:
 
 
 def lean_memory() -> None:
-    """Let a worker give freed Arrow memory back; it is kept for later tasks otherwise."""
+    """Let a worker give freed Arrow memory back; it is kept for later tasks otherwise.
+
+    One thread, as the task has one core: every further thread would keep memory of its own.
+    """
     pa.set_memory_pool(pa.system_memory_pool())
+    pa.set_cpu_count(1)
 
 
 def pack(columns: dict[str, pa.Array | np.ndarray | list]) -> bytes:
     """Columns of one length as a compressed Arrow stream."""
     batch = pa.RecordBatch.from_pydict(columns)
     sink = pa.BufferOutputStream()
-    options = pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", compression_level=ZSTD_LEVEL))
+    options = pa.ipc.IpcWriteOptions(
+        compression=pa.Codec("zstd", compression_level=ZSTD_LEVEL), use_threads=False
+    )
     with pa.ipc.new_stream(sink, batch.schema, options=options) as writer:
         writer.write_batch(batch)
     return sink.getvalue().to_pybytes()
@@ -60,7 +66,7 @@ def pack(columns: dict[str, pa.Array | np.ndarray | list]) -> bytes:
 
 def unpack(blob: bytes) -> pa.RecordBatch:
     """The columns that ``pack`` wrote."""
-    with pa.ipc.open_stream(blob) as reader:
+    with pa.ipc.open_stream(blob, options=pa.ipc.IpcReadOptions(use_threads=False)) as reader:
         return reader.read_next_batch()
 
 
