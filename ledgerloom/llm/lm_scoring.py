@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from ledgerloom.llm.packing import (
     PACKED, group_count, lean_memory, mixed, pack, packed_documents, packed_table, split_by, unpack,
 )
-from ledgerloom.session import reliable_checkpoint
+from ledgerloom.session import reliable_checkpoint, shuffle_width
 
 # Words hold no white space, so this is none of them.
 END = b"\n"
@@ -36,6 +36,9 @@ MAX_LEVEL = 40
 # Bits of a pair hash that are kept within a bucket.
 PAIR_BITS = 40
 _STATS, _SLICE = -1, -2
+# What a group of texts sends to a bucket, as one row: words with their training counts,
+# and gaps between sorted pair hashes with theirs.
+_ASKED = {"word": pa.binary(), "n": pa.int64(), "gap": pa.uint64(), "times": pa.int64()}
 
 
 class _Numbers(dict):
@@ -125,9 +128,9 @@ class PairFilter:
         return found
 
 
-def _bucket_and_key(hashes: np.ndarray, groups: int) -> tuple[np.ndarray, np.ndarray]:
-    keys = hashes // np.uint64(groups) & np.uint64((1 << PAIR_BITS) - 1)
-    return (hashes % np.uint64(groups)).astype(np.int32), keys
+def _bucket_and_key(hashes: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    keys = hashes // np.uint64(buckets) & np.uint64((1 << PAIR_BITS) - 1)
+    return (hashes % np.uint64(buckets)).astype(np.int32), keys
 
 
 def _numbered(table: pa.Table) -> Iterator[tuple]:
@@ -162,10 +165,10 @@ class LanguageModel:
     distinct_tokens: int
     pairs: PairFilter
     answers: DataFrame
-    groups: int
+    buckets: int
 
 
-def _ask(groups: int):
+def _ask(buckets: int):
     def ask(key: tuple, table: pa.Table) -> pa.Table:
         lean_memory()
         tokens, pairs = [np.empty(0, np.int64)], [np.empty((0, 2), np.int64)]
@@ -179,56 +182,57 @@ def _ask(groups: int):
         counts = np.bincount(np.concatenate(tokens), minlength=len(words))
         order = np.array(sorted(range(len(words)), key=words.__getitem__), np.int64)
         hashes = word_hashes(words)
-        rows = []
-        for bucket, own in split_by((hashes[order] % np.uint64(groups)).astype(np.int32)):
+        asked: dict[int, dict] = {}
+        for bucket, own in split_by((hashes[order] % np.uint64(buckets)).astype(np.int32)):
             picked = order[own]
-            rows.append((bucket, key[0].as_py(), pack(
-                {"word": pa.array([words[i] for i in picked], pa.binary()), "n": counts[picked]}
-            )))
+            asked[bucket] = {"word": [words[i] for i in picked], "n": counts[picked]}
         both = np.concatenate(pairs)
         joined, times = np.unique(both[:, 0] * max(len(words), 1) + both[:, 1], return_counts=True)
         before, after = np.divmod(joined, max(len(words), 1))
-        buckets, keys = _bucket_and_key(pair_hashes(hashes[before], hashes[after]), groups)
-        for bucket, own in split_by(buckets):
+        places, keys = _bucket_and_key(pair_hashes(hashes[before], hashes[after]), buckets)
+        for bucket, own in split_by(places):
             own = own[np.argsort(keys[own], kind="stable")]
-            rows.append((groups + bucket, key[0].as_py(), pack(
-                {"gap": np.diff(keys[own], prepend=np.uint64(0)), "n": times[own].astype(np.uint32)}
-            )))
-        return packed_table(rows)
+            asked.setdefault(bucket, {})
+            asked[bucket] |= {"gap": np.diff(keys[own], prepend=np.uint64(0)), "times": times[own]}
+        return packed_table(
+            (bucket, key[0].as_py(), pack({
+                name: pa.array([columns.get(name, [])], pa.list_(kind)) for name, kind in _ASKED.items()
+            }))
+            for bucket, columns in asked.items()
+        )
 
     return ask
 
 
-def _count(groups: int, slice_bytes: int):
-    def count_words(bucket: int, origins: list[int], blobs: list[bytes]) -> list:
+def _count(slice_bytes: int):
+    def count_words(bucket: int, origins: list[int], asked: list[pa.RecordBatch]) -> list:
         totals: dict[bytes, int] = {}
-        asked = [unpack(blob) for blob in blobs]
         for batch in asked:
-            for word, n in zip(batch.column("word").to_pylist(), batch.column("n").to_pylist()):
+            for word, n in zip(batch.column("word")[0].as_py(), batch.column("n")[0].as_py()):
                 totals[word] = totals.get(word, 0) + n
         known = [n for n in totals.values() if n]
         rows = [(_STATS, bucket, pack({"n": [sum(known)], "v": [len(known)]}))]
         for origin, batch in zip(origins, asked):
-            n = [totals[word] for word in batch.column("word").to_pylist()]
+            n = [totals[word] for word in batch.column("word")[0].as_py()]
             rows.append((origin, bucket, pack({"n": pa.array(n, pa.int64())})))
         return rows
 
-    def count_pairs(bucket: int, blobs: list[bytes]) -> list:
-        asked = [unpack(blob) for blob in blobs]
-        keys = np.concatenate([np.cumsum(np.asarray(b.column("gap")), dtype=np.uint64) for b in asked])
-        times = np.concatenate([np.asarray(b.column("n")).astype(np.int64) for b in asked])
+    def count_pairs(bucket: int, asked: list[pa.RecordBatch]) -> list:
+        keys = np.concatenate(
+            [np.cumsum(np.asarray(b.column("gap").values), dtype=np.uint64) for b in asked]
+        )
+        times = np.concatenate([np.asarray(b.column("times").values) for b in asked])
         order = np.argsort(keys, kind="stable")
         keys, times = keys[order], times[order]
-        first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+        first = np.flatnonzero(np.concatenate([[len(keys) > 0], keys[1:] != keys[:-1]]))
         bits = filter_slice(keys[first], np.add.reduceat(times, first), slice_bytes)
         return [(_SLICE, bucket, bits.tobytes())]
 
     def count(key: tuple, table: pa.Table) -> pa.Table:
         lean_memory()
-        bucket, blobs = key[0].as_py(), table["blob"].to_pylist()
-        if bucket < groups:
-            return packed_table(count_words(bucket, table["origin"].to_pylist(), blobs))
-        return packed_table(count_pairs(bucket - groups, blobs))
+        asked = [unpack(blob) for blob in table["blob"].to_pylist()]
+        words = count_words(key[0].as_py(), table["origin"].to_pylist(), asked)
+        return packed_table(words + count_pairs(key[0].as_py(), asked))
 
     return count
 
@@ -242,26 +246,26 @@ def train(
     The counts of words go back to the groups of texts that hold them; what reaches the
     driver is two totals per bucket and the filter, at most ``filter_bytes`` in all.
     """
-    groups = group_count(docs)
+    buckets = shuffle_width(docs.sparkSession)
     packed = packed_documents(
-        docs, id_column, text_column, groups, flag=F.coalesce(learn, F.lit(False))
+        docs, id_column, text_column, group_count(docs), flag=F.coalesce(learn, F.lit(False))
     )
-    asked = packed.groupBy("part").applyInArrow(_ask(groups), PACKED)
+    asked = packed.groupBy("part").applyInArrow(_ask(buckets), PACKED)
     counted = reliable_checkpoint(
-        asked.groupBy("part").applyInArrow(_count(groups, max(filter_bytes // groups, 1)), PACKED)
+        asked.groupBy("part").applyInArrow(_count(max(filter_bytes // buckets, 1)), PACKED)
     )
     totals = [unpack(row["blob"]) for row in counted.filter(F.col("part") == _STATS).collect()]
     slices = {row["origin"]: np.frombuffer(row["blob"], np.uint8)
               for row in counted.filter(F.col("part") == _SLICE).collect()}
     none = np.empty(0, np.uint8)
-    lengths = np.array([len(slices.get(i, none)) for i in range(groups)], np.int64)
+    lengths = np.array([len(slices.get(i, none)) for i in range(buckets)], np.int64)
     pairs = PairFilter(
-        np.concatenate([slices.get(i, none) for i in range(groups)]),
+        np.concatenate([slices.get(i, none) for i in range(buckets)]),
         np.cumsum(lengths) - lengths, (lengths * 8).astype(np.uint64),
     )
     model = LanguageModel(
         sum(t.column("n")[0].as_py() for t in totals), sum(t.column("v")[0].as_py() for t in totals),
-        pairs, counted.filter(F.col("part") >= 0), groups,
+        pairs, counted.filter(F.col("part") >= 0), buckets,
     )
     return model, packed
 
@@ -277,7 +281,7 @@ def score(
     but not learned from.  With nothing to learn from every token has one chance.
     """
     model, packed = train(docs, learn, id_column, text_column, filter_bytes)
-    groups, total = model.groups, model.train_tokens
+    buckets, total = model.buckets, model.train_tokens
     whole = total + UNIT_WEIGHT * (model.distinct_tokens + 1)
     pairs = docs.sparkSession.sparkContext.broadcast(model.pairs)
 
@@ -289,7 +293,7 @@ def score(
         order = np.array(sorted(range(len(words)), key=words.__getitem__), np.int64)
         replies = dict(zip(answers["origin"].to_pylist(), answers["blob"].to_pylist()))
         counts = np.zeros(len(words), np.int64)
-        for bucket, own in split_by((hashes[order] % np.uint64(groups)).astype(np.int32)):
+        for bucket, own in split_by((hashes[order] % np.uint64(buckets)).astype(np.int32)):
             counts[order[own]] = np.asarray(unpack(replies[bucket]).column("n"))
         chance = (counts + UNIT_WEIGHT) / whole
         out = []
@@ -297,7 +301,7 @@ def score(
             before = _pairs(cuts, flat, numbers[END])
             both, number = np.unique(before * len(words) + flat, return_inverse=True)
             a, b = np.divmod(both, len(words))
-            bucket, keys = _bucket_and_key(pair_hashes(hashes[a], hashes[b]), groups)
+            bucket, keys = _bucket_and_key(pair_hashes(hashes[a], hashes[b]), buckets)
             seen = np.minimum(
                 count_of(pairs.value.levels(bucket, keys)), np.minimum(counts[a], counts[b])
             )
