@@ -23,13 +23,12 @@ from ledgerloom.sources import generators, readers, standins
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
-# Parameters of the registered runs (the library defaults are 1000 replicates).
-REPLICATES = 50
-SIMULATIONS = 100
-SAMPLE_SIZE = 300
+# Parameters of the registered runs.
+REPLICATES = 1000
+SIMULATIONS = 1000
+SAMPLE_SIZE = 1000
 SEED = 7
 COHORT_YEAR = ("1996-01", "1996-12")
-COHORT_OFFSETS = tuple(range(0, 13))
 PRICE_CUT = 400_000.0
 LOOKUP_DOMAIN = "m.ththth.example.net"
 REPORT_DATE = "2023-03-03"
@@ -162,12 +161,24 @@ def cohort_counts(spark, folder):
 
 @query
 def cohort_retention(spark, folder):
-    return cohort.retention(_cohorts(spark, folder), COHORT_OFFSETS)
+    return cohort.retention(_cohorts(spark, folder))
 
 
 @query
 def best_cohort(spark, folder):
-    return cohort.best_cohort(cohort.retention(_cohorts(spark, folder), COHORT_OFFSETS))
+    return cohort.best_cohort(cohort.retention(_cohorts(spark, folder)))
+
+
+@query
+def purchases_by_month_of_year(spark, folder):
+    """Years as rows, the twelve months as columns."""
+    approved = F.col("order_approved_at")
+    counted = (
+        _bought(standins.shop(spark, folder))
+        .groupBy(F.year(approved).alias("year"), F.month(approved).alias("month"))
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
+    return aggregates.pivot_counts(counted, "year", "month", "n", list(range(1, 13)), "m")
 
 
 # --- recency, frequency, monetary -----------------------------------------------------
@@ -356,13 +367,13 @@ def diligent_monthly(spark, folder):
 @query
 def math_students(spark, folder):
     """A SQL text as source: its HAVING names an aggregate that shadows its input column."""
-    standins.platform(spark, folder).answers.createOrReplaceTempView("ledgerloom_answers")
     return readers.query_source(
         spark,
         """
         SELECT st_id, SUM(correct) AS correct, MIN(timest) AS first_time, MAX(timest) AS last_time
-        FROM ledgerloom_answers WHERE subject = 'Math' GROUP BY st_id HAVING correct >= 2
+        FROM {answers} WHERE subject = 'Math' GROUP BY st_id HAVING correct >= 2
         """,
+        answers=standins.platform(spark, folder).answers,
     )
 
 
@@ -580,8 +591,12 @@ def version_variant_means(spark, folder):
 # --- transfers and graph --------------------------------------------------------------
 
 
-def _links(spark, folder):
-    return transfers.clean_links(*standins.payments(spark, folder))
+def _dated(spark, folder):
+    return transfers.dated_transfers(*standins.payments(spark, folder))
+
+
+def _cleaned(spark, folder):
+    return transfers.clean_links(_dated(spark, folder))
 
 
 TRANSFER_COLUMNS = ("id_sender", "id_receiver", "dates", "amount_new", "date_cred", "diff_time")
@@ -589,17 +604,17 @@ TRANSFER_COLUMNS = ("id_sender", "id_receiver", "dates", "amount_new", "date_cre
 
 @query
 def in_window_transfers(spark, folder):
-    return _links(spark, folder).in_window.select(*TRANSFER_COLUMNS)
+    return transfers.inside_window(_dated(spark, folder)).select(*TRANSFER_COLUMNS)
 
 
 @query
 def known_pairs(spark, folder):
-    return _links(spark, folder).known_pairs
+    return transfers.known_pairs(_dated(spark, folder))
 
 
 @query
 def link_cleaning(spark, folder):
-    return _links(spark, folder).cleaned.select(*TRANSFER_COLUMNS)
+    return _cleaned(spark, folder).select(*TRANSFER_COLUMNS)
 
 
 @query
@@ -610,7 +625,7 @@ def issue_dates(spark, folder):
 
 
 def _graph_rows(spark, folder):
-    return standins.graph_transfers(spark, folder, _links(spark, folder).cleaned)
+    return standins.graph_transfers(spark, folder, _cleaned(spark, folder))
 
 
 def _edges(spark, folder):

@@ -19,6 +19,9 @@ MASK32 = 4294967295
 MIX_MULTIPLIER = 73244475
 GOLDEN_STEP = 2654435769
 
+# Bits of a fine draw: as many as a double holds exactly.
+FINE_BITS = 53
+
 # Largest count a Poisson(1) weight can take (the chance of more is below 2**-32).
 POISSON_TOP = 12
 
@@ -54,27 +57,64 @@ def with_mixed(df: DataFrame, name: str, start: Column) -> DataFrame:
     return df
 
 
+def _rounds(low: Column, high: Column, seed: int) -> tuple[Column, list]:
+    """Start and steps of a three-round Feistel network over the halves of a key.
+
+    The network is a permutation of the 64-bit numbers: two keys never share a hash.
+    """
+    steps = [
+        lambda x: _low32(x + F.lit(GOLDEN_STEP)),
+        lambda x: _low32(x + F.lit(2 * GOLDEN_STEP)),
+    ]
+    return low.bitwiseXOR(F.lit(seed & MASK32)), steps
+
+
 def with_key_hash(df: DataFrame, name: str, key: Column, seed: int) -> DataFrame:
-    """32-bit hash of a BIGINT row key as a new column."""
-    key = key.cast("bigint")
-    high = f"{name}_high"
-    df = df.withColumn(high, _low32(F.shiftright(key, 32)))
-    df = with_mixed(df, name, _low32(key).bitwiseXOR(F.lit(seed & MASK32)))
-    return with_mixed(df, name, F.col(name).bitwiseXOR(F.col(high))).drop(high)
+    """64-bit hash of a BIGINT row key as two new 32-bit columns, ``name`` and ``name_b``."""
+    key, other, first, second = key.cast("bigint"), f"{name}_b", f"{name}_x", f"{name}_y"
+    df = df.withColumns({name: _low32(F.shiftright(key, 32)), other: _low32(key)})
+    start, (next_, last) = _rounds(F.col(other), F.col(name), seed)
+    df = with_mixed(df, first, start).withColumn(name, F.col(name).bitwiseXOR(F.col(first)))
+    df = with_mixed(df, second, next_(F.col(name)))
+    df = df.withColumn(other, F.col(other).bitwiseXOR(F.col(second)))
+    df = with_mixed(df, first, last(F.col(other)))
+    return df.withColumn(name, F.col(name).bitwiseXOR(F.col(first))).drop(first, second)
 
 
 def with_draw(df: DataFrame, name: str, hashed: str, replicate: str) -> DataFrame:
-    """Uniform integer in [0, 2**32) for one row and one replicate as a new column."""
+    """Uniform integer in [0, 2**32) for one row and one replicate as a new column.
+
+    Both halves of the row's hash enter, so no two rows share their draws in all replicates.
+    """
     step = F.col(replicate).cast("bigint") * F.lit(GOLDEN_STEP)
-    return with_mixed(df, name, _low32(F.col(hashed) + step))
+    df = with_mixed(df, name, _low32(F.col(hashed) + step))
+    return with_mixed(df, name, F.col(name).bitwiseXOR(F.col(f"{hashed}_b")))
+
+
+def with_fine_draw(df: DataFrame, name: str, coarse: str, hashed: str) -> DataFrame:
+    """Uniform integer in [0, 2**53) that continues the draw ``coarse`` of ``with_draw``."""
+    rest = f"{name}_rest"
+    df = with_mixed(df, rest, _low32(F.col(coarse) + F.col(f"{hashed}_b")))
+    fine = F.shiftleft(F.col(coarse), FINE_BITS - 32) + F.shiftright(F.col(rest), 64 - FINE_BITS)
+    return df.withColumn(name, fine).drop(rest)
 
 
 def uniform_draw(key: Column, seed: int) -> Column:
-    """Uniform double in [0, 1) from a BIGINT row key, the same as ``with_key_hash`` gives."""
+    """Uniform double in [0, 1) from a BIGINT row key: 53 bits of its 64-bit hash."""
     key = key.cast("bigint")
-    low = mix32(_low32(key).bitwiseXOR(F.lit(seed & MASK32)))
-    mixed = mix32(low.bitwiseXOR(_low32(F.shiftright(key, 32))))
-    return mixed / F.lit(float(MASK32 + 1))
+    low, high = _low32(key), _low32(F.shiftright(key, 32))
+    start, (next_, last) = _rounds(low, high, seed)
+
+    def whole(a: Column) -> Column:
+        return let(
+            low.bitwiseXOR(mix32(next_(a))),
+            lambda b: (
+                F.shiftleft(a.bitwiseXOR(mix32(last(b))), FINE_BITS - 32)
+                + F.shiftright(b, 64 - FINE_BITS)
+            ) / F.lit(float(1 << FINE_BITS)),
+        )
+
+    return let(high.bitwiseXOR(mix32(start)), whole)
 
 
 def poisson_cuts() -> list[int]:

@@ -36,20 +36,17 @@ def top_value_per_key(
 ) -> DataFrame:
     """Per key the value with the largest summed amount; ties go to the first name.
 
-    ``values`` are all names that occur.  Sums per (key, value) are combined on the map
-    side, then sum and place of the name travel as one whole number, so that the best
-    pair is a plain hash aggregate and no task sorts the rows of one key.
+    ``values`` are all names that occur, a short list.  One hash aggregate sums every name
+    per key, so the rows are shuffled once, after the map side has summed them.
     """
     names = sorted(values)
-    size = len(names) + 1
-    place = F.array_position(F.array(*[F.lit(n) for n in names]), F.col(value))
-    summed = df.groupBy(key, value).agg(F.sum(amount).alias(result))
-    best = F.max(F.col(result).cast("bigint") * size + (len(names) - place))
-    top = summed.groupBy(key).agg(best.alias("__best"))
-    name = F.element_at(
-        F.array(*[F.lit(n) for n in names]), (len(names) - F.col("__best") % size).cast("int")
-    )
-    return top.select(key, name.alias(value), F.floor(F.col("__best") / size).alias(result))
+    sums = [
+        F.sum(F.when(F.col(value) == name, amount)).alias(f"__n{i}") for i, name in enumerate(names)
+    ]
+    per_key = df.filter(F.col(value).isin(names)).groupBy(key).agg(*sums)
+    best = F.greatest(*[F.col(f"__n{i}") for i in range(len(names))])
+    name = F.coalesce(*[F.when(F.col(f"__n{i}") == best, F.lit(n)) for i, n in enumerate(names)])
+    return per_key.select(key, name.alias(value), best.alias(result))
 
 
 def histogram(

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 from ledgerloom.functions.scoring import EDGE_WIDTHS, WIDEST_EDGE, step_score
 from ledgerloom.operators.ordering import (
@@ -11,8 +12,10 @@ from ledgerloom.operators.ordering import (
     exact_quantiles,
     running_counts,
 )
-from ledgerloom.operators.skew import ONE_TASK_ROWS, heavy_keys, skew_safe_join
-from ledgerloom.session import reliable_checkpoint
+from ledgerloom.operators.skew import heavy_of, skew_safe_join, top_hashes
+from ledgerloom.session import (
+    measured_checkpoint, reliable_checkpoint, remove_path, shuffle_width,
+)
 
 # Colour and size of a drawn sender and receiver.
 SENDER_LOOK = ("blue", 300)
@@ -102,25 +105,46 @@ def _small_star(edges: DataFrame, hubs: dict[int, int]) -> DataFrame:
     return _pointing(linked.unionByName(own)).filter(F.col("u") != F.col("v"))
 
 
-def _fingerprint(df: DataFrame):
-    return df.agg(
-        F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v")), F.bit_xor(F.xxhash64("v", "u"))
-    ).first()
+def _round_metrics(width: int) -> list:
+    """Aggregates of a round's links: their number, a fingerprint, and the hubs."""
+    return [
+        F.count(F.lit(1)).alias("links"),
+        F.bit_xor(F.xxhash64("u", "v")).alias("print_uv"),
+        F.bit_xor(F.xxhash64("v", "u")).alias("print_vu"),
+        top_hashes("u", width).alias("top_u"),
+        top_hashes("v", width).alias("top_v"),
+    ]
+
+
+def _hubs(seen: dict, width: int) -> dict[int, int]:
+    """Salts of the nodes that hold more than a partition's share of the link ends."""
+    counts: dict[int, int] = {}
+    for item in [*(seen["top_u"] or []), *(seen["top_v"] or [])]:
+        counts[item["item"]] = counts.get(item["item"], 0) + item["count"]
+    return heavy_of(counts, 2 * seen["links"], width)
 
 
 def _star_rounds(base: DataFrame, max_rounds: int) -> DataFrame:
-    """Numbered links to stars around the smallest node of each component."""
-    current = base.filter(F.col("u") != F.col("v"))
-    before = _fingerprint(current)
+    """Numbered links to stars around the smallest node of each component.
+
+    A round is one job that writes its table and one small aggregate of that table: its
+    fingerprint and the hubs of the next round.  The table before it is deleted.
+    """
+    spark = base.sparkSession
+    width = shuffle_width(spark)
+    current, path, seen = measured_checkpoint(
+        base.filter(F.col("u") != F.col("v")), *_round_metrics(width)
+    )
     for _ in range(max_rounds):
-        # A node has at most as many links after the first step as neighbours before it.
-        small = 2 * before[0] <= ONE_TASK_ROWS
-        hubs = {} if small else heavy_keys(_both_ways(current), ["u"])
-        current = reliable_checkpoint(_small_star(_large_star(current, hubs), hubs))
-        after = _fingerprint(current)
-        if after == before:
+        hubs = _hubs(seen, width)
+        after, new_path, new = measured_checkpoint(
+            _small_star(_large_star(current, hubs), hubs), *_round_metrics(width)
+        )
+        remove_path(spark, path)
+        same = all(seen[name] == new[name] for name in ("links", "print_uv", "print_vu"))
+        current, path, seen = after, new_path, new
+        if same:
             return current
-        before = after
     raise RuntimeError(f"no fixed point after {max_rounds} rounds")
 
 
@@ -128,13 +152,23 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """Weakly connected components: ``node`` and ``component`` (the smallest node of it).
 
     Alternates the large-star and small-star steps of Kiveris et al. (2014) until the
-    edges are stars around the smallest node.  Each round is one checkpoint to the
-    shared folder and one small aggregate that counts and fingerprints the edge set.
-    Joins on hub nodes are salted.  Nodes are numbered in their own order first: minima
-    of whole numbers are hash aggregates, minima of texts would sort every round.
+    edges are stars around the smallest node; each round writes a table to the shared
+    folder.  Joins on hub nodes are salted.  Nodes that are no whole numbers
+    are numbered in their own order first: minima of whole numbers are hash aggregates,
+    minima of texts would sort every round.
     """
     named = edges.select(F.col("src").alias("u"), F.col("dst").alias("v")).dropna()
-    named = reliable_checkpoint(_pointing(named))
+    if all(isinstance(edges.schema[end].dataType, IntegralType) for end in ("src", "dst")):
+        named = reliable_checkpoint(_pointing(named))
+        ends = named.select(F.explode(F.array("u", "v")).alias("node")).distinct()
+        stars = _star_rounds(named, max_rounds)
+        centres = stars.select(F.col("u").alias("node"), F.col("v").alias("centre"))
+        return ends.join(centres, "node", "left").select(
+            "node", F.coalesce("centre", "node").alias("component")
+        )
+    width = shuffle_width(edges.sparkSession)
+    named, _, seen = measured_checkpoint(_pointing(named), *_round_metrics(width))
+    hubs = _hubs(seen, width)
     ends = named.select(F.explode(F.array("u", "v")).alias("node"))
     numbers = reliable_checkpoint(
         running_counts(ends.distinct(), "node", {"n": F.lit(1)}).select(
@@ -145,12 +179,11 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     for end in ("u", "v"):
         numbered = skew_safe_join(
             numbered, numbers.withColumnsRenamed({"node": end, "id": f"{end}_id"}), [end],
-            sketch_of=named,
+            heavy=hubs,
         )
-    base = reliable_checkpoint(
-        numbered.select(F.col("u_id").alias("u"), F.col("v_id").alias("v"))
-    )
-    stars = _star_rounds(_pointing(base), max_rounds)
+    # Numbers keep the order of the names, so every link still points down.
+    base = numbered.select(F.col("u_id").alias("u"), F.col("v_id").alias("v"))
+    stars = _star_rounds(base, max_rounds)
     # A star edge is (node, centre); the centre itself has none.
     centres = stars.select(F.col("u").alias("id"), F.col("v").alias("centre"))
     labelled = numbers.join(centres, "id", "left").select(

@@ -8,20 +8,22 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.numeric import normal_tail, ratio
-from ledgerloom.functions.sampling import MASK32, poisson_weight, with_draw, with_key_hash
+from ledgerloom.functions.sampling import (
+    FINE_BITS, poisson_weight, with_draw, with_fine_draw, with_key_hash,
+)
 from ledgerloom.operators.aggregates import histogram
 from ledgerloom.operators.ordering import quantiles_from_counts, running_counts
 from ledgerloom.operators.stats import t_test
 from ledgerloom.session import reliable_checkpoint, shuffle_width
 
 REPLICATE = "replicate"
-# Half widths of the rank band that may hold a resample's median, widest first.
-BANDS = (0.25, 0.1, 0.05, 0.02, 0.01, 0.005, 0.002, 0.001)
+# Half width, in deviations of its rank, of the band that may hold a resample's median.
 BAND_SIGMAS = 6.0
 
 
@@ -33,8 +35,8 @@ def _with_draw(df: DataFrame) -> DataFrame:
 def _expand(df: DataFrame, replicates: int) -> DataFrame:
     """Every row once per replicate, with its draw.
 
-    The rows are spread evenly first: each becomes hundreds, so that one narrow shuffle
-    is small beside the work it balances.
+    The rows are spread evenly first: each becomes as many as there are replicates, so one
+    shuffle of narrow rows is small beside the work it balances, even from one input split.
     """
     numbers = F.explode(F.sequence(F.lit(1), F.lit(replicates)))
     spread = df.repartition(shuffle_width(df.sparkSession), "__h")
@@ -98,21 +100,28 @@ def _weighted_medians(weighted: DataFrame) -> DataFrame:
 
 
 def _median_bands(samples: DataFrame) -> DataFrame:
-    """Two rows: per side the values between which resample medians are expected."""
-    below, above = [0.5 - d for d in BANDS], [0.5 + d for d in BANDS]
+    """Per side the values between which resample medians are expected.
+
+    The rank share of a resample's median has a deviation of about 1/sqrt(n), so the band
+    holds a number of rows that grows with sqrt(n) only.
+    """
+    sizes = {r["__side"]: r["n"] for r in samples.groupBy("__side").agg(F.count("__v").alias("n")).collect()}
+    wanted, accuracy = {}, 10_000
+    for side, n in sizes.items():  # two sides
+        half = min(BAND_SIGMAS / math.sqrt(n), 0.5) if n else 0.5
+        wanted[side] = (0.5 - half, 0.5 + half)
+        accuracy = max(accuracy, math.ceil(10 / half))
+    shares = sorted({share for pair in wanted.values() for share in pair}) or [0.5]
     sketch = samples.groupBy("__side").agg(
-        F.count("__v").alias("n"),
-        F.percentile_approx("__v", below, 10000).alias("lows"),
-        F.percentile_approx("__v", above, 10000).alias("highs"),
-    )
-    # The rank share of a resample's median has a deviation of about 1/sqrt(n).
-    need = F.lit(BAND_SIGMAS) / F.sqrt("n")
-    position = sum(((F.lit(d) >= need).cast("int") for d in BANDS), F.lit(0))
-    return sketch.select(
-        "__side",
-        F.when(position > 0, F.col("lows")[position - 1]).alias("low"),
-        F.when(position > 0, F.col("highs")[position - 1]).alias("high"),
+        F.percentile_approx("__v", shares, min(accuracy, 2**31 - 1)).alias("__q")
     )
+    low, high = F.lit(None).cast("double"), F.lit(None).cast("double")
+    for side, (below, above) in wanted.items():
+        here = F.col("__side") == side
+        if below > 0:
+            low = F.when(here, F.col("__q")[shares.index(below)]).otherwise(low)
+            high = F.when(here, F.col("__q")[shares.index(above)]).otherwise(high)
+    return sketch.select("__side", low.alias("low"), high.alias("high"))
 
 
 def _median_replicates(samples: DataFrame, replicates: int) -> DataFrame:
@@ -209,46 +218,53 @@ def repeated_samples(
 ) -> DataFrame:
     """``size`` rows without replacement from each labelled stratum, once per replicate.
 
-    A sample is the ``size`` smallest draws (all rows when the stratum is smaller).
-    Draws above a limit that nearly always leaves more than ``size`` rows are dropped
-    before the shuffle; samples the limit cut short are taken again without it, so every
-    sample is exact.
+    A sample is the ``size`` smallest draws of 53 bits (all rows when the stratum is
+    smaller); equal draws are ordered by the other half of the row's hash.  Draws above a
+    limit that nearly always leaves more than ``size`` rows are dropped before the
+    shuffle; samples the limit cut short are taken again with a limit ten times as high,
+    until none is short, so every sample is exact and none is sorted in full.
     """
     rows = with_key_hash(
         df.filter(F.col(strata).isin(list(labels))), "__h", F.col(key), seed
     )
-    spare = size + 8 * math.sqrt(size) + 20
     # One row per label.
     sizes = rows.groupBy(strata).agg(F.count(F.lit(1)).alias("__n"))
-    limits = sizes.select(
-        strata, (F.lit(spare) / F.col("__n") * F.lit(float(MASK32 + 1))).alias("__limit")
-    )
-    columns = [*df.columns, REPLICATE, "__draw"]
-    drawn = _expand(rows.join(F.broadcast(limits), strata), replicates)
-    few = reliable_checkpoint(
-        _keep(drawn, "__draw", F.col("__draw") < F.col("__limit")).select(*columns)
-    )
-    reached = few.groupBy(REPLICATE, strata).agg(F.count(F.lit(1)).alias("__got"))
-    wanted = sizes.withColumn(REPLICATE, F.explode(F.sequence(F.lit(1), F.lit(replicates))))
     target = F.least(F.col("__n"), F.lit(size))
-    short = (
-        wanted.join(reached, [REPLICATE, strata], "left")
-        .filter(F.coalesce(F.col("__got"), F.lit(0)) < target)
-        .select(REPLICATE, strata)
+    wanted = sizes.select(
+        strata, "__n", F.explode(F.sequence(F.lit(1), F.lit(replicates))).alias(REPLICATE)
     )
-    order = Window.partitionBy(REPLICATE, strata).orderBy("__draw", key)
-
-    def smallest(candidates: DataFrame) -> DataFrame:
-        ranked = candidates.withColumn("__rank", F.row_number().over(order))
-        return ranked.filter(F.col("__rank") <= size).select(*df.columns, REPLICATE)
-
-    if short.isEmpty():
-        return smallest(few)
-    # At most one row per replicate and label, and none in practice.
-    short = F.broadcast(reliable_checkpoint(short))
-    enough = few.join(short, [REPLICATE, strata], "left_anti")
-    whole = _with_draw(rows.join(short, strata)).select(*columns)
-    return smallest(enough).unionByName(smallest(whole))
+    order = Window.partitionBy(REPLICATE, strata).orderBy("__draw", "__h_b", key)
+    spare, short, parts = size + 8 * math.sqrt(size) + 20, None, []
+    while True:
+        limit = (F.lit(float(spare)) / F.col("__n") * F.lit(float(1 << FINE_BITS))).alias("__limit")
+        limited = rows.join(F.broadcast(sizes.select(strata, limit)), strata)
+        if short is None:
+            expanded = _expand(limited, replicates)
+        else:  # at most one row per replicate and label, and none in practice
+            expanded = _with_draw(limited.join(F.broadcast(short.select(REPLICATE, strata)), strata))
+        fine = with_fine_draw(expanded, "__draw", "__draw", "__h")
+        few = reliable_checkpoint(
+            _keep(fine, "__draw", F.col("__draw") < F.col("__limit")).select(
+                *df.columns, REPLICATE, "__draw", "__h_b"
+            )
+        )
+        reached = few.groupBy(REPLICATE, strata).agg(F.count(F.lit(1)).alias("__got"))
+        asked = wanted if short is None else short
+        cut_short = (
+            asked.join(reached, [REPLICATE, strata], "left")
+            .filter(F.coalesce(F.col("__got"), F.lit(0)) < target)
+            .select(*asked.columns)
+        )
+        ranked = few.withColumn("__rank", F.row_number().over(order))
+        taken = ranked.filter(F.col("__rank") <= size).select(*df.columns, REPLICATE)
+        if cut_short.isEmpty():
+            return reduce(DataFrame.unionByName, [*parts, taken])
+        short = reliable_checkpoint(cut_short)
+        again = F.broadcast(short.select(REPLICATE, strata))
+        parts.append(
+            taken.join(again, [REPLICATE, strata], "left_anti").select(*taken.columns)
+        )
+        spare *= 10
 
 
 def aa_simulation(

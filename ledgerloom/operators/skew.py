@@ -2,51 +2,60 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.session import shuffle_width
 
 SALT = "__salt"
-# Up to this many rows even a single key with all of them is a normal task.
-ONE_TASK_ROWS = 1_000_000
 # Items the frequency sketch follows: its error is a few of these parts of all rows.
 SKETCH_ITEMS = 20_000
 
 
-def heavy_keys(df: DataFrame, on: list[str], one_task_rows: int = ONE_TASK_ROWS) -> dict[int, int]:
+def top_hashes(on: str, width: int) -> Column:
+    """Aggregate of the most frequent hashes of the (comma-joined) columns, with counts."""
+    return F.expr(f"approx_top_k(xxhash64({on}), {width}, {max(SKETCH_ITEMS, 16 * width)})")
+
+
+def heavy_of(counts: dict[int, int], rows: int, width: int) -> dict[int, int]:
+    """Number of salts of the hashes with more than one partition's share of the rows.
+
+    Numbers are rounded up to powers of two, so that few different ones occur; they add
+    up to less than four times the number of partitions, whatever the data.
+    """
+    share = max(rows / width, 1.0)
+    return {
+        item: 1 << (math.ceil(count / share) - 1).bit_length()
+        for item, count in counts.items()
+        if count > share
+    }
+
+
+def heavy_keys(df: DataFrame, on: list[str]) -> dict[int, int]:
     """Hashes of the keys that hold more than one partition's share, with a number of salts.
 
     One pass over the key columns with a mergeable frequent-items sketch of fixed size;
-    its result is one row.  Fewer keys than shuffle partitions can pass, and their salts
-    add up to less than two times that number, whatever the data.  The counts only steer
-    the balance, so their small error never changes a result.
+    its result is one row.  Fewer keys than shuffle partitions can pass.  The counts only
+    steer the balance, so their small error never changes a result.
     """
     width = shuffle_width(df.sparkSession)
-    hashed = F.xxhash64(*on).alias("key")
-    tracked = max(SKETCH_ITEMS, 16 * width)
-    found = (
-        df.select(hashed)
-        .agg(
-            F.count(F.lit(1)).alias("rows"),
-            F.expr(f"approx_top_k(key, {width}, {tracked})").alias("top"),
-        )
-        .first()
-    )
-    if found["rows"] <= one_task_rows:
-        return {}
-    share = found["rows"] / width
-    return {
-        item["item"]: -int(-item["count"] // share)
-        for item in found["top"] or []
-        if item["count"] > share
-    }
+    names = ", ".join(f"`{name}`" for name in on)
+    found = df.agg(
+        F.count(F.lit(1)).alias("rows"), top_hashes(names, width).alias("top")
+    ).first()
+    counts = {item["item"]: item["count"] for item in found["top"] or []}
+    return heavy_of(counts, found["rows"], width)
 
 
 def _fan(on: list[str], heavy: dict[int, int]) -> Column:
-    """Number of salts of a row's key."""
-    pairs = [F.lit(x) for pair in heavy.items() for x in pair]
-    return F.coalesce(F.try_element_at(F.create_map(*pairs), F.xxhash64(*on)), F.lit(1))
+    """Number of salts of a row's key: a set lookup for each different number."""
+    hashed, fan = F.xxhash64(*on), F.lit(1)
+    for salts in sorted(set(heavy.values())):
+        keys = [key for key, own in heavy.items() if own == salts]
+        fan = F.when(hashed.isin(keys), F.lit(salts)).otherwise(fan)
+    return fan
 
 
 def skew_safe_join(
@@ -55,7 +64,6 @@ def skew_safe_join(
     on: list[str],
     how: str = "inner",
     sketch_of: DataFrame | None = None,
-    one_task_rows: int = ONE_TASK_ROWS,
     heavy: dict[int, int] | None = None,
 ) -> DataFrame:
     """Join many ``left`` rows to few ``right`` rows per key.
@@ -66,7 +74,7 @@ def skew_safe_join(
     table with the same keys to look for heavy ones in; ``heavy`` is what such a look found.
     """
     if heavy is None:
-        heavy = heavy_keys(left if sketch_of is None else sketch_of, on, one_task_rows)
+        heavy = heavy_keys(left if sketch_of is None else sketch_of, on)
     if not heavy:
         return left.join(right, on, how)
     fan = _fan(on, heavy)

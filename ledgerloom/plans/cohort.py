@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -46,17 +44,29 @@ def cohort_counts(
     return counted.withColumn("first_month", label_of_number(F.col("first_month")))
 
 
-def retention(counts: DataFrame, offsets: Sequence[int], month: int = 3) -> DataFrame:
-    """Cohorts as rows, people per offset as columns, and the share kept after ``month``."""
-    wanted = sorted({0, month, *offsets})
-    wide = pivot_counts(counts, "first_month", "months_since", "people", wanted, "m")
-    share = percent(F.col(f"m{month}"), F.col("m0"))
-    return wide.withColumn("retention", share)
+def retention(counts: DataFrame) -> DataFrame:
+    """Every cohort and offset that occurs, with people and their share of the cohort."""
+    started = counts.filter(F.col("months_since") == 0).select(
+        "first_month", F.col("people").alias("started")
+    )
+    share = percent(F.col("people"), F.col("started")).alias("retention")
+    return counts.join(started, "first_month").select(
+        "first_month", "months_since", "people", share
+    )
+
+
+def retention_table(retained: DataFrame, value: str = "people") -> DataFrame:
+    """Cohorts as rows and every offset that occurs as a column.
+
+    The offsets are read first: there are no more than calendar months.
+    """
+    offsets = [row[0] for row in retained.select("months_since").distinct().collect()]
+    return pivot_counts(retained, "first_month", "months_since", value, sorted(offsets), "m")
 
 
-def best_cohort(retained: DataFrame) -> DataFrame:
-    """The cohort with the highest share; the earliest one on ties (one row)."""
+def best_cohort(retained: DataFrame, month: int = 3) -> DataFrame:
+    """The cohort with the highest share after ``month``; the earliest one on ties (one row)."""
     best = F.min_by(
         F.struct("first_month", "retention"), F.struct(-F.col("retention"), F.col("first_month"))
     )
-    return retained.filter(F.col("retention").isNotNull()).agg(best.alias("b")).select("b.*")
+    return retained.filter(F.col("months_since") == month).agg(best.alias("b")).select("b.*")

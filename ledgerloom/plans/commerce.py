@@ -7,7 +7,6 @@ order_estimated_delivery_date), ``items`` (order_id, product_id, price).
 
 from __future__ import annotations
 
-from calendar import day_name
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -17,6 +16,8 @@ from ledgerloom.functions.dates import days_in_month, month_label, weekday_name
 from ledgerloom.operators.aggregates import mean_of_counts, top_value_per_key, value_counts
 from ledgerloom.operators.skew import skew_safe_join
 
+# Weekdays as Spark names them.
+WEEKDAYS = ("Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday", "Sunday")
 # Order states that are not a purchase.
 NOT_BOUGHT = ("canceled", "unavailable")
 
@@ -51,7 +52,7 @@ def purchases_per_customer(customers: DataFrame, bought: DataFrame) -> DataFrame
 def one_time_buyers(customers: DataFrame, bought: DataFrame) -> DataFrame:
     """How many people bought exactly once (one row)."""
     once = purchases_per_customer(customers, bought).filter(F.col("number_orders") == 1)
-    return once.agg(F.count_distinct("customer_unique_id").alias("one_time_buyers"))
+    return once.agg(F.count("customer_unique_id").alias("one_time_buyers"))
 
 
 def not_delivered(orders: DataFrame) -> DataFrame:
@@ -112,16 +113,13 @@ def months_present(orders: DataFrame, column: str) -> DataFrame:
 def favourite_weekday(items: DataFrame, bought: DataFrame) -> DataFrame:
     """Per product the weekday it is bought most; ties go to the first name.
 
-    Lines are counted per order and product before the join, and the join spreads an
-    order with very many products.
+    The join spreads an order with very many lines.
     """
-    lines = items.groupBy("order_id", "product_id").agg(F.count(F.lit(1)).alias("lines"))
+    lines = items.filter(F.col("product_id").isNotNull()).select("order_id", "product_id")
     days = bought.select("order_id", weekday_name(F.col("order_approved_at")).alias("weekday"))
-    joined = skew_safe_join(lines, days, ["order_id"], sketch_of=items).filter(
-        F.col("product_id").isNotNull()
-    )
+    joined = skew_safe_join(lines, days, ["order_id"])
     return top_value_per_key(
-        joined, "product_id", "weekday", day_name, F.col("lines"), "prod_count"
+        joined, "product_id", "weekday", WEEKDAYS, F.lit(1), "prod_count"
     )
 
 

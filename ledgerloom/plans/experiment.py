@@ -124,7 +124,7 @@ def platform_metrics(features: DataFrame, active_over: int = 10, subject_from: i
         features.filter(F.col("test_grp").isNotNull())
         .groupBy("test_grp")
         .agg(
-            F.count_distinct("st_id").alias("students"),
+            F.count("st_id").alias("students"),  # one row per student and group
             F.sum("money").alias("income"),
             F.count_if(bought).alias("buyers"),
             F.count_if(active).alias("active"),

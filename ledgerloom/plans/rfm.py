@@ -61,14 +61,18 @@ def rfm_cuts(measures: DataFrame, exact: bool = True) -> DataFrame:
 def rfm_scores(measures: DataFrame, cuts: DataFrame) -> DataFrame:
     """Scores 1 to 5, the three-digit code and the segment of every person.
 
-    The cut points, four numbers for each of three measures, become literals of the plan.
+    The cut points, four numbers for each of three measures, enter the plan as one row;
+    without purchases there are none, and no person to score.
     """
+    names = [f"q{i}" for i in range(len(QUINTILES))]
+    per_measure = F.map_from_entries(F.collect_list(F.struct("column_name", F.array(*names))))
+    points = cuts.agg(per_measure.alias("points")).scalar()
+    measures = measures.withColumn("__cuts", points)
     cut = {
-        row["column_name"]: [F.lit(row[f"q{i}"]) for i in range(len(QUINTILES))]
-        for row in cuts.collect()
+        name: [F.col("__cuts")[name][i] for i in range(len(QUINTILES))] for name in MEASURES
     }
     scored = measures.select(
-        *measures.columns,
+        *[name for name in measures.columns if name != "__cuts"],
         low_is_good(F.col("Recency"), cut["Recency"]).alias("R"),
         high_is_good(F.col("Frequency"), cut["Frequency"]).alias("F"),
         high_is_good(F.col("Monetary"), cut["Monetary"]).alias("M"),

@@ -2,25 +2,24 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerloom.operators.ordering import running_counts
+from ledgerloom.operators.skew import skew_safe_join
+
 
 def sales_rank(people: DataFrame, sales: DataFrame) -> DataFrame:
     """All columns of the people with sales, ``sale_count`` and ``sale_rank`` (fewest first).
 
-    Ranks are made over the distinct counts, not over people: n sales have at most
-    sqrt(2 n) different counts, so that table is small enough to sort in one task and
-    to broadcast.
+    A rank is one more than the people with fewer sales, from the running counts of the
+    distinct numbers of sales; the join spreads a number that very many people have.
     """
     counted = sales.groupBy(F.col("people_id").alias("id")).agg(F.count("sale").alias("sale_count"))
     ranked = people.join(counted, "id")
-    per_count = ranked.groupBy("sale_count").agg(F.count(F.lit(1)).alias("n"))
-    earlier = Window.orderBy("sale_count").rowsBetween(Window.unboundedPreceding, -1)
-    ranks = per_count.select(
-        "sale_count", (F.coalesce(F.sum("n").over(earlier), F.lit(0)) + 1).alias("sale_rank")
-    )
-    return ranked.join(F.broadcast(ranks), "sale_count").select(
+    ranks = running_counts(counted.join(people.select("id"), "id"), "sale_count", {"n": F.lit(1)})
+    ranks = ranks.select("sale_count", (F.col("n_before") + 1).alias("sale_rank"))
+    return skew_safe_join(ranked, ranks, ["sale_count"], sketch_of=counted).select(
         *people.columns, "sale_count", "sale_rank"
     )
 

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from typing import NamedTuple
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -14,36 +12,38 @@ from ledgerloom.session import reliable_checkpoint
 WINDOW = (-1, 7)
 
 
-class Links(NamedTuple):
-    """Stages of ``clean_links``."""
-
-    in_window: DataFrame
-    known_pairs: DataFrame
-    cleaned: DataFrame
-
-
-def dated_transfers(transfers: DataFrame, issues: DataFrame) -> DataFrame:
+def dated_transfers(
+    transfers: DataFrame, issues: DataFrame, senders: DataFrame | None = None
+) -> DataFrame:
     """Transfers with ``diff_time``, the days since the sender's issue date.
 
     Senders without an issue date drop out.  A sender with very many transfers is spread
-    over several tasks.
+    over several tasks; ``senders`` is a cheaper table to find such senders in.
     """
-    joined = skew_safe_join(transfers, issues, ["id_sender"])
+    joined = skew_safe_join(transfers, issues, ["id_sender"], sketch_of=senders)
     return joined.withColumn("diff_time", calendar_days(F.col("date_cred"), F.col("dates")))
 
 
-def clean_links(
-    transfers: DataFrame, issues: DataFrame, window: tuple[int, int] = WINDOW
-) -> Links:
+def inside_window(dated: DataFrame, window: tuple[int, int] = WINDOW) -> DataFrame:
+    """Transfers inside the window."""
+    return dated.filter(F.col("diff_time").between(*window))
+
+
+def known_pairs(dated: DataFrame, window: tuple[int, int] = WINDOW) -> DataFrame:
+    """Sender and receiver pairs with a transfer outside the window, each once."""
+    outside = dated.filter(~F.col("diff_time").between(*window))
+    pairs = outside.select("id_sender", "id_receiver").distinct()
+    return pairs.withColumn("flag", F.lit("known link"))
+
+
+def clean_links(dated: DataFrame, window: tuple[int, int] = WINDOW) -> DataFrame:
     """Transfers inside the window to receivers the sender never paid outside of it.
 
-    The few transfers inside the window are checkpointed: they are a result of their own
-    and the probe side of the anti join.
+    The dated transfers are checkpointed once, because both branches read them.
     """
-    dated = dated_transfers(transfers, issues)
-    inside = F.col("diff_time").between(*window)
-    in_window = reliable_checkpoint(dated.filter(inside))
-    known = dated.filter(~inside).select("id_sender", "id_receiver").distinct()
+    dated = reliable_checkpoint(dated)
+    known = known_pairs(dated, window).drop("flag")
     # One row per pair on the right; a hot pair on the left is spread.
-    cleaned = skew_safe_join(in_window, known, ["id_sender", "id_receiver"], "left_anti")
-    return Links(in_window, known.withColumn("flag", F.lit("known link")), cleaned)
+    return skew_safe_join(
+        inside_window(dated, window), known, ["id_sender", "id_receiver"], "left_anti"
+    )

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 
 
 def build_session(name: str = "ledgerloom", master: str | None = None, **conf: str) -> SparkSession:
@@ -33,7 +33,8 @@ def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 
 
-def _checkpoint_folder(spark: SparkSession) -> str:
+def checkpoint_folder(spark: SparkSession) -> str:
+    """This application's own folder below ``spark.checkpoint.dir``."""
     context = spark.sparkContext
     folder = context.getConf().get("spark.checkpoint.dir")
     folder = folder or spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
@@ -42,7 +43,20 @@ def _checkpoint_folder(spark: SparkSession) -> str:
             raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
         folder = tempfile.mkdtemp(prefix="ledgerloom-")
         context.setCheckpointDir(folder)
-    return folder
+    return f"{folder.rstrip('/')}/{context.applicationId}"
+
+
+def measured_checkpoint(df: DataFrame, *metrics: Column) -> tuple[DataFrame, str, dict]:
+    """Write ``df`` as a table of its own: the table, its path, and aggregates of its rows.
+
+    The named aggregates are read from the written table, in one job for all.  (An
+    ``Observation`` would save that job, but a session that has one can no longer
+    serialize the functions of Spark ML models.)
+    """
+    path = f"{checkpoint_folder(df.sparkSession)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    table = df.sparkSession.read.schema(df.schema).parquet(path)
+    return table, path, table.agg(*metrics).first().asDict(recursive=True) if metrics else {}
 
 
 def reliable_checkpoint(df: DataFrame) -> DataFrame:
@@ -52,6 +66,15 @@ def reliable_checkpoint(df: DataFrame) -> DataFrame:
     real size of the table.  The folder comes from ``spark.checkpoint.dir``; a temporary
     one is made only in local mode.
     """
-    path = f"{_checkpoint_folder(df.sparkSession).rstrip('/')}/table-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return measured_checkpoint(df)[0]
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a table or folder of the checkpoint folder."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def remove_checkpoints(spark: SparkSession) -> None:
+    """Delete all tables this application wrote to the checkpoint folder, at its end."""
+    remove_path(spark, checkpoint_folder(spark))

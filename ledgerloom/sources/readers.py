@@ -17,7 +17,7 @@ def read_csv(
 
 def read_domains(spark: SparkSession, path: str) -> DataFrame:
     """Headerless ``rank,domain`` list."""
-    return read_csv(spark, path, "rank INT, domain STRING", header=False)
+    return read_csv(spark, path, "rank BIGINT, domain STRING", header=False)
 
 
 def land_raw(spark: SparkSession, staged_path: str, schema: str, out_path: str) -> DataFrame:
@@ -34,13 +34,16 @@ def read_features(
     return table.drop(index_column) if index_column else table
 
 
-def query_source(spark: SparkSession, query: str, options: dict[str, str] | None = None):
-    """Result of a SQL text: on registered views, or pushed to a JDBC database.
+def query_source(
+    spark: SparkSession, query: str, options: dict[str, str] | None = None, **tables: DataFrame
+) -> DataFrame:
+    """Result of a SQL text: on the given tables, or pushed to a JDBC database.
 
-    Give connection options (url, user, ...) from your own secret store.
+    The text names a table as ``{name}``.  Give connection options (url, user, ...) from
+    your own secret store.
     """
     if options is None:
-        return spark.sql(query)
+        return spark.sql(query, **tables)
     return spark.read.format("jdbc").options(query=query, **options).load()
 
 
@@ -61,5 +64,5 @@ def page_urls(spark: SparkSession, base: str, first: int, last: int, step: int)
 
 
 def url_host(url: Column) -> Column:
-    """Host name of a URL."""
-    return F.parse_url(url, F.lit("HOST"))
+    """Host name of a URL; NULL for what is no URL."""
+    return F.try_parse_url(url, F.lit("HOST"))

@@ -151,6 +151,7 @@ def aa_events(spark: SparkSession, folder: str) -> DataFrame:
 class Payments(NamedTuple):
     transfers: DataFrame
     issues: DataFrame
+    senders: DataFrame
 
 
 def payments(spark: SparkSession, folder: str) -> Payments:
@@ -174,7 +175,8 @@ def payments(spark: SparkSession, folder: str) -> Payments:
             F.min("o_orderdate").cast("date"), (F.col("o_custkey") % 365).cast("int")
         ).alias("date_cred")
     )
-    return Payments(transfers, issues)
+    senders = orders.select(F.col("o_custkey").alias("id_sender"))
+    return Payments(transfers, issues, senders)
 
 
 def graph_transfers(spark: SparkSession, folder: str, cleaned: DataFrame) -> DataFrame:
@@ -189,7 +191,7 @@ def graph_transfers(spark: SparkSession, folder: str, cleaned: DataFrame) -> Dat
 def domains(spark: SparkSession, folder: str) -> DataFrame:
     """Ranked domain list: the host of every page."""
     return table(spark, folder, "pages").select(
-        F.col("page_id").cast("int").alias("rank"), url_host(F.col("url")).alias("domain")
+        F.col("page_id").cast("bigint").alias("rank"), url_host(F.col("url")).alias("domain")
     )
 
 

@@ -6,8 +6,15 @@ Each text is one statement over the pre-registered table views.  Shared fragment
 
 from __future__ import annotations
 
-from ledgerloom import catalog
-from ledgerloom.functions.sampling import GOLDEN_STEP, MASK32, MIX_MULTIPLIER, poisson_cuts
+import math
+
+# Sizes and parameters of the runs, stated here again.
+REPLICATES, SIMULATIONS, SAMPLE_SIZE, SEED = 1000, 1000, 1000, 7
+FIRST_COHORT, LAST_COHORT = "1996-01", "1996-12"
+PRICE_CUT = 400000.0
+LOOKUP_DOMAIN, REPORT_DATE = "m.ththth.example.net", "2023-03-03"
+# 32-bit mask, mixer multiplier, golden-ratio step.
+MASK32, MIX_MULTIPLIER, GOLDEN_STEP = 4294967295, 73244475, 2654435769
 
 ORACLES: dict[str, str] = {}
 
@@ -138,7 +145,7 @@ components AS (SELECT node, min(seen) AS component FROM reach GROUP BY node)
 
 DOMAINS = """
 domains AS (
-  SELECT page_id::INTEGER AS rank, regexp_extract(url, '^[a-z]+://([^/?#:]+)', 1) AS domain
+  SELECT page_id::BIGINT AS rank, regexp_extract(url, '^[a-z]+://([^/?#:]+)', 1) AS domain
   FROM pages)
 """
 
@@ -158,22 +165,46 @@ def mixed(source: str, name: str) -> str:
 
 
 def hashed(key: str, seed: int, name: str) -> str:
-    """Columns that hash a BIGINT key."""
+    """Columns that hash a BIGINT key to two 32-bit halves, ``name`` and ``name_b``."""
+    low, high = f"(({key})::BIGINT & {MASK32})", f"((({key})::BIGINT >> 32) & {MASK32})"
+    return ", ".join([
+        mixed(f"xor({low}, {seed}::BIGINT)", f"{name}_r1"),
+        f"xor({high}, {name}_r1) AS {name}_a",
+        mixed(f"({name}_a + {GOLDEN_STEP}) & {MASK32}", f"{name}_r2"),
+        f"xor({low}, {name}_r2) AS {name}_b",
+        mixed(f"({name}_b + {2 * GOLDEN_STEP}) & {MASK32}", f"{name}_r3"),
+        f"xor({name}_a, {name}_r3) AS {name}",
+    ])
+
+
+def drawn(hash_column: str, replicate: str, name: str) -> str:
+    """Columns with a 32-bit draw of a hashed row and a replicate."""
     return (
-        mixed(f"xor(({key})::BIGINT & {MASK32}, {seed}::BIGINT)", f"{name}_low")
-        + ", "
-        + mixed(f"xor({name}_low, (({key})::BIGINT >> 32) & {MASK32})", name)
+        mixed(f"({hash_column} + {replicate}::BIGINT * {GOLDEN_STEP}) & {MASK32}", f"{name}_u")
+        + ", " + mixed(f"xor({name}_u, {hash_column}_b)", name)
     )
 
 
-def drawn(hash_column: str, replicate: str, name: str) -> str:
-    return mixed(f"({hash_column} + {replicate}::BIGINT * {GOLDEN_STEP}) & {MASK32}", name)
+def finely(hash_column: str, draw: str, name: str) -> str:
+    """Columns that lengthen a draw to 53 bits."""
+    return (
+        mixed(f"({draw} + {hash_column}_b) & {MASK32}", f"{name}_rest")
+        + f", {draw} * 2097152 + ({name}_rest >> 11) AS {name}"
+    )
+
+
+def uniform(name: str) -> str:
+    """A hash of two halves as a double in [0, 1)."""
+    return f"(({name} * 2097152 + ({name}_b >> 11))::DOUBLE / 9007199254740992::DOUBLE)"
 
 
 def poisson(draw: str) -> str:
-    cuts = poisson_cuts()
-    cases = " ".join(f"WHEN {draw} < {cut} THEN {i}" for i, cut in enumerate(cuts))
-    return f"CASE {cases} ELSE {len(cuts)} END"
+    """Poisson(1) weight of a 32-bit draw."""
+    total, cases = 0.0, []
+    for i in range(12):
+        total += math.exp(-1) / math.factorial(i)
+        cases.append(f"WHEN {draw} < {int(total * 2**32)} THEN {i}")
+    return f"CASE {' '.join(cases)} ELSE 12 END"
 
 
 SIMPSON = "CASE WHEN i = 0 OR i = 2000 THEN 1 WHEN i % 2 = 1 THEN 4 ELSE 2 END"
@@ -274,7 +305,7 @@ boot_rows AS (
   FROM {source} WHERE {group} IN ({a}, {b})),
 boot AS (
   SELECT replicate, side, v, {drawn('h', 'replicate', 'd')}, {poisson('d')} AS w
-  FROM (SELECT side, v, h, unnest(range(1, {catalog.REPLICATES} + 1)) AS replicate FROM boot_rows))
+  FROM (SELECT side, v, h, h_b, unnest(range(1, {REPLICATES} + 1)) AS replicate FROM boot_rows))
 """
     if statistic == "mean":
         return base + """,
@@ -402,19 +433,22 @@ cohort AS (
     SELECT customer_unique_id, strftime(approved, '%Y-%m') AS month,
       min(strftime(approved, '%Y-%m')) OVER (PARTITION BY customer_unique_id) AS first_month
     FROM bought)
-  WHERE first_month BETWEEN '{catalog.COHORT_YEAR[0]}' AND '{catalog.COHORT_YEAR[1]}'
+  WHERE first_month BETWEEN '{FIRST_COHORT}' AND '{LAST_COHORT}'
   GROUP BY 1, 2),
-wide AS (
-  SELECT first_month, {", ".join(f"max(people) FILTER (months_since = {i}) AS m{i}"
-                                for i in catalog.COHORT_OFFSETS)}
-  FROM cohort GROUP BY 1),
-retained AS (SELECT *, {percent('m3', 'm0')} AS retention FROM wide)
+started AS (SELECT first_month, people AS started FROM cohort WHERE months_since = 0),
+retained AS (
+  SELECT first_month, months_since, people, {percent('people', 'started')} AS retention
+  FROM cohort JOIN started USING (first_month))
 """
 ORACLES["cohort_counts"] = with_tables(COHORT) + "SELECT * FROM cohort"
 ORACLES["cohort_retention"] = with_tables(COHORT) + "SELECT * FROM retained"
 ORACLES["best_cohort"] = with_tables(COHORT) + """
-SELECT first_month, retention FROM retained WHERE retention IS NOT NULL
+SELECT first_month, retention FROM retained WHERE months_since = 3
 ORDER BY retention DESC, first_month LIMIT 1"""
+ORACLES["purchases_by_month_of_year"] = with_tables(SHOP) + """
+SELECT year(approved)::INTEGER AS year, """ + ", ".join(
+    f"nullif(count(*) FILTER (month(approved) = {i}), 0) AS m{i}" for i in range(1, 13)
+) + " FROM bought GROUP BY 1"
 
 # --- recency, frequency, monetary -----------------------------------------------------
 
@@ -691,7 +725,7 @@ FROM ab GROUP BY 1"""
 T, C = "'Treatment'", "'Control'"
 
 
-def _ab_replicates(statistic: str, seed: int = catalog.SEED) -> str:
+def _ab_replicates(statistic: str, seed: int = SEED) -> str:
     return AB + "," + replicates_cte("ab", "value", "variant", T, C, "number", seed, statistic)
 
 
@@ -715,10 +749,10 @@ FROM (
   GROUP BY bin), summary"""
 ORACLES["outlier_cut"] = with_tables(AB) + f"""
 SELECT variant AS "experimentVariant", count(*) AS n, round(max(value), 2) AS largest
-FROM ab WHERE variant <> 'Treatment' OR value < {catalog.PRICE_CUT} GROUP BY 1"""
+FROM ab WHERE variant <> 'Treatment' OR value < {PRICE_CUT} GROUP BY 1"""
 ORACLES["ab_readout"] = with_tables(
     _ab_replicates("median", 1),
-    f"ab_cut AS (SELECT * FROM ab WHERE variant <> 'Treatment' OR value < {catalog.PRICE_CUT})",
+    f"ab_cut AS (SELECT * FROM ab WHERE variant <> 'Treatment' OR value < {PRICE_CUT})",
     "boot_z AS (SELECT avg(difference) AS mean, abs(avg(difference) / stddev_pop(difference)) AS z "
     "FROM replicates)",
     f"normal AS ({normality('ab', 'value', 'variant')})",
@@ -741,14 +775,15 @@ ORACLES["ab_readout"] = with_tables(
 def _simulation(clean: bool) -> str:
     where = "WHERE version <> 'v2.8.0'" if clean else ""
     sampled = f"""
-aa_rows AS (SELECT number, variant, purchase, {hashed('number', catalog.SEED, 'h')} FROM aa {where}),
+aa_rows AS (SELECT number, variant, purchase, {hashed('number', SEED, 'h')} FROM aa {where}),
 aa_drawn AS (
-  SELECT number, variant, purchase, replicate, {drawn('h', 'replicate', 'd')}
-  FROM (SELECT *, unnest(range(1, {catalog.SIMULATIONS} + 1)) AS replicate FROM aa_rows)),
+  SELECT number, variant, purchase, replicate, h_b, {drawn('h', 'replicate', 'd0')},
+    {finely('h', 'd0', 'd')}
+  FROM (SELECT *, unnest(range(1, {SIMULATIONS} + 1)) AS replicate FROM aa_rows)),
 sampled AS (
   SELECT * FROM aa_drawn
-  QUALIFY row_number() OVER (PARTITION BY replicate, variant ORDER BY d, number)
-    <= {catalog.SAMPLE_SIZE}),
+  QUALIFY row_number() OVER (PARTITION BY replicate, variant ORDER BY d, h_b, number)
+    <= {SAMPLE_SIZE}),
 sim_moments AS ({moments('sampled', 'purchase', 'variant', '1', '0', 'replicate')}),
 sim_t AS (SELECT *, {WELCH} FROM sim_moments),
 simulated AS (SELECT *, {t_p('t', 'df')} AS p FROM sim_t)
@@ -781,14 +816,13 @@ ORACLES["link_cleaning"] = with_tables(PAYMENTS) + "SELECT * FROM cleaned"
 
 
 def _whole(hash_column: str, low: int, high: int) -> str:
-    uniform = f"({hash_column}::DOUBLE / {MASK32 + 1}::DOUBLE)"
-    return f"(floor({uniform} * {high - low + 1}) + {low})::INTEGER"
+    return f"(floor({uniform(hash_column)} * {high - low + 1}) + {low})::INTEGER"
 
 
 ORACLES["issue_dates"] = with_tables(PAYMENTS, f"""
 senders AS (
-  SELECT id_sender, {hashed('id_sender', catalog.SEED, 'hy')},
-    {hashed('id_sender', catalog.SEED + 1, 'hm')}, {hashed('id_sender', catalog.SEED + 2, 'hd')}
+  SELECT id_sender, {hashed('id_sender', SEED, 'hy')},
+    {hashed('id_sender', SEED + 1, 'hm')}, {hashed('id_sender', SEED + 2, 'hd')}
   FROM (SELECT DISTINCT id_sender FROM all_transfers)),
 parts AS (
   SELECT id_sender, {_whole('hy', 2023, 2024)} AS y, {_whole('hm', 1, 12)} AS m,
@@ -846,12 +880,12 @@ longest AS (
 ORACLES["top_zones"] = with_tables(DOMAINS, TOP) + "SELECT * FROM top"
 ORACLES["longest_domain"] = with_tables(DOMAINS, TOP) + "SELECT * FROM longest"
 ORACLES["domain_rank"] = with_tables(DOMAINS) + f"""
-SELECT rank FROM domains WHERE domain = '{catalog.LOOKUP_DOMAIN}'"""
+SELECT rank FROM domains WHERE domain = '{LOOKUP_DOMAIN}'"""
 ORACLES["domain_report"] = with_tables(DOMAINS, TOP) + f"""
-SELECT '{catalog.REPORT_DATE}' AS ds, 'top zones' AS section, zone AS key, n::VARCHAR AS value FROM top
-UNION ALL SELECT '{catalog.REPORT_DATE}', 'longest domain', domain, len_domain::VARCHAR FROM longest
-UNION ALL SELECT '{catalog.REPORT_DATE}', 'domain rank', domain, rank::VARCHAR FROM domains
-  WHERE domain = '{catalog.LOOKUP_DOMAIN}'"""
+SELECT '{REPORT_DATE}' AS ds, 'top zones' AS section, zone AS key, n::VARCHAR AS value FROM top
+UNION ALL SELECT '{REPORT_DATE}', 'longest domain', domain, len_domain::VARCHAR FROM longest
+UNION ALL SELECT '{REPORT_DATE}', 'domain rank', domain, rank::VARCHAR FROM domains
+  WHERE domain = '{LOOKUP_DOMAIN}'"""
 ORACLES["sales_rank"] = """
 SELECT id, name, sale_count, rank() OVER (ORDER BY sale_count) AS sale_rank FROM (
   SELECT c_custkey AS id, c_name AS name, count(*) AS sale_count
@@ -979,8 +1013,8 @@ SELECT o_orderkey, month(o_orderdate)::INTEGER AS month, strftime(o_orderdate, '
   strftime(o_orderdate + INTERVAL 1 DAY, '%Y-%m-%d') AS reported
 FROM orders"""
 ORACLES["hash_uniforms"] = f"""
-SELECT (floor(h::DOUBLE / {MASK32 + 1}::DOUBLE * 20) + 1)::INTEGER AS bin, count(*) AS n
-FROM (SELECT {hashed('o_orderkey', catalog.SEED, 'h')} FROM orders) GROUP BY 1"""
+SELECT (floor({uniform('h')} * 20) + 1)::INTEGER AS bin, count(*) AS n
+FROM (SELECT {hashed('o_orderkey', SEED, 'h')} FROM orders) GROUP BY 1"""
 ORACLES["rounded_taxes"] = f"""
 SELECT l_returnflag, round(sum({even('l_extendedprice * l_tax', 1)}), 1) AS even, count(*) AS n
 FROM lineitem GROUP BY 1"""

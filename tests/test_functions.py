@@ -7,6 +7,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerloom.functions import dates, numeric, sampling, scoring, student, text
+from ledgerloom.plans import commerce
+from ledgerloom.sources import readers
 
 
 def one(spark, column, value=None, schema="v string"):
@@ -127,7 +129,25 @@ def test_draws_do_not_depend_on_partitions(spark):
     assert stats["v"] == pytest.approx(1 / 12, abs=0.002)
     assert stats["h"] < 1
     stepped = sampling.with_key_hash(few, "h", F.col("id"), 3)
-    assert stepped.filter(F.col("h") / 2.0**32 != F.col("u")).isEmpty()
+    whole = F.shiftleft("h", 21) + F.shiftright("h_b", 11)
+    assert stepped.filter(whole / 2.0**53 != F.col("u")).isEmpty()
+    assert stepped.select("h", "h_b").distinct().count() == 20_000
+
+
+def test_keys_beyond_32_bits_have_draws_of_their_own(spark):
+    """Keys that agree in one half of their hash still differ in their draws."""
+    ids = spark.range(3000).select(
+        F.explode(F.array(F.col("id"), F.col("id") + F.lit(1 << 40), -F.col("id") - 1)).alias("id")
+    )
+    hashed = sampling.with_key_hash(ids, "h", F.col("id"), 5)
+    assert hashed.select("h", "h_b").distinct().count() == 9000
+    same_half = spark.createDataFrame([(7, 1), (7, 2), (7, 3)], "h long, h_b long").crossJoin(
+        spark.range(1, 41).withColumnRenamed("id", "r")
+    )
+    drawn = sampling.with_draw(same_half, "d", "h", "r")
+    assert drawn.groupBy("r").agg(F.count_distinct("d").alias("n")).filter("n = 3").count() == 40
+    fine = sampling.with_fine_draw(drawn, "f", "d", "h")
+    assert fine.filter((F.col("f") < 0) | (F.col("f") >= F.lit(1 << 53))).isEmpty()
 
 
 def test_poisson_weights(spark):
@@ -138,3 +158,17 @@ def test_poisson_weights(spark):
     ).first()
     assert got["m"] == pytest.approx(1, abs=0.02)
     assert got["v"] == pytest.approx(1, abs=0.04)
+
+
+def test_hosts_of_what_is_no_url(spark):
+    urls = ["http://a b/c", "https://x.example.net/p?q=1", "nothing", None]
+    df = spark.createDataFrame([(u,) for u in urls], "url string")
+    assert [r[0] for r in df.select(readers.url_host(F.col("url"))).collect()] == [
+        None, "x.example.net", None, None,
+    ]
+
+
+def test_weekday_names_do_not_follow_the_locale(spark):
+    days = [F.lit(f"2024-01-0{i}").cast("timestamp_ntz") for i in range(1, 8)]
+    named = spark.range(1).select(*[dates.weekday_name(day) for day in days]).first()
+    assert tuple(named) == commerce.WEEKDAYS

@@ -26,18 +26,22 @@ def test_skew_join_equals_plain_join(spark, how):
     right = [(k, k * 10) for k in range(0, 40)] + [(7, 71)]
     a = spark.createDataFrame(left, "k int, x int")
     b = spark.createDataFrame(right, "k int, y int")
-    heavy = skew.heavy_keys(a, ["k"], one_task_rows=0)
+    heavy = skew.heavy_keys(a, ["k"])
     assert heavy and all(fan > 1 for fan in heavy.values())
-    assert len(heavy) < 4 and sum(heavy.values()) <= 8
-    got = skew.skew_safe_join(a, b, ["k"], how, one_task_rows=0)
+    assert len(heavy) < 4 and sum(heavy.values()) < 16
+    got = skew.skew_safe_join(a, b, ["k"], how)
+    assert "__salt" in got._jdf.queryExecution().analyzed().toString()
     want = a.join(b, ["k"], how)
     assert got.columns == want.columns
     assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
 
 
-def test_no_heavy_keys_in_small_tables(spark):
+def test_heavy_means_a_share_of_the_rows(spark):
     one_key = spark.createDataFrame([(1,)] * 100, "k int")
-    assert skew.heavy_keys(one_key, ["k"]) == {}
+    assert list(skew.heavy_keys(one_key, ["k"]).values()) == [4]
+    assert skew.heavy_keys(spark.range(100).withColumnRenamed("id", "k"), ["k"]) == {}
+    assert skew.heavy_keys(one_key.limit(0), ["k"]) == {}
+    assert skew.heavy_of({1: 30, 2: 26, 3: 25}, 100, 4) == {1: 2, 2: 2}
 
 
 @pytest.fixture(params=["one slice", "many slices"])
@@ -191,7 +195,6 @@ def test_bootstrap_median_outside_the_band(spark, monkeypatch):
     )
     want = resampling.bootstrap_replicates(df, "v", "g", "a", "b", F.col("k"), 8, "median", 2)
     want = rows(want)
-    monkeypatch.setattr(resampling, "BANDS", (0.01, 0.002))
     monkeypatch.setattr(resampling, "BAND_SIGMAS", 0.01)
     got = resampling.bootstrap_replicates(df, "v", "g", "a", "b", F.col("k"), 8, "median", 2)
     assert rows(got) == want
@@ -257,18 +260,17 @@ def union_find(edges):
     return {x: find(x) for x in parent}
 
 
-@pytest.mark.parametrize("salted", [False, True])
-def test_components_against_union_find(spark, monkeypatch, salted):
-    if salted:
-        monkeypatch.setattr(graph, "ONE_TASK_ROWS", 0)
-        monkeypatch.setattr(skew, "ONE_TASK_ROWS", 0)
-        monkeypatch.setattr(skew.heavy_keys, "__defaults__", (0,))
+@pytest.mark.parametrize("named", [False, True])
+def test_components_against_union_find(spark, named):
     random.seed(6)
     edges = [(i, i + 1) for i in range(60)]  # a path
     edges += [(1000, 1000 + i) for i in range(1, 300)]  # a hub with most edges
     edges += [(random.randrange(2000, 2400), random.randrange(2000, 2400)) for _ in range(200)]
     edges += [(5000, 5000)]
     df = spark.createDataFrame(edges, "src long, dst long")
+    if named:
+        edges = [(f"n{a}", f"n{b}") for a, b in edges]
+        df = spark.createDataFrame(edges, "src string, dst string")
     got = {r["node"]: r["component"] for r in graph.connected_components(df).collect()}
     assert got == union_find(edges)
 

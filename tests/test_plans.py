@@ -74,10 +74,14 @@ def test_retention(spark):
     data = [(f"{u}{m}", u, "x", f"{m}-15") for u, ms in months.items() for m in ms]
     orders = orders_of(spark, data)
     customers = customers_of(spark, [(u, u) for u in months])
-    kept = cohort.retention(cohort.cohort_counts(customers, orders), range(0, 4))
-    assert rows(kept, "first_month", "m0", "m3", "retention") == [
-        ("2017-01", 2, 1, 50.0), ("2017-02", 1, 1, 100.0),
+    kept = cohort.retention(cohort.cohort_counts(customers, orders))
+    assert rows(kept) == [
+        ("2017-01", 0, 2, 100.0), ("2017-01", 3, 1, 50.0),
+        ("2017-02", 0, 1, 100.0), ("2017-02", 3, 1, 100.0),
     ]
+    wide = cohort.retention_table(kept)
+    assert wide.columns == ["first_month", "m0", "m3"]
+    assert rows(wide) == [("2017-01", 2, 1), ("2017-02", 1, 1)]
     assert tuple(cohort.best_cohort(kept).first()) == ("2017-02", 100.0)
 
 
@@ -97,6 +101,7 @@ def test_rfm(spark):
     assert scored.filter(~F.col("R").between(1, 5) | ~F.col("M").between(1, 5)).isEmpty()
     sketched = rfm.rfm(customers, orders, items, exact=False)
     assert sketched.count() == 2
+    assert rfm.rfm(customers, orders.limit(0), items).collect() == []
 
 
 @pytest.fixture(scope="module")
@@ -160,10 +165,11 @@ def test_link_cleaning_and_graph(spark, tmp_path):
             (1, 13, day(10)), (2, 10, day(10))]
     moved = spark.createDataFrame([(*r, 5.0) for r in data], schemas.TRANSFERS)
     issues = spark.createDataFrame([(1, day(10))], schemas.ISSUE_DATES)
-    links = transfers.clean_links(moved, issues)
-    assert rows(links.cleaned, "id_sender", "id_receiver") == [(1, 10), (1, 11)]
-    assert rows(links.known_pairs, "id_receiver") == [(12,), (13,)]
-    built = transfer_graph.transfer_graph(links.cleaned)
+    dated = transfers.dated_transfers(moved, issues)
+    cleaned = transfers.clean_links(dated)
+    assert rows(cleaned, "id_sender", "id_receiver") == [(1, 10), (1, 11)]
+    assert rows(transfers.known_pairs(dated), "id_receiver") == [(12,), (13,)]
+    built = transfer_graph.transfer_graph(cleaned)
     assert rows(built.components) == [(1, 3, 2, 10.0)]
     transfer_graph.export_graph(built, str(tmp_path))
     assert spark.read.parquet(f"{tmp_path}/edges").count() == 2
