@@ -3,27 +3,14 @@
 from __future__ import annotations
 
 from functools import reduce
+from html.entities import name2codepoint
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Named HTML entities and the text they stand for (ampersand last).
-ENTITIES = {
-    "&lt;": "<",
-    "&gt;": ">",
-    "&quot;": '"',
-    "&#39;": "'",
-    "&apos;": "'",
-    "&nbsp;": " ",
-    "&middot;": "·",
-    "&copy;": "©",
-    "&laquo;": "«",
-    "&raquo;": "»",
-    "&mdash;": "—",
-    "&ndash;": "–",
-    "&hellip;": "…",
-    "&amp;": "&",
-}
+# Named HTML entities and their code points, from the standard library's table; a
+# non-breaking space is shown as a plain one.
+ENTITIES = {**name2codepoint, "apos": 39, "nbsp": 32}
 
 WHITESPACE = " \n\t\r"
 
@@ -70,11 +57,33 @@ def decimal_comma(text: Column) -> Column:
     return F.replace(text, F.lit(","), F.lit(".")).try_cast("double")
 
 
+def _code_point(number: Column) -> Column:
+    """Character of a number; the replacement character for what is none."""
+    valid = number.between(1, 0x10FFFF) & ~number.between(0xD800, 0xDFFF)
+    shown = F.decode(F.unhex(F.lpad(F.hex(number), 8, "0")), "UTF-32")
+    return F.when(valid, shown).otherwise(F.lit("\ufffd"))
+
+
+def _entity(piece: Column) -> Column:
+    """Character of one entity; the piece itself when it is none."""
+    names = F.create_map(*[F.lit(x) for name, code in ENTITIES.items() for x in (name, chr(code))])
+    digits = F.regexp_extract(piece, r"^&#(\d{1,9});$", 1)
+    hexed = F.regexp_extract(piece, r"^&#[xX]([0-9a-fA-F]{1,8});$", 1)
+    named = F.try_element_at(names, F.regexp_extract(piece, r"^&(\w+);$", 1))
+    return (
+        F.when(digits != "", _code_point(digits.try_cast("bigint")))
+        .when(hexed != "", _code_point(F.conv(hexed, 16, 10).cast("bigint")))
+        .otherwise(F.coalesce(named, piece))
+    )
+
+
 def decode_entities(text: Column) -> Column:
-    """Replace the named HTML entities by their characters."""
-    return reduce(
-        lambda acc, pair: F.replace(acc, F.lit(pair[0]), F.lit(pair[1])), ENTITIES.items(), text
+    """Replace HTML entities, named and numeric, by their characters, each once."""
+    pieces = F.regexp_extract_all(text, F.lit(r"(?s)&#?\w+;|[^&]+|&"), F.lit(0))
+    decoded = F.transform(
+        pieces, lambda piece: F.when(piece.startswith("&"), _entity(piece)).otherwise(piece)
     )
+    return F.when(F.contains(text, F.lit("&")), F.array_join(decoded, "")).otherwise(text)
 
 
 def find_all(text: Column, pattern: str, group: int = 1) -> Column:

@@ -1,7 +1,10 @@
-"""Tables from HTML pages with built-in regular expressions.
+"""Tables from HTML pages, cut into tags and texts by one regular expression.
 
-An element runs from its start tag to the first end tag of the same name.  Scripts,
-styles and comments are removed first, so markup inside them is never matched.
+A page becomes an array of tokens: tags and the texts between them.  An element runs from
+its start tag to the end tag that matches it, counting nested elements of the same name;
+paragraphs and list items that are never closed end where a browser ends them.  Names may
+have any letter case and attributes any quoting.  Scripts, styles and comments are removed
+first, so markup inside them is never matched.
 """
 
 from __future__ import annotations
@@ -11,10 +14,23 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerloom.functions.numeric import let
 from ledgerloom.functions.text import decode_entities, find_all, strip
 
-HIDDEN = r"(?s)<script.*?</script>|<style.*?</style>|<!--.*?-->"
-CLASS_ATTRIBUTE = r"""class\s*=\s*["']([^"']*)["']"""
+HIDDEN = r"(?is)<script\b.*?</script\s*>|<style\b.*?</style\s*>|<!--.*?-->"
+# A tag may hold ">" inside quotes; a "<" that starts no tag is text.
+TOKEN = (
+    r"""(?s)</?[a-zA-Z](?:[^>"']++|"[^"]*+"|'[^']*+')*+>|</?[a-zA-Z][^>]*+>|<[!?][^>]*+>|[^<]++|<"""
+)
+ATTRIBUTE = r"""(?s)([^\s"'<>/=]+)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""
+# Tags whose start or end closes an open paragraph.
+BLOCKS = (
+    "address article aside blockquote body center dd details dir div dl dt fieldset figcaption "
+    "figure footer form h1 h2 h3 h4 h5 h6 header hr html li main menu nav ol pre section table "
+    "tbody td tfoot th thead tr ul"
+).split()
+# Tags that hold list items.
+LISTS = ("ul", "ol", "menu", "dir")
 
 
 def visible(html: Column) -> Column:
@@ -22,53 +38,152 @@ def visible(html: Column) -> Column:
     return F.regexp_replace(html, HIDDEN, " ")
 
 
-def inner_text(markup: Column) -> Column:
-    """Text of a markup fragment: tags dropped, entities decoded, ends trimmed."""
-    return strip(decode_entities(F.regexp_replace(markup, "<[^>]*>", "")))
+def tokens(html: Column) -> Column:
+    """Tags and texts of a page in order."""
+    return find_all(html, TOKEN, 0)
 
 
-def _whole_elements(html: Column, tag: str, attributes: str = r"(?:|\s[^>]*)") -> Column:
-    """Markup of all elements of a tag, in page order, found in one pass."""
-    return find_all(html, rf"(?s)<{tag}{attributes}>.*?</{tag}>", 0)
+def _tag_name(token: Column) -> Column:
+    """``name`` of a start tag, ``/name`` of an end tag, empty for a text."""
+    return F.lower(F.regexp_extract(token, r"^<(/?[a-zA-Z][^\s/>]*)", 1))
 
 
-def _class_of(element: Column) -> Column:
-    """Class attribute of the element's start tag; empty when it has none."""
-    start = F.regexp_extract(element, "(?s)^<[^>]*>", 0)
-    return strip(F.regexp_extract(start, CLASS_ATTRIBUTE, 1))
+def attribute(tag: Column, name: str) -> Column:
+    """Decoded value of an attribute of a start tag; NULL when it has none."""
+    names = F.transform(find_all(tag, ATTRIBUTE, 1), F.lower)
+    values = find_all(tag, ATTRIBUTE, 2)
 
+    def value_at(place: Column) -> Column:
+        value = F.element_at(values, place.cast("int"))
+        return decode_entities(F.regexp_replace(value, r"""(?s)^(["'])(.*)\1$""", "$2"))
 
-def element_texts(html: Column, tag: str, class_name: str | None = None) -> Column:
-    """Texts of the elements ``tag`` in page order, as an array.
+    return let(
+        F.array_position(names, name), lambda place: F.when(place > 0, value_at(place))
+    )
+
+
+def _marks(pieces: Column, tag: str) -> Column:
+    """(place, step) of the tags that open or close elements ``tag``, in order.
 
-    ``class_name`` None takes every element, an empty text those without a class (or an
-    empty one), several words the exact attribute, one word any element that has it.
+    ``step`` is 1 for its start tag and -1 for its end tag; for list items 2 and -2 are
+    starts and ends of lists; for paragraphs -1 is anything that closes one.
+    """
+    def step(name: Column) -> Column:
+        choice = F.when(name == tag, 1).when(name == f"/{tag}", -1)
+        if tag == "li":
+            choice = choice.when(name.isin(list(LISTS)), 2)
+            choice = choice.when(name.isin([f"/{x}" for x in LISTS]), -2)
+        if tag == "p":
+            closers = [*BLOCKS, *[f"/{x}" for x in BLOCKS]]
+            choice = choice.when(name.isin(closers), -1)
+        return choice
+
+    marked = F.transform(
+        pieces,
+        lambda token, i: let(
+            step(_tag_name(token)),
+            lambda s: F.when(s.isNotNull(), F.struct(i.alias("place"), s.alias("step"))),
+        ),
+    )
+    return F.array_compact(marked)
+
+
+def _end(marks: Column, own: Column, tag: str, last: Column) -> Column:
+    """Place of the token that ends the element whose start tag is mark number ``own``."""
+    rest = F.slice(marks, own + 2, F.size(marks))
+    if tag == "p":  # never holds another; any mark ends it
+        return F.coalesce(F.get(rest, F.lit(0))["place"], last)
+    closes_at_peer = tag == "li"
+
+    def follow(state: Column, mark: Column) -> Column:
+        """Depth of nested elements (of nested lists for items), and the end once found."""
+        step = mark["step"]
+        if closes_at_peer:
+            depth = state["depth"] + F.when(step == 2, 1).when(step == -2, -1).otherwise(0)
+            over = (depth < 0) | ((depth == 0) & step.isin(1, -1))
+        else:
+            depth = state["depth"] + step
+            over = depth < 0
+        return F.when(state["end"].isNotNull(), state).otherwise(
+            F.struct(depth.alias("depth"), F.when(over, mark["place"]).alias("end"))
+        )
+
+    start = F.struct(F.lit(0).alias("depth"), F.lit(None).cast("int").alias("end"))
+    return F.coalesce(F.aggregate(rest, start, follow)["end"], last)
+
+
+def _text(pieces: Column, start: Column, end: Column) -> Column:
+    """Decoded text between two tokens, ends trimmed."""
+    between = F.slice(pieces, start + 2, F.greatest(end - start - 1, F.lit(0)))
+    texts = F.filter(between, lambda token: ~token.rlike(r"^<[/!?a-zA-Z]"))
+    return strip(decode_entities(F.array_join(texts, "")))
+
+
+def found_elements(html: Column, tag: str) -> Column:
+    """Array of (start, text) of the elements ``tag`` in page order: start tag and text."""
+
+    def of_page(pieces: Column) -> Column:
+        def of_marks(marks: Column) -> Column:
+            elements = F.transform(
+                marks,
+                lambda mark, own: F.when(
+                    mark["step"] == 1,
+                    F.struct(
+                        F.element_at(pieces, mark["place"] + 1).alias("start"),
+                        _text(
+                            pieces, mark["place"], _end(marks, own, tag, F.size(pieces))
+                        ).alias("text"),
+                    ),
+                ),
+            )
+            return F.array_compact(elements)
+
+        return let(_marks(pieces, tag), of_marks)
+
+    return let(tokens(html), of_page)
+
+
+def _class_of(start: Column) -> Column:
+    """Class attribute of a start tag; empty when it has none."""
+    return strip(F.coalesce(attribute(start, "class"), F.lit("")))
+
+
+def _with_class(start: Column, class_name: str) -> Column:
+    """Whether a start tag has the class.
+
+    An empty text stands for no (or an empty) class, several words for the exact
+    attribute, one word for any element that has it among others.
     """
+    if class_name == "" or " " in class_name:
+        return _class_of(start) == class_name
+    return F.array_contains(F.split(_class_of(start), r"\s+"), class_name)
 
-    def wanted(element: Column) -> Column:
-        classes = _class_of(element)
-        if class_name == "" or " " in class_name:
-            return classes == class_name
-        return F.array_contains(F.split(classes, r"\s+"), class_name)
 
-    found = _whole_elements(html, tag)
+def element_texts(html: Column, tag: str, class_name: str | None = None) -> Column:
+    """Texts of the elements ``tag`` in page order, as an array; None takes every class."""
+    found = found_elements(html, tag)
     if class_name is not None:
-        found = F.filter(found, wanted)
-    return F.transform(found, inner_text)
+        found = F.filter(found, lambda element: _with_class(element["start"], class_name))
+    return F.transform(found, lambda element: element["text"])
 
 
 def link_pairs(html: Column, class_name: str | None = None) -> Column:
     """Targets and titles of the ``<a href>`` elements in page order: array of (link, title)."""
-    found = _whole_elements(html, "a", r'\s[^>]*href="[^>]*')
-    if class_name is not None:
-        found = F.filter(found, lambda element: _class_of(element) == class_name)
-    return F.transform(
-        found,
+    found = F.transform(
+        found_elements(html, "a"),
         lambda element: F.struct(
-            decode_entities(F.regexp_extract(element, r'\shref="([^"]*)"', 1)).alias("link"),
-            inner_text(element).alias("title"),
+            attribute(element["start"], "href").alias("link"),
+            element["text"].alias("title"),
+            _class_of(element["start"]).alias("class"),
         ),
     )
+    wanted = lambda link: link["link"].isNotNull() & (
+        F.lit(True) if class_name is None else link["class"] == class_name
+    )
+    return F.transform(
+        F.filter(found, wanted),
+        lambda link: F.struct(link["link"].alias("link"), link["title"].alias("title")),
+    )
 
 
 def elements(pages: DataFrame, tag: str, class_name: str | None = None) -> DataFrame:

@@ -894,60 +894,86 @@ ORACLES["name_parts"] = """
 SELECT p_partkey, split_part(p_name, ' ', 2) AS first_name, split_part(p_name, ' ', 1) AS last_name,
   split_part(p_name, ' ', 3) AS patronymic FROM part"""
 
-SHOWN = """
+# Pages are cut at every "<" here, and an element ends at the first later piece that closes
+# it: found by joining starts to ends, where the queries scan token arrays.
+BLOCK_TAGS = (
+    "address article aside blockquote body center dd details dir div dl dt fieldset figcaption "
+    "figure footer form h1 h2 h3 h4 h5 h6 header hr html li main menu nav ol pre section table "
+    "tbody td tfoot th thead tr ul"
+).split()
+PIECES = r"""
 shown AS (
   SELECT page_id, regexp_replace(html,
-    '(?s)<script.*?</script>|<style.*?</style>|<!--.*?-->', ' ', 'g') AS html FROM pages)
+    '(?is)<script.*?</script>|<style.*?</style>|<!--.*?-->', ' ', 'g') AS html FROM pages),
+cut AS (
+  SELECT page_id, unnest(string_split(html, '<')) AS piece,
+    generate_subscripts(string_split(html, '<'), 1) AS i FROM shown),
+pieces AS (
+  SELECT page_id, i, lower(regexp_extract(piece, '^(/?[a-zA-Z][^\s/>]*)', 1)) AS name,
+    CASE WHEN i = 1 THEN '' ELSE substr(piece, 1, strpos(piece, '>')) END AS tag,
+    CASE WHEN i = 1 THEN piece ELSE substr(piece, strpos(piece, '>') + 1) END AS text
+  FROM cut)
 """
 
 
-def plain(markup: str) -> str:
-    """Text of a markup fragment."""
-    text = f"regexp_replace({markup}, '<[^>]*>', '', 'g')"
+def plain(text: str) -> str:
+    """Decoded and trimmed text; the entities are those that the tables hold."""
     for entity, character in (
-        ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "''"), ("&apos;", "''"),
-        ("&nbsp;", " "), ("&middot;", "·"), ("&copy;", "©"), ("&laquo;", "«"), ("&raquo;", "»"),
-        ("&mdash;", "—"), ("&ndash;", "–"), ("&hellip;", "…"), ("&amp;", "&"),
+        ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "''"), ("&nbsp;", " "),
+        ("&middot;", "·"), ("&copy;", "©"), ("&amp;", "&"),
     ):
         text = f"replace({text}, '{entity}', '{character}')"
     return f"trim({text}, E' \\n\\t\\r')"
 
 
 def elements(tag: str, name: str, condition: str = "true") -> str:
-    """``name(page_id, position, text)`` of the elements that meet a condition on ``attributes``."""
-    pattern = rf"(?s)<{tag}(|\s[^>]*)>(.*?)</{tag}>"
-    return rf"""
+    """``name(page_id, position, tag, text)`` of the elements that meet a condition on ``tag``."""
+    if tag == "p":
+        closers = ", ".join(f"'{x}', '/{x}'" for x in ["p", *BLOCK_TAGS])
+        ends = f"SELECT page_id, i, 0 AS depth FROM pieces WHERE name IN ({closers})"
+        starts = "SELECT page_id, i, tag, 0 AS depth FROM pieces WHERE name = 'p'"
+        closes = "true"
+    else:
+        level = (
+            f"sum(CASE name WHEN '{tag}' THEN 1 WHEN '/{tag}' THEN -1 ELSE 0 END) "
+            "OVER (PARTITION BY page_id ORDER BY i)"
+        )
+        ends = f"SELECT page_id, i, {level} AS depth FROM pieces"
+        starts = f"SELECT * FROM (SELECT page_id, i, tag, name, {level} AS depth FROM pieces) WHERE name = '{tag}'"
+        closes = "e.depth < s.depth"
+    return f"""
+{name}_starts AS ({starts}),
+{name}_ends AS ({ends}),
+{name}_spans AS (
+  SELECT s.page_id, s.i, any_value(s.tag) AS tag, coalesce(min(e.i), 1000000000) AS stop
+  FROM {name}_starts s LEFT JOIN {name}_ends e
+    ON e.page_id = s.page_id AND e.i > s.i AND {closes}
+  WHERE {condition} GROUP BY s.page_id, s.i),
 {name} AS (
-  SELECT page_id, (row_number() OVER (PARTITION BY page_id ORDER BY place) - 1)::INTEGER AS position,
-    {plain('markup')} AS text
-  FROM (SELECT page_id, unnest(regexp_extract_all(html, '{pattern}', 1)) AS attributes,
-          unnest(regexp_extract_all(html, '{pattern}', 2)) AS markup,
-          unnest(range(len(regexp_extract_all(html, '{pattern}', 2)))) AS place FROM shown)
-  WHERE {condition})
+  SELECT page_id, (row_number() OVER (PARTITION BY page_id ORDER BY i) - 1)::INTEGER AS position,
+    tag, {plain('text')} AS text
+  FROM (
+    SELECT x.page_id, x.i, any_value(x.tag) AS tag, string_agg(p.text, '' ORDER BY p.i) AS text
+    FROM {name}_spans x JOIN pieces p ON p.page_id = x.page_id AND p.i >= x.i AND p.i < x.stop
+    GROUP BY x.page_id, x.i))
 """
 
 
-NO_CLASS = "attributes NOT LIKE '%class=%'"
-AD = """attributes LIKE '%class="ad"%'"""
-ORACLES["page_titles"] = with_tables(SHOWN, elements("h1", "found")) + "SELECT * FROM found"
-ORACLES["page_paragraphs"] = (
-    with_tables(SHOWN, elements("p", "found", NO_CLASS)) + "SELECT * FROM found"
-)
-ORACLES["page_ads"] = with_tables(SHOWN, elements("div", "found", AD)) + "SELECT * FROM found"
+NO_CLASS = "s.tag NOT LIKE '%class=%'"
+AD = """s.tag LIKE '%class="ad"%'"""
+FOUND = "SELECT page_id, position, text FROM found"
+ORACLES["page_titles"] = with_tables(PIECES, elements("h1", "found")) + FOUND
+ORACLES["page_paragraphs"] = with_tables(PIECES, elements("p", "found", NO_CLASS)) + FOUND
+ORACLES["page_ads"] = with_tables(PIECES, elements("div", "found", AD)) + FOUND
 
-LINKS = rf"""
+LINKS = elements("a", "anchors", "s.tag LIKE '%href=%'") + r""",
 links_found AS (
-  SELECT page_id, (row_number() OVER (PARTITION BY page_id ORDER BY place) - 1)::INTEGER AS position,
-    regexp_extract(attributes, '\shref="([^"]*)"', 1) AS link, {plain('markup')} AS title
-  FROM (SELECT page_id, unnest(regexp_extract_all(html, '(?s)<a(\s[^>]*)>(.*?)</a>', 1)) AS attributes,
-          unnest(regexp_extract_all(html, '(?s)<a(\s[^>]*)>(.*?)</a>', 2)) AS markup,
-          unnest(range(len(regexp_extract_all(html, '(?s)<a(\s[^>]*)>(.*?)</a>', 2)))) AS place
-        FROM shown)
-  WHERE attributes LIKE '%href="%')
+  SELECT page_id, position, regexp_extract(tag, 'href="([^"]*)"', 1) AS link, text AS title
+  FROM anchors)
 """
-ORACLES["page_links"] = with_tables(SHOWN, LINKS) + "SELECT * FROM links_found"
+ORACLES["page_links"] = with_tables(PIECES, LINKS) + "SELECT * FROM links_found"
 ORACLES["page_records"] = with_tables(
-    SHOWN,
+    PIECES,
     elements("h1", "titles"),
     elements("li", "items", NO_CLASS),
     elements("div", "ads", AD),
@@ -958,11 +984,11 @@ FROM titles t FULL JOIN items i USING (page_id, position) FULL JOIN ads a USING
   FULL JOIN infos p USING (page_id, position)
 WHERE position < 14"""
 ORACLES["page_pairs"] = with_tables(
-    SHOWN, elements("li", "items", NO_CLASS), elements("p", "infos", NO_CLASS)
+    PIECES, elements("li", "items", NO_CLASS), elements("p", "infos", NO_CLASS)
 ) + """
 SELECT page_id, position, i.text AS item, p.text AS info
 FROM items i JOIN infos p USING (page_id, position)"""
-ORACLES["page_result_message"] = with_tables(SHOWN, LINKS) + """
+ORACLES["page_result_message"] = with_tables(PIECES, LINKS) + """
 SELECT page_id, coalesce(n, 0)::INTEGER AS n_found,
   CASE WHEN coalesce(n, 0) = 0 THEN 'nothing found' WHEN n = 1 THEN 'found: ' || link
        ELSE 'more than one result found' END AS message

@@ -316,6 +316,30 @@ def test_elements_by_class(spark):
     assert rows(records, "position", "job", "info") == [(0, "One & only", "i1"), (1, "Two bold", "i2")]
 
 
+@pytest.mark.parametrize("html,where,want", [
+    ("<H1>Hi</H1>", ("h1",), ["Hi"]),
+    ('<div class="ad">a<div>b</div>c</div>', ("div", "ad"), ["abc"]),
+    ('<div class="x">a<div class="ad">b</div>c</div>', ("div", "ad"), ["b"]),
+    ('<div data-class="q" class=z>k</div>', ("div", "q"), []),
+    ('<div data-class="q" class=z>k</div>', ("div", "z"), ["k"]),
+    ("<div title='class=\"z\" >' CLASS = 'z y'>k</div>", ("div", "z"), ["k"]),
+    ('<p>one<p>two</p>three<p class=">">four<div>x</div>', ("p",), ["one", "two", "four"]),
+    ("<ul><li>a<li>b<ul><li>c</ul>d<li>e</ul>", ("li",), ["a", "bcd", "c", "e"]),
+    ("<p>&#1078;&#x41;&eacute;&amp;lt;&bogus;&#0; & 1<2", ("p",), ["жAé&lt;&bogus;\ufffd & 1<2"]),
+    ("no element", ("p",), []), (None, ("p",), []), ("", ("p",), []),
+])
+def test_elements_as_a_parser_gives_them(spark, html, where, want):
+    page = spark.createDataFrame([(1, html)], "page_id int, html string")
+    assert [r["text"] for r in pages.elements(page, *where).collect()] == want
+
+
+def test_links_of_every_quoting(spark):
+    html = "<a href='/x'>1</a><A HREF=\"/z\">2</A><a href=/q class='k l'>3</a><a name=n>4</a>"
+    page = spark.createDataFrame([(1, html)], "page_id int, html string")
+    assert rows(pages.links(page), "link", "title") == [("/q", "3"), ("/x", "1"), ("/z", "2")]
+    assert rows(pages.links(page, "k l"), "position", "link") == [(0, "/q")]
+
+
 def test_ragged_rows(spark):
     df = spark.createDataFrame([(1, [1, 2, 3], ["x"])], "k int, a array<int>, b array<string>")
     padded = pages.ragged_rows(df, "k", ["a", "b"]).collect()
