@@ -80,10 +80,3 @@ def normal_tail(z: Column) -> Column:
         return F.when(x >= 0, upper).otherwise(F.lit(1.0) - upper)
 
     return let(z, signed)
-
-
-def normal_cdf(x: Column, mean: Column | float = 0.0, sd: Column | float = 1.0) -> Column:
-    """P(X <= x) for a normal X."""
-    mean = F.lit(mean) if isinstance(mean, (int, float)) else mean
-    sd = F.lit(sd) if isinstance(sd, (int, float)) else sd
-    return normal_tail(-ratio(x - mean, sd))

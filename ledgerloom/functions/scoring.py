@@ -7,14 +7,13 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# First two digits (recency, frequency) of the codes of each customer
-# segment; the last digit is 1 to 5.
+# Recency and frequency scores of each customer segment; money counts for none.
 SEGMENTS = {
-    "Одноразовые": (11, 21, 31),
-    "Ушедшие": (15, 25, 35),
-    "Недавние": (41,),
-    "Потенциально - постоянные": (45, 55),
-    "Новенькие": (51,),
+    "Одноразовые": ((1, 2, 3), 1),
+    "Ушедшие": ((1, 2, 3), 5),
+    "Недавние": ((4,), 1),
+    "Потенциально - постоянные": ((4, 5), 5),
+    "Новенькие": ((5,), 1),
 }
 
 # Line widths of a drawn edge by amount class, thinnest first.
@@ -42,13 +41,12 @@ def high_is_good(value: Column, cuts: Sequence[Column]) -> Column:
     return step_score(value, cuts, (1, 2, 3, 4, 5))
 
 
-def segment_name(code: Column) -> Column:
-    """Customer segment of a three-digit code; NULL for codes no segment covers."""
-    names = F.create_map(
-        *[F.lit(x) for name, starts in SEGMENTS.items() for start in starts for x in (start, name)]
-    )
-    start = F.floor(code / 10).cast("int")
-    return F.when((code % 10).between(1, 5), F.try_element_at(names, start))
+def segment_name(recency: Column, frequency: Column) -> Column:
+    """Customer segment of two scores; NULL for scores no segment covers."""
+    name = F.lit(None).cast("string")
+    for segment, (recencies, own) in SEGMENTS.items():
+        name = F.when(recency.isin(list(recencies)) & (frequency == own), segment).otherwise(name)
+    return name
 
 
 def verdict(p_value: Column, alpha: float = 0.05) -> Column:

@@ -52,10 +52,13 @@ def fit_forest(
     features: Sequence[str],
     target: str,
     trees: int = 100,
-    max_depth: int = 10,
+    max_depth: int = 30,
     seed: int = 1,
 ) -> PipelineModel:
-    """Random forest on numeric features and a text target."""
+    """Random forest on numeric or vector features and a text target.
+
+    Trees grow until their leaves are pure; 30 is the largest depth that Spark ML takes.
+    """
     stages = [
         StringIndexer(inputCol=target, outputCol="__label", stringOrderType="alphabetAsc"),
         VectorAssembler(inputCols=list(features), outputCol="__features"),

@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.functions.dates import days_in_month, month_label, weekday_name
+from ledgerloom.functions.dates import month_label, weekday_name, weeks_in_month
 from ledgerloom.operators.aggregates import mean_of_counts, top_value_per_key, value_counts
 from ledgerloom.operators.skew import skew_safe_join
 
@@ -137,7 +137,7 @@ def purchases_per_week(customers: DataFrame, bought: DataFrame, leap: bool = Tru
         .groupBy("customer_unique_id", "start")
         .agg(F.sum("n").alias("purchases"))
     )
-    weeks = days_in_month(F.col("start"), leap) / F.lit(7.0)
+    weeks = weeks_in_month(F.col("start"), leap)
     return per_person.select(
         "customer_unique_id",
         month_label(F.col("start")).alias("month"),

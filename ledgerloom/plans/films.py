@@ -10,22 +10,22 @@ from ledgerloom.functions.text import nth_part, remove
 
 
 def clean_films(raw: DataFrame) -> DataFrame:
-    """``names_film, raiting, janre, director`` texts to title, year, director, actors, rating.
+    """``heading, rating, genre, credits`` texts to title, year, director, actors, rating.
 
     The heading is ``number / title / year`` on three lines; the credits hold the
     directors up to "Stars" and the actors after "Stars:".  Of the heading "Directors"
     only the plural ``s`` goes, never a letter of a name.  Missing parts are NULL.
     """
-    credits = F.col("director")
-    directors = F.regexp_replace(nth_part(credits, "Stars", 1), "Directors?", "")
+    people = F.col("credits")
+    directors = F.regexp_replace(nth_part(people, "Stars", 1), "Directors?", "")
     return raw.select(
-        *[c for c in raw.columns if c not in ("names_film", "raiting", "janre", "director")],
-        nth_part(F.col("names_film"), "\n", 2).alias("title"),
-        nth_part(F.col("names_film"), "\n", 3).alias("year"),
-        F.col("janre").alias("genre"),
+        *[c for c in raw.columns if c not in ("heading", "rating", "genre", "credits")],
+        nth_part(F.col("heading"), "\n", 2).alias("title"),
+        nth_part(F.col("heading"), "\n", 3).alias("year"),
+        "genre",
         remove(directors, "\n", ":").alias("director"),
-        remove(nth_part(credits, "Stars:", 2), "\n").alias("actors"),
-        F.col("raiting").try_cast("double").alias("rating"),
+        remove(nth_part(people, "Stars:", 2), "\n").alias("actors"),
+        F.col("rating").try_cast("double").alias("rating"),
     )
 
 

@@ -78,7 +78,7 @@ def rfm_scores(measures: DataFrame, cuts: DataFrame) -> DataFrame:
         high_is_good(F.col("Monetary"), cut["Monetary"]).alias("M"),
     )
     coded = scored.withColumn("RFM", F.concat("R", "F", "M").cast("int"))
-    return coded.withColumn("segment", segment_name(F.col("RFM")))
+    return coded.withColumn("segment", segment_name(F.col("R"), F.col("F")))
 
 
 def rfm(

@@ -44,5 +44,5 @@ def transfer_graph(
 
 
 def export_graph(graph: TransferGraph, path: str) -> None:
-    """One output folder per component."""
+    """Every component in a folder of its own, shared by components of one hash."""
     write_components(graph.nodes, graph.edges, graph.components, path)

@@ -2,15 +2,23 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.operators.skew import skew_safe_join
 
 
-def write_csv(df: DataFrame, path: str, header: bool = True, one_file: bool = False) -> None:
+def write_csv(
+    df: DataFrame, path: str, header: bool = True, one_file: bool = False, sep: str = ","
+) -> None:
     """CSV with or without a header; ``one_file`` is for short reports."""
-    (df.coalesce(1) if one_file else df).write.mode("overwrite").option("header", header).csv(path)
+    writer = (df.coalesce(1) if one_file else df).write.mode("overwrite")
+    writer.option("header", header).option("sep", sep).csv(path)
+
+
+def component_folder(component: Column, folders: int) -> Column:
+    """Number of the folder that holds a component."""
+    return F.pmod(F.xxhash64(component), F.lit(folders)).cast("int")
 
 
 def write_components(
@@ -19,11 +27,14 @@ def write_components(
     totals: DataFrame,
     path: str,
     rows_per_file: int = 1_000_000,
+    folders: int = 1000,
 ) -> None:
-    """Nodes and edges of a graph, one folder per connected component.
+    """Nodes and edges of a graph, each component in one of ``folders`` folders.
 
-    A small component is one file; a giant one is written by as many tasks as its size
-    (from ``totals``: component, n_nodes, n_edges) asks for.
+    The number of folders does not grow with the number of components, and inside a folder
+    the rows are sorted, so one component is read from few row groups.  A giant component is
+    written by as many tasks as its size (from ``totals``: component, n_nodes, n_edges)
+    asks for.
     """
     for table, key, size, name in (
         (nodes, "node", "n_nodes", "nodes"), (edges, "dst", "n_edges", "edges")
@@ -32,15 +43,25 @@ def write_components(
         sized = totals.select("component", files.alias("__files"))
         (
             skew_safe_join(table, sized, ["component"])
+            .withColumn("folder", component_folder(F.col("component"), folders))
             .withColumn("__file", F.pmod(F.xxhash64(key), F.col("__files")))
-            .repartition("component", "__file")
+            .repartition("folder", "__file")
+            .sortWithinPartitions("folder", "component")
             .drop("__files", "__file")
             .write.mode("overwrite")
-            .partitionBy("component")
+            .partitionBy("folder")
             .parquet(f"{path}/{name}")
         )
 
 
+def read_component(spark: SparkSession, path: str, name: str, component, folders: int = 1000):
+    """Nodes or edges of one written component; only its folder is read."""
+    folder = component_folder(F.lit(component), folders)
+    return spark.read.parquet(f"{path}/{name}").filter(
+        (F.col("folder") == folder) & (F.col("component") == component)
+    ).drop("folder")
+
+
 def preview(df: DataFrame, rows: int = 5) -> DataFrame:
     """The first rows, for looking at a table."""
     return df.limit(rows)

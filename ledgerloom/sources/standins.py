@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from typing import NamedTuple
 
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -222,22 +223,21 @@ def film_texts(spark: SparkSession, folder: str) -> DataFrame:
         F.concat(
             text("p_partkey"), F.lit(".\n"), text("p_name"), F.lit("\n("),
             (size + 1950).cast("string"), F.lit(")"),
-        ).alias("names_film"),
+        ).alias("heading"),
         F.when(size == 13, F.lit("n/a"))
         .otherwise(F.concat((size % 10).cast("string"), F.lit(".5")))
-        .alias("raiting"),
-        text("p_type").alias("janre"),
+        .alias("rating"),
+        text("p_type").alias("genre"),
         F.concat(
             F.when(size % 2 == 0, F.lit("Directors:\n")).otherwise(F.lit("Director:\n")),
             text("p_brand"), F.lit("\nStars:\n"), text("p_name"), F.lit(",\n"), text("p_type"),
-        ).alias("director"),
+        ).alias("credits"),
     )
 
 
-def embedding_features(spark: SparkSession, folder: str, size: int = 64) -> DataFrame:
-    """Embedding vectors as numeric columns ``e0``, ``e1``, ... with a text target."""
+def embedding_features(spark: SparkSession, folder: str) -> DataFrame:
+    """Embedding vectors, whatever their length, as ``vector`` with a text target."""
+    vector = array_to_vector(F.col("embedding").cast("array<double>")).alias("vector")
     return table(spark, folder, "embeddings").select(
-        "vec_id",
-        *[F.col("embedding")[i].cast("double").alias(f"e{i}") for i in range(size)],
-        F.col("label").cast("string").alias("target"),
+        "vec_id", vector, F.col("label").cast("string").alias("target")
     )

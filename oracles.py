@@ -531,11 +531,13 @@ SELECT count(*) AS n_shared FROM customer WHERE c_mktsegment = 'MACHINERY'
 ORACLES["repaired_active"] = with_tables(TRIAL) + "SELECT student_id FROM everyone"
 ORACLES["null_profile"] = with_tables(SHOP) + " UNION ALL ".join(
     f"SELECT '{name}' AS column_name, count({column}) AS non_null, "
-    f"count(*) - count({column}) AS nulls FROM shop_orders"
-    for name, column in (
-        ("order_id", "order_id"), ("customer_id", "customer_id"), ("order_status", "order_status"),
-        ("order_approved_at", "approved"), ("order_delivered_customer_date", "delivered"),
-        ("order_estimated_delivery_date", "estimated"),
+    f"count(*) - count({column}) AS nulls, '{kind}' AS data_type FROM shop_orders"
+    for name, column, kind in (
+        ("order_id", "order_id", "bigint"), ("customer_id", "customer_id", "bigint"),
+        ("order_status", "order_status", "string"),
+        ("order_approved_at", "approved", "timestamp_ntz"),
+        ("order_delivered_customer_date", "delivered", "timestamp_ntz"),
+        ("order_estimated_delivery_date", "estimated", "timestamp_ntz"),
     )
 )
 ORACLES["key_uniqueness"] = with_tables(TRIAL) + " UNION ALL ".join(
@@ -868,6 +870,30 @@ SELECT component, src, dst, amount FROM edges JOIN components ON node = src"""
 ORACLES["component_nodes"] = with_tables(PAYMENTS, EDGES, COMPONENTS, ROLES) + """
 SELECT component, node, color, size, label FROM roles JOIN components USING (node)"""
 
+ORACLES["exported_components"] = with_tables(PAYMENTS, EDGES, COMPONENTS) + """
+SELECT component, count(*) AS n, 'nodes' AS written FROM components GROUP BY 1
+UNION ALL SELECT component, count(*), 'edges' FROM edges JOIN components ON node = src GROUP BY 1"""
+
+# --- files ----------------------------------------------------------------------------
+
+for _name in ("orders_through_csv", "orders_through_semicolons"):
+    ORACLES[_name] = """
+SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate::DATE AS day FROM orders"""
+ORACLES["domains_through_csv"] = with_tables(DOMAINS) + "SELECT rank, domain FROM domains"
+ORACLES["landed_customers"] = "SELECT c_custkey, c_name FROM customer"
+ORACLES["features_through_csv"] = "SELECT p_partkey, p_size::INTEGER AS p_size FROM part"
+ORACLES["first_orders"] = """
+SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice,
+  strftime(o_orderdate, '%d.%m.%Y %H:%M:%S') AS day
+FROM orders ORDER BY o_orderkey LIMIT 5"""
+ORACLES["orders_above_mean"] = """
+SELECT count(*) AS n FROM orders
+WHERE o_totalprice > (SELECT round(avg(o_totalprice), 4) FROM orders)"""
+ORACLES["part_names_without_letter"] = """
+SELECT p_partkey, CASE WHEN contains(p_name, 'e') THEN
+    left(p_name, strpos(p_name, 'e') - 1) || substr(p_name, strpos(p_name, 'e') + 1)
+  ELSE p_name END AS name FROM part"""
+
 # --- domains, people, pages, films ----------------------------------------------------
 
 ZONE = "regexp_extract(domain, '([^.]*)$', 1)"
@@ -988,6 +1014,9 @@ ORACLES["page_pairs"] = with_tables(
 ) + """
 SELECT page_id, position, i.text AS item, p.text AS info
 FROM items i JOIN infos p USING (page_id, position)"""
+ORACLES["page_link_items"] = with_tables(PIECES, LINKS, elements("li", "items")) + """
+SELECT page_id, position, link, i.text AS title
+FROM links_found JOIN items i USING (page_id, position)"""
 ORACLES["page_result_message"] = with_tables(PIECES, LINKS) + """
 SELECT page_id, coalesce(n, 0)::INTEGER AS n_found,
   CASE WHEN coalesce(n, 0) = 0 THEN 'nothing found' WHEN n = 1 THEN 'found: ' || link
@@ -1020,7 +1049,12 @@ SELECT l_returnflag, {even('regr_intercept(l_extendedprice, l_quantity)', 4)} AS
 ORACLES["linear_predict"] = with_tables(FIT) + f"""
 SELECT DISTINCT l_quantity AS x, {PREDICTED} AS predicted FROM lineitem, fit"""
 ORACLES["prediction_error"] = with_tables(FIT) + f"""
-SELECT {near(f'sqrt(avg(pow(l_extendedprice - {PREDICTED}, 2)))', 4)} AS rmse FROM lineitem, fit"""
+SELECT round(sqrt(avg(pow(l_extendedprice - {PREDICTED}, 2))), 4) AS rmse,
+  round(sum({even(f'pow(l_extendedprice - {PREDICTED}, 2)', 3)}), -3) AS squared_errors
+FROM lineitem, fit"""
+ORACLES["forest_predict"] = """
+SELECT label::VARCHAR AS target, label::VARCHAR AS predicted, count(*) AS n
+FROM embeddings GROUP BY ALL"""
 ORACLES["one_hot"] = "SELECT c_custkey, " + ", ".join(
     f"(c_mktsegment = '{s}')::INTEGER AS \"segment_{s}\""
     for s in ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")

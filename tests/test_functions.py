@@ -110,11 +110,11 @@ def test_scores_and_segments(spark):
     values = [1, 2, 3, 4, 5]
     assert column_of(spark, scoring.low_is_good(F.col("v"), cuts), values, "v int") == [5, 4, 3, 2, 1]
     assert column_of(spark, scoring.high_is_good(F.col("v"), cuts), values, "v int") == values
-    codes = [115, 116, 155, 355, 411, 431, 455, 511, 555, 110]
-    got = column_of(spark, scoring.segment_name(F.col("v")), codes, "v int")
-    assert got == [
+    codes = [11, 12, 15, 35, 41, 43, 45, 51, 55, 21]
+    named = scoring.segment_name(F.floor(F.col("v") / 10), F.col("v") % 10)
+    assert column_of(spark, named, codes, "v int") == [
         "Одноразовые", None, "Ушедшие", "Ушедшие", "Недавние", None,
-        "Потенциально - постоянные", "Новенькие", "Потенциально - постоянные", None,
+        "Потенциально - постоянные", "Новенькие", "Потенциально - постоянные", "Одноразовые",
     ]
 
 

@@ -173,7 +173,8 @@ def test_link_cleaning_and_graph(spark, tmp_path):
     assert rows(built.components) == [(1, 3, 2, 10.0)]
     transfer_graph.export_graph(built, str(tmp_path))
     assert spark.read.parquet(f"{tmp_path}/edges").count() == 2
-    assert spark.read.parquet(f"{tmp_path}/nodes").filter("component = 1").count() == 3
+    assert sinks.read_component(spark, str(tmp_path), "nodes", 1).count() == 3
+    assert sinks.read_component(spark, str(tmp_path), "edges", 1).count() == 2
 
 
 def test_sales_rank_and_fibonacci(spark):
@@ -208,7 +209,7 @@ def test_films(spark):
     raw = spark.createDataFrame(
         [(1, "1.\nFilm\n(1999)", "8.5", "Drama", "Directors:\nAnn\nStars:\nBob"),
          (2, "2.\nSola", "x", "Drama", "Director:\nSusan")],
-        "id int, names_film string, raiting string, janre string, director string",
+        "id int, heading string, rating string, genre string, credits string",
     )
     cleaned = films.clean_films(raw)
     assert rows(cleaned, "title", "year", "director", "actors", "rating") == [
