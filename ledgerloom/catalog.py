@@ -67,6 +67,18 @@ def purchases_per_customer(spark, folder):
     return commerce.purchases_per_customer(shop.customers, _bought(shop))
 
 
+@query
+def hot_customer_purchases(spark, folder):
+    """Purchases per state when one customer buys two thirds of everything."""
+    shop = standins.shop(spark, folder)
+    hot = F.when(F.col("order_id") % 3 != 0, F.lit(1)).otherwise(F.col("customer_id"))
+    bought = _bought(shop).withColumn("customer_id", hot)
+    joined = commerce.customer_purchases(shop.customers, bought)
+    return joined.groupBy("customer_state").agg(
+        F.count(F.lit(1)).alias("n"), F.count_distinct("order_id").alias("n_orders")
+    )
+
+
 @query
 def one_time_buyers(spark, folder):
     shop = standins.shop(spark, folder)

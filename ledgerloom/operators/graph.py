@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegralType
@@ -124,7 +126,9 @@ def _hubs(seen: dict, width: int) -> dict[int, int]:
     return heavy_of(counts, 2 * seen["links"], width)
 
 
-def _star_rounds(base: DataFrame, max_rounds: int) -> DataFrame:
+def _star_rounds(
+    base: DataFrame, max_rounds: int, report: Callable[[int], None] | None
+) -> DataFrame:
     """Numbered links to stars around the smallest node of each component.
 
     A round is one job that writes its table and one small aggregate of that table: its
@@ -143,25 +147,30 @@ def _star_rounds(base: DataFrame, max_rounds: int) -> DataFrame:
         remove_path(spark, path)
         same = all(seen[name] == new[name] for name in ("links", "print_uv", "print_vu"))
         current, path, seen = after, new_path, new
+        if report is not None:
+            report(seen["links"])
         if same:
             return current
     raise RuntimeError(f"no fixed point after {max_rounds} rounds")
 
 
-def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
+def connected_components(
+    edges: DataFrame, max_rounds: int = 60, report: Callable[[int], None] | None = None
+) -> DataFrame:
     """Weakly connected components: ``node`` and ``component`` (the smallest node of it).
 
     Alternates the large-star and small-star steps of Kiveris et al. (2014) until the
     edges are stars around the smallest node; each round writes a table to the shared
     folder.  Joins on hub nodes are salted.  Nodes that are no whole numbers
     are numbered in their own order first: minima of whole numbers are hash aggregates,
-    minima of texts would sort every round.
+    minima of texts would sort every round.  ``report`` gets the number of links after
+    each round.
     """
     named = edges.select(F.col("src").alias("u"), F.col("dst").alias("v")).dropna()
     if all(isinstance(edges.schema[end].dataType, IntegralType) for end in ("src", "dst")):
         named = reliable_checkpoint(_pointing(named))
         ends = named.select(F.explode(F.array("u", "v")).alias("node")).distinct()
-        stars = _star_rounds(named, max_rounds)
+        stars = _star_rounds(named, max_rounds, report)
         centres = stars.select(F.col("u").alias("node"), F.col("v").alias("centre"))
         return ends.join(centres, "node", "left").select(
             "node", F.coalesce("centre", "node").alias("component")
@@ -183,7 +192,7 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         )
     # Numbers keep the order of the names, so every link still points down.
     base = numbered.select(F.col("u_id").alias("u"), F.col("v_id").alias("v"))
-    stars = _star_rounds(base, max_rounds)
+    stars = _star_rounds(base, max_rounds, report)
     # A star edge is (node, centre); the centre itself has none.
     centres = stars.select(F.col("u").alias("id"), F.col("v").alias("centre"))
     labelled = numbers.join(centres, "id", "left").select(

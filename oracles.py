@@ -364,6 +364,11 @@ SELECT order_id, customer_unique_id, customer_state, order_status,
   strftime(approved, '%Y-%m') AS month FROM bought"""
 ORACLES["purchases_per_customer"] = with_tables(SHOP) + """
 SELECT customer_unique_id, count(*) AS number_orders FROM bought GROUP BY 1"""
+ORACLES["hot_customer_purchases"] = with_tables(SHOP) + """
+SELECT c_nationkey::VARCHAR AS customer_state, count(*) AS n,
+  count(DISTINCT order_id) AS n_orders
+FROM bought JOIN customer ON c_custkey = CASE WHEN order_id % 3 <> 0 THEN 1 ELSE customer_id END
+GROUP BY 1"""
 ORACLES["one_time_buyers"] = with_tables(SHOP) + """
 SELECT count(*) AS one_time_buyers FROM (
   SELECT customer_unique_id FROM bought GROUP BY 1 HAVING count(*) = 1)"""

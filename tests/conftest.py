@@ -8,22 +8,24 @@ import pytest
 
 sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 
-from ledgerloom.session import build_session  # noqa: E402
+from ledgerloom.session import build_session, remove_checkpoints  # noqa: E402
 
 SMALL = "/root/testdata/sf0.001"
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     session = build_session(
         "tests",
         "local[4]",
         spark__sql__shuffle__partitions="4",
         spark__driver__memory="4g",
         spark__ui__showConsoleProgress="false",
+        spark__checkpoint__dir=str(tmp_path_factory.mktemp("checkpoints")),
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session
+    remove_checkpoints(session)
     session.stop()
 
 

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from ledgerloom.operators import (
     aggregates, graph, models, ordering, pages, quality, resampling, skew, stats,
 )
+from ledgerloom.session import reliable_checkpoint
 
 
 def rows(df, *columns):
@@ -378,3 +379,46 @@ def test_value_counts_and_bars(spark):
     assert [tuple(r) for r in aggregates.value_counts(df, "c").collect()] == [("a", 2), ("b", 1)]
     assert rows(aggregates.category_bars(df, "c", mean_of="x")) == [("a", 2.0), ("b", 5.0)]
     assert Counter(dict(rows(aggregates.category_bars(df, "c")))) == Counter({"a": 2, "b": 1})
+
+
+def shuffles(df):
+    """Shuffles of a plan that ran."""
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return plan.split("== Initial Plan ==")[0].count("Exchange hashpartitioning")
+
+
+def test_plans_shuffle_no_more_than_they_need(spark, small):
+    from ledgerloom import catalog
+    from ledgerloom.plans import commerce, experiment
+    from ledgerloom.sources import standins
+
+    shop = standins.shop(spark, small)
+    bought = commerce.purchases(shop.orders)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        # Two sides of the join, then one per product.
+        assert shuffles(commerce.favourite_weekday(shop.items, bought)) <= 3
+        features = experiment.student_features(*standins.platform(spark, small))
+        once = experiment.platform_metrics(reliable_checkpoint(features))
+        assert shuffles(once) == 1
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    hot = catalog.QUERIES["hot_customer_purchases"](spark, small)
+    assert "__salt" in hot._jdf.queryExecution().analyzed().toString()
+
+
+def test_component_rounds_leave_one_table(spark):
+    from ledgerloom.session import checkpoint_folder
+
+    def tables():
+        path = spark._jvm.org.apache.hadoop.fs.Path(checkpoint_folder(spark))
+        files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        return len(files.listStatus(path)) if files.exists(path) else 0
+
+    rounds, before = [], tables()
+    edges = spark.range(64).select(F.col("id").alias("src"), (F.col("id") + 1).alias("dst"))
+    found = graph.connected_components(edges, report=rounds.append)
+    assert found.filter("component = 0").count() == 65
+    assert 2 <= len(rounds) <= 12
+    assert tables() - before == 2  # the edges and the last round
