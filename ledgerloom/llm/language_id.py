@@ -24,7 +24,7 @@ ORDERS = (2, 3, 4)
 BUCKETS = 1 << 16
 DIMENSIONS = 16
 # Bound of the training sample: rows per language, languages, distinct grams per row.
-ROWS_PER_LANGUAGE = 800
+ROWS_PER_LANGUAGE = 500
 MAX_LANGUAGES = 200
 GRAMS_PER_ROW = 4096
 EPOCHS = 6
