@@ -140,6 +140,79 @@ def op6_quality(spark, folder):
     )
 
 
+# Buckets and fences by the rule of ``quality_rules``, written out in SQL.
+ORACLES["op6_quality"] = r"""
+WITH word AS (
+    SELECT doc_id, lang, source, coalesce(text, '') AS text,
+        regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w
+    FROM documents
+), line AS (
+    SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM word
+), lines AS (
+    SELECT doc_id, count(*) AS n_lines, count(*) - count(DISTINCT line) AS n_dup_lines
+    FROM line WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY doc_id
+), starts AS (
+    SELECT doc_id, w, unnest(range(0, len(w) - 4)) AS i FROM word
+), windows AS (
+    SELECT doc_id, i, array_to_string(w[i + 1 : i + 5], ' ') AS words FROM starts
+), again AS (
+    SELECT doc_id, i FROM windows QUALIFY count(*) OVER (PARTITION BY doc_id, words) > 1
+), repeated AS (
+    SELECT doc_id, count(DISTINCT p) AS n_repeat_words
+    FROM (SELECT doc_id, unnest(range(i, i + 5)) AS p FROM again) GROUP BY doc_id
+), counted AS (
+    SELECT doc_id, lang, source, len(w) AS n_words,
+        coalesce(list_sum([length(x) FOR x IN w]), 0)::BIGINT AS word_chars,
+        len(regexp_extract_all(text, '[#*$%&|<>]')) AS n_symbols, coalesce(n_lines, 0) AS n_lines,
+        coalesce(n_dup_lines, 0) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words
+    FROM word LEFT JOIN lines USING (doc_id) LEFT JOIN repeated USING (doc_id)
+), judged AS (
+    SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM counted
+), value AS (
+    SELECT doc_id, lang, source, base_failed, unnest([
+        {'f': 'word_length', 'slack': 2.0::DOUBLE, 'v': coalesce(word_chars::DOUBLE / nullif(n_words, 0), 0)},
+        {'f': 'symbol_share', 'slack': 0.02::DOUBLE, 'v': coalesce(n_symbols::DOUBLE / nullif(word_chars, 0), 0)},
+        {'f': 'dup_line_share', 'slack': 0.3::DOUBLE, 'v': coalesce(n_dup_lines::DOUBLE / nullif(n_lines, 0), 0)},
+        {'f': 'repeat_share', 'slack': 0.2::DOUBLE, 'v': coalesce(n_repeat_words::DOUBLE / nullif(n_words, 0), 0)}
+    ], recursive := true)
+    FROM judged
+), bucket AS (
+    SELECT f, lang, source, ceil(ln(greatest(v, 1e-6::DOUBLE)) / ln(1.01::DOUBLE / 0.99::DOUBLE))::INTEGER AS b
+    FROM value WHERE NOT base_failed
+), ranked AS (
+    SELECT f, lang, source, g, count(*) AS n, list(b ORDER BY b) AS bs FROM (
+        SELECT f, lang, source, 1 AS g, b FROM bucket
+        UNION ALL SELECT f, lang, NULL, 2, b FROM bucket
+        UNION ALL SELECT f, NULL, NULL, 3, b FROM bucket)
+    GROUP BY f, lang, source, g
+), quantile AS (
+    SELECT f, lang, source, g, n,
+        [CASE WHEN b <= ceil(ln(1e-6::DOUBLE) / ln(1.01::DOUBLE / 0.99::DOUBLE)) THEN 0
+              ELSE pow(1.01::DOUBLE / 0.99::DOUBLE, b) * (2 / (1 + 1.01::DOUBLE / 0.99::DOUBLE)) END
+         FOR b IN [bs[ceil(0.25 * n)::INTEGER], bs[ceil(0.75 * n)::INTEGER]]] AS q
+    FROM ranked
+), fence AS (
+    SELECT p.f, p.lang, p.source,
+        CASE WHEN p.n >= 100 THEN p.q WHEN l.n >= 100 THEN l.q ELSE a.q END AS q
+    FROM quantile p
+    JOIN quantile l ON l.g = 2 AND l.f = p.f AND l.lang IS NOT DISTINCT FROM p.lang
+    JOIN quantile a ON a.g = 3 AND a.f = p.f
+    WHERE p.g = 1
+), outlier AS (
+    SELECT doc_id, string_agg(v.f, ',' ORDER BY
+        list_position(['word_length', 'symbol_share', 'dup_line_share', 'repeat_share'], v.f)) AS outliers
+    FROM value v JOIN fence ON fence.f = v.f AND fence.lang IS NOT DISTINCT FROM v.lang
+        AND fence.source IS NOT DISTINCT FROM v.source
+    WHERE v.v < q[1] - 3 * (q[2] - q[1]) - slack OR v.v > q[2] + 3 * (q[2] - q[1]) + slack
+    GROUP BY doc_id
+)
+SELECT doc_id, n_words::BIGINT AS n_words, word_chars, n_symbols::BIGINT AS n_symbols, n_dup_lines,
+    n_repeat_words, base_failed, NOT base_failed AND outliers IS NULL AS kept,
+    coalesce(outliers, '') AS outliers
+FROM judged LEFT JOIN outlier USING (doc_id)
+"""
+
+
 @query
 def op7_decontamination(spark, folder):
     benchmark = spark.read.parquet(f"{folder}/benchmark.parquet")
