@@ -20,9 +20,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.packing import (
-    PACKED, group_count, lean_memory, mixed, pack, packed_documents, packed_table, split_by, unpack,
+    PACKED, compact_checkpoint, group_count, lean_memory, mixed, pack, packed_documents,
+    packed_table, split_by, unpack,
 )
-from ledgerloom.session import reliable_checkpoint, shuffle_width
+from ledgerloom.session import shuffle_width
 
 # Words hold no white space, so this is none of them.
 END = b"\n"
@@ -251,7 +252,7 @@ def train(
         docs, id_column, text_column, group_count(docs), flag=F.coalesce(learn, F.lit(False))
     )
     asked = packed.groupBy("part").applyInArrow(_ask(buckets), PACKED)
-    counted = reliable_checkpoint(
+    counted = compact_checkpoint(
         asked.groupBy("part").applyInArrow(_count(max(filter_bytes // buckets, 1)), PACKED)
     )
     totals = [unpack(row["blob"]) for row in counted.filter(F.col("part") == _STATS).collect()]

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import ledgerloom
-from ledgerloom.session import shuffle_width
+from ledgerloom.session import reliable_checkpoint, shuffle_width
 
 PACKED = "part int, origin int, blob binary"
 PACKED_ARROW = pa.schema(
@@ -115,6 +115,14 @@ def row_groups(ids: np.ndarray, hashes: np.ndarray, groups: int) -> np.ndarray:
     return (mixed(ids.view(np.uint64) ^ mixed(hashes)) % np.uint64(groups)).astype(np.int32)
 
 
+def compact_checkpoint(df: DataFrame) -> DataFrame:
+    """A reliable checkpoint with one file per core of the session, however many partitions.
+
+    A task then writes the rows of several shuffle partitions, one after the other.
+    """
+    return reliable_checkpoint(df.coalesce(df.sparkSession.sparkContext.defaultParallelism))
+
+
 def split_by(groups: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
     """(group, row numbers) for every group that occurs."""
     order = np.argsort(groups, kind="stable")
