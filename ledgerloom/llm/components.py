@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.session import reliable_checkpoint
+from ledgerloom.llm.packing import compact_checkpoint
 
 MAX_ROUNDS = 60
 # Links contracted at once inside a task.
@@ -85,12 +85,12 @@ def smallest_reachable(links: DataFrame) -> DataFrame:
     forest; each round is then one table in the checkpoint folder and one row read back.
     """
     pairs = links.toDF("u", "v")
-    current = reliable_checkpoint(_pointing(pairs.mapInArrow(_contract, "u bigint, v bigint")))
+    current = compact_checkpoint(_pointing(pairs.mapInArrow(_contract, "u bigint, v bigint")))
     before = _fingerprint(current)
     for _ in range(MAX_ROUNDS):
         if not before[0]:
             break
-        current = reliable_checkpoint(_round(current))
+        current = compact_checkpoint(_round(current))
         after = _fingerprint(current)
         if after == before:
             break

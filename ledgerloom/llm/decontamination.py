@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.numeric import let
-from ledgerloom.session import reliable_checkpoint
+from ledgerloom.llm.packing import compact_checkpoint
 
 WINDOW_WORDS = 10
 GRAM_WORDS = 5
@@ -149,7 +149,7 @@ def find_leaks(
     as strings.  Null texts have no words, items without words have no window, null item
     ids are counted as hits but not listed, and repeated rows are judged one by one.
     """
-    items = reliable_checkpoint(
+    items = compact_checkpoint(
         benchmark.select(
             F.col(item_column).cast("string").alias("item_id"),
             words_of(F.col(item_text_column)).alias("item_words"),
@@ -158,7 +158,7 @@ def find_leaks(
         .groupBy("item_id", "item_words").agg(F.lit(1).alias("one")).drop("one")
         .withColumn("item", F.xxhash64("item_id", "item_words"))
     )
-    grams = reliable_checkpoint(_benchmark_grams(items, window, gram))
+    grams = compact_checkpoint(_benchmark_grams(items, window, gram))
     lengths = {row["length"]: row["n"] for row in
                grams.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}
     fits = sum(lengths.values()) <= broadcast_rows

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
-from ledgerloom.session import reliable_checkpoint
+from ledgerloom.llm.packing import compact_checkpoint
 
 SYMBOLS = b"#*$%&|<>"
 WINDOW_WORDS = 5
@@ -194,9 +194,9 @@ def judge(
         F.col(source_column).alias("origin"), F.col(text_column).alias("text"),
     )
     counted = with_counts(source, ["id", "language", "origin"], "text")
-    counted = reliable_checkpoint(counted.withColumn("base_failed", base_failed()))
+    counted = compact_checkpoint(counted.withColumn("base_failed", base_failed()))
     sketch = sketches(counted.filter(~F.col("base_failed")), ["language", "origin"])
-    limits = fences(reliable_checkpoint(sketch), "language", "origin")
+    limits = fences(compact_checkpoint(sketch), "language", "origin")
     limits = limits.withColumnsRenamed({"language": "of_language", "origin": "of_origin"})
     judged = counted.join(
         limits,

@@ -20,7 +20,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.components import smallest_reachable, spanning_links
-from ledgerloom.session import reliable_checkpoint, shuffle_width
+from ledgerloom.llm.packing import compact_checkpoint
+from ledgerloom.session import shuffle_width
 
 BITS = 64
 SHINGLE_WORDS = 4
@@ -253,7 +254,7 @@ def links_under_keys(keys: DataFrame, max_bits: int, block: int = KEY_BLOCK) ->
                 yield from closed(*held)
 
     dealt = keys.repartition(shuffle_width(keys.sparkSession), "bit", "rest")
-    found = reliable_checkpoint(
+    found = compact_checkpoint(
         dealt.sortWithinPartitions("bit", "rest").mapInArrow(stream, LINKS)
     )
     blocks = found.filter("block >= 0")
@@ -298,8 +299,8 @@ def near_duplicates(
     linked like any other; repeated rows and equal texts share a fingerprint.  A null id
     is never the smallest, unless a component has no other.
     """
-    prints = reliable_checkpoint(fingerprints(docs, id_column, text_column, shingle_words))
-    distinct = reliable_checkpoint(prints.groupBy("fp").agg(F.min("id").alias("least")))
+    prints = compact_checkpoint(fingerprints(docs, id_column, text_column, shingle_words))
+    distinct = compact_checkpoint(prints.groupBy("fp").agg(F.min("id").alias("least")))
     links = links_under_keys(variant_keys(distinct.select("fp"), max_bits), max_bits, block)
     roots = smallest_reachable(links)
     labelled = distinct.join(roots, distinct["fp"] == roots["node"], "left").select(
