@@ -32,7 +32,7 @@ LOW, HIGH = 0.25, 0.75
 # A value is an outlier this many middle spreads beyond the middle half, and a slack.
 SPREADS = 3.0
 # Feature -> slack added to both fences, so that a group without spread rejects no neighbour.
-SLACK = {"word_length": 2.0, "symbol_share": 0.02, "dup_line_share": 0.3, "repeat_share": 0.2}
+SLACK = {"word_length": 4.0, "symbol_share": 0.02, "dup_line_share": 0.5, "repeat_share": 0.2}
 LEAST_ROWS = 100
 
 

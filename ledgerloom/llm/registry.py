@@ -170,9 +170,9 @@ WITH word AS (
     SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM counted
 ), value AS (
     SELECT doc_id, lang, source, base_failed, unnest([
-        {'f': 'word_length', 'slack': 2.0::DOUBLE, 'v': coalesce(word_chars::DOUBLE / nullif(n_words, 0), 0)},
+        {'f': 'word_length', 'slack': 4.0::DOUBLE, 'v': coalesce(word_chars::DOUBLE / nullif(n_words, 0), 0)},
         {'f': 'symbol_share', 'slack': 0.02::DOUBLE, 'v': coalesce(n_symbols::DOUBLE / nullif(word_chars, 0), 0)},
-        {'f': 'dup_line_share', 'slack': 0.3::DOUBLE, 'v': coalesce(n_dup_lines::DOUBLE / nullif(n_lines, 0), 0)},
+        {'f': 'dup_line_share', 'slack': 0.5::DOUBLE, 'v': coalesce(n_dup_lines::DOUBLE / nullif(n_lines, 0), 0)},
         {'f': 'repeat_share', 'slack': 0.2::DOUBLE, 'v': coalesce(n_repeat_words::DOUBLE / nullif(n_words, 0), 0)}
     ], recursive := true)
     FROM judged
