@@ -300,19 +300,17 @@ def score(
         out = []
         for ids, _, cuts, flat, numbers in batches:
             before = _pairs(cuts, flat, numbers[END])
-            both, number = np.unique(before * len(words) + flat, return_inverse=True)
-            a, b = np.divmod(both, len(words))
-            bucket, keys = _bucket_and_key(pair_hashes(hashes[a], hashes[b]), buckets)
+            bucket, keys = _bucket_and_key(pair_hashes(hashes[before], hashes[flat]), buckets)
             seen = np.minimum(
-                count_of(pairs.value.levels(bucket, keys)), np.minimum(counts[a], counts[b])
+                count_of(pairs.value.levels(bucket, keys)), np.minimum(counts[before], counts[flat])
             )
-            smooth = np.log10((seen + PAIR_PRIOR * chance[b]) / (counts[a] + PAIR_PRIOR))
+            smooth = np.log10((seen + PAIR_PRIOR * chance[flat]) / (counts[before] + PAIR_PRIOR))
             add = lambda values: np.add.reduceat(values, cuts[:-1]) if len(ids) else values
             out.append(pa.RecordBatch.from_pydict({
                 "id": ids, "n_tokens": np.diff(cuts),
                 "n_known": add((counts[flat] > 0).astype(np.int64)),
                 "train_tokens": np.full(len(ids), total, np.int64),
-                "base_score": add(np.log10(chance)[flat]), "score": add(smooth[number]),
+                "base_score": add(np.log10(chance)[flat]), "score": add(smooth),
             }))
         return pa.Table.from_batches(out)
 
