@@ -116,11 +116,13 @@ def row_groups(ids: np.ndarray, hashes: np.ndarray, groups: int) -> np.ndarray:
 
 
 def compact_checkpoint(df: DataFrame) -> DataFrame:
-    """A reliable checkpoint with one file per core of the session, however many partitions.
+    """A reliable checkpoint with a file for every few shuffle partitions, at least one per core.
 
-    A task then writes the rows of several shuffle partitions, one after the other.
+    A task then writes the rows of several partitions, one after the other.
     """
-    return reliable_checkpoint(df.coalesce(df.sparkSession.sparkContext.defaultParallelism))
+    spark = df.sparkSession
+    files = max(spark.sparkContext.defaultParallelism, shuffle_width(spark) // 4)
+    return reliable_checkpoint(df.coalesce(files))
 
 
 def split_by(groups: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
