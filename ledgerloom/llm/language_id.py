@@ -27,6 +27,8 @@ DIMENSIONS = 16
 ROWS_PER_LANGUAGE = 500
 MAX_LANGUAGES = 200
 GRAMS_PER_ROW = 4096
+# Letters of a text worked on at once.
+PIECE_LETTERS = 1 << 18
 EPOCHS = 6
 LEARNING_RATE = 2.0
 CALIBRATION_SHARE = 0.25
@@ -57,20 +59,24 @@ def has_letter(text: str | None) -> bool:
     return bool(text) and any(map(str.isalpha, text))
 
 
-def gram_buckets(text: str) -> np.ndarray:
-    """Bucket of every gram of the whole text, repeats included."""
+def _marked(text: str) -> np.ndarray:
+    """Code points of the lower-cased words, with one 0 before, between and after them."""
     points = np.frombuffer(text.lower().encode("utf-32-le"), np.uint32)
     letter = _letters()[points]
     keep = letter.copy()
     keep[1:] |= letter[:-1]  # one mark after each word
     marked = np.where(letter, points, 0)[keep]
-    c = np.concatenate([np.zeros(1, np.uint32), marked, np.zeros(1, np.uint32)])
+    return np.concatenate([np.zeros(1, np.uint32), marked, np.zeros(1, np.uint32)])
+
+
+def _piece_buckets(c: np.ndarray, starts: int) -> np.ndarray:
+    """Buckets of the grams that start at the first ``starts`` places of ``c``."""
     found = []
     rolled = c.copy()
     for n in range(2, max(ORDERS) + 1):
         rolled = rolled[:-1] * np.uint32(0x01000193) ^ c[n - 1 :]
         if n in ORDERS:
-            whole = np.ones(len(rolled), bool)
+            whole = np.arange(len(rolled)) < starts
             for i in range(1, n - 1):
                 whole &= c[i : len(rolled) + i] != 0
             if n == 2:
@@ -80,9 +86,18 @@ def gram_buckets(text: str) -> np.ndarray:
     return np.concatenate(found)
 
 
+def gram_buckets(text: str) -> Iterator[np.ndarray]:
+    """Bucket of every gram of the whole text, repeats included, piece by piece."""
+    c = _marked(text)
+    for start in range(0, len(c), PIECE_LETTERS):
+        yield _piece_buckets(c[start : start + PIECE_LETTERS + max(ORDERS) - 1], PIECE_LETTERS)
+
+
 def _features(text: str) -> tuple[np.ndarray, np.ndarray]:
     """The most frequent buckets of a training text and their counts."""
-    buckets, counts = np.unique(gram_buckets(text), return_counts=True)
+    total = sum(np.bincount(piece, minlength=BUCKETS) for piece in gram_buckets(text))
+    buckets = np.flatnonzero(total)
+    counts = total[buckets]
     if len(buckets) > GRAMS_PER_ROW:
         top = np.sort(np.argsort(-counts, kind="stable")[:GRAMS_PER_ROW])
         buckets, counts = buckets[top], counts[top]
@@ -206,8 +221,11 @@ def classify(text: str | None, model: LanguageModel) -> tuple[str, float, bool]:
     """(language, calibrated probability, rejected) of a whole text."""
     if not has_letter(text) or not model.languages:
         return UNKNOWN, 0.0, True
-    buckets = gram_buckets(text)
-    logits = model.scores.take(buckets, axis=0).mean(axis=0, dtype=np.float64) + model.bias
+    total, grams = np.zeros(len(model.languages)), 0
+    for buckets in gram_buckets(text):
+        total += model.scores.take(buckets, axis=0).sum(axis=0, dtype=np.float64)
+        grams += len(buckets)
+    logits = total / grams + model.bias
     chances = _softmax(logits / model.temperature)
     best = int(chances.argmax())
     return model.languages[best], float(chances[best]), bool(chances[best] < model.threshold)

@@ -89,12 +89,13 @@ def _words(raw: bytes) -> list[bytes]:
     return raw.lower().translate(_BLANKED).split()
 
 
-def _prepare(raw: bytes) -> bytes | None:
+def _pieces(raw: bytes) -> list[tuple[int, bytes]]:
+    """The whole text as one piece, for an alignment may reach anywhere."""
     words = _words(raw)
-    return b" ".join(words) if len(words) >= GRAM_WORDS + STRETCH - 1 else None
+    return [(0, b" ".join(words))] if len(words) >= GRAM_WORDS + STRETCH - 1 else []
 
 
-def _block(texts: list[bytes], rows: list[int]) -> Block:
+def _block(texts: list[bytes], rows: list[int], before: list[int]) -> Block:
     data = b"\n".join(texts) + b"\n"
     letters = np.frombuffer(data, np.uint8)
     ends = np.flatnonzero((letters == 32) | (letters == 10))
@@ -102,10 +103,10 @@ def _block(texts: list[bytes], rows: list[int]) -> Block:
     prefix = prefix_hashes(letters.astype(np.uint64) + np.uint64(1))
     hashes = mixed(range_hashes(prefix, starts, ends - starts))
     first = np.concatenate([[0], np.flatnonzero(letters[ends] == 10) + 1])
-    return Block(data, starts, ends, hashes, first, np.array(rows))
+    return Block(data, starts, ends, hashes, first, np.array(rows), np.array(before))
 
 
-UNITS = Units(GRAM_WORDS + STRETCH - 1, GRAM_WORDS, _prepare, _block)
+UNITS = Units(GRAM_WORDS + STRETCH - 1, GRAM_WORDS, _pieces, _block)
 
 
 class TemplateIndex:
@@ -117,7 +118,7 @@ class TemplateIndex:
         for name, words in self.words.items():
             if len(words) < GRAM_WORDS + STRETCH - 1:
                 raise ValueError(f"template {name} has fewer than three words")
-            for place, value in enumerate(gram_hashes(_block([b" ".join(words)], [0]), GRAM_WORDS)):
+            for place, value in enumerate(gram_hashes(_block([b" ".join(words)], [0], [0]), GRAM_WORDS)):
                 self.grams[int(value)].append((name, place))
         self.hashes = np.sort(np.fromiter(self.grams, np.uint64, len(self.grams)))
 

@@ -9,9 +9,9 @@ their language, then that of all rows.
 from __future__ import annotations
 
 import math
-from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -36,6 +36,39 @@ SLACK = {"word_length": 4.0, "symbol_share": 0.02, "dup_line_share": 0.5, "repea
 LEAST_ROWS = 100
 
 
+class _Numbers(dict):
+    """Numbers words in the order they first come up."""
+
+    def __missing__(self, word: bytes) -> int:
+        number = self[word] = len(self)
+        return number
+
+
+def _numbered_pairs(first: np.ndarray, second: np.ndarray) -> np.ndarray:
+    """Equal pairs of numbers get equal numbers, others different ones."""
+    base = int(second.max(initial=0)) + 1
+    return np.unique(first * base + second, return_inverse=True)[1]
+
+
+def repeated_words(words: list[bytes]) -> int:
+    """Words in windows of five that occur twice or more.
+
+    Windows are numbered exactly, from words to pairs to fours to fives, in arrays.
+    """
+    if len(words) < WINDOW_WORDS:
+        return 0
+    numbers = _Numbers()
+    one = np.fromiter(map(numbers.__getitem__, words), np.int64, len(words))
+    two = _numbered_pairs(one[:-1], one[1:])
+    four = _numbered_pairs(two[:-2], two[2:])
+    five = _numbered_pairs(four[:-1], one[4:])
+    again = (np.bincount(five) > 1)[five]
+    covered = np.zeros(len(words), bool)
+    for step in range(WINDOW_WORDS):
+        covered[step : step + len(again)] |= again
+    return int(covered.sum())
+
+
 def text_counts(text: str | None) -> tuple[int, ...]:
     """The counts named in COUNTS, over the whole text; all zero for null."""
     if not text:
@@ -45,16 +78,9 @@ def text_counts(text: str | None) -> tuple[int, ...]:
     blanks = sum(data.count(space) for space in (b" ", b"\t", b"\n", b"\x0b", b"\x0c", b"\r"))
     lines = [line for line in data.split(b"\n") if line.strip()]
     symbols = sum(data.count(SYMBOLS[i : i + 1]) for i in range(len(SYMBOLS)))
-    windows = list(zip(*(words[i:] for i in range(WINDOW_WORDS))))
-    repeated = 0
-    if len(set(windows)) < len(windows):
-        times, covered = Counter(windows), 0
-        for start, window in enumerate(windows):
-            if times[window] > 1:
-                repeated += start + WINDOW_WORDS - max(start, covered)
-                covered = start + WINDOW_WORDS
     return (
-        len(words), len(text) - blanks, symbols, len(lines), len(lines) - len(set(lines)), repeated
+        len(words), len(text) - blanks, symbols, len(lines), len(lines) - len(set(lines)),
+        repeated_words(words),
     )
 
 

@@ -35,7 +35,8 @@ from ledgerloom.llm.packing import (
     row_groups, split_by, unpack,
 )
 
-# Bytes of text worked on at once; a longer document makes a block by itself.
+# Bytes of text worked on at once.  A longer document is cut into pieces that overlap by a
+# window less one unit: every window lies in one piece.
 BLOCK_BYTES = 1 << 20
 SLOT_BITS = 20
 # A gram slot is common above this part of one group's share of all grams, and never below
@@ -78,7 +79,7 @@ def range_hashes(prefix: np.ndarray, start: np.ndarray, length: np.ndarray | int
 
 @dataclass
 class Block:
-    """Units of some documents, one after the other."""
+    """Units of some documents, or pieces of them, one after the other."""
 
     data: bytes
     starts: np.ndarray  # of units in the data
@@ -86,6 +87,7 @@ class Block:
     hashes: np.ndarray  # of units
     first: np.ndarray  # first unit of each document, and the number of units
     rows: np.ndarray  # which of the given texts each document is
+    before: np.ndarray  # units of the document that stand before the piece
 
 
 @dataclass
@@ -94,25 +96,25 @@ class Units:
 
     window: int
     gram: int
-    # The bytes of a document as a block takes them, None if it holds no window.
-    prepare: Callable[[bytes], bytes | None]
-    block: Callable[[list[bytes], list[int]], Block]
+    # The pieces of a document as a block takes them, each with the units before it; none
+    # if it holds no window.
+    pieces: Callable[[bytes], list[tuple[int, bytes]]]
+    block: Callable[[list[bytes], list[int], list[int]], Block]
 
     def blocks(self, texts: pa.Array) -> Iterator[Block]:
         """Blocks of the documents that hold a window."""
-        data, rows, size = [], [], 0
+        data, rows, before, size = [], [], [], 0
         for row, text in enumerate(texts.cast(pa.binary()).to_pylist()):
-            raw = self.prepare(text or b"")
-            if raw is None:
-                continue
-            if data and size + len(raw) > BLOCK_BYTES:
-                yield self.block(data, rows)
-                data, rows, size = [], [], 0
-            data.append(raw)
-            rows.append(row)
-            size += len(raw)
+            for skipped, raw in self.pieces(text or b""):
+                if data and size + len(raw) > BLOCK_BYTES:
+                    yield self.block(data, rows, before)
+                    data, rows, before, size = [], [], [], 0
+                data.append(raw)
+                rows.append(row)
+                before.append(skipped)
+                size += len(raw)
         if data:
-            yield self.block(data, rows)
+            yield self.block(data, rows, before)
 
 
 def gram_hashes(block: Block, gram: int) -> np.ndarray:
@@ -164,7 +166,7 @@ def stretches(block: Block, units: Units, common: np.ndarray) -> Stretches:
     doc = np.searchsorted(block.first, first, side="right") - 1
     return Stretches(
         block.data, block.starts[first], block.ends[last + units.window - 1], block.rows[doc],
-        first - block.first[doc], last - first + 1, at - first, grams[at],
+        first - block.first[doc] + block.before[doc], last - first + 1, at - first, grams[at],
     )
 
 

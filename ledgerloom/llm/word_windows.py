@@ -16,9 +16,11 @@ from ledgerloom.llm.repeats import Block, Units, find_repeats, prefix_hashes, ra
 WINDOW_WORDS = 20
 GRAM_WORDS = 4
 _SPACE, _LINE = 32, 10
+# First windows of a piece of a long document.
+PIECE_WORDS = 100_000
 
 
-def _word_block(texts: list[bytes], rows: list[int]) -> Block:
+def _word_block(texts: list[bytes], rows: list[int], before: list[int]) -> Block:
     """Documents with single spaces between words, one per line (no word holds either)."""
     data = b"\n".join(texts) + b"\n"
     letters = np.frombuffer(data, np.uint8)
@@ -27,15 +29,18 @@ def _word_block(texts: list[bytes], rows: list[int]) -> Block:
     prefix = prefix_hashes(letters.astype(np.uint64) + np.uint64(1))
     hashes = mixed(range_hashes(prefix, starts, ends - starts))
     first = np.concatenate([[0], np.flatnonzero(letters[ends] == _LINE) + 1])
-    return Block(data, starts, ends, hashes, first, np.array(rows))
+    return Block(data, starts, ends, hashes, first, np.array(rows), np.array(before))
 
 
 def word_units(window: int, gram: int) -> Units:
-    def prepare(raw: bytes) -> bytes | None:
+    def pieces(raw: bytes) -> list[tuple[int, bytes]]:
         words = raw.split()  # bytes split at ASCII white space only
-        return b" ".join(words) if len(words) >= window else None
+        return [
+            (i, b" ".join(words[i : i + PIECE_WORDS + window - 1]))
+            for i in range(0, len(words) - window + 1, PIECE_WORDS)
+        ]
 
-    return Units(window, gram, prepare, _word_block)
+    return Units(window, gram, pieces, _word_block)
 
 
 def sorted_repeats(texts: list[bytes], windows: np.ndarray, window: int) -> np.ndarray:

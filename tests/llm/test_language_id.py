@@ -1,5 +1,6 @@
 """Language identification: held-out accuracy and defined results for odd texts."""
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from ledgerloom.llm import language_id
@@ -42,6 +43,13 @@ def test_without_labels(spark):
 
 
 def test_grams_stay_inside_words():
-    joined, apart = language_id.gram_buckets("ab cd"), language_id.gram_buckets("cd, AB!")
-    assert sorted(joined) == sorted(apart)
-    assert len(language_id.gram_buckets("ab")) == 3 + 2 + 1
+    grams = lambda text: np.concatenate(list(language_id.gram_buckets(text)))
+    assert sorted(grams("ab cd")) == sorted(grams("cd, AB!"))
+    assert len(grams("ab")) == 3 + 2 + 1
+
+
+def test_long_texts_go_piece_by_piece(monkeypatch):
+    text = "alpha Beta, gamma " * 50
+    whole = np.sort(np.concatenate(list(language_id.gram_buckets(text))))
+    monkeypatch.setattr(language_id, "PIECE_LETTERS", 7)
+    assert np.array_equal(whole, np.sort(np.concatenate(list(language_id.gram_buckets(text)))))

@@ -120,6 +120,31 @@ def test_suffix_sort_survives_collisions(monkeypatch, hashes):
             )
 
 
+def test_pieces_of_long_documents_hold_every_window(monkeypatch):
+    import pyarrow as pa
+
+    random.seed(12)
+    monkeypatch.setattr(suffix_sort, "PIECE_BYTES", 16)
+    monkeypatch.setattr(word_windows, "PIECE_WORDS", 7)
+    letters = [random.choice("ab ") for _ in range(300)]
+    texts = pa.array(["".join(letters), "a b c", None])
+    none = np.zeros(1 << repeats.SLOT_BITS, bool)
+    for units, whole in ((suffix_sort.byte_units(9, 3), texts[0].as_py().encode()),
+                         (word_windows.word_units(5, 2), texts[0].as_py().encode().split())):
+        found = {}
+        for block in units.blocks(texts):
+            s = repeats.stretches(block, units, none)
+            for low, high, row, start, n in zip(s.low, s.high, s.row, s.start, s.windows):
+                assert row == 0
+                piece = block.data[low:high]
+                piece = piece if isinstance(whole, bytes) else piece.split(b" ")
+                for i in range(n):
+                    assert start + i not in found
+                    found[start + i] = piece[i : i + units.window]
+        want = {i: whole[i : i + units.window] for i in range(len(whole) - units.window + 1)}
+        assert found == want
+
+
 def test_common_grams_rank_last(spark):
     """A line in every document is common; windows around it get other minimisers."""
     line = " ".join(f"w{i}" for i in range(8))
