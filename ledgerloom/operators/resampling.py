@@ -105,9 +105,9 @@ def _median_bands(samples: DataFrame) -> DataFrame:
     The rank share of a resample's median has a deviation of about 1/sqrt(n), so the band
     holds a number of rows that grows with sqrt(n) only.
     """
-    sizes = {r["__side"]: r["n"] for r in samples.groupBy("__side").agg(F.count("__v").alias("n")).collect()}
+    counted = samples.groupBy("__side").agg(F.count("__v").alias("n"))
     wanted, accuracy = {}, 10_000
-    for side, n in sizes.items():  # two sides
+    for side, n in counted.collect():  # two rows
         half = min(BAND_SIGMAS / math.sqrt(n), 0.5) if n else 0.5
         wanted[side] = (0.5 - half, 0.5 + half)
         accuracy = max(accuracy, math.ceil(10 / half))

@@ -970,7 +970,10 @@ def elements(tag: str, name: str, condition: str = "true") -> str:
             "OVER (PARTITION BY page_id ORDER BY i)"
         )
         ends = f"SELECT page_id, i, {level} AS depth FROM pieces"
-        starts = f"SELECT * FROM (SELECT page_id, i, tag, name, {level} AS depth FROM pieces) WHERE name = '{tag}'"
+        starts = (
+            f"SELECT * FROM (SELECT page_id, i, tag, name, {level} AS depth FROM pieces) "
+            f"WHERE name = '{tag}'"
+        )
         closes = "e.depth < s.depth"
     return f"""
 {name}_starts AS ({starts}),
