@@ -465,6 +465,7 @@ def _score(value: str, column: str, scores: tuple[int, ...]) -> str:
     return f"CASE {cases} ELSE {scores[4]} END"
 
 
+# Fixed values in the text: the five segment names.
 RFM = SHOP + f""",
 totals AS (SELECT l_orderkey AS order_id, sum(l_extendedprice) AS price FROM lineitem GROUP BY 1),
 per_person AS (
