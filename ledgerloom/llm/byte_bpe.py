@@ -20,8 +20,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.packing import (
-    PACKED, group_count, lean_memory, pack, packed_documents, packed_table, split_by, unpack,
+    PACKED, lean_memory, pack, packed_documents, packed_table, split_by, unpack,
 )
+from ledgerloom.session import shuffle_width
+
+# Groups of documents per shuffle partition: a group's distinct words are held in memory.
+GROUPS_PER_PARTITION = 3
 
 
 class _Numbers(dict):
@@ -56,9 +60,9 @@ def _token_bytes(raw: bytes) -> pa.Array:
     return pa.array(table, pa.large_binary())
 
 
-def _buckets(words: list[str], groups: int) -> np.ndarray:
+def _buckets(words: list[str], buckets: int) -> np.ndarray:
     hashes = (xxhash.xxh64_intdigest(word.encode()) for word in words)
-    return (np.fromiter(hashes, np.uint64, len(words)) % np.uint64(groups)).astype(np.int32)
+    return (np.fromiter(hashes, np.uint64, len(words)) % np.uint64(buckets)).astype(np.int32)
 
 
 def _list_offsets(lengths: np.ndarray) -> np.ndarray:
@@ -95,7 +99,8 @@ def encode_documents(
     The rank file is read once here and sent to the workers; its size is that of the
     vocabulary, whatever the data.
     """
-    groups = group_count(docs)
+    buckets = shuffle_width(docs.sparkSession)
+    groups = GROUPS_PER_PARTITION * buckets
     with open(ranks_path, "rb") as file:
         ranks = docs.sparkSession.sparkContext.broadcast(file.read())
     packed = packed_documents(docs, id_column, text_column, groups)
@@ -111,7 +116,7 @@ def encode_documents(
         asked = pa.array(ordered, pa.string())
         return packed_table(
             (bucket, key[0].as_py(), pack({"word": asked.take(pa.array(rows))}))
-            for bucket, rows in split_by(_buckets(ordered, groups))
+            for bucket, rows in split_by(_buckets(ordered, buckets))
         )
 
     def encode(key: tuple, table: pa.Table) -> pa.Table:
@@ -145,7 +150,7 @@ def encode_documents(
                 )
         words = list(numbers)
         order = np.array(sorted(range(len(words)), key=words.__getitem__), np.int64)
-        dealt = _buckets([words[i] for i in order], groups)
+        dealt = _buckets([words[i] for i in order], buckets)
         replies = dict(zip(answers["origin"].to_pylist(), answers["blob"].to_pylist()))
         parts, places = [pa.array([], pa.list_(pa.int32()))], [np.array([], np.int64)]
         for bucket, rows in split_by(dealt):

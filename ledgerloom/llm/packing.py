@@ -7,6 +7,7 @@ rows; only their payload is opaque to it.
 
 from __future__ import annotations
 
+import ctypes
 import os
 from collections.abc import Iterable, Iterator
 from pathlib import Path
@@ -44,12 +45,16 @@ def share_package(spark: SparkSession) -> None:
 
 
 def lean_memory() -> None:
-    """Let a worker give freed Arrow memory back; it is kept for later tasks otherwise.
+    """Let a worker give freed memory back; it is kept for later tasks otherwise.
 
     One thread, as the task has one core: every further thread would keep memory of its own.
     """
     pa.set_memory_pool(pa.system_memory_pool())
     pa.set_cpu_count(1)
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):
+        pass  # another C library: freed memory stays with the worker
 
 
 def pack(columns: dict[str, pa.Array | np.ndarray | list]) -> bytes:
