@@ -35,7 +35,7 @@ CALIBRATION_SHARE = 0.25
 # Share of rightly labelled calibration rows that the rejection threshold may cost, and
 # the confidence above which nothing is rejected.
 REJECTED_SHARE = 0.001
-HIGHEST_THRESHOLD = 0.5
+HIGHEST_THRESHOLD = 0.4
 SEED = 17
 
 
