@@ -15,6 +15,7 @@ from pathlib import Path
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,6 +33,9 @@ GROUPS_PER_PARTITION = 2
 NULL_ID = np.iinfo(np.int64).min
 
 
+_trimmed_for = [-1]
+
+
 def share_package(spark: SparkSession) -> None:
     """Let Python workers import this library from where the driver has it.
 
@@ -51,10 +55,13 @@ def lean_memory() -> None:
     """
     pa.set_memory_pool(pa.system_memory_pool())
     pa.set_cpu_count(1)
-    try:
-        ctypes.CDLL("libc.so.6").malloc_trim(0)
-    except (OSError, AttributeError):
-        pass  # another C library: freed memory stays with the worker
+    task = TaskContext.get()
+    if task is not None and task.taskAttemptId() != _trimmed_for[0]:
+        _trimmed_for[0] = task.taskAttemptId()  # once a task: new pages cost time
+        try:
+            ctypes.CDLL("libc.so.6").malloc_trim(0)
+        except (OSError, AttributeError):
+            pass  # another C library: freed memory stays with the worker
 
 
 def pack(columns: dict[str, pa.Array | np.ndarray | list]) -> bytes:
