@@ -3,9 +3,10 @@
 Training counts are gathered over all training texts: words exactly, pairs of neighbouring
 words by hash.  A pair seen c times is put into a Bloom filter once for each level from 1
 to 1 + floor(log2 c); asking for level after level until one is missing gives its count
-back, quantised.  The filter has a fixed largest size; where all pairs do not fit, it holds
-those of the highest counts.  It is broadcast, and texts are scored with a Dirichlet-
-smoothed pair model over the exact word counts.
+back, quantised.  The filter has a slice per bucket of pairs, sized by the entries found, so
+it grows with the data and holds every pair.  A slice is read where it is built, for all
+pairs that the groups of texts ask for, and their levels go back to the groups.  Texts are
+scored with a Dirichlet-smoothed pair model over the exact word counts.
 """
 
 from __future__ import annotations
@@ -30,16 +31,17 @@ END = b"\n"
 UNIT_WEIGHT = 0.1
 # Weight of the word model, in occurrences, when a pair is smoothed.
 PAIR_PRIOR = 50.0
-FILTER_BYTES = 32 << 20
 BITS_PER_ENTRY = 8
 PROBES = 5
 MAX_LEVEL = 40
 # Bits of a pair hash that are kept within a bucket.
 PAIR_BITS = 40
-_STATS, _SLICE = -1, -2
+_STATS = -1
 # What a group of texts sends to a bucket, as one row: words with their training counts,
-# and gaps between sorted pair hashes with theirs.
+# and gaps between sorted pair hashes with theirs; 0 for what only other texts hold.
 _ASKED = {"word": pa.binary(), "n": pa.int64(), "gap": pa.uint64(), "times": pa.int64()}
+# What it gets back, in the same order.
+_ANSWER = {"n": pa.int64(), "level": pa.uint8()}
 
 
 class _Numbers(dict):
@@ -81,19 +83,21 @@ def _entry_places(keys: np.ndarray, level: np.ndarray | int, size: np.ndarray |
             else (entry + np.uint64(i) * step) % size for i in range(PROBES)]
 
 
-def filter_slice(keys: np.ndarray, counts: np.ndarray, most_bytes: int) -> np.ndarray:
-    """Packed bits of the slice of one bucket, at most ``most_bytes`` long.
+def filter_slice(
+    keys: np.ndarray, counts: np.ndarray, most_bytes: int | None = None
+) -> np.ndarray:
+    """Packed bits of the slice of one bucket; it holds every pair, whatever their number.
 
-    Levels are dropped from below until the entries fit, so what is left out is rarer
-    than all that is held.
+    Only a caller that gives ``most_bytes``, as scoring does not, has levels dropped from
+    below until the entries fit.
     """
     levels = level_of(counts)
-    room = most_bytes * 8 // BITS_PER_ENTRY
-    entries = np.bincount(levels, minlength=MAX_LEVEL + 2) * np.arange(MAX_LEVEL + 2)
-    held = np.cumsum(entries[::-1])[::-1]  # entries of pairs of this level or above
-    least = int(np.argmax(held <= room))
-    keep = levels >= max(least, 1)
-    keys, levels = keys[keep], levels[keep]
+    if most_bytes is not None:
+        room = most_bytes * 8 // BITS_PER_ENTRY
+        entries = np.bincount(levels, minlength=MAX_LEVEL + 2) * np.arange(MAX_LEVEL + 2)
+        held = np.cumsum(entries[::-1])[::-1]  # entries of pairs of this level or above
+        keep = levels >= max(int(np.argmax(held <= room)), 1)
+        keys, levels = keys[keep], levels[keep]
     size = max(int(levels.sum()) * BITS_PER_ENTRY, 8)
     size = -(-size // 8) * 8
     bits = np.zeros(size, bool)
@@ -129,6 +133,21 @@ class PairFilter:
         return found
 
 
+def pair_levels(keys: np.ndarray, times: np.ndarray) -> np.ndarray:
+    """Level of every asked key, read from the slice that holds all keys with a count."""
+    order = np.argsort(keys, kind="stable")
+    keys, times = keys[order], times[order]
+    new = np.concatenate([[True], keys[1:] != keys[:-1]])[: len(keys)]
+    first = np.flatnonzero(new)
+    distinct, counts = keys[first], np.add.reduceat(times, first) if len(first) else times
+    bits = filter_slice(distinct[counts > 0], counts[counts > 0])
+    one = PairFilter(bits, np.zeros(1, np.int64), np.array([len(bits) * 8], np.uint64))
+    levels = one.levels(np.zeros(len(distinct), np.int64), distinct)
+    found = np.empty(len(keys), np.uint8)
+    found[order] = levels[np.cumsum(new) - 1]
+    return found
+
+
 def _bucket_and_key(hashes: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
     keys = hashes // np.uint64(buckets) & np.uint64((1 << PAIR_BITS) - 1)
     return (hashes % np.uint64(buckets)).astype(np.int32), keys
@@ -160,11 +179,10 @@ def _pairs(cuts: np.ndarray, flat: np.ndarray, end: int) -> np.ndarray:
 
 @dataclass
 class LanguageModel:
-    """Counts behind the scores: totals, the pair filter, and answers by group of texts."""
+    """Counts behind the scores: totals, and answers by group of texts."""
 
     train_tokens: int
     distinct_tokens: int
-    pairs: PairFilter
     answers: DataFrame
     buckets: int
 
@@ -172,13 +190,13 @@ class LanguageModel:
 def _ask(buckets: int):
     def ask(key: tuple, table: pa.Table) -> pa.Table:
         lean_memory()
-        tokens, pairs = [np.empty(0, np.int64)], [np.empty((0, 2), np.int64)]
+        tokens, pairs = [np.empty(0, np.int64)], [np.empty((0, 3), np.int64)]
         words: list[bytes] = []
         for _, flags, cuts, flat, numbers in _numbered(table):
             learned = np.repeat(flags, np.diff(cuts))
             before = _pairs(cuts, flat, numbers[END])
             tokens.append(flat[learned])
-            pairs.append(np.stack([before, flat], axis=1)[learned])
+            pairs.append(np.stack([before, flat, learned], axis=1))
             words = list(numbers)
         counts = np.bincount(np.concatenate(tokens), minlength=len(words))
         order = np.array(sorted(range(len(words)), key=words.__getitem__), np.int64)
@@ -188,8 +206,11 @@ def _ask(buckets: int):
             picked = order[own]
             asked[bucket] = {"word": [words[i] for i in picked], "n": counts[picked]}
         both = np.concatenate(pairs)
-        joined, times = np.unique(both[:, 0] * max(len(words), 1) + both[:, 1], return_counts=True)
-        before, after = np.divmod(joined, max(len(words), 1))
+        # Pairs that no training text of the group holds are asked for as well, with 0 times.
+        joined = np.sort((both[:, 0] * max(len(words), 1) + both[:, 1]) * 2 + both[:, 2])
+        first = np.flatnonzero(np.diff(joined >> 1, prepend=-1))
+        times = np.add.reduceat(joined & 1, first) if len(first) else joined
+        before, after = np.divmod(joined[first] >> 1, max(len(words), 1))
         places, keys = _bucket_and_key(pair_hashes(hashes[before], hashes[after]), buckets)
         for bucket, own in split_by(places):
             own = own[np.argsort(keys[own], kind="stable")]
@@ -205,75 +226,55 @@ def _ask(buckets: int):
     return ask
 
 
-def _count(slice_bytes: int):
-    def count_words(bucket: int, origins: list[int], asked: list[pa.RecordBatch]) -> list:
-        totals: dict[bytes, int] = {}
-        for batch in asked:
-            for word, n in zip(batch.column("word")[0].as_py(), batch.column("n")[0].as_py()):
-                totals[word] = totals.get(word, 0) + n
-        known = [n for n in totals.values() if n]
-        rows = [(_STATS, bucket, pack({"n": [sum(known)], "v": [len(known)]}))]
-        for origin, batch in zip(origins, asked):
-            n = [totals[word] for word in batch.column("word")[0].as_py()]
-            rows.append((origin, bucket, pack({"n": pa.array(n, pa.int64())})))
-        return rows
-
-    def count_pairs(bucket: int, asked: list[pa.RecordBatch]) -> list:
-        keys = np.concatenate(
-            [np.cumsum(np.asarray(b.column("gap").values), dtype=np.uint64) for b in asked]
-        )
-        times = np.concatenate([np.asarray(b.column("times").values) for b in asked])
-        order = np.argsort(keys, kind="stable")
-        keys, times = keys[order], times[order]
-        first = np.flatnonzero(np.concatenate([[len(keys) > 0], keys[1:] != keys[:-1]]))
-        bits = filter_slice(keys[first], np.add.reduceat(times, first), slice_bytes)
-        return [(_SLICE, bucket, bits.tobytes())]
-
-    def count(key: tuple, table: pa.Table) -> pa.Table:
-        lean_memory()
-        asked = [unpack(blob) for blob in table["blob"].to_pylist()]
-        words = count_words(key[0].as_py(), table["origin"].to_pylist(), asked)
-        return packed_table(words + count_pairs(key[0].as_py(), asked))
-
-    return count
+def _count(key: tuple, table: pa.Table) -> pa.Table:
+    """Totals of a bucket, and for every group the counts and levels of what it asked for."""
+    lean_memory()
+    bucket, origins = key[0].as_py(), table["origin"].to_pylist()
+    asked = [unpack(blob) for blob in table["blob"].to_pylist()]
+    totals: dict[bytes, int] = {}
+    for batch in asked:
+        for word, n in zip(batch.column("word")[0].as_py(), batch.column("n")[0].as_py()):
+            totals[word] = totals.get(word, 0) + n
+    known = [n for n in totals.values() if n]
+    gaps = [np.asarray(batch.column("gap").values) for batch in asked]
+    levels = pair_levels(
+        np.concatenate([np.cumsum(gap, dtype=np.uint64) for gap in gaps]),
+        np.concatenate([np.asarray(batch.column("times").values) for batch in asked]),
+    )
+    rows = [(_STATS, bucket, pack({"n": [sum(known)], "v": [len(known)]}))]
+    cuts = np.cumsum([len(gap) for gap in gaps])[:-1]
+    for origin, batch, level in zip(origins, asked, np.split(levels, cuts)):
+        own = {"n": [totals[word] for word in batch.column("word")[0].as_py()], "level": level}
+        rows.append((origin, bucket, pack({
+            name: pa.array([own[name]], pa.list_(kind)) for name, kind in _ANSWER.items()
+        })))
+    return packed_table(rows)
 
 
 def train(
     docs: DataFrame, learn: Column, id_column: str = "doc_id", text_column: str = "text",
-    filter_bytes: int = FILTER_BYTES,
 ) -> tuple[LanguageModel, DataFrame]:
     """The model of the texts that ``learn`` picks, and all texts packed for scoring.
 
-    The counts of words go back to the groups of texts that hold them; what reaches the
-    driver is two totals per bucket and the filter, at most ``filter_bytes`` in all.
+    The counts of words and the levels of pairs go back to the groups of texts that hold
+    them; what reaches the driver is two totals per bucket.
     """
     buckets = shuffle_width(docs.sparkSession)
     packed = packed_documents(
         docs, id_column, text_column, group_count(docs), flag=F.coalesce(learn, F.lit(False))
     )
     asked = packed.groupBy("part").applyInArrow(_ask(buckets), PACKED)
-    counted = compact_checkpoint(
-        asked.groupBy("part").applyInArrow(_count(max(filter_bytes // buckets, 1)), PACKED)
-    )
+    counted = compact_checkpoint(asked.groupBy("part").applyInArrow(_count, PACKED))
     totals = [unpack(row["blob"]) for row in counted.filter(F.col("part") == _STATS).collect()]
-    slices = {row["origin"]: np.frombuffer(row["blob"], np.uint8)
-              for row in counted.filter(F.col("part") == _SLICE).collect()}
-    none = np.empty(0, np.uint8)
-    lengths = np.array([len(slices.get(i, none)) for i in range(buckets)], np.int64)
-    pairs = PairFilter(
-        np.concatenate([slices.get(i, none) for i in range(buckets)]),
-        np.cumsum(lengths) - lengths, (lengths * 8).astype(np.uint64),
-    )
     model = LanguageModel(
         sum(t.column("n")[0].as_py() for t in totals), sum(t.column("v")[0].as_py() for t in totals),
-        pairs, counted.filter(F.col("part") >= 0), buckets,
+        counted.filter(F.col("part") >= 0), buckets,
     )
     return model, packed
 
 
 def score(
     docs: DataFrame, learn: Column, id_column: str = "doc_id", text_column: str = "text",
-    filter_bytes: int = FILTER_BYTES,
 ) -> DataFrame:
     """One row per document row: id, ``n_tokens``, ``n_known``, ``train_tokens``,
     ``base_score`` (log10, words alone) and ``score`` (log10, the pair model).
@@ -281,10 +282,9 @@ def score(
     A null or empty text is one end token.  Rows for which ``learn`` is null are scored
     but not learned from.  With nothing to learn from every token has one chance.
     """
-    model, packed = train(docs, learn, id_column, text_column, filter_bytes)
+    model, packed = train(docs, learn, id_column, text_column)
     buckets, total = model.buckets, model.train_tokens
     whole = total + UNIT_WEIGHT * (model.distinct_tokens + 1)
-    pairs = docs.sparkSession.sparkContext.broadcast(model.pairs)
 
     def scored(key: tuple, table: pa.Table, answers: pa.Table) -> pa.Table:
         lean_memory()
@@ -292,27 +292,35 @@ def score(
         words = list(batches[-1][4])
         hashes = word_hashes(words)
         order = np.array(sorted(range(len(words)), key=words.__getitem__), np.int64)
-        replies = dict(zip(answers["origin"].to_pylist(), answers["blob"].to_pylist()))
+        replies = {
+            origin: unpack(blob)
+            for origin, blob in zip(answers["origin"].to_pylist(), answers["blob"].to_pylist())
+        }
         counts = np.zeros(len(words), np.int64)
         for bucket, own in split_by((hashes[order] % np.uint64(buckets)).astype(np.int32)):
-            counts[order[own]] = np.asarray(unpack(replies[bucket]).column("n"))
+            counts[order[own]] = np.asarray(replies[bucket].column("n").values)
         chance = (counts + UNIT_WEIGHT) / whole
-        out = []
-        for ids, _, cuts, flat, numbers in batches:
-            before = _pairs(cuts, flat, numbers[END])
-            both, number = np.unique(before * len(words) + flat, return_inverse=True)
-            a, b = np.divmod(both, len(words))
-            bucket, keys = _bucket_and_key(pair_hashes(hashes[a], hashes[b]), buckets)
-            seen = np.minimum(
-                count_of(pairs.value.levels(bucket, keys)), np.minimum(counts[a], counts[b])
-            )
-            smooth = np.log10((seen + PAIR_PRIOR * chance[b]) / (counts[a] + PAIR_PRIOR))
+        before = np.concatenate([_pairs(b[2], b[3], b[4][END]) for b in batches])
+        flat = np.concatenate([b[3] for b in batches])
+        both, number = np.unique(before * len(words) + flat, return_inverse=True)
+        a, b = np.divmod(both, len(words))
+        places, keys = _bucket_and_key(pair_hashes(hashes[a], hashes[b]), buckets)
+        level = np.zeros(len(both), np.int64)
+        for bucket, own in split_by(places):
+            own = own[np.argsort(keys[own], kind="stable")]
+            level[own] = np.asarray(replies[bucket].column("level").values)
+        seen = np.minimum(count_of(level), np.minimum(counts[a], counts[b]))
+        smooth = np.log10((seen + PAIR_PRIOR * chance[b]) / (counts[a] + PAIR_PRIOR))[number]
+        out, done = [], 0
+        for ids, _, cuts, flat, _ in batches:
+            own = smooth[done : done + len(flat)]
+            done += len(flat)
             add = lambda values: np.add.reduceat(values, cuts[:-1]) if len(ids) else values
             out.append(pa.RecordBatch.from_pydict({
                 "id": ids, "n_tokens": np.diff(cuts),
                 "n_known": add((counts[flat] > 0).astype(np.int64)),
                 "train_tokens": np.full(len(ids), total, np.int64),
-                "base_score": add(np.log10(chance)[flat]), "score": add(smooth[number]),
+                "base_score": add(np.log10(chance)[flat]), "score": add(own),
             }))
         return pa.Table.from_batches(out)
 

@@ -1,6 +1,7 @@
 """Language-model scoring: base scores against brute force, the filter against true counts."""
 
 import collections
+import inspect
 import math
 import random
 import re
@@ -73,6 +74,17 @@ def test_full_filter_holds_the_most_frequent():
     assert lm_scoring.level_of(np.array([0, 1, 2, 3, 4, 1023, 1024])).tolist() == [0, 1, 2, 2, 3, 10, 11]
 
 
+def test_pairs_seen_once_count_at_any_size(spark):
+    random.seed(6)
+    line = [f"w{i}" for i in range(3000)]
+    rows = [(1, " ".join(line)), (30, " ".join(line)), (31, " ".join(random.sample(line, len(line))))]
+    # Where scoring takes a bound on the filter, a bound that the pairs exceed.
+    bound = {"filter_bytes": 64} if "filter_bytes" in inspect.signature(lm_scoring.score).parameters else {}
+    got = {r.doc_id: r for r in lm_scoring.score(documents(spark, rows), F.col("doc_id") < 10, **bound).collect()}
+    assert abs(got[30].base_score - got[31].base_score) < 1e-6
+    assert got[30].score > got[31].score + 500
+
+
 def test_nothing_to_learn(spark):
     assert lm_scoring.score(empty(spark), F.lit(True)).collect() == []
     got = lm_scoring.score(documents(spark, [(1, "a b")]), F.lit(False)).collect()
