@@ -199,6 +199,11 @@ def links_under_keys(keys: DataFrame, max_bits: int, block: int = KEY_BLOCK) ->
 
         def closed(bits, rests, fps):
             """Rows whose keys are complete."""
+            if passed[0] is not None:
+                # The end of a key whose blocks went on belongs to them, however short.
+                more = (bits == passed[0][0]) & (rests == passed[0][1])
+                yield from pass_on(*passed[0], fps[more])
+                bits, rests, fps = bits[~more], rests[~more], fps[~more]
             if not len(bits):
                 return
             new = np.concatenate([[True], (bits[1:] != bits[:-1]) | (rests[1:] != rests[:-1])])
@@ -216,9 +221,8 @@ def links_under_keys(keys: DataFrame, max_bits: int, block: int = KEY_BLOCK) ->
             for start, size in zip(starts[long].tolist(), sizes[long].tolist()):
                 bit, rest = int(bits[start]), int(rests[start])
                 own = fps[start : start + size]
-                if size > block or passed[0] == (bit, rest):
-                    if passed[0] != (bit, rest):
-                        passed[:] = [(bit, rest), 0]
+                if size > block:
+                    passed[:] = [(bit, rest), 0]
                     yield from pass_on(bit, rest, own)
                 else:
                     found += _key_links(bit, own, bit in first_bits, max_bits)
@@ -246,12 +250,7 @@ def links_under_keys(keys: DataFrame, max_bits: int, block: int = KEY_BLOCK) ->
                 whole = len(held[2]) // block * block
                 yield from pass_on(*key, held[2][:whole])
                 held = [column[whole:] for column in held]
-        if len(held[0]):
-            key = (int(held[0][0]), int(held[1][0]))
-            if passed[0] == key:
-                yield from pass_on(*key, held[2])
-            else:
-                yield from closed(*held)
+        yield from closed(*held)
 
     dealt = keys.repartition(shuffle_width(keys.sparkSession), "bit", "rest")
     found = compact_checkpoint(

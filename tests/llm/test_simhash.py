@@ -83,6 +83,29 @@ def test_every_close_pair_is_connected(spark, monkeypatch, bits, block):
     assert sorted(map(sorted, got.values())) == sorted(map(sorted, want.values()))
 
 
+@pytest.mark.parametrize("batch", [3, 10, 50])
+def test_links_of_a_key_cross_batches(spark, batch):
+    random.seed(batch)
+    values = []
+    for _ in range(40):  # all under one key of the first segment, each with one partner
+        value = random.getrandbits(43) << 21
+        far = [random.sample(range(low, low + width), 2) for low, width in simhash.segments(4)[1:]]
+        values += [value, value ^ sum(1 << bit for bits in far for bit in bits)]
+    random.shuffle(values)
+    signed = [(v - 2**64 if v >> 63 else v,) for v in values]
+    keys = simhash.variant_keys(spark.createDataFrame(signed, "fp bigint"), 4)
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(batch))
+    try:
+        links = simhash.links_under_keys(keys, 4, 8).collect()
+    finally:
+        spark.conf.set(name, before)
+    found = {frozenset((r.a % 2**64, r.b % 2**64)) for r in links}
+    want = {frozenset((a, b)) for a in values for b in values if 0 < (a ^ b).bit_count() <= 4}
+    assert len(want) == 40 and want <= found
+
+
 def test_segments_hold_the_promise():
     for bits in range(5):
         parts = simhash.segments(bits)
