@@ -3,7 +3,8 @@
 Three base kinds are plain patterns.  Two more kinds are found by decoding: a base64 or
 hex candidate is reported as ``key`` only if its bytes parse as a private-key encoding
 whose nested lengths add up, and a dotted triple as ``signed`` only if its header and
-payload are JSON objects and the header names an algorithm.
+payload are JSON objects and the header names an algorithm.  Candidates are tried from
+every place where one may start, not only from the first character of a run.
 """
 
 from __future__ import annotations
@@ -29,15 +30,23 @@ ASSIGN_VALUE, ACCESS_LENGTH, HEX_LENGTH = 12, 18, 16
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 # A run of hex digits is one match of [0-9a-f]+, so asking for the length changes nothing.
 HEX = re.compile(r"[0-9a-f]{%d,}" % HEX_LENGTH)
-# Base64 of 40 or more characters, going on over whole lines as in armoured files.
-ENCODED = re.compile(
-    r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{40,}(?:\r?\n[A-Za-z0-9+/_-]{2,}(?=={0,2}(?:\s|-|$)))*={0,2}"
-)
-HEX_ENCODED = re.compile(r"(?<![0-9A-Fa-f])(?:[0-9A-Fa-f]{2}){32,}(?![0-9A-Fa-f])")
+# Where a key may start, inside a run of other characters too: the base64 and hex digits
+# of a sequence tag with its length, or of the name of the container.
+KEY_START = re.compile(r"M(?=[A-I])|b(?=3BlbnNzaC1r)")
+HEX_KEY_START = re.compile(r"3(?=0[0-9A-Fa-f]{62})|6(?=[fF]70656[eE]7373682[dD][0-9A-Fa-f]{42})")
+ENCODED = re.compile(r"[A-Za-z0-9+/_-]+")
+HEX_ENCODED = re.compile(r"[0-9A-Fa-f]+")
+# Between the lines of an armoured file: line breaks, written out or escaped, with the
+# indentation and quote marks around them.
+LINE_BREAK = re.compile(r"""["'>\x20\t]*(?:(?:\\+[rn]|\\*[\r\n])["'>\x20\t]*)+""")
+# Characters of a key candidate decoded first; more follow as its lengths ask for them.
+HEAD = 32
+# Segment by segment: what two more follow, of which the first may be a payload.
 SIGNED = re.compile(
-    r"(?<![A-Za-z0-9_-])([A-Za-z0-9_-]{8,})\.([A-Za-z0-9_-]{2,})\.([A-Za-z0-9_-]{8,})"
-    r"(?![A-Za-z0-9_-])"
+    r"(?<![A-Za-z0-9_-])([A-Za-z0-9_-]{8,})\.(?=([A-Za-z0-9_-]{2,})\.([A-Za-z0-9_-]{8,}))"
 )
+# Where a header may start inside its segment: an object that opens with a name.
+HEADER_START = re.compile(r"^|e(?=[w-z0-9])")
 SPANS = "array<struct<kind:string,start:int,end:int>>"
 _SPANS_ARROW = pa.list_(
     pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())])
@@ -134,15 +143,56 @@ def _base64(text: str) -> bytes:
         return b""
 
 
-def _base64_end(candidate: str, length: int) -> int:
-    """Characters of ``candidate`` that hold the first ``length`` decoded bytes."""
-    left = -(-length * 4 // 3)
-    for at, letter in enumerate(candidate):
-        if letter not in "\r\n":
-            left -= 1
-            if not left:
-                return at + 1
-    return len(candidate)
+def _encoded(text: str, at: int, most: int) -> tuple[str, list[tuple[int, int]]]:
+    """Up to ``most`` base64 characters from ``at`` on, over line breaks.
+
+    Also (characters before, place in the text) of each line.
+    """
+    parts, lines, n = [], [], 0
+    while n < most and (line := ENCODED.match(text, at, at + most - n)):
+        parts.append(line[0])
+        lines.append((n, at))
+        n += len(line[0])
+        gap = LINE_BREAK.match(text, line.end())
+        if not gap:
+            break
+        at = gap.end()
+    return "".join(parts), lines
+
+
+def _bytes_needed(head: bytes) -> int:
+    """Bytes of the key that ``head`` may start, 0 if it starts none, -1 if only parsing tells."""
+    if head.startswith(_OPENSSH):
+        return -1
+    outer = _element(head, 0, 1 << 62) if len(head) > 1 else None
+    if outer is None or outer[0] != _SEQUENCE or head[outer[1] : outer[1] + 1] != b"\x02":
+        return 0
+    return outer[2]
+
+
+def _base64_key_end(text: str, at: int) -> int:
+    """End of the base64 of a private key that starts at ``at``, or 0."""
+    need = _bytes_needed(_base64(_encoded(text, at, HEAD)[0]))
+    if not need or need > len(text) - at:
+        return 0
+    most = -(-need * 4 // 3) if need > 0 else len(text)
+    body, lines = _encoded(text, at, most)
+    length = key_length(_base64(body))
+    if not length:
+        return 0
+    last = -(-length * 4 // 3) - 1
+    before, start = next(line for line in reversed(lines) if line[0] <= last)
+    return start + last - before + 1
+
+
+def _hex_key_end(text: str, at: int) -> int:
+    """End of the hex of a private key that starts at ``at``, or 0."""
+    need = _bytes_needed(bytes.fromhex(text[at : at + HEAD]))
+    if not need or 2 * need > len(text) - at:
+        return 0
+    digits = HEX_ENCODED.match(text, at, at + 2 * need if need > 0 else len(text))[0]
+    length = key_length(bytes.fromhex(digits[: len(digits) // 2 * 2]))
+    return at + 2 * length if length else 0
 
 
 def _json_object(text: str) -> dict | None:
@@ -156,18 +206,22 @@ def _json_object(text: str) -> dict | None:
 def confirmed_spans(text: str) -> list[tuple[str, int, int]]:
     """Spans of decodable candidates whose structure holds."""
     found = []
-    for match in ENCODED.finditer(text):
-        data = _base64(re.sub(r"[\r\n]", "", match[0]))
-        if length := key_length(data):
-            start = match.start()
-            found.append(("key", start, start + _base64_end(match[0], length)))
-    for match in HEX_ENCODED.finditer(text):
-        if length := key_length(bytes.fromhex(match[0])):
-            found.append(("key", match.start(), match.start() + 2 * length))
+    for starts, end_of in ((KEY_START, _base64_key_end), (HEX_KEY_START, _hex_key_end)):
+        done = 0
+        for match in starts.finditer(text):
+            if match.start() >= done and (end := end_of(text, match.start())):
+                found.append(("key", match.start(), end))
+                done = end
+    done = 0
     for match in SIGNED.finditer(text):
-        header = _json_object(match[1])
-        if header and isinstance(header.get("alg"), str) and _json_object(match[2]) is not None:
-            found.append(("signed", *match.span()))
+        if match.start() < done or _json_object(match[2]) is None:
+            continue
+        for start in HEADER_START.finditer(match[1]):
+            header = _json_object(match[1][start.start() :])
+            if header and isinstance(header.get("alg"), str):
+                done = match.end(3)
+                found.append(("signed", match.start() + start.start(), done))
+                break
     return found
 
 

@@ -59,6 +59,44 @@ def test_signed_tokens():
         assert not [s for s in secret_scan.find_secrets(text) if s[0] == "signed"]
 
 
+def armoured(key, before="", after="\n", width=64):
+    plain = base64.b64encode(key).decode()
+    lines = [plain[i : i + width] for i in range(0, len(plain), width)]
+    return "".join(before + line + after for line in ["-----BEGIN PRIVATE KEY-----", *lines, "-----END PRIVATE KEY-----"])
+
+
+@pytest.mark.parametrize("key", [RSA, WRAPPED, ELLIPTIC, SSH])
+@pytest.mark.parametrize(
+    "before,after",
+    [("", "\\n"), ("", "\\r\\n"), ("", "\\\\n"), ("", ""), ("    ", "\n"), ("\t", "\r\n"), ("> ", "\n"), ('  "', '\\n"\n')],
+)
+def test_key_files_in_other_files(key, before, after):
+    text = 'say "' + armoured(key, before, after) + '" and go on'
+    plain = base64.b64encode(key).decode().rstrip("=")
+    (span,) = [s for s in secret_scan.find_secrets(text) if s[0] == "key"]
+    assert span[1] == text.index(plain[:30])
+    assert text[span[1] : span[2]].endswith(plain[-4:]) or abs(span[2] - text.rindex(plain[-4:]) - 4) <= 1
+    assert plain[:20] not in secret_scan.redacted(text, "#") and plain[-20:] not in secret_scan.redacted(text, "#")
+
+
+def test_keys_behind_other_characters():
+    plain = base64.b64encode(RSA).decode()
+    for text, at in ((f"key/AbC+{plain} x", 8), (f"abc{RSA.hex()} x", 3)):
+        assert [s[1] for s in secret_scan.find_secrets(text) if s[0] == "key"] == [at]
+
+
+def test_starts_of_keys_at_the_end():
+    for n in range(60):
+        for text in ("word M" + "I" * n, "word M" + "A" * n, "word " + base64.b64encode(SSH).decode()[:n]):
+            assert not [s for s in secret_scan.find_secrets(text) if s[0] == "key"]
+            assert not [s for s in secret_scan.find_secrets("x " + RSA.hex()[: n + 60]) if s[0] == "key"]
+
+
+def test_signed_tokens_behind_dots_and_letters():
+    for before in ("something.", "something.otherwise.", "Bearer-token_", "www.example-host.", "9."):
+        assert ("signed", len(before), len(before + SIGNED)) in secret_scan.find_secrets(f"{before}{SIGNED} b")
+
+
 def test_base_patterns():
     text = (
         'API_Key = "abcdefghijkl" password: token: abcdefghijkl1 PASSWD=short '
