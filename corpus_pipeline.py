@@ -28,9 +28,7 @@ def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no window of a benchmark item."""
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    leaks = decontamination.find_leaks(docs, benchmark).filter("contaminated")
-    leaks = leaks.select(F.col("doc_id").alias("__leak")).distinct()
-    return docs.join(leaks, F.col("doc_id").eqNullSafe(F.col("__leak")), "left_anti")
+    return decontamination.without_leaks(docs, benchmark)
 
 
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

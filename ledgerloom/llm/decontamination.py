@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.numeric import let
-from ledgerloom.llm.packing import compact_checkpoint
+from ledgerloom.llm.packing import compact_checkpoint, row_key
 
 WINDOW_WORDS = 10
 GRAM_WORDS = 5
@@ -137,6 +137,15 @@ def _hits(words: Column, candidates: Column, window: int) -> Column:
     return F.flatten(F.transform(candidates, of_item))
 
 
+def without_leaks(docs: DataFrame, benchmark: DataFrame, **names) -> DataFrame:
+    """Rows of ``docs`` that are not contaminated, each judged by its own text."""
+    key = row_key(names.get("id_column", "doc_id"), names.get("text_column", "text"))
+    leaks = _judged(docs, benchmark, **names).filter("contaminated")
+    leaks = leaks.select(F.col("key").alias("__leak")).distinct()
+    keyed = docs.withColumn("__row", key)
+    return keyed.join(leaks, F.col("__row") == F.col("__leak"), "left_anti").drop("__row")
+
+
 def find_leaks(
     docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_id", text_column: str = "text",
     item_column: str = "item_id", item_text_column: str = "text", window: int = WINDOW_WORDS,
@@ -149,6 +158,19 @@ def find_leaks(
     as strings.  Null texts have no words, items without words have no window, null item
     ids are counted as hits but not listed, and repeated rows are judged one by one.
     """
+    judged = _judged(
+        docs, benchmark, id_column, text_column, item_column, item_text_column, window, gram,
+        broadcast_rows,
+    )
+    return judged.drop("key")
+
+
+def _judged(
+    docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_id", text_column: str = "text",
+    item_column: str = "item_id", item_text_column: str = "text", window: int = WINDOW_WORDS,
+    gram: int = GRAM_WORDS, broadcast_rows: int = BROADCAST_ROWS,
+) -> DataFrame:
+    """What ``find_leaks`` gives, and the ``key`` of each row."""
     items = compact_checkpoint(
         benchmark.select(
             F.col(item_column).cast("string").alias("item_id"),
@@ -165,33 +187,33 @@ def find_leaks(
     small = (lambda df: F.broadcast(df)) if fits else (lambda df: df)
 
     source = docs.select(
-        F.col(id_column).alias("id"), F.col(text_column).alias("text")
+        row_key(id_column, text_column).alias("key"), F.col(text_column).alias("text")
     )
-    worded = source.select("id", words_of(F.col("text")).alias("words"))
+    worded = source.select("key", words_of(F.col("text")).alias("words"))
     found = None
     for length in sorted(lengths):
         taken = kept_grams(F.col("words"), window, gram) if length == 0 else short_grams(
             F.col("words"), length
         )
-        placed = worded.select("id", F.explode(taken).alias("g")).select(
-            "id", F.col("g.hash").alias("hash"), F.col("g.place").alias("place")
+        placed = worded.select("key", F.explode(taken).alias("g")).select(
+            "key", F.col("g.hash").alias("hash"), F.col("g.place").alias("place")
         )
         own = grams.filter(F.col("length") == length).drop("length")
         hits = placed.join(small(own), "hash").select(
-            "id", "item", (F.col("place") - F.col("item_place")).alias("shift")
+            "key", "item", (F.col("place") - F.col("item_place")).alias("shift")
         )
         found = hits if found is None else found.unionByName(hits)
     if found is None:
         found = source.select(
-            "id", F.lit(0).cast("bigint").alias("item"), F.lit(0).alias("shift")
+            "key", F.lit(0).cast("bigint").alias("item"), F.lit(0).alias("shift")
         ).limit(0)
     aligned = found.distinct().join(small(items), "item")
-    per_document = aligned.groupBy(F.col("id").alias("found_id")).agg(
+    per_document = aligned.groupBy(F.col("key").alias("found_key")).agg(
         F.collect_list(F.struct("item_id", "item_words", "shift")).alias("candidates")
     )
-    joined = source.join(per_document, F.col("id").eqNullSafe(F.col("found_id")), "left")
+    joined = source.join(per_document, F.col("key") == F.col("found_key"), "left")
     judged = joined.select(
-        "id",
+        "key",
         let(
             words_of(F.col("text")),
             lambda w: F.struct(
@@ -200,14 +222,14 @@ def find_leaks(
                 .alias("hits"),
             ),
         ).alias("r"),
-    ).select("id", "r.n_words", "r.hits")
+    ).select("key", "r.n_words", "r.hits")
     covered = F.array_distinct(
         F.flatten(F.transform("hits", lambda h: F.sequence(h["start"], h["start"] + h["length"] - 1)))
     )
     listed = F.array_sort(F.array_distinct(F.array_compact(F.transform("hits", lambda h: h["item_id"]))))
     n_hit = F.coalesce(F.size(covered), F.lit(0)).cast("bigint")
     return judged.select(
-        F.col("id").alias(id_column), "n_words",
+        "key", F.col("key.id").alias(id_column), "n_words",
         F.when(F.col("hits").isNull(), F.lit(0)).otherwise(n_hit).cast("bigint").alias("n_hit"),
         F.coalesce(listed, F.array().cast("array<string>")).alias("items"),
     ).withColumn("contaminated", F.col("n_hit") > 0)

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.components import smallest_reachable, spanning_links
-from ledgerloom.llm.packing import compact_checkpoint
+from ledgerloom.llm.packing import compact_checkpoint, row_key
 from ledgerloom.session import shuffle_width
 
 BITS = 64
@@ -57,9 +57,9 @@ def fingerprint(text: str | None, shingle_words: int = SHINGLE_WORDS) -> int:
 
 def fingerprints(
     docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
-    shingle_words: int = SHINGLE_WORDS,
+    shingle_words: int = SHINGLE_WORDS, *others: str,
 ) -> DataFrame:
-    """``id`` and ``fp`` (the fingerprint as BIGINT) of every document row."""
+    """``id`` and ``fp`` (the fingerprint as BIGINT) of every document row, and ``others``."""
 
     @F.arrow_udf("bigint")
     def compute(texts: pa.Array) -> pa.Array:
@@ -67,7 +67,7 @@ def fingerprints(
         return pa.array(np.fromiter(values, np.uint64, len(texts)).view(np.int64))
 
     return docs.select(
-        F.col(id_column).cast("bigint").alias("id"), compute(F.col(text_column)).alias("fp")
+        F.col(id_column).cast("bigint").alias("id"), compute(F.col(text_column)).alias("fp"), *others
     )
 
 
@@ -299,6 +299,14 @@ def near_duplicates(
     is never the smallest, unless a component has no other.
     """
     prints = compact_checkpoint(fingerprints(docs, id_column, text_column, shingle_words))
+    classes = _classes(prints, max_bits, block)
+    return prints.join(classes, "fp").select(
+        F.col("id").alias(id_column), "fp", "component_id"
+    )
+
+
+def _classes(prints: DataFrame, max_bits: int, block: int = KEY_BLOCK) -> DataFrame:
+    """``fp``, ``root`` (one of the fingerprints it reaches) and ``component_id``."""
     distinct = compact_checkpoint(prints.groupBy("fp").agg(F.min("id").alias("least")))
     links = links_under_keys(variant_keys(distinct.select("fp"), max_bits), max_bits, block)
     roots = smallest_reachable(links)
@@ -306,24 +314,26 @@ def near_duplicates(
         "fp", "least", F.coalesce("root", "fp").alias("root")
     )
     smallest = labelled.groupBy("root").agg(F.min("least").alias("component_id"))
-    classes = labelled.join(smallest, "root").select("fp", "component_id")
-    return prints.join(classes, "fp").select(
-        F.col("id").alias(id_column), "fp", "component_id"
-    )
+    return labelled.join(smallest, "root").select("fp", "root", "component_id")
 
 
 def keep_one_each(
     docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
     shingle_words: int = SHINGLE_WORDS, max_bits: int = MAX_BITS,
 ) -> DataFrame:
-    """Rows of ``docs`` whose id is the smallest of its group of near-duplicates.
+    """The row of ``docs`` with the smallest id of each group of near-duplicates.
 
-    Rows that share such an id are all kept, as are rows with a null id where their group
-    has no other id.
+    Exactly one row of a group is kept: of rows that share the smallest id, or have no id
+    where their group has no other, the one whose text has the smallest hash, and of rows
+    with one id and one text, any.
     """
-    found = near_duplicates(docs, id_column, text_column, shingle_words, max_bits)
+    keyed = docs.withColumn("__row", row_key(id_column, text_column))
+    prints = compact_checkpoint(fingerprints(keyed, id_column, text_column, shingle_words, "__row"))
+    classes = _classes(prints, max_bits)
+    least = prints.groupBy("fp").agg(F.min("__row").alias("__kept"))
     kept = (
-        found.filter(F.col(id_column).eqNullSafe(F.col("component_id")))
-        .select(F.col(id_column).alias("__kept")).distinct()
+        least.join(classes, "fp").groupBy("root").agg(F.min("__kept").alias("__kept"))
+        .select("__kept")
     )
-    return docs.join(kept, F.col(id_column).eqNullSafe(F.col("__kept")), "left_semi")
+    found = keyed.join(kept, F.col("__row") == F.col("__kept"), "left_semi")
+    return found.dropDuplicates(["__row"]).drop("__row")
