@@ -10,8 +10,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.llm import (
-    byte_bpe, decontamination, language_id, license_scan, lm_scoring, quality_rules, secret_scan,
-    simhash, suffix_sort, word_windows,
+    byte_bpe, decontamination, fill_in_middle, language_id, license_scan, lm_scoring,
+    quality_rules, secret_scan, simhash, suffix_sort, word_windows,
 )
 from ledgerloom.llm.packing import share_package
 
@@ -324,3 +324,39 @@ SELECT doc_id, CAST(len(doc.h) // 2 AS BIGINT) AS n_bytes,
     sha256(unhex(coalesce(kept.h, doc.h))) AS kept_sha256
 FROM doc LEFT JOIN kept USING (doc_id)
 """
+
+
+@query
+def op12_fill_in_middle(spark, folder):
+    cut = fill_in_middle.transform(documents(spark, folder))
+    rebuilt = fill_in_middle.restored(F.col("output"), F.col("form"))
+    return cut.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars",
+        sha256(F.col("output")).alias("output_sha256"), sha256(rebuilt).alias("restored_sha256"),
+    )
+
+
+ORACLES["op12_fill_in_middle"] = """
+WITH doc AS (
+    SELECT doc_id, coalesce(text, '') AS text, length(coalesce(text, ''))::BIGINT AS n,
+        sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS h
+    FROM documents
+), draw AS (
+    SELECT *, ('0x' || substr(h, 1, 8))::BIGINT % (n + 1) AS c1, ('0x' || substr(h, 9, 8))::BIGINT % (n + 1) AS c2,
+        CASE WHEN n = 0 OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>')
+                OR ('0x' || substr(h, 17, 8))::BIGINT % 100 >= 90 THEN 'plain'
+            WHEN ('0x' || substr(h, 25, 8))::BIGINT % 100 < 20 THEN 'spm' ELSE 'psm' END AS form
+    FROM doc
+), part AS (
+    SELECT *, substr(text, 1, least(c1, c2)) AS prefix, substr(text, greatest(c1, c2) + 1) AS suffix,
+        substr(text, least(c1, c2) + 1, abs(c1 - c2)) AS middle
+    FROM draw
+)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN least(c1, c2) END AS prefix_chars,
+    CASE WHEN form <> 'plain' THEN abs(c1 - c2) END AS middle_chars,
+    sha256(CASE form WHEN 'plain' THEN text
+        WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+        ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+    sha256(text) AS restored_sha256
+FROM part
+"""
