@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.llm import (
-    byte_bpe, decontamination, fill_in_middle, language_id, license_scan, lm_scoring,
+    byte_bpe, decontamination, fill_in_middle, importance, language_id, license_scan, lm_scoring,
     quality_rules, secret_scan, simhash, suffix_sort, word_windows,
 )
 from ledgerloom.llm.packing import share_package
@@ -360,3 +360,11 @@ SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN least(c1, c2) END AS pref
     sha256(text) AS restored_sha256
 FROM part
 """
+
+
+# The crc32 of buckets is no function of the SQL; see the tests.
+@query
+def op11_importance_resampling(spark, folder):
+    benchmark = spark.read.parquet(f"{folder}/benchmark.parquet")
+    drawn = importance.resample(documents(spark, folder), benchmark)
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
