@@ -10,8 +10,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.llm import (
-    byte_bpe, decontamination, fill_in_middle, importance, language_id, license_scan, lm_scoring,
-    quality_rules, secret_scan, simhash, suffix_sort, word_windows,
+    byte_bpe, decontamination, embedding_dedup, fill_in_middle, importance, language_id,
+    license_scan, lm_scoring, quality_rules, secret_scan, simhash, suffix_sort, word_windows,
 )
 from ledgerloom.llm.packing import share_package
 
@@ -368,3 +368,33 @@ def op11_importance_resampling(spark, folder):
     benchmark = spark.read.parquet(f"{folder}/benchmark.parquet")
     drawn = importance.resample(documents(spark, folder), benchmark)
     return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+@query
+def op13_embedding_dedup(spark, folder):
+    return embedding_dedup.near_duplicates(spark.read.parquet(f"{folder}/embeddings.parquet"))
+
+
+ORACLES["op13_embedding_dedup"] = """
+WITH RECURSIVE v AS (
+    SELECT vec_id, label, embedding::DOUBLE[] AS e, list_sum([x::DOUBLE * x FOR x IN embedding]) AS square
+    FROM embeddings
+), able AS (
+    SELECT vec_id, label, e FROM v
+    WHERE label IS NOT NULL AND square > 0 AND isfinite(square) AND list_count(e) = len(e)
+), link AS (
+    SELECT a.vec_id AS a, b.vec_id AS b
+    FROM able a JOIN able b ON a.label = b.label AND len(a.e) = len(b.e) AND a.vec_id <> b.vec_id
+    WHERE list_cosine_similarity(a.e, b.e) >= 0.98
+), reach AS (
+    SELECT vec_id AS a, vec_id AS b FROM embeddings
+    UNION
+    SELECT reach.a, link.b FROM reach JOIN link ON reach.b = link.a
+), class AS (
+    SELECT a AS vec_id, min(b) AS component_id FROM reach GROUP BY a
+), counted AS (
+    SELECT a AS vec_id, count(*) AS n FROM link GROUP BY a
+)
+SELECT vec_id, coalesce(n, 0) AS n_links, component_id, vec_id = component_id AS kept
+FROM embeddings JOIN class USING (vec_id) LEFT JOIN counted USING (vec_id)
+"""
