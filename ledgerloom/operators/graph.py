@@ -4,16 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegralType
 
 from ledgerloom.functions.scoring import EDGE_WIDTHS, WIDEST_EDGE, step_score
-from ledgerloom.operators.ordering import (
-    approximate_quantiles,
-    exact_quantiles,
-    running_counts,
-)
+from ledgerloom.operators.ordering import approximate_quantiles, exact_quantiles
 from ledgerloom.operators.skew import heavy_of, skew_safe_join, top_hashes
 from ledgerloom.session import (
     measured_checkpoint, reliable_checkpoint, remove_path, shuffle_width,
@@ -85,34 +81,15 @@ def _pointing(edges: DataFrame) -> DataFrame:
 
 
 def _both_ways(edges: DataFrame) -> DataFrame:
-    return edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-
-
-def _large_star(edges: DataFrame, hubs: dict[int, int]) -> DataFrame:
-    """Link every larger neighbour of a node to the node's smallest neighbour."""
-    both = _both_ways(edges)
-    lowest = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-    linked = skew_safe_join(both.filter(F.col("v") > F.col("u")), lowest, ["u"], heavy=hubs)
-    moved = linked.select(F.col("v").alias("u"), F.col("m").alias("v"))
-    return _pointing(moved).filter(F.col("u") != F.col("v"))
-
-
-def _small_star(edges: DataFrame, hubs: dict[int, int]) -> DataFrame:
-    """Link a node and its smaller neighbours to the smallest of them."""
-    lowest = edges.groupBy("u").agg(F.min("v").alias("m"))
-    linked = skew_safe_join(edges, lowest, ["u"], heavy=hubs).select(
-        F.col("v").alias("u"), F.col("m").alias("v")
-    )
-    own = lowest.select("u", F.col("m").alias("v"))
-    return _pointing(linked.unionByName(own)).filter(F.col("u") != F.col("v"))
+    """Every link as (u, v) and (v, u), in one pass over the links."""
+    turned = F.explode(F.array(F.struct("u", "v"), F.struct(F.col("v").alias("u"), F.col("u").alias("v"))))
+    return edges.select(turned.alias("link")).select("link.*")
 
 
-def _round_metrics(width: int) -> list:
-    """Aggregates of a round's links: their number, a fingerprint, and the hubs."""
+def _link_metrics(width: int) -> list:
+    """Aggregates of a round's links: their number, and the most frequent ends."""
     return [
         F.count(F.lit(1)).alias("links"),
-        F.bit_xor(F.xxhash64("u", "v")).alias("print_uv"),
-        F.bit_xor(F.xxhash64("v", "u")).alias("print_vu"),
         top_hashes("u", width).alias("top_u"),
         top_hashes("v", width).alias("top_v"),
     ]
@@ -126,80 +103,119 @@ def _hubs(seen: dict, width: int) -> dict[int, int]:
     return heavy_of(counts, 2 * seen["links"], width)
 
 
-def _star_rounds(
-    base: DataFrame, max_rounds: int, report: Callable[[int], None] | None
-) -> DataFrame:
-    """Numbered links to stars around the smallest node of each component.
+def _roots(links: DataFrame, hubs: dict[int, int]) -> DataFrame:
+    """``node`` and ``root``, the smallest name at most two links away."""
+    both = _both_ways(links)
+    near = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("least"))
+    # Each neighbour tells its smallest neighbour; a node is a neighbour of its neighbours.
+    told = skew_safe_join(both, near, ["u"], heavy=hubs)
+    return told.groupBy(F.col("v").alias("node")).agg(F.min("least").alias("root"))
+
 
-    A round is one job that writes its table and one small aggregate of that table: its
-    fingerprint and the hubs of the next round.  The table before it is deleted.
+def _contracted(links: DataFrame, roots: DataFrame, hubs: dict[int, int]) -> DataFrame:
+    """Links between the roots, under new names; without loops and duplicates.
+
+    The new name is a hash that no two whole numbers share, so the next round sees the
+    nodes in another order.
     """
-    spark = base.sparkSession
-    width = shuffle_width(spark)
-    current, path, seen = measured_checkpoint(
-        base.filter(F.col("u") != F.col("v")), *_round_metrics(width)
+    for end in ("u", "v"):
+        new_names = roots.select(F.col("node").alias(end), F.xxhash64("root").alias(f"{end}_root"))
+        links = skew_safe_join(links, new_names, [end], heavy=hubs)
+    return _pointing(
+        links.filter("u_root <> v_root").select(F.col("u_root").alias("u"), F.col("v_root").alias("v"))
     )
-    for _ in range(max_rounds):
-        hubs = _hubs(seen, width)
-        after, new_path, new = measured_checkpoint(
-            _small_star(_large_star(current, hubs), hubs), *_round_metrics(width)
+
+
+def _unfolded(rounds: list[DataFrame]) -> DataFrame:
+    """Every node of the first round with its class: ``level`` and ``name`` of the last root.
+
+    Names of two rounds may be the same number, so the class is named by both.
+    """
+    labels = None
+    for level, roots in reversed(list(enumerate(rounds))):
+        named = roots.select("node", F.xxhash64("root").alias("next"))
+        if labels is None:
+            labels = named.select("node", F.lit(level).alias("level"), F.col("next").alias("name"))
+            continue
+        above = labels.withColumnsRenamed({"node": "next"})
+        labels = skew_safe_join(named, above, ["next"], "left").select(
+            "node", F.coalesce("level", F.lit(level)).alias("level"), F.coalesce("name", "next").alias("name")
         )
-        remove_path(spark, path)
-        same = all(seen[name] == new[name] for name in ("links", "print_uv", "print_vu"))
-        current, path, seen = after, new_path, new
-        if report is not None:
-            report(seen["links"])
-        if same:
-            return current
-    raise RuntimeError(f"no fixed point after {max_rounds} rounds")
+        if level:
+            labels = reliable_checkpoint(labels)
+    return labels
+
+
+def _numbered(named: DataFrame, number: Callable[[Column], Column]) -> tuple[DataFrame, DataFrame]:
+    """Nodes with their ``id``, and the links between ids; ``number`` gives a node's id."""
+    ends = named.select(F.explode(F.array("u", "v")).alias("node")).distinct()
+    links = named.filter("u <> v").select(number(F.col("u")).alias("u"), number(F.col("v")).alias("v"))
+    return ends.withColumn("id", number(F.col("node"))), links
+
+
+def _hashed(named: DataFrame, width: int, number: Callable[[Column], Column] = F.xxhash64) -> tuple[DataFrame, DataFrame]:
+    """Nodes and links by a 64-bit hash of each node, which needs no join.
+
+    If two nodes share a hash, the nodes are numbered instead and the numbers joined on.
+    """
+    nodes, links = _numbered(named, number)
+    nodes, _, seen = measured_checkpoint(
+        nodes, F.count(F.lit(1)).alias("nodes"), F.count_distinct("id").alias("ids")
+    )
+    if seen["nodes"] == seen["ids"]:
+        return nodes, links
+    nodes = reliable_checkpoint(nodes.withColumn("id", F.monotonically_increasing_id()))
+    links = named.filter("u <> v")
+    hubs = links.agg(*_link_metrics(width)).first().asDict(recursive=True)
+    for end in ("u", "v"):
+        numbers = nodes.select(F.col("node").alias(end), F.col("id").alias(f"{end}_id"))
+        links = skew_safe_join(links, numbers, [end], heavy=_hubs(hubs, width))
+    return nodes, reliable_checkpoint(links.select(F.col("u_id").alias("u"), F.col("v_id").alias("v")))
 
 
 def connected_components(
-    edges: DataFrame, max_rounds: int = 60, report: Callable[[int], None] | None = None
+    edges: DataFrame, max_rounds: int = 100, report: Callable[[int], None] | None = None
 ) -> DataFrame:
     """Weakly connected components: ``node`` and ``component`` (the smallest node of it).
 
-    Alternates the large-star and small-star steps of Kiveris et al. (2014) until the
-    edges are stars around the smallest node; each round writes a table to the shared
-    folder.  Joins on hub nodes are salted.  Nodes that are no whole numbers
-    are numbered in their own order first: minima of whole numbers are hash aggregates,
-    minima of texts would sort every round.  ``report`` gets the number of links after
-    each round.
+    Contraction, after Bögeholz, Brand and Todor (2020): every node goes over to the node
+    with the smallest random name at most two links away, links are renamed to these roots,
+    and loops and duplicates dropped.  Every round leaves fewer links and, whatever the
+    graph, a part of its nodes; a component without links left has its root and takes no
+    part in later rounds.  Only the roots of each round are kept, and unfolded at the end.
+    Joins on hub nodes are salted.  Nodes that are no whole numbers
+    go by a hash, or by numbers where two share one.  ``report`` gets the number of links after each round.
     """
-    named = edges.select(F.col("src").alias("u"), F.col("dst").alias("v")).dropna()
-    if all(isinstance(edges.schema[end].dataType, IntegralType) for end in ("src", "dst")):
-        named = reliable_checkpoint(_pointing(named))
-        ends = named.select(F.explode(F.array("u", "v")).alias("node")).distinct()
-        stars = _star_rounds(named, max_rounds, report)
-        centres = stars.select(F.col("u").alias("node"), F.col("v").alias("centre"))
-        return ends.join(centres, "node", "left").select(
-            "node", F.coalesce("centre", "node").alias("component")
-        )
-    width = shuffle_width(edges.sparkSession)
-    named, _, seen = measured_checkpoint(_pointing(named), *_round_metrics(width))
-    hubs = _hubs(seen, width)
-    ends = named.select(F.explode(F.array("u", "v")).alias("node"))
-    numbers = reliable_checkpoint(
-        running_counts(ends.distinct(), "node", {"n": F.lit(1)}).select(
-            "node", F.col("n_before").alias("id")
-        )
+    spark, width = edges.sparkSession, shuffle_width(edges.sparkSession)
+    named = reliable_checkpoint(
+        _pointing(edges.select(F.col("src").alias("u"), F.col("dst").alias("v")).dropna())
     )
-    numbered = named
-    for end in ("u", "v"):
-        numbered = skew_safe_join(
-            numbered, numbers.withColumnsRenamed({"node": end, "id": f"{end}_id"}), [end],
-            heavy=hubs,
+    whole = all(isinstance(edges.schema[end].dataType, IntegralType) for end in ("src", "dst"))
+    nodes, links = _numbered(named, lambda c: c.cast("bigint")) if whole else _hashed(named, width)
+    seen, path = links.agg(*_link_metrics(width)).first().asDict(recursive=True), None
+    rounds: list[DataFrame] = []
+    while seen["links"]:
+        if len(rounds) == max_rounds:
+            raise RuntimeError(f"links left after {max_rounds} rounds")
+        hubs = _hubs(seen, width)
+        rounds.append(reliable_checkpoint(_roots(links, hubs)))
+        links, new_path, seen = measured_checkpoint(
+            _contracted(links, rounds[-1], hubs), *_link_metrics(width)
         )
-    # Numbers keep the order of the names, so every link still points down.
-    base = numbered.select(F.col("u_id").alias("u"), F.col("v_id").alias("v"))
-    stars = _star_rounds(base, max_rounds, report)
-    # A star edge is (node, centre); the centre itself has none.
-    centres = stars.select(F.col("u").alias("id"), F.col("v").alias("centre"))
-    labelled = numbers.join(centres, "id", "left").select(
-        "node", F.coalesce("centre", "id").alias("id")
+        if path:
+            remove_path(spark, path)
+        path = new_path
+        if report is not None:
+            report(seen["links"])
+    if not rounds:
+        return nodes.select("node", F.col("node").alias("component"))
+    classes = nodes.select("node", "id").join(_unfolded(rounds).withColumnRenamed("node", "id"), "id", "left")
+    # A node without links to others is a class of its own; no round has the level -1.
+    classes = classes.select(
+        "node", F.coalesce("level", F.lit(-1)).alias("level"), F.coalesce("name", "id").alias("name")
     )
-    names = numbers.select("id", F.col("node").alias("component"))
-    return skew_safe_join(labelled, names, ["id"]).select("node", "component")
+    smallest = classes.groupBy("level", "name").agg(F.min("node").alias("component"))
+    return skew_safe_join(classes, smallest, ["level", "name"]).select("node", "component")
 
 
 def component_edges(edges: DataFrame, components: DataFrame) -> DataFrame:
