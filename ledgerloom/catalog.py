@@ -898,25 +898,15 @@ def page_records(spark, folder):
 @query
 def page_pairs(spark, folder):
     """Links and paragraphs of a page side by side, cut at the shorter list."""
-    shown = pages.visible(F.col("html"))
-    lists = _pages(spark, folder).select(
-        "page_id",
-        pages.element_texts(shown, "li", "").alias("item"),
-        pages.element_texts(shown, "p", "").alias("info"),
-    )
-    return pages.ragged_rows(lists, "page_id", ["item", "info"], shortest=True)
+    wanted = {"item": ("li", ""), "info": ("p", "")}
+    return pages.extract_records(_pages(spark, folder), wanted, shortest=True)
 
 
 @query
 def page_link_items(spark, folder):
     """Links without a class, with the title taken from the list item at the same place."""
-    html = pages.visible(F.col("html"))
-    lists = _pages(spark, folder).select(
-        "page_id",
-        F.transform(pages.link_pairs(html, ""), lambda pair: pair["link"]).alias("link"),
-        pages.element_texts(html, "li").alias("title"),
-    )
-    return pages.ragged_rows(lists, "page_id", ["link", "title"], shortest=True)
+    wanted = {"link": pages.targets_of(""), "title": ("li", None)}
+    return pages.extract_records(_pages(spark, folder), wanted, shortest=True)
 
 
 @query

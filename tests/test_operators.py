@@ -2,6 +2,8 @@
 
 import math
 import random
+import re
+import time
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -359,6 +361,67 @@ def test_elements_as_a_parser_gives_them(spark, html, where, want):
     assert [r["text"] for r in pages.elements(page, *where).collect()] == want
 
 
+def plain_elements(pieces, tag):
+    """Texts of the elements by one walk to the end of each, as the module's text says."""
+    names = [re.match(r"</?(\w+)", x).group(0)[1:].lower() if x.startswith("<") else "" for x in pieces]
+    found = []
+    for i, name in enumerate(names):
+        if name != tag:
+            continue
+        depth, end = 0, len(pieces)
+        for j in range(i + 1, len(pieces)):
+            other = names[j]
+            if tag == "p":
+                over = other in ("p", "/p") or other.lstrip("/") in pages.BLOCKS
+            elif tag == "li":
+                depth += (other in pages.LISTS) - (other[:1] == "/" and other[1:] in pages.LISTS)
+                over = depth < 0 or (depth == 0 and other in ("li", "/li"))
+            else:
+                depth += (other == tag) - (other == f"/{tag}")
+                over = depth < 0
+            if over:
+                end = j
+                break
+        found.append("".join(x for x in pieces[i + 1 : end] if not x.startswith("<")).strip(" \n\t\r"))
+    return found
+
+
+def test_elements_against_a_plain_walk(spark):
+    rng = random.Random(11)
+    tags = ["<p>", "</p>", "<li>", "</li>", "<ul>", "</ul>", "<div class=ad>", "</div>", "<B>", "</b>", "<ol>", "</OL>"]
+    cut = [[rng.choice([*tags, "x", " y\n"]) for _ in range(rng.randrange(0, 90))] for _ in range(60)]
+    cut.append([rng.choice(tags) for _ in range(pages.SUM_BLOCK * 3)] + ["z"])  # several blocks
+    df = spark.createDataFrame([(i, "".join(x)) for i, x in enumerate(cut)], "page_id int, html string")
+    names = ["p", "li", "div", "b", "ul"]
+    lists = df.select("page_id", *[pages.element_texts(F.col("html"), name).alias(name) for name in names])
+    for row in lists.collect():
+        for name in names:
+            assert row[name] == plain_elements(cut[row["page_id"]], name), name
+
+
+@pytest.mark.parametrize("piece,where,n", [
+    ("<li>x", ("li",), 100_000), ("<li class='k'>x</li>", ("li", "k"), 100_000), ("<p>x", ("p", ""), 100_000),
+    ("<div><div>x</div></div>", ("div",), 100_000), ("</div><div>x", ("div",), 50_000),
+])
+def test_work_follows_the_length_of_a_page(spark, piece, where, n):
+    started = time.time()
+    df = spark.range(1).select(F.col("id").alias("page_id"), F.repeat(F.lit(piece), F.lit(n)).alias("html"))
+    found = pages.elements(df, *where).agg(F.count(F.lit(1)), F.min("text"), F.max("text")).first()
+    assert tuple(found) == (n * piece.count(f"<{where[0]}"), "x", "x")
+    assert time.time() - started < 60
+
+
+def test_lists_of_a_page_side_by_side(spark):
+    html = "<h1>t</h1><ul><li>a<li>b</ul><a href=/1>k</a><a>no</a>"
+    df = spark.createDataFrame([(1, html), (2, None), (3, "")], "page_id int, html string")
+    wanted = {"title": ("h1", None), "item": ("li", ""), "to": pages.targets_of()}
+    found = pages.extract_records(df, wanted)
+    assert found.columns == ["page_id", "position", "title", "item", "to"]
+    assert rows(found, "page_id", "position", "title", "item", "to") == [(1, 0, "t", "a", "/1"), (1, 1, None, "b", None)]
+    assert rows(pages.extract_records(df, wanted, shortest=True), "item", "to") == [("a", "/1")]
+    assert rows(pages.extract_records(df, wanted, max_rows=1), "position") == [(0,)]
+
+
 def test_links_of_every_quoting(spark):
     html = "<a href='/x'>1</a><A HREF=\"/z\">2</A><a href=/q class='k l'>3</a><a name=n>4</a>"
     page = spark.createDataFrame([(1, html)], "page_id int, html string")
