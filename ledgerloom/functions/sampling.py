@@ -99,6 +99,48 @@ def with_fine_draw(df: DataFrame, name: str, coarse: str, hashed: str) -> DataFr
     return df.withColumn(name, fine).drop(rest)
 
 
+def with_second_draw(df: DataFrame, name: str, other: str, coarse: str, hashed: str) -> DataFrame:
+    """Two more 32-bit draws, ``name`` and ``other``, that follow from ``coarse``."""
+    df = with_mixed(df, name, _low32(F.col(coarse) + F.lit(2 * GOLDEN_STEP)))
+    return with_mixed(df, other, F.col(name).bitwiseXOR(F.col(hashed)))
+
+
+def scattered_place(place: Column, key: Column, other: Column, bits: int) -> Column:
+    """Another number below ``2**bits``, different for different places of one pair of keys.
+
+    Adding, multiplying by an odd number and folding the upper half down are each
+    one-to-one; ``key`` and ``other`` are 32-bit draws.
+    """
+    mask, half = F.lit((1 << bits) - 1), (bits + 1) // 2
+    for shift in (0, 8, 16):
+        added = (place + F.shiftright(key, shift)).bitwiseAND(mask)
+        odd = F.shiftright(other, shift).bitwiseOR(F.lit(1)).bitwiseAND(mask)
+        place = let((added * odd).bitwiseAND(mask), lambda x: x.bitwiseXOR(F.shiftright(x, half)))
+    return place
+
+
+def binomial_cuts(trials: int, chance: float) -> list[int]:
+    """Cumulative probabilities of 0, 1, 2, ... successes, scaled to the range of a fine draw."""
+    part = total = (1 - chance) ** trials
+    cuts = []
+    for k in range(trials):
+        cuts.append(int(total * float(1 << FINE_BITS)))
+        if cuts[-1] >= 1 << FINE_BITS or (k > trials * chance and part < 2.0**-60):
+            break
+        part = part * (trials - k) / (k + 1) * chance / (1 - chance) if chance < 1 else 0.0
+        total += part
+    return cuts
+
+
+def binomial_count(draw: Column, trials: int, chance: float) -> Column:
+    """Number of successes of a uniform fine draw."""
+    cuts = binomial_cuts(trials, chance)
+    choice = F.when(draw < cuts[0], F.lit(0))
+    for count, cut in enumerate(cuts[1:], start=1):
+        choice = choice.when(draw < cut, F.lit(count))
+    return choice.otherwise(F.lit(len(cuts)))
+
+
 def uniform_draw(key: Column, seed: int) -> Column:
     """Uniform double in [0, 1) from a BIGINT row key: 53 bits of its 64-bit hash."""
     key = key.cast("bigint")

@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 
 from ledgerloom.functions.numeric import normal_tail, ratio
 from ledgerloom.functions.sampling import (
-    FINE_BITS, poisson_weight, with_draw, with_fine_draw, with_key_hash,
+    FINE_BITS, binomial_count, poisson_weight, scattered_place, with_draw, with_fine_draw,
+    with_key_hash, with_second_draw,
 )
 from ledgerloom.operators.aggregates import histogram
 from ledgerloom.operators.ordering import quantiles_from_counts, running_counts
@@ -25,6 +26,9 @@ from ledgerloom.session import reliable_checkpoint, shuffle_width
 REPLICATE = "replicate"
 # Half width, in deviations of its rank, of the band that may hold a resample's median.
 BAND_SIGMAS = 6.0
+# Samples of a block that a row is wanted by on average, at most; with it a list of cuts
+# has a few dozen entries.
+BLOCK_WANTED = 8
 
 
 def _with_draw(df: DataFrame) -> DataFrame:
@@ -207,6 +211,41 @@ def bootstrap_histogram(replicates: DataFrame, bins: int = 50, level: float = 0.
     return bars.withColumn("tail", outside).drop("__ci")
 
 
+def _wanted_by(
+    rows: DataFrame, strata: str, shares: dict, replicates: int
+) -> DataFrame:
+    """Every row once per replicate that wants it, each with the chance of the row's stratum.
+
+    Replicates are cut into blocks of a power of two.  A row draws once per block how many
+    of its replicates want it (binomial), and only these are made; a one-to-one scatter of
+    0, 1, 2, ... says which.  That is the law of a draw per row and replicate, for work in
+    proportion to the rows and the wanted ones: with rare wants one draw serves them all.
+    """
+    bits = (replicates - 1).bit_length()
+    most = max(shares.values(), default=1.0)
+    bits = max(0, min(bits, math.floor(math.log2(BLOCK_WANTED / most))))
+    blocks = -(-replicates >> bits)
+    if blocks > 1:  # rows are multiplied: deal them evenly first, even from one input split
+        rows = rows.repartition(shuffle_width(rows.sparkSession), "__h")
+    block = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))) if blocks > 1 else F.lit(0)
+    # Blocks draw by negative numbers, replicates by positive ones.
+    drawn = rows.withColumn("__block", block).withColumn("__number", -1 - F.col("__block"))
+    drawn = with_draw(drawn, "__draw", "__h", "__number")
+    drawn = with_fine_draw(drawn, "__fine", "__draw", "__h")
+    count = F.lit(0)
+    for label, share in shares.items():
+        count = F.when(F.col(strata) == F.lit(label), binomial_count(F.col("__fine"), 1 << bits, share)).otherwise(count)
+    drawn = drawn.withColumn("__count", count)
+    each = F.explode(F.when(F.col("__count") > 0, F.sequence(F.lit(0), F.col("__count") - 1)))
+    drawn = with_second_draw(drawn, "__key", "__other", "__draw", "__h").withColumn("__place", each)
+    place = scattered_place(F.col("__place").cast("bigint"), F.col("__key"), F.col("__other"), bits)
+    number = (F.col("__block") * F.lit(1 << bits) + place + 1).cast("int")
+    found = drawn.withColumn(REPLICATE, number)
+    if blocks << bits != replicates:
+        found = _keep(found, REPLICATE, F.col(REPLICATE) <= replicates)
+    return found.drop("__block", "__number", "__draw", "__fine", "__count", "__key", "__other", "__place")
+
+
 def repeated_samples(
     df: DataFrame,
     strata: str,
@@ -218,17 +257,20 @@ def repeated_samples(
 ) -> DataFrame:
     """``size`` rows without replacement from each labelled stratum, once per replicate.
 
-    A sample is the ``size`` smallest draws of 53 bits (all rows when the stratum is
-    smaller); equal draws are ordered by the other half of the row's hash.  Draws above a
-    limit that nearly always leaves more than ``size`` rows are dropped before the
-    shuffle; samples the limit cut short are taken again with a limit ten times as high,
-    until none is short, so every sample is exact and none is sorted in full.
+    Each replicate first wants every row by chance, with a chance that nearly always gives
+    it more than ``size`` rows, and keeps those with the smallest draws of 53 bits (all
+    rows when the stratum is smaller); equal draws are ordered by the other half of the
+    row's hash.  Only wanted rows are ever made, so the work is in proportion to the rows
+    and the samples.  Samples that chance left short are taken again from a draw per row,
+    with a limit ten times as high, until none is short: every sample has its exact size
+    and each set of rows the same chance.
     """
     rows = with_key_hash(
         df.filter(F.col(strata).isin(list(labels))), "__h", F.col(key), seed
     )
     # One row per label.
     sizes = rows.groupBy(strata).agg(F.count(F.lit(1)).alias("__n"))
+    counts = dict(sizes.select(strata, "__n").collect())
     target = F.least(F.col("__n"), F.lit(size))
     wanted = sizes.select(
         strata, "__n", F.explode(F.sequence(F.lit(1), F.lit(replicates))).alias(REPLICATE)
@@ -236,18 +278,17 @@ def repeated_samples(
     order = Window.partitionBy(REPLICATE, strata).orderBy("__draw", "__h_b", key)
     spare, short, parts = size + 8 * math.sqrt(size) + 20, None, []
     while True:
-        limit = (F.lit(float(spare)) / F.col("__n") * F.lit(float(1 << FINE_BITS))).alias("__limit")
-        limited = rows.join(F.broadcast(sizes.select(strata, limit)), strata)
         if short is None:
-            expanded = _expand(limited, replicates)
+            shares = {label: min(1.0, spare / n) for label, n in counts.items()}
+            expanded = _with_draw(_wanted_by(rows, strata, shares, replicates))
+            fine = with_fine_draw(expanded, "__draw", "__draw", "__h")
         else:  # at most one row per replicate and label, and none in practice
-            expanded = _with_draw(limited.join(F.broadcast(short.select(REPLICATE, strata)), strata))
-        fine = with_fine_draw(expanded, "__draw", "__draw", "__h")
-        few = reliable_checkpoint(
-            _keep(fine, "__draw", F.col("__draw") < F.col("__limit")).select(
-                *df.columns, REPLICATE, "__draw", "__h_b"
-            )
-        )
+            limit = (F.lit(float(spare)) / F.col("__n") * F.lit(float(1 << FINE_BITS))).alias("__limit")
+            asked = short.join(sizes.select(strata, limit), strata).select(REPLICATE, strata, "__limit")
+            expanded = _with_draw(rows.join(F.broadcast(asked), strata))
+            fine = with_fine_draw(expanded, "__draw", "__draw", "__h")
+            fine = _keep(fine, "__draw", F.col("__draw") < F.col("__limit"))
+        few = reliable_checkpoint(fine.select(*df.columns, REPLICATE, "__draw", "__h_b"))
         reached = few.groupBy(REPLICATE, strata).agg(F.count(F.lit(1)).alias("__got"))
         asked = wanted if short is None else short
         cut_short = (

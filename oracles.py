@@ -782,12 +782,40 @@ ORACLES["ab_readout"] = with_tables(
 
 def _simulation(clean: bool) -> str:
     where = "WHERE version <> 'v2.8.0'" if clean else ""
+    spare = SAMPLE_SIZE + 8 * math.sqrt(SAMPLE_SIZE) + 20
+    place = "j::BIGINT"
+    for shift in (0, 8, 16):
+        place = (f"(SELECT xor(y, y >> ((bits + 1) // 2)) FROM (SELECT ((({place} + (key >> {shift})) & mask) "
+                 f"* (((other >> {shift}) | 1) & mask)) & mask AS y))")
     sampled = f"""
 aa_rows AS (SELECT number, variant, purchase, {hashed('number', SEED, 'h')} FROM aa {where}),
+aa_share AS (SELECT variant, least(1.0::DOUBLE, {spare!r}::DOUBLE / count(*)) AS share FROM aa_rows GROUP BY 1),
+aa_bits AS (
+  SELECT greatest(0, least({(SIMULATIONS - 1).bit_length()}, floor(log2(8.0::DOUBLE / max(share)))))::BIGINT AS bits
+  FROM aa_share),
+aa_part AS (
+  SELECT variant, share, 0 AS k, pow(1 - share, 1 << bits) AS part, pow(1 - share, 1 << bits) AS total
+  FROM aa_share, aa_bits
+  UNION ALL
+  SELECT variant, share, k + 1,
+    CASE WHEN share < 1 THEN part * ((1 << bits) - k) / (k + 1) * share / (1 - share) ELSE 0 END,
+    total + CASE WHEN share < 1 THEN part * ((1 << bits) - k) / (k + 1) * share / (1 - share) ELSE 0 END
+  FROM aa_part, aa_bits WHERE k + 1 < (1 << bits)),
+aa_cuts AS (
+  SELECT variant, list(floor(total * 9007199254740992::DOUBLE)::BIGINT ORDER BY k) AS cuts
+  FROM aa_part GROUP BY 1),
+aa_blocks AS (
+  SELECT *, {drawn('h', '(-1 - block)', 'b0')}, {finely('h', 'b0', 'fine')},
+    {mixed(f"(b0 + {2 * GOLDEN_STEP}) & {MASK32}", 'key')}, {mixed("xor(key, h)", 'other')}
+  FROM (SELECT *, unnest(range(0, ({SIMULATIONS} + (1 << bits) - 1) >> bits)) AS block FROM aa_rows, aa_bits)),
+aa_wanted AS (
+  SELECT *, (1 << bits) - 1 AS mask, unnest(range(0, len([c FOR c IN cuts IF c <= fine]))) AS j
+  FROM aa_blocks JOIN aa_cuts USING (variant)),
 aa_drawn AS (
   SELECT number, variant, purchase, replicate, h_b, {drawn('h', 'replicate', 'd0')},
     {finely('h', 'd0', 'd')}
-  FROM (SELECT *, unnest(range(1, {SIMULATIONS} + 1)) AS replicate FROM aa_rows)),
+  FROM (SELECT *, block * (1 << bits) + {place} + 1 AS replicate FROM aa_wanted)
+  WHERE replicate <= {SIMULATIONS}),
 sampled AS (
   SELECT * FROM aa_drawn
   QUALIFY row_number() OVER (PARTITION BY replicate, variant ORDER BY d, h_b, number)

@@ -230,10 +230,42 @@ def test_repeated_samples_are_exact_and_distinct(spark):
 
 def test_repeated_samples_when_the_limit_is_too_low(spark, monkeypatch):
     df = spark.range(2000).select("id", (F.col("id") % 2).cast("int").alias("g"))
-    want = rows(resampling.repeated_samples(df, "g", [0, 1], "id", 50, 4, 3))
+    # Wanted by half as many rows as a sample has: every sample is short and taken again.
     monkeypatch.setattr(resampling.math, "sqrt", lambda x: -x / 8)
-    got = rows(resampling.repeated_samples(df, "g", [0, 1], "id", 50, 4, 3))
-    assert got == want
+    drawn = resampling.repeated_samples(df, "g", [0, 1], "id", 50, 40, 3)
+    counts = drawn.groupBy("replicate", "g").agg(F.count("id").alias("n"), F.count_distinct("id").alias("d"))
+    assert {(r["n"], r["d"]) for r in counts.collect()} == {(50, 50)} and counts.count() == 80
+
+
+@pytest.mark.parametrize("n,size,replicates", [(40, 5, 3000), (900, 20, 500), (30, 30, 100), (4000, 3, 64)])
+def test_samples_take_every_row_and_pair_alike(spark, n, size, replicates):
+    df = spark.range(n).select("id", F.lit(1).alias("g"))
+    drawn = resampling.repeated_samples(df, "g", [1], "id", size, replicates, 9)
+    sets = defaultdict(set)
+    for r in drawn.select("id", "replicate").collect():
+        sets[r["replicate"]].add(r["id"])
+    assert len(sets) == replicates and {len(x) for x in sets.values()} == {size}
+    taken = Counter(i for x in sets.values() for i in x)
+    mean = size * replicates / n
+    spread = sum((taken[i] - mean) ** 2 for i in range(n)) / n
+    assert spread <= max(1.6 * mean * (1 - size / n), 1e-9)  # binomial, as without gaps
+    # Two replicates share as many rows as two independent samples, near and far apart.
+    for gap in (1, 2, 3, 16, 32):
+        pairs = [(a, a + gap) for a in range(1, replicates - gap)]
+        shared = sum(len(sets[a] & sets[b]) for a, b in pairs) / len(pairs)
+        want = size * size / n
+        assert abs(shared - want) <= 5 * math.sqrt(want / len(pairs)) + 1e-9
+
+
+def test_work_of_samples_follows_the_wanted_rows(spark):
+    rows_of = spark.range(20_000).select("id", F.lit(1).alias("g"))
+    hashed = resampling.with_key_hash(rows_of, "__h", F.col("id"), 1)
+    for replicates in (100, 1000):
+        made = resampling._wanted_by(hashed, "g", {1: 0.002}, replicates)
+        n = made.count()
+        assert abs(n - 40 * replicates) < 6 * math.sqrt(40 * replicates)
+        assert made.select("id", "replicate").distinct().count() == n
+        assert set(made.agg(F.min("replicate"), F.max("replicate")).first()) <= set(range(1, replicates + 1))
 
 
 def test_false_positive_rate_on_a_true_null(spark):
