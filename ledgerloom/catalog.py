@@ -435,6 +435,14 @@ def mann_whitney(spark, folder):
     return rounded(tested, 6, "u", "z", "p_value")
 
 
+@query
+def customer_price_u_tests(spark, folder):
+    """Per customer, prices of open against filled orders: small samples, exact p-values."""
+    orders = readers.table(spark, folder, "orders")
+    tested = stats.mann_whitney(orders, "o_totalprice", "o_orderstatus", "O", "F", keys=["o_custkey"])
+    return rounded(tested.filter("n1 > 0 AND n2 > 0"), 6, "u", "z", "p_value")
+
+
 @query
 def ranked_quantities(spark, folder):
     """Average ranks of tied values over two pooled samples."""

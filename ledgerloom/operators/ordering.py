@@ -8,6 +8,7 @@ summed, and only the slice totals are accumulated.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -15,6 +16,9 @@ from pyspark.sql import functions as F
 from ledgerloom.session import reliable_checkpoint
 
 SLICE = "__slice"
+# Rank error of a sketch as a part of all rows is 1 / accuracy; a bracket reaches so many
+# errors to both sides.
+SKETCH_ACCURACY, BRACKET_ERRORS = 10_000, 2
 
 
 def running_counts(
@@ -100,12 +104,86 @@ def quantiles_from_counts(
     return picked.select(*keys, "n_rows", *results)
 
 
+def _brackets(
+    df: DataFrame, value: str, probabilities: Sequence[float], keys: Sequence[str]
+) -> DataFrame:
+    """Per key group the values ``low`` and ``high`` between which each quantile must lie.
+
+    From one mergeable sketch; a limit at an end of the order is NULL, for none.
+    """
+    reach = BRACKET_ERRORS / SKETCH_ACCURACY
+    edges = sorted({edge for p in probabilities for edge in (p - reach, p + reach) if 0 < edge < 1})
+    sketch = F.percentile_approx(value, edges or [0.5], SKETCH_ACCURACY)
+    found = df.groupBy(*keys).agg(sketch.alias("__q"))
+
+    def limits(sign: int) -> Column:
+        picks = [p + sign * reach for p in probabilities]
+        none = F.lit(None).cast(df.schema[value].dataType)
+        return F.array(*[F.col("__q")[edges.index(x)] if 0 < x < 1 else none for x in picks])
+
+    return found.select(*keys, limits(-1).alias("__low"), limits(1).alias("__high"))
+
+
+def _narrowed(
+    df: DataFrame, value: str, probabilities: Sequence[float], keys: Sequence[str]
+) -> DataFrame:
+    """Running counts in which only values between two brackets' limits are told apart.
+
+    All values between one bracket and the next are a single NULL with their number, so
+    the shuffle holds the rows inside the brackets and a few more per partition.
+    """
+    brackets = reliable_checkpoint(_brackets(df, value, probabilities, keys))
+    if keys:  # one row per group; its written size decides how it is joined
+        bounded = df.join(brackets, list(keys))
+        lows, highs = ([F.col(f"__{side}")[i] for i in range(len(probabilities))] for side in ("low", "high"))
+    else:
+        row = brackets.first()
+        kind = df.schema[value].dataType
+        bounded = df
+        lows, highs = ([F.lit(x).cast(kind) for x in row[side]] for side in ("__low", "__high"))
+    v = F.col(value)
+    inside = [
+        F.coalesce(v >= low, F.lit(True)) & F.coalesce(v <= high, F.lit(True)) for low, high in zip(lows, highs)
+    ]
+    # Brackets that end below a value; a value outside all is smaller than those inside
+    # the brackets that are left.
+    passed = sum((F.coalesce(v > high, F.lit(False)).cast("int") for high in highs), F.lit(0))
+    place = F.struct(passed.alias("passed"), F.when(reduce(Column.__or__, inside), v).alias("value"))
+    folded = bounded.filter(v.isNotNull()).select(*keys, place.alias("__place"))
+    counts = running_counts(folded, "__place", {"n": F.lit(1)}, keys)
+    return counts.withColumn(value, F.col("__place.value")).drop("__place")
+
+
 def exact_quantiles(
     df: DataFrame, value: str, probabilities: Sequence[float], keys: Sequence[str] = ()
 ) -> DataFrame:
-    """Exact quantiles of a column, per key group, at any number of distinct values."""
-    counts = running_counts(df, value, {"n": F.lit(1)}, keys)
-    return quantiles_from_counts(counts, value, probabilities, "n", keys)
+    """Exact quantiles of a column, per key group, by narrowing.
+
+    A sketch brackets every wanted rank, then one pass counts the rows around the brackets
+    and keeps only the values inside, so what is shuffled grows with the error of the
+    sketch, not with the distinct values.  A group whose rank the sketch should have missed
+    is counted in full: the result never depends on the sketch.
+    """
+    keys = list(keys)
+    rows = df.select(*keys, value)
+    narrow = quantiles_from_counts(_narrowed(rows, value, probabilities, keys), value, probabilities, "n", keys)
+    if rows.schema[value].dataType.typeName() in ("float", "double"):
+        narrow = narrow.withColumn("__missed", reduce(Column.__or__, [
+            F.col(f"q{i}").isNull() | F.isnan(f"q{i}") for i in range(len(probabilities))
+        ]))
+    else:
+        narrow = narrow.withColumn("__missed", reduce(Column.__or__, [
+            F.col(f"q{i}").isNull() for i in range(len(probabilities))
+        ]))
+    found = reliable_checkpoint(narrow)  # one row per group
+    missed = found.filter(F.col("__missed") & (F.col("n_rows") > 0))
+    if missed.isEmpty():
+        return found.drop("__missed")
+    again = rows.join(missed.select(*keys), keys, "left_semi") if keys else rows
+    full = quantiles_from_counts(
+        running_counts(again, value, {"n": F.lit(1)}, keys), value, probabilities, "n", keys
+    )
+    return found.filter(~F.col("__missed") | (F.col("n_rows") == 0)).drop("__missed").unionByName(full)
 
 
 def approximate_quantiles(
@@ -148,12 +226,14 @@ def column_quantiles(
     return compute(long, "v", probabilities, ["column_name"])
 
 
-def average_ranks(df: DataFrame, value: str, weights: Mapping[str, Column]) -> DataFrame:
-    """Distinct values with their counts and the average rank of their ties.
+def average_ranks(
+    df: DataFrame, value: str, weights: Mapping[str, Column], keys: Sequence[str] = ()
+) -> DataFrame:
+    """Distinct values with their counts and the average rank of their ties, per key group.
 
     ``weights`` counts the rows of each sample; the rank is over all samples pooled.
     """
-    counts = running_counts(df, value, weights)
+    counts = running_counts(df, value, weights, keys)
     ties = sum((F.col(name) for name in weights), F.lit(0))
     before = sum((F.col(f"{name}_before") for name in weights), F.lit(0))
     return counts.withColumn("ties", ties).withColumn("average_rank", before + (ties + 1) / 2)

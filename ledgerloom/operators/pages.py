@@ -19,6 +19,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerloom.functions.arrays import sums_before
 from ledgerloom.functions.numeric import let
 from ledgerloom.functions.text import decode_entities, find_all, strip
 
@@ -36,8 +37,6 @@ BLOCKS = (
 ).split()
 # Tags that hold list items.
 LISTS = ("ul", "ol", "menu", "dir")
-# Values summed one after the other; a running sum copies what it has at every step.
-SUM_BLOCK = 256
 
 
 class Page(NamedTuple):
@@ -102,34 +101,6 @@ def attribute(tag: Column, name: str) -> Column:
     return F.when(F.contains(F.lower(tag), F.lit(name)), value)
 
 
-def _running(steps: Column) -> Column:
-    """Sum of all steps before each one, block by block."""
-    start = F.struct(F.lit(0).alias("sum"), F.array().cast("array<int>").alias("before"))
-
-    def add(state: Column, step: Column) -> Column:
-        return F.struct(
-            (state["sum"] + step).alias("sum"),
-            F.array_append(state["before"], state["sum"]).alias("before"),
-        )
-
-    summed = lambda values: F.aggregate(values, start, add)
-    def blocks(values: Column) -> Column:
-        last = F.greatest(F.ceil(F.size(values) / SUM_BLOCK).cast("int") - 1, F.lit(0))
-        return F.transform(
-            F.sequence(F.lit(0), last),
-            lambda block: summed(F.slice(values, block * SUM_BLOCK + 1, F.lit(SUM_BLOCK))),
-        )
-
-    def joined(parts: Column) -> Column:
-        offsets = summed(F.transform(parts, lambda part: part["sum"]))["before"]
-        moved = F.zip_with(
-            parts, offsets, lambda part, offset: F.transform(part["before"], lambda x: x + offset)
-        )
-        return F.flatten(moved)
-
-    return let(let(steps, blocks), joined)
-
-
 def _marks(tags: Column, tag: str) -> Column:
     """(place, step) of the tags that open or close elements ``tag``, in order.
 
@@ -166,7 +137,7 @@ def _keyed(marks: Column, tag: str) -> Column:
         steps = F.transform(marks, lambda mark: mark["step"])
         inside = lambda mark, before: before + F.when(mark["step"] == 1, 1).otherwise(0)
     keyed = F.zip_with(
-        marks, _running(steps),
+        marks, sums_before(steps),
         lambda mark, before: F.struct(
             inside(mark, before).alias("key"), mark["place"].alias("place"), mark["step"].alias("step")
         ),

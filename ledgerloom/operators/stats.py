@@ -6,9 +6,12 @@ column arithmetic on that row.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerloom.functions.arrays import rank_sum_ways
 from ledgerloom.functions.numeric import normal_tail, ratio
 from ledgerloom.functions.student import t_two_sided
 from ledgerloom.operators.ordering import average_ranks
@@ -135,14 +138,34 @@ def chi_square(table: DataFrame, correction: bool = True) -> DataFrame:
     ).withColumn("p_value", 2 * normal_tail(F.sqrt("chi2")))
 
 
+# A sample of at most so many values, without ties, has an exact p-value.
+EXACT_SAMPLE = 8
+
+
+def _exact_tail(u: Column, n1: Column, n2: Column) -> Column:
+    """Chance of a U statistic of at least ``u`` where all orders are equally likely."""
+    small, large = F.least(n1, n2), F.greatest(n1, n2)
+    # U and n1 * n2 - U have one distribution; the lower tail needs its first counts only.
+    ways = rank_sum_ways(small, large, n1 * n2 - u)
+    orders = F.aggregate(
+        F.sequence(F.lit(1), small.cast("int")), F.lit(1.0), lambda total, i: total * (large + i) / i
+    )
+    return F.aggregate(ways, F.lit(0.0), lambda total, x: total + x) / orders
+
+
 def mann_whitney(
-    df: DataFrame, value: str, group: str, a, b, alternative: str = "two-sided"
+    df: DataFrame, value: str, group: str, a, b, alternative: str = "two-sided",
+    method: str = "auto", keys: Sequence[str] = (),
 ) -> DataFrame:
-    """U test with tie correction and continuity correction (one row).
+    """U test with tie correction and continuity correction: one row, or one per key group.
 
     ``u`` belongs to sample ``a``.  ``alternative`` is two-sided, greater or less.
+    ``method`` is asymptotic (normal), or auto: the exact p-value where the smaller sample
+    has at most EXACT_SAMPLE values and no two values are equal; with ``keys`` a column
+    ``exact`` tells which.
     Ranks come from value counts in range slices, never from one global sort task.
     """
+    keys = list(keys)
     counts = average_ranks(
         df.filter(F.col(group).isin(a, b)),
         value,
@@ -150,9 +173,10 @@ def mann_whitney(
             "na": F.when(F.col(group) == F.lit(a), 1).otherwise(0),
             "nb": F.when(F.col(group) == F.lit(b), 1).otherwise(0),
         },
+        keys,
     )
     tie = F.col("ties").cast("double")
-    sums = counts.agg(
+    sums = counts.groupBy(*keys).agg(
         F.sum("na").cast("double").alias("n1"),
         F.sum("nb").cast("double").alias("n2"),
         F.sum(F.col("na") * F.col("average_rank")).alias("rank_sum"),
@@ -172,9 +196,17 @@ def mann_whitney(
     else:
         raise ValueError(f"unknown alternative {alternative!r}")
     z = ratio(side - mean - F.lit(0.5), sd)
+    tail = normal_tail(F.col("z"))
+    if method == "auto":
+        few = F.least(n1, n2).between(1, EXACT_SAMPLE) & (F.col("tie_sum") == 0)
+        tail = F.when(F.col("exact"), _exact_tail(F.col("side"), n1, n2)).otherwise(tail)
+    elif method == "asymptotic":
+        few = F.lit(False)
+    else:
+        raise ValueError(f"unknown method {method!r}")
     return (
-        sums.withColumn("u", u1)
-        .withColumn("z", z)
-        .withColumn("p_value", F.least(F.lit(1.0), F.lit(factor) * normal_tail(F.col("z"))))
-        .select(F.col("n1").cast("long"), F.col("n2").cast("long"), "u", "z", "p_value")
+        sums.withColumns({"u": u1, "z": z, "side": side, "exact": few})
+        .withColumn("p_value", F.least(F.lit(1.0), F.lit(factor) * tail))
+        .select(*keys, F.col("n1").cast("long"), F.col("n2").cast("long"), "u", "z", "p_value", *(["exact"] if keys else []))
     )
+

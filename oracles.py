@@ -699,6 +699,37 @@ ORACLES["normality"] = f"""
 SELECT grp AS l_returnflag, n::BIGINT AS n, {near('z_skew', 5)} AS z_skew,
   {near('z_kurt', 5)} AS z_kurt, {near('k2', 5)} AS k2, {near('exp(-k2 / 2)', 5)} AS p_value
 FROM ({normality('lineitem', 'l_extendedprice', 'l_returnflag')})"""
+# Ways of u for n1 and n2 values: the largest value belongs to one sample or the other.
+ORACLES["customer_price_u_tests"] = with_tables(f"""
+o AS (SELECT o_custkey, o_orderstatus = 'O' AS one, o_totalprice AS v FROM orders WHERE o_orderstatus IN ('O', 'F')),
+r AS (
+  SELECT *, count(*) OVER (PARTITION BY o_custkey, v) AS t,
+    rank() OVER (PARTITION BY o_custkey ORDER BY v) + (count(*) OVER (PARTITION BY o_custkey, v) - 1) / 2.0::DOUBLE AS rk
+  FROM o),
+s AS (
+  SELECT o_custkey, count(*) FILTER (one) AS n1, count(*) FILTER (NOT one) AS n2,
+    sum(rk) FILTER (one) - n1::DOUBLE * (n1 + 1) / 2 AS u, sum((t::DOUBLE * t * t - t) / t) AS tie_sum
+  FROM r GROUP BY 1 HAVING n1 > 0 AND n2 > 0),
+z AS (
+  SELECT *, greatest(u, n1 * n2 - u) AS side, (side - n1::DOUBLE * n2 / 2 - 0.5::DOUBLE)
+    / sqrt(n1::DOUBLE * n2 / 12 * ((n1 + n2 + 1) - tie_sum / ((n1 + n2)::DOUBLE * (n1 + n2 - 1)))) AS z,
+    least(n1, n2) <= 8 AND tie_sum = 0 AS exact
+  FROM s),
+most AS (SELECT max(n1 + n2) AS top FROM z WHERE exact),
+ways AS (
+  SELECT 0::BIGINT AS m, 0::BIGINT AS n, 0::BIGINT AS u, 1::DOUBLE AS w
+  UNION ALL
+  SELECT m, n, u, sum(w)::DOUBLE FROM (
+    SELECT m + 1 AS m, n, u + n AS u, w FROM ways, most WHERE m + n < top
+    UNION ALL
+    SELECT m, n + 1, u, w FROM ways, most WHERE m + n < top) GROUP BY m, n, u),
+tail AS (
+  SELECT o_custkey, sum(w) FILTER (ways.u >= side) / sum(w) AS p
+  FROM z JOIN ways ON ways.m = n1 AND ways.n = n2 WHERE exact GROUP BY 1)
+""") + f"""
+SELECT o_custkey, n1, n2, {near('u', 6)} AS u, {near('z', 6)} AS z, exact,
+  {near(f"least(1.0::DOUBLE, 2 * CASE WHEN exact THEN p ELSE {tail('z')} END)", 6)} AS p_value
+FROM z LEFT JOIN tail USING (o_custkey)"""
 ORACLES["mann_whitney"] = with_tables(
     f"u AS ({u_test('lineitem', 'l_extendedprice', 'l_returnflag', chr(39) + 'A' + chr(39), chr(39) + 'R' + chr(39))})"
 ) + f"""

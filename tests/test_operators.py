@@ -1,5 +1,6 @@
 """Operators on small tables with known answers, and against brute force."""
 
+import itertools
 import math
 import random
 import re
@@ -11,6 +12,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from ledgerloom.functions import arrays
 from ledgerloom.operators import (
     aggregates, graph, models, ordering, pages, quality, resampling, skew, stats,
 )
@@ -75,6 +77,39 @@ def test_running_counts_ranks_and_quantiles(spark, slices):
     assert {r["v"]: r["average_rank"] for r in ranks} == expected
 
 
+@pytest.mark.parametrize("reach", [2, 0, -3])
+def test_quantiles_do_not_depend_on_the_sketch(spark, monkeypatch, reach):
+    # Without reach, or with limits on the wrong sides, ranks are missed and counted in full.
+    monkeypatch.setattr(ordering, "BRACKET_ERRORS", reach)
+    monkeypatch.setattr(ordering, "SKETCH_ACCURACY", 50)
+    rng = random.Random(3)
+    data = [(g, rng.choice([rng.gauss(0, 1), float(rng.randrange(5))])) for g in "abb" for _ in range(3000)]
+    data += [("c", 1.5), ("d", None), ("e", float("inf")), ("e", 1.0), (None, 2.0)]
+    df = spark.createDataFrame(data, "g string, v double")
+    probabilities = (0.0, 0.013, 0.5, 0.51, 0.999, 1.0)
+    for keys in ([], ["g"]):
+        got = ordering.exact_quantiles(df, "v", probabilities, keys).collect()
+        assert {r["g"] for r in got} == set("abce") if keys else len(got) == 1
+        for row in got:
+            sample = pd.Series([v for g, v in data if v is not None and (not keys or g == row["g"])])
+            assert row["n_rows"] == len(sample)
+            for i, p in enumerate(probabilities):
+                want = sample.sort_values().reset_index(drop=True)
+                place = (len(want) - 1) * p
+                low, high = want[math.floor(place)], want[math.ceil(place)]
+                assert row[f"q{i}"] == pytest.approx(low + (high - low) * (place - math.floor(place)), abs=1e-12, nan_ok=True)
+
+
+def test_quantiles_tell_few_values_apart(spark):
+    df = spark.range(200_000).select((F.xxhash64("id") / 1e9).alias("v"))
+    told = ordering._narrowed(df, "v", (0.2, 0.5, 0.8), [])
+    kept, total = told.count(), told.agg(F.sum("n")).first()[0]
+    assert total == 200_000 and kept < 3 * 200_000 * 5 * ordering.BRACKET_ERRORS / ordering.SKETCH_ACCURACY
+    whole = spark.range(9).select(F.col("id").cast("int").alias("v"))
+    assert tuple(ordering.exact_quantiles(whole, "v", (0.0, 0.5, 1.0)).first()) == (9, 0.0, 4.0, 8.0)
+    assert ordering.exact_quantiles(whole.limit(0), "v", (0.5,)).collect()[0]["q0"] is None
+
+
 def test_quantiles_of_one_value_and_sketch(spark):
     df = spark.createDataFrame([(3.0,)], "v double")
     assert tuple(ordering.exact_quantiles(df, "v", (0.2, 0.8)).first()) == (1, 3.0, 3.0)
@@ -137,14 +172,60 @@ def test_normality_published_values(spark):
     assert z(range(20), "z_kurt") == pytest.approx(-1.7058104152, abs=1e-9)
 
 
+def exact_u(a, b, alternative):
+    """p-value by all ways to pick the first sample's ranks."""
+    u = sum(x > y for x in a for y in b)
+    ranks = range(len(a) + len(b))
+    every = [sum(chosen) - len(a) * (len(a) - 1) // 2 for chosen in itertools.combinations(ranks, len(a))]
+    top = {"two-sided": max(u, len(a) * len(b) - u), "greater": u, "less": len(a) * len(b) - u}[alternative]
+    share = sum(x >= top for x in every) / len(every)
+    return min(1.0, share * (2 if alternative == "two-sided" else 1))
+
+
+@pytest.mark.parametrize("alternative", ["two-sided", "greater", "less"])
+def test_exact_u_against_every_order(spark, alternative):
+    rng = random.Random(8)
+    groups = {}
+    for n1, n2 in [(1, 1), (1, 6), (3, 3), (3, 4), (8, 5), (4, 8), (8, 9), (2, 14), (7, 7)]:
+        values = rng.sample(range(1000), n1 + n2)
+        groups[f"{n1}x{n2}"] = ([float(x) for x in values[:n1]], [float(x) for x in values[n1:]])
+    groups["ties"] = ([1.0, 2.0, 3.0], [3.0, 4.0, 5.0])
+    groups["many"] = ([float(x) for x in range(9)], [x + 0.5 for x in range(20)])
+    groups["one side"] = ([1.0, 2.0], [])
+    data = [(k, side, v) for k, pair in groups.items() for side, some in zip("ab", pair) for v in some]
+    df = spark.createDataFrame(data, "k string, g string, v double")
+    found = {r["k"]: r for r in stats.mann_whitney(df, "v", "g", "a", "b", alternative, keys=["k"]).collect()}
+    normal = {r["k"]: r for r in stats.mann_whitney(df, "v", "g", "a", "b", alternative, "asymptotic", ["k"]).collect()}
+    for name, (a, b) in groups.items():
+        row = found[name]
+        assert (row["n1"], row["n2"]) == (len(a), len(b))
+        assert row["exact"] == (name not in ("ties", "many", "one side")) and not normal[name]["exact"]
+        if row["exact"]:
+            assert row["p_value"] == pytest.approx(exact_u(a, b, alternative), rel=1e-12)
+        else:
+            assert row["p_value"] == normal[name]["p_value"]
+
+
+def test_exact_u_published_values(spark):
+    # Critical values of the tables: 8 and 10 values, U 17 at 5 % two-sided; 5 and 5, U 2.
+    for n1, n2, u in ((8, 10, 17), (5, 5, 2), (4, 4, 0)):
+        for k, significant in ((u, True), (u + 1, False)):
+            sizes = spark.createDataFrame([(float(n1), float(n2), float(n1 * n2 - k))], "a double, b double, u double")
+            p = 2 * sizes.select(stats._exact_tail(F.col("u"), F.col("a"), F.col("b"))).first()[0]
+            assert (p <= 0.05) == significant
+    # A long second sample: the counts of U add up to all orders, and mirror each other.
+    ways = spark.range(1).select(arrays.rank_sum_ways(F.lit(3), F.lit(400), F.lit(1200)).alias("w")).first()["w"]
+    assert sum(ways) == math.comb(403, 3) and ways == ways[::-1] and len(ways) == 1201
+
+
 def test_mann_whitney_published_value(spark):
     df = sample_frame(spark, [19, 22, 16, 29, 24], [20, 11, 17, 12])
-    row = stats.mann_whitney(df, "v", "g", "a", "b").first()
-    assert row["u"] == 17
-    assert row["p_value"] == pytest.approx(0.1113468865, abs=1e-9)
-    assert stats.mann_whitney(df, "v", "g", "a", "b", "greater").first()["p_value"] == pytest.approx(
-        0.1113468865 / 2, abs=1e-9
-    )
+    for method, p in (("asymptotic", 0.1113468865), ("auto", 14 / 126)):
+        row = stats.mann_whitney(df, "v", "g", "a", "b", method=method).first()
+        assert row["u"] == 17
+        assert row["p_value"] == pytest.approx(p, abs=1e-9)
+        one = stats.mann_whitney(df, "v", "g", "a", "b", "greater", method).first()
+        assert one["p_value"] == pytest.approx(p / 2, abs=1e-9)
 
 
 def test_mann_whitney_with_ties_against_brute_force(spark, slices):
@@ -422,7 +503,7 @@ def test_elements_against_a_plain_walk(spark):
     rng = random.Random(11)
     tags = ["<p>", "</p>", "<li>", "</li>", "<ul>", "</ul>", "<div class=ad>", "</div>", "<B>", "</b>", "<ol>", "</OL>"]
     cut = [[rng.choice([*tags, "x", " y\n"]) for _ in range(rng.randrange(0, 90))] for _ in range(60)]
-    cut.append([rng.choice(tags) for _ in range(pages.SUM_BLOCK * 3)] + ["z"])  # several blocks
+    cut.append([rng.choice(tags) for _ in range(arrays.SUM_BLOCK * 3)] + ["z"])  # several blocks
     df = spark.createDataFrame([(i, "".join(x)) for i, x in enumerate(cut)], "page_id int, html string")
     names = ["p", "li", "div", "b", "ul"]
     lists = df.select("page_id", *[pages.element_texts(F.col("html"), name).alias(name) for name in names])
