@@ -32,7 +32,7 @@ SEED = 7
 COHORT_YEAR = ("1996-01", "1996-12")
 PRICE_CUT = 400_000.0
 LOOKUP_DOMAIN = "m.ththth.example.net"
-REPORT_DATE = "2023-03-03"
+REPORT_DATE, NEXT_DATE = "2023-03-03", "2023-03-04"
 
 
 def query(function: Query) -> Query:
@@ -177,6 +177,18 @@ def cohort_retention(spark, folder):
     return cohort.retention(_cohorts(spark, folder))
 
 
+@query
+def retention_from_bitmaps(spark, folder):
+    """Cohort retention from monthly bitmaps; the last months are added to the others' table."""
+    shop = standins.shop(spark, folder)
+    numbered = shop.customers.withColumn("customer_unique_id", F.col("customer_id"))
+    bitmaps = reliable_checkpoint(cohort.activity_bitmaps(numbered, _bought(shop)))
+    path, late = _scratch(spark, "activity"), 2017 * 12 + 7
+    cohort.write_activity(bitmaps.filter(F.col("month") < late), path)
+    cohort.write_activity(bitmaps.filter(F.col("month") >= late), path)
+    return cohort.retention(cohort.cohort_counts_from_bitmaps(cohort.read_activity(spark, path), *COHORT_YEAR))
+
+
 @query
 def best_cohort(spark, folder):
     return cohort.best_cohort(cohort.retention(_cohorts(spark, folder)))
@@ -815,6 +827,47 @@ def features_through_csv(spark, folder):
     )
 
 
+@query
+def published_reports(spark, folder):
+    """Two days of reports; the first day is run again on better-ranked domains only."""
+    path, listed = _scratch(spark, "reports"), standins.domains(spark, folder)
+    runs = [(REPORT_DATE, listed), (NEXT_DATE, listed), (REPORT_DATE, listed.filter("rank <= 100"))]
+    for day, some in runs:
+        domains.publish_report(domains.domain_report(some, day, LOOKUP_DOMAIN), path)
+    return domains.published_reports(spark, path)
+
+
+@query
+def orders_with_rejects(spark, folder):
+    """Orders written with some broken lines, read back as good rows and rejected lines."""
+    path = _scratch(spark, "broken")
+    day = F.date_format("o_orderdate", "yyyy-MM-dd")
+    fields = [F.col("o_orderkey"), F.col("o_custkey"), F.col("o_totalprice"), day]
+    line = F.concat_ws(";", *[field.cast("string") for field in fields])
+    key = F.col("o_orderkey")
+    broken = (
+        F.when(key % 97 == 0, F.concat_ws(";", *[field.cast("string") for field in fields[:3]]))
+        .when(key % 89 == 0, F.concat(line, F.lit(";more")))
+        .when(key % 83 == 0, F.lit("no order at all"))
+        .when(key % 79 == 0, F.concat_ws(";", key.cast("string"), F.lit("x1"), *[f.cast("string") for f in fields[2:]]))
+        .when(key % 73 == 0, F.concat_ws(";", key.cast("string"), F.lit(""), *[f.cast("string") for f in fields[2:]]))
+        .otherwise(line)
+    )
+    readers.table(spark, folder, "orders").select(broken.alias("line")).write.text(path)
+    schema = "o_orderkey BIGINT, o_custkey BIGINT, o_totalprice DOUBLE, day DATE"
+    checked = readers.read_checked_csv(spark, path, schema, ";", False, ("o_orderkey", "o_custkey"))
+    good = checked.good.agg(
+        F.lit("good").alias("side"), F.count(F.lit(1)).alias("lines"), F.count_distinct("o_orderkey").alias("different"),
+        F.sum("o_orderkey").alias("keys"),
+    )
+    plain = F.col("line") == "no order at all"
+    rejected = checked.rejects.groupBy(F.when(plain, "rejected text").otherwise("rejected order").alias("side")).agg(
+        F.sum("n").alias("lines"), F.count(F.lit(1)).alias("different"),
+        F.sum(F.split("line", ";")[0].try_cast("bigint")).alias("keys"),
+    )
+    return good.unionByName(rejected)
+
+
 @query
 def first_orders(spark, folder):
     """What a look at the orders shows: the five with the smallest keys."""

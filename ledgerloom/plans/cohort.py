@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.dates import label_of_number, month_number
 from ledgerloom.functions.numeric import percent
 from ledgerloom.operators.aggregates import pivot_counts
+from ledgerloom.sources.sinks import write_partitions
 
 
 def monthly_activity(customers: DataFrame, bought: DataFrame) -> DataFrame:
@@ -70,3 +73,67 @@ def best_cohort(retained: DataFrame, month: int = 3) -> DataFrame:
         F.struct("first_month", "retention"), F.struct(-F.col("retention"), F.col("first_month"))
     )
     return retained.filter(F.col("months_since") == month).agg(best.alias("b")).select("b.*")
+
+
+BITMAPS = "bucket BIGINT, bits BINARY, month INT"
+
+
+def activity_bitmaps(customers: DataFrame, bought: DataFrame) -> DataFrame:
+    """Who bought in a month, as one bitmap per month and bucket of 32,768 person numbers.
+
+    ``customer_unique_id`` must be a whole number.  A bitmap is built on the map side, so
+    the shuffle holds at most one per task, month and bucket, however many purchases.
+    """
+    person = F.col("customer_unique_id").cast("bigint")
+    return (
+        bought.join(customers.select("customer_id", "customer_unique_id"), "customer_id")
+        .select(month_number(F.col("order_approved_at")).alias("month"), person.alias("person"))
+        .filter("month IS NOT NULL AND person IS NOT NULL")
+        .groupBy("month", F.bitmap_bucket_number("person").alias("bucket"))
+        .agg(F.bitmap_construct_agg(F.bitmap_bit_position("person")).alias("bits"))
+        .select("bucket", "bits", "month")
+    )
+
+
+def write_activity(bitmaps: DataFrame, path: str) -> None:
+    """Add months to a table of bitmaps, or replace them; no other month is read or touched."""
+    write_partitions(bitmaps, path, ["month"])
+
+
+def read_activity(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(BITMAPS).parquet(path)
+
+
+def _shared(pairs: DataFrame, keys: Sequence[str], *bitmaps: str) -> DataFrame:
+    """Number of people that are in all bitmaps of a row: ``people``."""
+    each = F.explode(F.array(*bitmaps)).alias("bits")
+    return pairs.select(*keys, each).groupBy(*keys).agg(
+        F.bitmap_count(F.bitmap_and_agg("bits")).alias("people")
+    )
+
+
+def cohort_counts_from_bitmaps(
+    bitmaps: DataFrame, first: str = "2017-01", last: str = "2017-12"
+) -> DataFrame:
+    """``cohort_counts`` from the monthly bitmaps.
+
+    A cohort is who was seen up to its month less who was seen before, so a cell is the
+    difference of two intersections of a month with people seen.  All of it works on the
+    bitmaps of one bucket, which are shuffled once, by bucket.
+    """
+    bounds = [int(label[:4]) * 12 + int(label[5:]) for label in (first, last)]
+    dealt = bitmaps.repartition("bucket")
+    upto = Window.partitionBy("bucket").orderBy("month").rowsBetween(Window.unboundedPreceding, 0)
+    seen = dealt.select(
+        "bucket", F.col("month").alias("cohort"), F.bitmap_or_agg("bits").over(upto).alias("seen")
+    )
+    pairs = dealt.join(seen, "bucket").filter("cohort <= month")
+    shared = _shared(pairs, ["bucket", "month", "cohort"], "bits", "seen")
+    before = F.lag("people", 1, 0).over(Window.partitionBy("bucket", "month").orderBy("cohort"))
+    cells = shared.withColumn("people", F.col("people") - before).filter(
+        F.col("cohort").between(*bounds)
+    )
+    counted = cells.groupBy(
+        F.col("cohort").alias("first_month"), (F.col("month") - F.col("cohort")).alias("months_since")
+    ).agg(F.sum("people").alias("people")).filter("people > 0")
+    return counted.withColumn("first_month", label_of_number(F.col("first_month")))

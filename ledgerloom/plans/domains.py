@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.text import last_part
+from ledgerloom.sources.sinks import write_partitions
 
 
 def top_zones(domains: DataFrame, rows: int = 10) -> DataFrame:
@@ -50,3 +51,17 @@ def domain_report(domains: DataFrame, ds: str, domain: str, rows: int = 10) -> D
         section(domain_rank(domains, domain), "domain rank", F.lit(domain), F.col("rank")),
     ]
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+REPORT = "section STRING, key STRING, value STRING, ds STRING"
+
+
+def publish_report(report: DataFrame, path: str) -> None:
+    """Write the reports of one or more days; a day that was written before is replaced."""
+    write_partitions(report.select("section", "key", "value", "ds"), path, ["ds"])
+
+
+def published_reports(spark: SparkSession, path: str, ds: str | None = None) -> DataFrame:
+    """Reports of all days, or of one, of which only the folder is read."""
+    reports = spark.read.schema(REPORT).parquet(path)
+    return reports if ds is None else reports.filter(F.col("ds") == ds)

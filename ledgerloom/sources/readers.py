@@ -2,9 +2,15 @@
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerloom.session import reliable_checkpoint
+
+BAD_LINE = "__line"
+
 
 def read_csv(
     spark: SparkSession, path: str, schema: str, sep: str = ",", header: bool = True
@@ -15,6 +21,42 @@ def read_csv(
     )
 
 
+class CheckedRows(NamedTuple):
+    """The rows of a file that fit its schema, and the lines that do not: ``line`` and ``n``."""
+
+    good: DataFrame
+    rejects: DataFrame
+
+
+def read_checked_csv(
+    spark: SparkSession, path: str, schema: str, sep: str = ",", header: bool = True,
+    required: tuple[str, ...] = (),
+) -> CheckedRows:
+    """CSV split into rows that fit the declared schema and a table of rejected lines.
+
+    A line is rejected if it has too few or too many fields, a field that is no value of
+    its type, or nothing in a ``required`` column.  Every column is parsed whatever a query
+    asks for, so a row is never good for one query and bad for another.  The rejects are
+    written to the checkpoint folder at once, equal lines counted; good rows are read from
+    the file.
+    """
+    read = (
+        spark.read.schema(f"{schema}, {BAD_LINE} STRING").option("sep", sep).option("header", header)
+        .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", BAD_LINE)
+        .option("columnPruning", False).csv(path)
+    )
+    columns = [name for name in read.columns if name != BAD_LINE]
+    lacking = F.lit(False)
+    for name in required:
+        lacking = lacking | F.col(name).isNull()
+    # A line whose fields all fit keeps no text, so one that lacks a value is written anew.
+    anew = F.concat_ws(sep, *[F.coalesce(F.col(name).cast("string"), F.lit("")) for name in columns])
+    bad = F.col(BAD_LINE).isNotNull()
+    rejected = read.filter(bad | lacking).select(F.coalesce(BAD_LINE, anew).alias("line"))
+    rejects = reliable_checkpoint(rejected.groupBy("line").agg(F.count(F.lit(1)).alias("n")))
+    return CheckedRows(read.filter(~bad & ~lacking).select(*columns), rejects)
+
+
 def read_domains(spark: SparkSession, path: str) -> DataFrame:
     """Headerless ``rank,domain`` list."""
     return read_csv(spark, path, "rank BIGINT, domain STRING", header=False)

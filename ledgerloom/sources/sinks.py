@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,6 +18,23 @@ def write_csv(
     writer.option("header", header).option("sep", sep).csv(path)
 
 
+def write_partitions(
+    df: DataFrame, path: str, keys: Sequence[str], files_per_partition: int = 1
+) -> None:
+    """Add or replace the partitions whose keys occur in ``df``; all others stay untouched.
+
+    A second run of a day replaces that day and nothing else.  The new files come into
+    place when the job commits, so a run that fails leaves the table as it was.  The rows
+    of a partition are written as a fixed number of files.
+    """
+    dealt = df.withColumn("__file", F.pmod(F.xxhash64(*df.columns), F.lit(files_per_partition)))
+    (
+        dealt.repartition(*keys, "__file").drop("__file")
+        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        .partitionBy(*keys).parquet(path)
+    )
+
+
 def component_folder(component: Column, folders: int) -> Column:
     """Number of the folder that holds a component."""
     return F.pmod(F.xxhash64(component), F.lit(folders)).cast("int")

@@ -12,7 +12,7 @@ import math
 REPLICATES, SIMULATIONS, SAMPLE_SIZE, SEED = 1000, 1000, 1000, 7
 FIRST_COHORT, LAST_COHORT = "1996-01", "1996-12"
 PRICE_CUT = 400000.0
-LOOKUP_DOMAIN, REPORT_DATE = "m.ththth.example.net", "2023-03-03"
+LOOKUP_DOMAIN, REPORT_DATE, NEXT_DATE = "m.ththth.example.net", "2023-03-03", "2023-03-04"
 # 32-bit mask, mixer multiplier, golden-ratio step.
 MASK32, MIX_MULTIPLIER, GOLDEN_STEP = 4294967295, 73244475, 2654435769
 
@@ -447,6 +447,7 @@ retained AS (
 """
 ORACLES["cohort_counts"] = with_tables(COHORT) + "SELECT * FROM cohort"
 ORACLES["cohort_retention"] = with_tables(COHORT) + "SELECT * FROM retained"
+ORACLES["retention_from_bitmaps"] = ORACLES["cohort_retention"]
 ORACLES["best_cohort"] = with_tables(COHORT) + """
 SELECT first_month, retention FROM retained WHERE months_since = 3
 ORDER BY retention DESC, first_month LIMIT 1"""
@@ -977,6 +978,21 @@ SELECT '{REPORT_DATE}' AS ds, 'top zones' AS section, zone AS key, n::VARCHAR AS
 UNION ALL SELECT '{REPORT_DATE}', 'longest domain', domain, len_domain::VARCHAR FROM longest
 UNION ALL SELECT '{REPORT_DATE}', 'domain rank', domain, rank::VARCHAR FROM domains
   WHERE domain = '{LOOKUP_DOMAIN}'"""
+_REPORT = ORACLES["domain_report"].removeprefix(with_tables(DOMAINS, TOP))
+_FEWER = with_tables(DOMAINS, TOP).replace("WITH RECURSIVE ", "WITH ", 1).replace("FROM domains", "FROM (SELECT * FROM domains WHERE rank <= 100)")
+ORACLES["published_reports"] = f"""
+SELECT * FROM ({_FEWER} {_REPORT.replace("FROM domains", "FROM (SELECT * FROM domains WHERE rank <= 100)")})
+UNION ALL SELECT * FROM ({ORACLES["domain_report"].replace(REPORT_DATE, NEXT_DATE)})"""
+ORACLES["orders_with_rejects"] = """
+WITH o AS (
+  SELECT o_orderkey AS k, CASE
+    WHEN o_orderkey % 97 = 0 OR o_orderkey % 89 = 0 THEN 'rejected order'
+    WHEN o_orderkey % 83 = 0 THEN 'rejected text'
+    WHEN o_orderkey % 79 = 0 OR o_orderkey % 73 = 0 THEN 'rejected order' ELSE 'good' END AS side
+  FROM orders)
+SELECT side, count(*) AS lines, CASE side WHEN 'rejected text' THEN 1 ELSE count(DISTINCT k) END AS different,
+  CASE side WHEN 'rejected text' THEN NULL ELSE sum(k)::BIGINT END AS keys
+FROM o GROUP BY 1"""
 ORACLES["sales_rank"] = """
 SELECT id, name, sale_count, rank() OVER (ORDER BY sale_count) AS sale_rank FROM (
   SELECT c_custkey AS id, c_name AS name, count(*) AS sale_count
