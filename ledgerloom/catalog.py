@@ -550,6 +550,29 @@ def bootstrap_histogram(spark, folder):
     return rounded(bars, 4, "bin_left", "bin_right")
 
 
+def _quantity_replicates(spark, folder, statistic):
+    """Quantities of returned against accepted lines: few values, each in many rows.
+
+    The two sides draw for themselves, so the key tells them apart too.
+    """
+    lines = readers.table(spark, folder, "lineitem")
+    value = (F.col("l_quantity") * 100).cast("bigint")
+    key = value * 2 + (F.col("l_returnflag") == "A").cast("bigint")
+    return resampling.bootstrap_replicates(
+        lines, "l_quantity", "l_returnflag", "R", "A", key, REPLICATES, statistic, SEED, equal_values=True
+    )
+
+
+@query
+def bootstrap_quantity_replicates(spark, folder):
+    return rounded(_quantity_replicates(spark, folder, "mean"), 6, "difference")
+
+
+@query
+def bootstrap_quantity_medians(spark, folder):
+    return rounded(_quantity_replicates(spark, folder, "median"), 4, "difference")
+
+
 @query
 def ab_readout(spark, folder):
     tested = readout.ab_readout(

@@ -175,3 +175,29 @@ def poisson_weight(draw: Column) -> Column:
     for count, cut in enumerate(cuts[1:], start=1):
         choice = choice.when(draw < cut, F.lit(count))
     return choice.otherwise(F.lit(len(cuts)))
+
+
+def power_cuts(exponent: int) -> tuple[int, list[int]]:
+    """Poisson counts with a mean of ``2**exponent``: the least count and the cuts of a fine draw.
+
+    Ten deviations to both sides; what lies beyond is less likely than a step of the draw.
+    """
+    mean = 2.0**exponent
+    reach = 10 * math.sqrt(mean) + 10
+    low, high = max(0, math.floor(mean - reach)), math.ceil(mean + reach)
+    total, cuts = 0.0, []
+    for k in range(low, high + 1):
+        total += math.exp(k * math.log(mean) - mean - math.lgamma(k + 1))
+        cuts.append(int(total * float(1 << FINE_BITS)))
+    return low, cuts
+
+
+def place_in(sorted_values: Column, x: Column, longest: int) -> Column:
+    """Number of values up to ``x`` in a sorted array of at most ``longest``, by halving."""
+    steps = [F.lit(1 << power) for power in reversed(range(longest.bit_length()))]
+
+    def halved(place: Column, step: Column) -> Column:
+        passed = F.get(sorted_values, place + step - 1) <= x
+        return F.when(passed, place + step).otherwise(place)
+
+    return F.aggregate(F.array(*steps), F.lit(0), halved)

@@ -15,8 +15,8 @@ from pyspark.sql import functions as F
 
 from ledgerloom.functions.numeric import normal_tail, ratio
 from ledgerloom.functions.sampling import (
-    FINE_BITS, binomial_count, poisson_weight, scattered_place, with_draw, with_fine_draw,
-    with_key_hash, with_second_draw,
+    FINE_BITS, binomial_count, place_in, poisson_weight, power_cuts, scattered_place, with_draw,
+    with_fine_draw, with_key_hash, with_second_draw,
 )
 from ledgerloom.operators.aggregates import histogram
 from ledgerloom.operators.ordering import quantiles_from_counts, running_counts
@@ -56,13 +56,17 @@ def _keep(df: DataFrame, column: str, condition: Column) -> DataFrame:
     return df.withColumn(column, F.explode(F.when(condition, F.array(F.col(column)))))
 
 
-def _samples(df: DataFrame, value: str, group: str, key: Column, a, b, seed: int) -> DataFrame:
+def _sides(df: DataFrame, value: str, group: str, key: Column, a, b) -> DataFrame:
     is_a, is_b = F.col(group) == F.lit(a), F.col(group) == F.lit(b)
-    rows = df.filter((is_a | is_b) & F.col(value).isNotNull()).select(
+    return df.filter((is_a | is_b) & F.col(value).isNotNull()).select(
         F.when(is_a, F.lit("a")).otherwise(F.lit("b")).alias("__side"),
         F.col(value).cast("double").alias("__v"),
         key.cast("bigint").alias("__key"),
     )
+
+
+def _samples(df: DataFrame, value: str, group: str, key: Column, a, b, seed: int) -> DataFrame:
+    rows = _sides(df, value, group, key, a, b)
     return with_key_hash(rows, "__h", F.col("__key"), seed).drop("__key")
 
 
@@ -76,9 +80,8 @@ def _picked(drawn: DataFrame) -> DataFrame:
     return _keep(_weighted(drawn), "__w", F.col("__w") > 0)
 
 
-def _mean_replicates(samples: DataFrame, replicates: int) -> DataFrame:
+def _mean_replicates(weighted: DataFrame) -> DataFrame:
     """Difference of weighted means per replicate: partial sums on the map side only."""
-    weighted = _weighted(_expand(samples, replicates))
     sides = []
     for side in ("a", "b"):
         here = F.col("__side") == side
@@ -96,6 +99,36 @@ def _mean_replicates(samples: DataFrame, replicates: int) -> DataFrame:
     )
 
 
+def _counted_weights(samples: DataFrame, replicates: int, seed: int) -> DataFrame:
+    """How many times each replicate picks the rows of one key, all at once.
+
+    The weights of ``c`` rows add up to a Poisson count of mean ``c``, which is a sum of
+    independent counts, one of mean ``2**k`` for each binary digit of ``c``.  So a replicate
+    draws a few times per different value, not per row.  The tables of those counts are
+    made for the digits that occur, at most 62.
+    """
+    spark = samples.sparkSession
+    counted = reliable_checkpoint(
+        samples.groupBy("__side", "__v", "__key").agg(F.count(F.lit(1)).alias("__c"))
+    )
+    most = counted.agg(F.max("__c")).first()[0] or 0
+    tables = [(k, *power_cuts(k)) for k in range(most.bit_length())]
+    cuts = spark.createDataFrame(tables, "__digit int, __least bigint, __cuts array<bigint>")
+    digits = F.filter(
+        F.sequence(F.lit(0), F.lit(max(most.bit_length() - 1, 0))),
+        lambda k: F.getbit(F.col("__c"), k) == 1,
+    )
+    rows = with_key_hash(counted, "__h", F.col("__key"), seed).withColumn("__digit", F.explode(digits))
+    numbers = F.explode(F.sequence(F.lit(1), F.lit(replicates)))
+    spread = rows.repartition(shuffle_width(spark), "__h", "__digit").withColumn(REPLICATE, numbers)
+    drawn = spread.withColumn("__number", F.col(REPLICATE).cast("bigint") * 64 + F.col("__digit"))
+    drawn = with_fine_draw(with_draw(drawn, "__draw", "__h", "__number"), "__fine", "__draw", "__h")
+    # At most 62 rows, whose length follows the square root of the largest count.
+    longest = max((len(table[2]) for table in tables), default=1)
+    weight = F.col("__least") + place_in(F.col("__cuts"), F.col("__fine"), longest)
+    return drawn.join(F.broadcast(cuts), "__digit").select("__side", "__v", REPLICATE, weight.alias("__w"))
+
+
 def _weighted_medians(weighted: DataFrame) -> DataFrame:
     counts = running_counts(weighted, "__v", {"w": F.col("__w")}, [REPLICATE, "__side"])
     return quantiles_from_counts(counts, "__v", (0.5,), "w", [REPLICATE, "__side"]).select(
@@ -151,6 +184,10 @@ def _median_replicates(samples: DataFrame, replicates: int) -> DataFrame:
         # At most two rows per replicate, and none in practice.
         again = _picked(_with_draw(samples.join(F.broadcast(missed), "__side")))
         medians = medians.unionByName(_weighted_medians(again))
+    return _side_difference(medians)
+
+
+def _side_difference(medians: DataFrame) -> DataFrame:
     return (
         medians.groupBy(REPLICATE)
         .agg(
@@ -171,19 +208,28 @@ def bootstrap_replicates(
     replicates: int = 1000,
     statistic: str = "mean",
     seed: int = 1,
+    equal_values: bool = False,
 ) -> DataFrame:
     """Statistic of ``a`` minus statistic of ``b`` for every resample.
 
     Sampling with replacement is a Poisson(1) weight per row and replicate (the Poisson
     bootstrap): resample sizes vary by about sqrt(n), which keeps the plan free of
     row numbering.  ``key`` must identify a row and be a whole number.
+
+    With ``equal_values`` the key identifies a value instead, and all rows of a side with one
+    value are drawn together: the same law, for work in proportion to the different values.
     """
+    if statistic not in ("mean", "median"):
+        raise ValueError(f"unknown statistic {statistic!r}")
+    if equal_values:
+        weighted = _counted_weights(_sides(df, value, group, key, a, b), replicates, seed)
+        if statistic == "mean":
+            return _mean_replicates(weighted)
+        return _side_difference(_weighted_medians(weighted.filter(F.col("__w") > 0)))
     samples = _samples(df, value, group, key, a, b, seed)
     if statistic == "mean":
-        return _mean_replicates(samples, replicates)
-    if statistic == "median":
-        return _median_replicates(samples, replicates)
-    raise ValueError(f"unknown statistic {statistic!r}")
+        return _mean_replicates(_weighted(_expand(samples, replicates)))
+    return _median_replicates(samples, replicates)
 
 
 def bootstrap_summary(replicates: DataFrame, level: float = 0.95) -> DataFrame:

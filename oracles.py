@@ -777,6 +777,43 @@ SELECT n_replicates, {near('mean', 4)} AS mean, {near('sd', 4)} AS sd,
   {near('ci_low', 4)} AS ci_low, {near('ci_high', 4)} AS ci_high,
   {near('2 * ' + tail('z'), 4)} AS p_value, ci_low <= 0 AND ci_high >= 0 AS zero_inside
 FROM summary"""
+# A count of c rows is a sum of Poisson counts, one of mean 2^k for each binary digit k of c.
+QUANTITIES = f"""
+value AS (
+  SELECT CASE l_returnflag WHEN 'R' THEN 'a' ELSE 'b' END AS side, l_quantity::DOUBLE AS v, count(*) AS c,
+    (l_quantity * 100)::BIGINT * 2 + (l_returnflag = 'A')::BIGINT AS key
+  FROM lineitem WHERE l_returnflag IN ('R', 'A') AND l_quantity IS NOT NULL GROUP BY 1, 2, 4),
+part AS (
+  SELECT k, unnest(range(greatest(0, floor(m - reach))::BIGINT, ceil(m + reach)::BIGINT + 1)) AS x, m
+  FROM (SELECT k, pow(2.0::DOUBLE, k) AS m, 10 * sqrt(m) + 10 AS reach FROM range(0, 40) t(k)
+    WHERE k <= (SELECT log2(max(c)) FROM value))),
+cut AS (
+  SELECT k, x, floor(sum(exp(x * ln(m) - m - lgamma(x + 1))) OVER (PARTITION BY k ORDER BY x)
+    * 9007199254740992::DOUBLE) AS cut
+  FROM part),
+digit AS (SELECT *, {hashed('key', SEED, 'h')} FROM value, range(0, 40) t(k) WHERE (c >> k) & 1 = 1),
+draw AS (
+  SELECT side, v, k, replicate, {drawn('h', '(replicate::BIGINT * 64 + k)', 'd0')}, {finely('h', 'd0', 'd')}
+  FROM (SELECT *, unnest(range(1, {REPLICATES} + 1)) AS replicate FROM digit)),
+top AS (SELECT *, coalesce(lag(cut) OVER (PARTITION BY k ORDER BY x), -1) AS below FROM cut),
+weight AS (
+  SELECT replicate, side, v, sum(x) AS w FROM draw JOIN top ON top.k = draw.k AND d >= below AND d < cut
+  GROUP BY 1, 2, 3)
+"""
+ORACLES["bootstrap_quantity_replicates"] = with_tables(QUANTITIES) + f"""
+SELECT replicate::INTEGER AS replicate, {near("""sum(w * v) FILTER (side = 'a') / sum(w) FILTER (side = 'a')
+    - sum(w * v) FILTER (side = 'b') / sum(w) FILTER (side = 'b')""", 6)} AS difference
+FROM weight GROUP BY replicate"""
+ORACLES["bootstrap_quantity_medians"] = with_tables(QUANTITIES) + """,
+placed AS (
+  SELECT *, sum(w) OVER (PARTITION BY replicate, side ORDER BY v) AS upto,
+    sum(w) OVER (PARTITION BY replicate, side) AS total
+  FROM weight WHERE w > 0),
+middle AS (
+  SELECT replicate, side, (min(v) FILTER (upto > (total - 1) // 2) + min(v) FILTER (upto > total // 2)) / 2 AS m
+  FROM placed GROUP BY 1, 2)
+SELECT replicate::INTEGER AS replicate, round(max(m) FILTER (side = 'a') - max(m) FILTER (side = 'b'), 4) AS difference
+FROM middle GROUP BY 1"""
 ORACLES["bootstrap_histogram"] = with_tables(_ab_replicates("mean"), BOOT_SUMMARY) + f"""
 SELECT bin, n, {near('l', 4)} AS bin_left, {near('r', 4)} AS bin_right,
   l <= ci_low OR l >= ci_high AS tail

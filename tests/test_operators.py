@@ -12,7 +12,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerloom.functions import arrays
+from ledgerloom.functions import arrays, sampling
 from ledgerloom.operators import (
     aggregates, graph, models, ordering, pages, quality, resampling, skew, stats,
 )
@@ -297,6 +297,40 @@ def test_bootstrap_mean_is_centred(spark):
     assert row["sd"] == pytest.approx(math.sqrt(4 / 1000 * 2), rel=0.2)
 
 
+def test_bootstrap_over_equal_values_has_the_law_of_rows(spark):
+    data = [("a", float(v)) for v in [1] * 700 + [2] * 45 + [5]] + [("b", float(v)) for v in [3] * 64 + [4] * 1000]
+    df = spark.createDataFrame([*data, ("a", None), ("c", 9.0)], "g string, v double")
+    key = (F.col("v") * 10).cast("bigint") * 2 + (F.col("g") == "a").cast("int")
+    samples = resampling._sides(df, "v", "g", key, "a", "b")
+    weights = resampling._counted_weights(samples, 2000, 4).groupBy("__side", "__v", "replicate").agg(F.sum("__w").alias("w"))
+    counts = Counter(data)
+    for row in weights.groupBy("__side", "__v").agg(F.avg("w").alias("m"), F.var_samp("w").alias("s"), F.count("w").alias("n")).collect():
+        c = counts[(row["__side"], row["__v"])]
+        assert row["n"] == 2000  # a Poisson count of mean c: both moments are c
+        assert abs(row["m"] - c) < 5 * math.sqrt(c / 2000)
+        assert abs(row["s"] - c) < 6 * math.sqrt((c + 2 * c * c) / 2000)
+    drawn = resampling._counted_weights(samples, 50, 4).count()
+    assert drawn == 50 * sum(bin(c).count("1") for c in counts.values())
+    for statistic in ("mean", "median"):
+        found = resampling.bootstrap_replicates(df, "v", "g", "a", "b", key, 200, statistic, 4, equal_values=True)
+        summary = resampling.bootstrap_summary(found).first()
+        want = {"mean": 795 / 746 - 4192 / 1064, "median": -3.0}[statistic]
+        assert summary["n_replicates"] == 200 and summary["mean"] == pytest.approx(want, abs=0.02)
+    with pytest.raises(ValueError):
+        resampling.bootstrap_replicates(df, "v", "g", "a", "b", key, 2, "mode")
+
+
+def test_cuts_of_poisson_counts(spark):
+    for exponent in (0, 3, 10):
+        low, cuts = sampling.power_cuts(exponent)
+        chance = [(b - a) / 2**53 for a, b in zip([0, *cuts], cuts)]
+        mean = sum((low + i) * p for i, p in enumerate(chance))
+        assert mean == pytest.approx(2**exponent, rel=1e-9) and cuts == sorted(cuts)
+    values = spark.createDataFrame([([1, 3, 3, 8],)], "a array<bigint>")
+    places = [values.select(sampling.place_in(F.col("a"), F.lit(x), 4)).first()[0] for x in (0, 1, 3, 7, 8, 9)]
+    assert places == [0, 1, 3, 3, 4, 4]
+
+
 def test_repeated_samples_are_exact_and_distinct(spark):
     df = spark.range(3000).select("id", (F.col("id") % 3).cast("int").alias("g"))
     drawn = resampling.repeated_samples(df, "g", [0, 1], "id", 100, 6, 3)

@@ -1,6 +1,7 @@
 """Whole jobs on the hand fixtures."""
 
 import datetime
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -257,3 +258,71 @@ def test_null_rules(spark):
     assert rows(readout.segment_means(df, "p", "version")) == [("v1", 1.0), ("v2", 0.0)]
     cut = readout.cut_outliers(df.withColumn("g", F.lit("T")), "p", "g", "T", 1.0)
     assert cut.count() == 1
+
+
+def test_a_report_run_again_replaces_its_day_only(spark, tmp_path):
+    def files(day):
+        return {(f.name, f.stat().st_mtime_ns) for f in (tmp_path / "r" / f"ds={day}").iterdir()}
+
+    path = str(tmp_path / "r")
+    listed = spark.createDataFrame([(1, "a.com"), (2, "b.org"), (3, "c.com")], "rank bigint, domain string")
+    for day in ("2024-01-01", "2024-01-02"):
+        domains.publish_report(domains.domain_report(listed, day, "b.org"), path)
+    other, first = files("2024-01-02"), domains.published_reports(spark, path, "2024-01-01").collect()
+    domains.publish_report(domains.domain_report(listed.filter("rank = 1"), "2024-01-01", "b.org"), path)
+    assert files("2024-01-02") == other
+    again = domains.published_reports(spark, path, "2024-01-01")
+    assert rows(again, "section", "key", "value") == [("longest domain", "a.com", "5"), ("top zones", "com", "1")]
+    assert len(first) == 4 and domains.published_reports(spark, path).count() == 2 + 4
+    both = [domains.domain_report(listed, day, "b.org") for day in ("2024-01-01", "2024-01-03")]
+    domains.publish_report(both[0].unionByName(both[1]), path)  # two days at once
+    assert files("2024-01-02") == other and domains.published_reports(spark, path).count() == 12
+    domains.publish_report(both[0], path)  # the same day, the same rows
+    assert domains.published_reports(spark, path).schema["ds"].dataType.typeName() == "string"
+    assert domains.published_reports(spark, path).count() == 12
+
+
+def test_bad_lines_are_set_aside(spark, tmp_path):
+    lines = ["id;x;day", "1;2.5;2024-01-02", "2;y;2024-01-02", "3;1.0", "4;1.0;2024-01-02;z", "", "junk", "junk",
+             ";4.0;2024-01-03", "5;;", "6;7.0;2024-13-01", '7;"8.0";2024-01-04']
+    (tmp_path / "f.csv").write_text("\n".join(lines))
+    read = lambda **more: readers.read_checked_csv(spark, str(tmp_path), "id INT, x DOUBLE, day DATE", ";", **more)
+    checked = read()
+    assert [r["id"] for r in checked.good.orderBy("x").collect()] == [5, 1, None, 7]
+    rejected = {"2;y;2024-01-02": 1, "3;1.0": 1, "4;1.0;2024-01-02;z": 1, "junk": 2, "6;7.0;2024-13-01": 1}
+    assert {r["line"]: r["n"] for r in checked.rejects.collect()} == rejected
+    assert checked.rejects.agg(F.sum("n")).first()[0] == 6
+    # A query on one column sees the same good rows.
+    assert checked.good.select("id").count() == 4 == checked.good.count()
+    strict = read(required=("id", "x"))
+    assert rows(strict.good, "id", "x") == [(1, 2.5), (7, 8.0)]
+    assert {r["line"] for r in strict.rejects.collect()} == {*rejected, ";4.0;2024-01-03", "5;;"}
+    (tmp_path / "f.csv").write_text("id;x;day\n1;1.0;2024-01-01")
+    assert read().rejects.isEmpty()
+
+
+def test_bitmap_retention_equals_the_count_of_people(spark, tmp_path):
+    rng = random.Random(2)
+    people = [rng.choice([i, 32768 * i, 10**10 + i]) for i in range(1, 250)]
+    customers = spark.createDataFrame([(i, p) for i, p in enumerate(people)] + [(999, None)], "customer_id int, customer_unique_id bigint")
+    bought = [
+        (rng.choice([*range(249), 999, 1234]), f"20{rng.choice(['16-12', '17-01', '17-02', '17-03', '17-11', '18-02'])}-{rng.randrange(1, 28):02d}")
+        for _ in range(900)
+    ]
+    bought = spark.createDataFrame(bought, "customer_id int, t string").select(
+        "customer_id", F.to_timestamp_ntz("t", F.lit("yyyy-MM-dd")).alias("order_approved_at")
+    )
+    want = rows(cohort.cohort_counts(customers, bought))
+    bitmaps = cohort.activity_bitmaps(customers, bought)
+    path = str(tmp_path / "a")
+    last = 2018 * 12 + 2
+    cohort.write_activity(bitmaps.filter(F.col("month") < last), path)
+    before = {f: f.stat().st_mtime_ns for f in (tmp_path / "a").glob("month=*/*.parquet")}
+    cohort.write_activity(bitmaps.filter(F.col("month") == last), path)  # a new month
+    cohort.write_activity(bitmaps.filter(F.col("month") == last), path)  # and again
+    assert before and all(f.stat().st_mtime_ns == time for f, time in before.items())
+    stored = cohort.read_activity(spark, path)
+    assert rows(cohort.cohort_counts_from_bitmaps(stored)) == want
+    assert rows(cohort.cohort_counts_from_bitmaps(stored, "2016-01", "2018-12")) == rows(
+        cohort.cohort_counts(customers, bought, "2016-01", "2018-12")
+    )

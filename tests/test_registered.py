@@ -1,5 +1,8 @@
 """The driver contract at the smallest scale."""
 
+import sys
+import types
+
 import pytest
 
 import __spark_entry__ as registered
@@ -35,3 +38,21 @@ def test_same_as_sql(spark, small, name):
     cursor = database.execute(registered.oracle_sql()[name])
     want = canonical([d[0] for d in cursor.description], cursor.fetchall())
     assert canonical(df.columns, df.collect()) == want
+
+
+@pytest.mark.parametrize("missing", ["corpus_pipeline", "public_tokenizers", "ledgerloom.llm", "ledgerloom.llm.registry"])
+def test_other_queries_stay_when_the_training_data_part_cannot_be_imported(monkeypatch, missing):
+    from ledgerloom.catalog import QUERIES
+    from oracles import ORACLES
+
+    import ledgerloom
+
+    for name in list(sys.modules):
+        if name == "corpus_pipeline" or name.startswith("ledgerloom.llm"):
+            monkeypatch.delitem(sys.modules, name)
+    monkeypatch.delattr(ledgerloom, "llm", raising=False)
+    # None: as if not installed; an empty module: as if only its folder were left.
+    left = types.ModuleType(missing) if missing == "ledgerloom.llm" else None
+    monkeypatch.setitem(sys.modules, missing, left)
+    assert set(registered.queries()) == set(QUERIES) and set(registered.oracle_sql()) == set(ORACLES)
+    assert set(ORACLES) == set(QUERIES)
