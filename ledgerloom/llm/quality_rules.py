@@ -1,9 +1,15 @@
 """Quality rules whose thresholds follow the data: quantile sketches per language and source.
 
 A sketch is a count per logarithmic bucket: counts add, so sketches of any parts of the
-data merge exactly and in any order, and a quantile read from one is off by at most
-``RELATIVE_ERROR``.  Groups too small to judge by themselves borrow the merged sketch of
-their language, then that of all rows.
+data merge exactly and in any order, and a quantile is known up to the width of a bucket,
+twice ``RELATIVE_ERROR``.  Short texts vary more than long ones, so a sketch covers the texts of
+one length class.  Groups too small to judge by themselves borrow the merged sketch of
+their language and class, then of their class, then of all rows.
+
+Both fences come from the sketch alone: as far again ``SPREADS`` times beyond an outer
+quantile as that quantile lies from the median.  No value is fixed in advance, so a group
+in which nearly no text has a symbol rejects texts with symbols, and a group of tables
+full of them does not.
 """
 
 from __future__ import annotations
@@ -18,6 +24,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
 from ledgerloom.llm.packing import compact_checkpoint
+from ledgerloom.operators.skew import skew_safe_join
+from ledgerloom.session import reliable_checkpoint
 
 SYMBOLS = b"#*$%&|<>"
 WINDOW_WORDS = 5
@@ -28,12 +36,19 @@ COUNTS = ("n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_rep
 RELATIVE_ERROR = 0.01
 # Values below this share one bucket.
 SMALLEST = 1e-6
-LOW, HIGH = 0.25, 0.75
-# A value is an outlier this many middle spreads beyond the middle half, and a slack.
+# Outer quantiles, and how many times their distance from the median a fence lies beyond.
+LOW, MIDDLE, HIGH = 0.1, 0.5, 0.9
 SPREADS = 3.0
-# Feature -> slack added to both fences, so that a group without spread rejects no neighbour.
-SLACK = {"word_length": 4.0, "symbol_share": 0.02, "dup_line_share": 0.5, "repeat_share": 0.2}
-LEAST_ROWS = 100
+# A sketch of fewer rows says too little about its outer quantiles.
+LEAST_ROWS = 200
+# Feature -> (count, whole, least change of the count).  One symbol, one copied line or one
+# window found twice is the resolution of a text, and never decides by itself.
+FEATURES = {
+    "word_length": ("word_chars", "n_words", 0),
+    "symbol_share": ("n_symbols", "word_chars", 1),
+    "dup_line_share": ("n_dup_lines", "n_lines", 1),
+    "repeat_share": ("n_repeat_words", "n_words", 2 * WINDOW_WORDS),
+}
 
 
 class _Numbers(dict):
@@ -109,15 +124,15 @@ def base_failed() -> Column:
     )
 
 
-def features() -> dict[str, Column]:
-    """Values that thresholds are learned for; 0 where a text has no words or lines."""
-    share = lambda part, whole: F.coalesce(F.try_divide(part, whole), F.lit(0.0))
-    return {
-        "word_length": share("word_chars", "n_words"),
-        "symbol_share": share("n_symbols", "word_chars"),
-        "dup_line_share": share("n_dup_lines", "n_lines"),
-        "repeat_share": share("n_repeat_words", "n_words"),
-    }
+def length_class() -> Column:
+    """Half the binary digits of the number of words: a class spans a factor of four."""
+    return F.floor((F.length(F.bin("n_words")) + 1) / 2).cast("int")
+
+
+def feature(name: str, change: int = 0) -> Column:
+    """Value of a feature with its count moved by ``change`` units; 0 without words or lines."""
+    count, whole, unit = FEATURES[name]
+    return F.coalesce(F.try_divide(F.col(count) + change * unit, F.col(whole)), F.lit(0.0))
 
 
 _GAMMA = (1 + RELATIVE_ERROR) / (1 - RELATIVE_ERROR)
@@ -127,20 +142,23 @@ def bucket_of(value: Column) -> Column:
     return F.ceil(F.log(F.greatest(value, F.lit(SMALLEST))) / math.log(_GAMMA)).cast("int")
 
 
-def bucket_value(bucket: Column) -> Column:
-    """The value in the middle of a bucket; 0 for the lowest bucket."""
+def bucket_value(bucket: Column, edge: str = "middle") -> Column:
+    """The value in the middle or on the lower or upper edge of a bucket; 0 for the lowest."""
     lowest = math.ceil(math.log(SMALLEST) / math.log(_GAMMA))
-    return F.when(bucket <= lowest, 0.0).otherwise(
-        F.pow(F.lit(_GAMMA), bucket) * (2 / (1 + _GAMMA))
-    )
+    inside = {
+        "low": F.pow(F.lit(_GAMMA), bucket - 1),
+        "middle": F.pow(F.lit(_GAMMA), bucket) * (2 / (1 + _GAMMA)),
+        "high": F.pow(F.lit(_GAMMA), bucket),
+    }
+    return F.when(bucket <= lowest, 0.0).otherwise(inside[edge])
 
 
 def sketches(counted: DataFrame, groups: list[str]) -> DataFrame:
     """Rows per group, feature and bucket: one mergeable sketch per group and feature."""
     stacked = F.explode(
         F.array(*[
-            F.struct(F.lit(name).alias("feature"), bucket_of(value).alias("bucket"))
-            for name, value in features().items()
+            F.struct(F.lit(name).alias("feature"), bucket_of(feature(name)).alias("bucket"))
+            for name in FEATURES
         ])
     )
     return (
@@ -156,51 +174,52 @@ def merged(sketch: DataFrame, groups: list[str]) -> DataFrame:
 
 
 def quantiles(sketch: DataFrame, groups: list[str]) -> DataFrame:
-    """Per group and feature: ``rows`` and the quantiles ``low`` and ``high``.
+    """Per group and feature: ``rows`` and the quantiles ``low``, ``middle`` and ``high``.
 
-    The window runs over the buckets of one sketch, whose number the error bounds.
+    The outer ones are read at the outer edges of their buckets, so what a sketch cannot
+    tell apart widens the fences.  The window runs over the buckets of one sketch, whose
+    number the error bounds.
     """
     own = Window.partitionBy(*groups, "feature")
     upto = own.orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0)
     ranked = sketch.withColumns({"upto": F.sum("rows").over(upto), "n": F.sum("rows").over(own)})
-    at = lambda q: bucket_value(
-        F.min(F.when(F.col("upto") >= F.ceil(q * F.col("n")), F.col("bucket")))
-    )
+    at = lambda q, edge: bucket_value(
+        F.min(F.when(F.col("upto") >= F.ceil(q * F.col("n")), F.col("bucket"))), edge
+    ).alias(edge)
     return ranked.groupBy(*groups, "feature").agg(
-        F.max("n").alias("rows"), at(LOW).alias("low"), at(HIGH).alias("high")
+        F.max("n").alias("rows"), at(LOW, "low"), at(MIDDLE, "middle"), at(HIGH, "high")
     )
 
 
-def fences(sketch: DataFrame, language: str, source: str) -> DataFrame:
-    """Per language and source a map ``fences``: feature -> (least, most) value kept.
+def fences(sketch: DataFrame, groups: list[str]) -> DataFrame:
+    """Per group a map ``fences``: feature -> (least, most) value kept.
 
-    The finest level with at least LEAST_ROWS rows decides; the whole table always may.
+    ``groups`` run from the coarsest column to the finest.  The finest level with at least
+    LEAST_ROWS rows decides; the whole table always may.
     """
-    pair = quantiles(sketch, [language, source])
-    by_language = quantiles(merged(sketch, [language]), [language])
-    overall = quantiles(merged(sketch, []), [])
-    named = lambda df, tag: df.withColumnsRenamed(
-        {name: f"{tag}_{name}" for name in ("rows", "low", "high")}
-    )
-    wide = (
-        named(pair, "pair").alias("p")
-        .join(
-            named(by_language, "language").alias("l"),
-            F.col(f"p.{language}").eqNullSafe(F.col(f"l.{language}"))
-            & (F.col("p.feature") == F.col("l.feature")),
+    wide, decided = sketch.select(*groups, "feature").distinct(), None
+    for depth in range(len(groups) + 1):
+        own = groups[:depth]
+        level = quantiles(merged(sketch, own), own).select(
+            F.col("feature").alias("of_feature"), *[F.col(name).alias(f"of_{name}") for name in own],
+            F.struct("rows", "low", "middle", "high").alias(f"level{depth}"),
         )
-        .join(named(overall, "all").alias("a"), F.col("p.feature") == F.col("a.feature"))
+        same = F.col("feature") == F.col("of_feature")
+        for name in own:
+            same &= F.col(name).eqNullSafe(F.col(f"of_{name}"))
+        wide = wide.join(level, same).drop("of_feature", *[f"of_{name}" for name in own])
+        found = F.col(f"level{depth}")
+        if depth:
+            decided = F.when(found["rows"] >= LEAST_ROWS, found).otherwise(decided)
+        else:
+            decided = found
+    wide = wide.select(*groups, "feature", decided.alias("q"))
+    limits = F.struct(
+        (F.col("q.low") - SPREADS * (F.col("q.middle") - F.col("q.low"))).alias("least"),
+        (F.col("q.high") + SPREADS * (F.col("q.high") - F.col("q.middle"))).alias("most"),
     )
-    pick = lambda name: (
-        F.when(F.col("pair_rows") >= LEAST_ROWS, F.col(f"pair_{name}"))
-        .when(F.col("language_rows") >= LEAST_ROWS, F.col(f"language_{name}"))
-        .otherwise(F.col(f"all_{name}"))
-    )
-    slack = F.create_map(*[F.lit(x) for item in SLACK.items() for x in item])[F.col("p.feature")]
-    reach = SPREADS * (pick("high") - pick("low")) + slack
-    limits = F.struct((pick("low") - reach).alias("least"), (pick("high") + reach).alias("most"))
-    return wide.groupBy(F.col(f"p.{language}").alias(language), F.col(f"p.{source}").alias(source)).agg(
-        F.map_from_entries(F.collect_list(F.struct("p.feature", limits))).alias("fences")
+    return wide.groupBy(*groups).agg(
+        F.map_from_entries(F.collect_list(F.struct("feature", limits))).alias("fences")
     )
 
 
@@ -210,29 +229,34 @@ def judge(
 ) -> DataFrame:
     """One row per document row: id, counts, ``base_failed``, ``outliers``, ``kept``.
 
-    ``outliers`` names the features beyond the fences of the document's language and
-    source.  A null language or source is a group like any other.  Null and empty texts
-    have no words, so they fail the base rule.  Thresholds are learned from all rows that
-    pass the base rule.
+    ``outliers`` names the features beyond the fences of the document's language, source
+    and length class, after its count is moved one unit towards them.  A null language or
+    source is a group like any other.  Null and empty texts have no words, so they fail the
+    base rule.  Thresholds are learned from all rows that pass the base rule; a group in
+    which no row passes has none, and no outliers.  Repeated rows count as often as they
+    occur.  A value on a fence stays.
     """
     source = docs.select(
         F.col(id_column).alias("id"), F.col(language_column).alias("language"),
         F.col(source_column).alias("origin"), F.col(text_column).alias("text"),
     )
+    groups = ["length", "language", "origin"]
     counted = with_counts(source, ["id", "language", "origin"], "text")
-    counted = compact_checkpoint(counted.withColumn("base_failed", base_failed()))
-    sketch = sketches(counted.filter(~F.col("base_failed")), ["language", "origin"])
-    limits = fences(compact_checkpoint(sketch), "language", "origin")
-    limits = limits.withColumnsRenamed({"language": "of_language", "origin": "of_origin"})
-    judged = counted.join(
-        limits,
-        F.col("language").eqNullSafe(F.col("of_language"))
-        & F.col("origin").eqNullSafe(F.col("of_origin")),
-        "left",
+    counted = reliable_checkpoint(
+        counted.withColumns({"base_failed": base_failed(), "length": length_class()})
     )
+    sketch = sketches(counted.filter(~F.col("base_failed")), groups)
+    limits = fences(compact_checkpoint(sketch), groups)
+    limits = limits.select(F.struct(*groups).alias("of"), "fences")
+    # A struct is compared field by field, null equal to null.
+    judged = skew_safe_join(counted.withColumn("of", F.struct(*groups)), limits, ["of"], "left")
     beyond = [
-        F.when(~value.between(F.col("fences")[name]["least"], F.col("fences")[name]["most"]), F.lit(name))
-        for name, value in features().items()
+        F.when(
+            (feature(name, -1) > F.col("fences")[name]["most"])
+            | (feature(name, +1) < F.col("fences")[name]["least"]),
+            F.lit(name),
+        )
+        for name in FEATURES
     ]
     outliers = F.array_compact(F.array(*beyond))
     return judged.select(

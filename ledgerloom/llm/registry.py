@@ -169,41 +169,49 @@ WITH word AS (
 ), judged AS (
     SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM counted
 ), value AS (
-    SELECT doc_id, lang, source, base_failed, unnest([
-        {'f': 'word_length', 'slack': 4.0::DOUBLE, 'v': coalesce(word_chars::DOUBLE / nullif(n_words, 0), 0)},
-        {'f': 'symbol_share', 'slack': 0.02::DOUBLE, 'v': coalesce(n_symbols::DOUBLE / nullif(word_chars, 0), 0)},
-        {'f': 'dup_line_share', 'slack': 0.5::DOUBLE, 'v': coalesce(n_dup_lines::DOUBLE / nullif(n_lines, 0), 0)},
-        {'f': 'repeat_share', 'slack': 0.2::DOUBLE, 'v': coalesce(n_repeat_words::DOUBLE / nullif(n_words, 0), 0)}
+    SELECT doc_id, (length(bin(n_words)) + 1) // 2 AS k, lang, source, base_failed, unnest([
+        {'f': 'word_length', 'c': word_chars::DOUBLE, 'w': n_words, 'u': 0},
+        {'f': 'symbol_share', 'c': n_symbols::DOUBLE, 'w': word_chars, 'u': 1},
+        {'f': 'dup_line_share', 'c': n_dup_lines::DOUBLE, 'w': n_lines, 'u': 1},
+        {'f': 'repeat_share', 'c': n_repeat_words::DOUBLE, 'w': n_words, 'u': 10}
     ], recursive := true)
     FROM judged
 ), bucket AS (
-    SELECT f, lang, source, ceil(ln(greatest(v, 1e-6::DOUBLE)) / ln(1.01::DOUBLE / 0.99::DOUBLE))::INTEGER AS b
+    SELECT f, k, lang, source, ceil(ln(greatest(coalesce(c / nullif(w, 0), 0), 1e-6::DOUBLE))
+        / ln(1.01::DOUBLE / 0.99::DOUBLE))::INTEGER AS b
     FROM value WHERE NOT base_failed
 ), ranked AS (
-    SELECT f, lang, source, g, count(*) AS n, list(b ORDER BY b) AS bs FROM (
-        SELECT f, lang, source, 1 AS g, b FROM bucket
-        UNION ALL SELECT f, lang, NULL, 2, b FROM bucket
-        UNION ALL SELECT f, NULL, NULL, 3, b FROM bucket)
-    GROUP BY f, lang, source, g
+    SELECT g, f, k, lang, source, count(*) AS n, list(b ORDER BY b) AS bs FROM (
+        SELECT 3 AS g, f, k, lang, source, b FROM bucket
+        UNION ALL SELECT 2, f, k, lang, NULL, b FROM bucket
+        UNION ALL SELECT 1, f, k, NULL, NULL, b FROM bucket
+        UNION ALL SELECT 0, f, NULL, NULL, NULL, b FROM bucket)
+    GROUP BY g, f, k, lang, source
 ), quantile AS (
-    SELECT f, lang, source, g, n,
-        [CASE WHEN b <= ceil(ln(1e-6::DOUBLE) / ln(1.01::DOUBLE / 0.99::DOUBLE)) THEN 0
-              ELSE pow(1.01::DOUBLE / 0.99::DOUBLE, b) * (2 / (1 + 1.01::DOUBLE / 0.99::DOUBLE)) END
-         FOR b IN [bs[ceil(0.25 * n)::INTEGER], bs[ceil(0.75 * n)::INTEGER]]] AS q
+    SELECT g, f, k, lang, source, n,
+        [CASE WHEN e.b <= ceil(ln(1e-6::DOUBLE) / ln(1.01::DOUBLE / 0.99::DOUBLE)) THEN 0
+              WHEN e.side = 0 THEN pow(1.01::DOUBLE / 0.99::DOUBLE, e.b) * (2 / (1 + 1.01::DOUBLE / 0.99::DOUBLE))
+              WHEN e.side < 0 THEN pow(1.01::DOUBLE / 0.99::DOUBLE, e.b - 1)
+              ELSE pow(1.01::DOUBLE / 0.99::DOUBLE, e.b) END
+         FOR e IN [{'b': bs[ceil(0.1::DOUBLE * n)::INTEGER], 'side': -1},
+                   {'b': bs[ceil(0.5::DOUBLE * n)::INTEGER], 'side': 0},
+                   {'b': bs[ceil(0.9::DOUBLE * n)::INTEGER], 'side': 1}]] AS q
     FROM ranked
 ), fence AS (
-    SELECT p.f, p.lang, p.source,
-        CASE WHEN p.n >= 100 THEN p.q WHEN l.n >= 100 THEN l.q ELSE a.q END AS q
+    SELECT p.f, p.k, p.lang, p.source,
+        CASE WHEN p.n >= 200 THEN p.q WHEN l.n >= 200 THEN l.q WHEN c.n >= 200 THEN c.q ELSE a.q END AS q
     FROM quantile p
-    JOIN quantile l ON l.g = 2 AND l.f = p.f AND l.lang IS NOT DISTINCT FROM p.lang
-    JOIN quantile a ON a.g = 3 AND a.f = p.f
-    WHERE p.g = 1
+    JOIN quantile l ON l.g = 2 AND l.f = p.f AND l.k = p.k AND l.lang IS NOT DISTINCT FROM p.lang
+    JOIN quantile c ON c.g = 1 AND c.f = p.f AND c.k = p.k
+    JOIN quantile a ON a.g = 0 AND a.f = p.f
+    WHERE p.g = 3
 ), outlier AS (
     SELECT doc_id, string_agg(v.f, ',' ORDER BY
         list_position(['word_length', 'symbol_share', 'dup_line_share', 'repeat_share'], v.f)) AS outliers
-    FROM value v JOIN fence ON fence.f = v.f AND fence.lang IS NOT DISTINCT FROM v.lang
-        AND fence.source IS NOT DISTINCT FROM v.source
-    WHERE v.v < q[1] - 3 * (q[2] - q[1]) - slack OR v.v > q[2] + 3 * (q[2] - q[1]) + slack
+    FROM value v JOIN fence ON fence.f = v.f AND fence.k = v.k
+        AND fence.lang IS NOT DISTINCT FROM v.lang AND fence.source IS NOT DISTINCT FROM v.source
+    WHERE coalesce((c + u) / nullif(w, 0), 0) < q[1] - 3 * (q[2] - q[1])
+        OR coalesce((c - u) / nullif(w, 0), 0) > q[3] + 3 * (q[3] - q[2])
     GROUP BY doc_id
 )
 SELECT doc_id, n_words::BIGINT AS n_words, word_chars, n_symbols::BIGINT AS n_symbols, n_dup_lines,
