@@ -4,8 +4,10 @@ The features of a text are the character 2- to 4-grams of its lower-cased words,
 mark at both ends of a word, hashed to a fixed number of buckets.  Training averages the
 embeddings of a text's grams and fits them and the softmax by stochastic gradient descent
 in numpy, on a bounded sample of labelled rows.  A temperature fitted on rows held back
-from that sample calibrates the probabilities, and a threshold from the same rows marks
-predictions to reject.
+from that sample calibrates the probabilities.  Two thresholds from the same rows mark
+predictions to reject: of the probability, and of the familiarity of the text, which is the
+mean log frequency of its grams in the training rows of the language predicted.  A softmax
+alone is often sure of letter junk and of languages it never saw.
 """
 
 from __future__ import annotations
@@ -13,41 +15,44 @@ from __future__ import annotations
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
+from statistics import NormalDist
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 UNKNOWN = "und"
 ORDERS = (2, 3, 4)
 BUCKETS = 1 << 16
 DIMENSIONS = 16
-# Bound of the training sample: rows per language, languages, distinct grams per row.
+# Bound of the training sample: rows of one language.
 ROWS_PER_LANGUAGE = 500
-MAX_LANGUAGES = 200
-GRAMS_PER_ROW = 4096
+# Rows looked through for each that is drawn.
+MARGIN = 4
 # Letters of a text worked on at once.
 PIECE_LETTERS = 1 << 18
 EPOCHS = 6
 LEARNING_RATE = 2.0
 CALIBRATION_SHARE = 0.25
-# Share of rightly labelled calibration rows that the rejection threshold may cost, and
-# the confidence above which nothing is rejected.
+# Share of rightly labelled calibration rows that each rejection threshold may cost.
 REJECTED_SHARE = 0.001
-HIGHEST_THRESHOLD = 0.4
 SEED = 17
 
 
 @dataclass
 class LanguageModel:
-    """Per-bucket language scores (embedding times softmax weights), and calibration."""
+    """Per-bucket language scores (embedding times softmax weights), and calibration.
+
+    ``table`` holds a score and a log frequency per bucket and language, side by side.
+    """
 
     languages: list[str]
-    scores: np.ndarray
+    table: np.ndarray
     bias: np.ndarray
     temperature: float
-    threshold: float
+    least_odds: float
+    least_familiarity: float
 
 
 @lru_cache(maxsize=1)
@@ -94,14 +99,10 @@ def gram_buckets(text: str) -> Iterator[np.ndarray]:
 
 
 def _features(text: str) -> tuple[np.ndarray, np.ndarray]:
-    """The most frequent buckets of a training text and their counts."""
+    """The buckets of a training text and their counts."""
     total = sum(np.bincount(piece, minlength=BUCKETS) for piece in gram_buckets(text))
     buckets = np.flatnonzero(total)
-    counts = total[buckets]
-    if len(buckets) > GRAMS_PER_ROW:
-        top = np.sort(np.argsort(-counts, kind="stable")[:GRAMS_PER_ROW])
-        buckets, counts = buckets[top], counts[top]
-    return buckets.astype(np.int32), counts.astype(np.int32)
+    return buckets.astype(np.int32), total[buckets].astype(np.int32)
 
 
 def _softmax(x: np.ndarray) -> np.ndarray:
@@ -109,20 +110,30 @@ def _softmax(x: np.ndarray) -> np.ndarray:
     return e / e.sum(axis=-1, keepdims=True)
 
 
-def _calibrated(logits: np.ndarray, labels: np.ndarray) -> tuple[float, float]:
-    """Temperature with the least negative log likelihood, and the rejection threshold."""
-    if not len(labels):
-        return 1.0, 0.0
+def _log_odds(logits: np.ndarray, best: int) -> float:
+    """Log odds of one language against all others, exact where its chance rounds to one."""
+    rest = np.delete(logits, best)
+    if not len(rest):
+        return np.inf
+    return float(logits[best] - rest.max() - np.log(np.exp(rest - rest.max()).sum()))
+
+
+def _temperature(logits: np.ndarray, labels: np.ndarray) -> float:
+    """The temperature with the least negative log likelihood."""
     own = np.arange(len(labels))
     grid = np.exp(np.linspace(np.log(0.05), np.log(20), 61))
     losses = [-np.log(_softmax(logits / t)[own, labels] + 1e-12).mean() for t in grid]
-    temperature = float(grid[int(np.argmin(losses))])
-    chances = _softmax(logits / temperature)
-    right = chances.argmax(axis=1) == labels
-    if not right.any():
-        return temperature, 0.0
-    low = float(np.quantile(chances.max(axis=1)[right], REJECTED_SHARE))
-    return temperature, min(low, HIGHEST_THRESHOLD)
+    return float(grid[int(np.argmin(losses))])
+
+
+def _low_end(values: np.ndarray) -> float:
+    """What all but REJECTED_SHARE of such values reach.
+
+    Few values say nothing about a share that small, so the tail of a normal distribution
+    with their mean and deviation is taken where it lies lower.
+    """
+    tail = values.mean() + NormalDist().inv_cdf(REJECTED_SHARE) * values.std()
+    return float(min(np.quantile(values, REJECTED_SHARE), tail))
 
 
 def fit(rows: list[tuple[str, np.ndarray, np.ndarray]]) -> LanguageModel:
@@ -134,7 +145,7 @@ def fit(rows: list[tuple[str, np.ndarray, np.ndarray]]) -> LanguageModel:
     weights = np.zeros((DIMENSIONS, len(languages)), np.float32)
     bias = np.zeros(len(languages), np.float32)
     if not rows:
-        return LanguageModel([], np.zeros((BUCKETS, 0), np.float32), bias, 1.0, 0.0)
+        return LanguageModel([], np.zeros((BUCKETS, 0), np.float32), bias, 1.0, -np.inf, -np.inf)
     order = random.permutation(len(rows))
     held = int(len(rows) * CALIBRATION_SHARE)
     calibration, training = order[:held], order[held:]
@@ -152,36 +163,48 @@ def fit(rows: list[tuple[str, np.ndarray, np.ndarray]]) -> LanguageModel:
             weights -= rate * np.outer(hidden, error)
             bias -= 0.1 * rate * error
             embeddings[buckets] -= rate * len(buckets) ** 0.5 * share[:, None] * back
-    scores = embeddings @ weights
-    logits = np.array(
-        [(rows[i][2] / rows[i][2].sum()) @ scores[rows[i][1]] + bias for i in calibration]
-    ).reshape(held, len(languages))
+    seen = np.ones((BUCKETS, len(languages)))
+    for i in training:
+        language, buckets, counts = rows[i]
+        seen[buckets, number[language]] += counts
+    table = np.hstack([embeddings @ weights, np.log(seen / seen.sum(axis=0))]).astype(np.float32)
+    if not held:
+        return LanguageModel(languages, table, bias, 1.0, -np.inf, -np.inf)
+    means = np.array([rows[i][2] / rows[i][2].sum() @ table[rows[i][1]] for i in calibration])
+    logits, familiar = np.hsplit(means, 2)
+    logits = logits + bias
     labels = np.array([number[rows[i][0]] for i in calibration], int)
-    return LanguageModel(languages, scores, bias, *_calibrated(logits, labels))
+    temperature = _temperature(logits, labels)
+    logits = logits / temperature
+    right = np.flatnonzero(logits.argmax(axis=1) == labels)
+    if not len(right):
+        return LanguageModel(languages, table, bias, temperature, -np.inf, -np.inf)
+    odds = np.array([_log_odds(logits[i], labels[i]) for i in right])
+    return LanguageModel(
+        languages, table, bias, temperature,
+        _low_end(odds) if len(languages) > 1 else -np.inf, _low_end(familiar[right, labels[right]]),
+    )
 
 
 def training_sample(labelled: DataFrame, text: str, language: str, key: Column) -> list[tuple]:
     """At most ROWS_PER_LANGUAGE rows of each language as (language, buckets, counts).
 
-    Rows are drawn by a hash of ``key``, so a rerun draws the same ones.
+    The rows with the smallest hashes of ``key`` and text are drawn, so a rerun draws the
+    same ones; repeated rows are drawn once.  A share of the hash range with about
+    ``MARGIN`` times the rows wanted is looked through, so no task sees a whole language.
     """
-    counts = (
-        labelled.groupBy(F.col(language).alias("language"))
-        .count().orderBy(F.desc("count"), "language").limit(MAX_LANGUAGES).collect()
+    hashed = labelled.select(
+        F.col(language).alias("language"), F.col(text).alias("text"),
+        F.xxhash64(key, F.col(text), F.lit(SEED)).alias("draw"),
     )
-    if not counts:
-        return []
-    share = F.create_map(
-        *[F.lit(x) for row in counts
-          for x in (row["language"], min(1.0, ROWS_PER_LANGUAGE / row["count"]))]
+    # One row per label.  The model, which is broadcast anyway, has 65,536 per label.
+    shares = hashed.groupBy("language").agg(
+        (MARGIN * ROWS_PER_LANGUAGE / F.approx_count_distinct("draw")).alias("share")
     )
     drawn = (
-        labelled.select(
-            F.col(language).alias("language"), F.col(text).alias("text"),
-            F.xxhash64(key, F.lit(SEED)).alias("draw"),
-        )
-        .filter(F.pmod("draw", F.lit(1 << 30)) < F.try_element_at(share, F.col("language")) * (1 << 30))
-        .orderBy("draw").limit(ROWS_PER_LANGUAGE * len(counts))
+        hashed.join(F.broadcast(shares), "language")
+        .filter(F.pmod("draw", F.lit(1 << 30)) < F.col("share") * (1 << 30))
+        .drop("share").dropDuplicates(["language", "draw"])
     )
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -194,9 +217,12 @@ def training_sample(labelled: DataFrame, text: str, language: str, key: Column)
                 names=["language", "draw", "buckets", "counts"],
             )
 
-    collected = drawn.mapInArrow(
-        features, "language string, draw bigint, buckets binary, counts binary"
-    ).collect()
+    order = Window.partitionBy("language").orderBy(F.pmod("draw", F.lit(1 << 30)), "draw")
+    collected = (
+        drawn.mapInArrow(features, "language string, draw bigint, buckets binary, counts binary")
+        .withColumn("place", F.row_number().over(order))
+        .filter(F.col("place") <= ROWS_PER_LANGUAGE).collect()
+    )
     rows = [
         (r["language"], r["draw"], np.frombuffer(r["buckets"], np.int32),
          np.frombuffer(r["counts"], np.int32))
@@ -218,17 +244,22 @@ def train(
 
 
 def classify(text: str | None, model: LanguageModel) -> tuple[str, float, bool]:
-    """(language, calibrated probability, rejected) of a whole text."""
+    """(language, calibrated probability, rejected) of a whole text.
+
+    Of languages with equal chances the first by name is predicted.
+    """
     if not has_letter(text) or not model.languages:
         return UNKNOWN, 0.0, True
-    total, grams = np.zeros(len(model.languages)), 0
+    total, grams = np.zeros(2 * len(model.languages)), 0
     for buckets in gram_buckets(text):
-        total += model.scores.take(buckets, axis=0).sum(axis=0, dtype=np.float64)
+        total += model.table.take(buckets, axis=0).sum(axis=0, dtype=np.float64)
         grams += len(buckets)
-    logits = total / grams + model.bias
-    chances = _softmax(logits / model.temperature)
-    best = int(chances.argmax())
-    return model.languages[best], float(chances[best]), bool(chances[best] < model.threshold)
+    logits, familiar = np.split(total / grams, 2)
+    logits = (logits + model.bias) / model.temperature
+    best = int(logits.argmax())
+    sure = _log_odds(logits, best) >= model.least_odds
+    rejected = not (sure and familiar[best] >= model.least_familiarity)
+    return model.languages[best], float(_softmax(logits)[best]), rejected
 
 
 def predict(
