@@ -4,10 +4,10 @@ The features of a text are the character 2- to 4-grams of its lower-cased words,
 mark at both ends of a word, hashed to a fixed number of buckets.  Training averages the
 embeddings of a text's grams and fits them and the softmax by stochastic gradient descent
 in numpy, on a bounded sample of labelled rows.  A temperature fitted on rows held back
-from that sample calibrates the probabilities.  Two thresholds from the same rows mark
-predictions to reject: of the probability, and of the familiarity of the text, which is the
-mean log frequency of its grams in the training rows of the language predicted.  A softmax
-alone is often sure of letter junk and of languages it never saw.
+from that sample calibrates the probabilities.  Two thresholds mark predictions to reject:
+of the odds, from the rows held back, and of the familiarity of the text, from all rows.
+That is the mean log frequency of its grams in the other training rows of the language
+predicted; a softmax alone is often sure of letter junk and of languages it never saw.
 """
 
 from __future__ import annotations
@@ -126,6 +126,20 @@ def _temperature(logits: np.ndarray, labels: np.ndarray) -> float:
     return float(grid[int(np.argmin(losses))])
 
 
+def _mean(table: np.ndarray, row: tuple[str, np.ndarray, np.ndarray]) -> np.ndarray:
+    """Mean of the table rows of a text's grams."""
+    return row[2] / row[2].sum() @ table[row[1]]
+
+
+def _familiarity(seen: np.ndarray, row: tuple[str, np.ndarray, np.ndarray], own: bool) -> float:
+    """Mean log frequency of a row's grams, without the row itself if it is among them."""
+    _, buckets, counts = row
+    times, total = seen[buckets], seen.sum()
+    if own:
+        times, total = times - counts, total - counts.sum()
+    return float(counts / counts.sum() @ np.log(times / total))
+
+
 def _low_end(values: np.ndarray) -> float:
     """What all but REJECTED_SHARE of such values reach.
 
@@ -170,19 +184,21 @@ def fit(rows: list[tuple[str, np.ndarray, np.ndarray]]) -> LanguageModel:
     table = np.hstack([embeddings @ weights, np.log(seen / seen.sum(axis=0))]).astype(np.float32)
     if not held:
         return LanguageModel(languages, table, bias, 1.0, -np.inf, -np.inf)
-    means = np.array([rows[i][2] / rows[i][2].sum() @ table[rows[i][1]] for i in calibration])
-    logits, familiar = np.hsplit(means, 2)
-    logits = logits + bias
-    labels = np.array([number[rows[i][0]] for i in calibration], int)
-    temperature = _temperature(logits, labels)
-    logits = logits / temperature
-    right = np.flatnonzero(logits.argmax(axis=1) == labels)
-    if not len(right):
-        return LanguageModel(languages, table, bias, temperature, -np.inf, -np.inf)
-    odds = np.array([_log_odds(logits[i], labels[i]) for i in right])
+    logits = np.array([_mean(table[:, : len(languages)], rows[i]) + bias for i in range(len(rows))])
+    labels = np.array([number[row[0]] for row in rows])
+    temperature = _temperature(logits[calibration], labels[calibration])
+    logits /= temperature
+    right = logits.argmax(axis=1) == labels
+    odds = [_log_odds(logits[i], labels[i]) for i in calibration if right[i]]
+    # A training row is as familiar as it would be had the model not seen it.
+    own = np.isin(np.arange(len(rows)), training)
+    familiar = [
+        _familiarity(seen[:, labels[i]], rows[i], bool(own[i])) for i in np.flatnonzero(right)
+    ]
     return LanguageModel(
         languages, table, bias, temperature,
-        _low_end(odds) if len(languages) > 1 else -np.inf, _low_end(familiar[right, labels[right]]),
+        _low_end(np.array(odds)) if odds and len(languages) > 1 else -np.inf,
+        _low_end(np.array(familiar)) if familiar else -np.inf,
     )
 
 
