@@ -29,7 +29,7 @@ DIMENSIONS = 16
 # Bound of the training sample: rows of one language.
 ROWS_PER_LANGUAGE = 500
 # Rows looked through for each that is drawn.
-MARGIN = 4
+MARGIN = 2
 # Letters of a text worked on at once.
 PIECE_LETTERS = 1 << 18
 EPOCHS = 6
