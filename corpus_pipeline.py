@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.llm import decontamination, language_id, secret_scan, simhash
-from ledgerloom.llm.packing import share_package
+from ledgerloom.session import share_package
 from ledgerloom.llm.registry import remainder, token_digests
 from ledgerloom.session import reliable_checkpoint
 

@@ -1,16 +1,14 @@
-"""Small models: line fit by sums, random forest by Spark ML."""
+"""Small models: line fit by sums, random forest."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import RandomForestClassifier
-from pyspark.ml.feature import IndexToString, StringIndexer, VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.numeric import round_even
+from ledgerloom.operators import forest
 
 
 def linear_fit(df: DataFrame, x: str, y: str, keys: Sequence[str] = ()) -> DataFrame:
@@ -54,28 +52,14 @@ def fit_forest(
     trees: int = 100,
     max_depth: int = 30,
     seed: int = 1,
-) -> PipelineModel:
+) -> forest.Forest:
     """Random forest on numeric or vector features and a text target.
 
-    Trees grow until their leaves are pure; 30 is the largest depth that Spark ML takes.
+    Trees grow until their leaves are pure, or to the depth given.
     """
-    stages = [
-        StringIndexer(inputCol=target, outputCol="__label", stringOrderType="alphabetAsc"),
-        VectorAssembler(inputCols=list(features), outputCol="__features"),
-        RandomForestClassifier(
-            labelCol="__label",
-            featuresCol="__features",
-            predictionCol="__index",
-            numTrees=trees,
-            maxDepth=max_depth,
-            seed=seed,
-        ),
-    ]
-    model = Pipeline(stages=stages).fit(df)
-    names = IndexToString(inputCol="__index", outputCol="predicted", labels=model.stages[0].labels)
-    return PipelineModel([*model.stages[1:], names])
+    return forest.fit_forest(df, list(features), target, trees, max_depth, seed)
 
 
-def forest_predict(model: PipelineModel, df: DataFrame) -> DataFrame:
+def forest_predict(model: forest.Forest, df: DataFrame) -> DataFrame:
     """The rows with a ``predicted`` class."""
-    return model.transform(df).select(*df.columns, "predicted")
+    return forest.forest_predict(model, df)

@@ -10,11 +10,12 @@ from collections import Counter, defaultdict
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
 from ledgerloom.functions import arrays, sampling
 from ledgerloom.operators import (
-    aggregates, graph, models, ordering, pages, quality, resampling, skew, stats,
+    aggregates, forest, graph, models, ordering, pages, quality, resampling, skew, stats,
 )
 from ledgerloom.session import reliable_checkpoint
 
@@ -609,6 +610,54 @@ def test_forest_learns_a_rule(spark):
     assert got.filter(F.col("target") == F.col("predicted")).count() > 390
 
 
+def test_forest_grows_large_nodes_from_blocks_and_small_ones_in_tasks(spark, monkeypatch):
+    """No rule to learn: every tree has about as many leaves as different rows."""
+    rng = np.random.default_rng(3)
+    data = [([float(x) for x in rng.normal(size=9)], str(rng.integers(5))) for _ in range(1500)]
+    df = spark.createDataFrame(data, "values array<double>, target string").select(
+        array_to_vector("values").alias("vector"), "target"
+    )
+    monkeypatch.setattr(forest, "FINISH_ROWS", 200)
+    model = models.fit_forest(df, ["vector"], "target", trees=20)
+    # Each subtree was grown from a part of a tree's rows; the large nodes were split before.
+    assert model.subtrees.count() > 100 and (model.top.feature >= 0).sum() > 100
+    got = models.forest_predict(model, df)
+    assert got.count() == 1500 and got.filter("target <> predicted").count() == 0
+    twice = models.forest_predict(model, df.unionAll(df).unionAll(df))
+    assert twice.count() == 4500 and twice.filter("target <> predicted").count() == 0
+
+
+def test_forest_keeps_copies_it_cannot_split(spark, monkeypatch):
+    monkeypatch.setattr(forest, "FINISH_ROWS", 20)
+    df = spark.range(300).select(
+        F.lit(1.0).alias("x"), F.when(F.col("id") % 3 == 0, "b").otherwise("a").alias("target")
+    )
+    model = models.fit_forest(df, ["x"], "target", trees=5)
+    assert rows(models.forest_predict(model, df).groupBy("predicted").count()) == [("a", 300)]
+    assert model.subtrees.count() == 0  # no task got the copies
+
+
+def test_subtrees_are_pure_and_split_by_gini():
+    rng = np.random.default_rng(1)
+    bins = rng.integers(0, 32, (400, 6)).astype(np.uint8)
+    label, weight = rng.integers(0, 4, 400), rng.integers(1, 4, 400).astype(float)
+    tree = forest._grow(bins, label, weight, 4, 30, np.random.default_rng(2))
+    at = forest._walked(tree["feature"], tree["split"], tree["child"], bins, 0)
+    assert (tree["kinds"][tree["child"][at]] == label).mean() > 0.99
+    shallow = forest._grow(bins, label, weight, 4, 1, np.random.default_rng(2))
+    f, cut = shallow["feature"][0], shallow["split"][0]
+    counts = np.zeros((1, 32, 4), np.int64)
+    np.add.at(counts[0], (bins[:, f], label), weight.astype(int))
+
+    def score(k):
+        sides = [np.bincount(label[s], weight[s], 4) for s in (bins[:, f] <= k, bins[:, f] > k)]
+        return sum((side**2).sum() / side.sum() for side in sides if side.sum())
+
+    assert score(cut) == pytest.approx(max(map(score, range(31))))
+    assert forest._best(counts)[1] == cut
+    assert shallow["votes"].sum() == pytest.approx(2 * forest.VOTE, abs=8)
+
+
 def test_value_counts_and_bars(spark):
     df = spark.createDataFrame([("a", 1.0), ("a", 3.0), ("b", 5.0), (None, 9.0)], "c string, x double")
     assert [tuple(r) for r in aggregates.value_counts(df, "c").collect()] == [("a", 2), ("b", 1)]
