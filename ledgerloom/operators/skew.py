@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.session import shuffle_width
@@ -12,6 +12,19 @@ from ledgerloom.session import shuffle_width
 SALT = "__salt"
 # Items the frequency sketch follows: its error is a few of these parts of all rows.
 SKETCH_ITEMS = 20_000
+# Rows of a large join or aggregate in one task, on average.
+TASK_ROWS = 1 << 18
+
+
+def task_count(spark: SparkSession, rows: int | None) -> int | None:
+    """Number of tasks for so many rows; None if Spark's own choice will do.
+
+    Spark keeps its number of shuffle partitions, or merges them, whatever the table's
+    size, so the memory of one task would grow with the table.
+    """
+    if rows is None or rows <= TASK_ROWS:
+        return None
+    return max(shuffle_width(spark), math.ceil(rows / TASK_ROWS))
 
 
 def top_hashes(on: str, width: int) -> Column:
@@ -33,14 +46,15 @@ def heavy_of(counts: dict[int, int], rows: int, width: int) -> dict[int, int]:
     }
 
 
-def heavy_keys(df: DataFrame, on: list[str]) -> dict[int, int]:
+def heavy_keys(df: DataFrame, on: list[str], width: int | None = None) -> dict[int, int]:
     """Hashes of the keys that hold more than one partition's share, with a number of salts.
 
     One pass over the key columns with a mergeable frequent-items sketch of fixed size;
     its result is one row.  Fewer keys than shuffle partitions can pass.  The counts only
-    steer the balance, so their small error never changes a result.
+    steer the balance, so their small error never changes a result.  ``width`` is the number
+    of partitions, if it is not the session's.
     """
-    width = shuffle_width(df.sparkSession)
+    width = width or shuffle_width(df.sparkSession)
     names = ", ".join(f"`{name}`" for name in on)
     found = df.agg(
         F.count(F.lit(1)).alias("rows"), top_hashes(names, width).alias("top")
@@ -58,6 +72,10 @@ def _fan(on: list[str], heavy: dict[int, int]) -> Column:
     return fan
 
 
+def _dealt(df: DataFrame, keys: list[str], tasks: int | None) -> DataFrame:
+    return df.repartition(tasks, *keys) if tasks else df
+
+
 def skew_safe_join(
     left: DataFrame,
     right: DataFrame,
@@ -65,6 +83,7 @@ def skew_safe_join(
     how: str = "inner",
     sketch_of: DataFrame | None = None,
     heavy: dict[int, int] | None = None,
+    rows: int | None = None,
 ) -> DataFrame:
     """Join many ``left`` rows to few ``right`` rows per key.
 
@@ -72,16 +91,16 @@ def skew_safe_join(
     the matching right rows are copied once per salt; without heavy keys it is a plain
     join.  ``how`` is inner, left, left_semi or left_anti.  ``sketch_of`` is a cheaper
     table with the same keys to look for heavy ones in; ``heavy`` is what such a look found.
+    With ``rows``, about the number of left rows, many rows get tasks in proportion.
     """
+    tasks = task_count(left.sparkSession, rows)
     if heavy is None:
-        heavy = heavy_keys(left if sketch_of is None else sketch_of, on)
+        heavy = heavy_keys(left if sketch_of is None else sketch_of, on, tasks)
     if not heavy:
-        return left.join(right, on, how)
+        return _dealt(left, on, tasks).join(_dealt(right, on, tasks), on, how)
     fan = _fan(on, heavy)
     scatter = F.pmod(F.xxhash64(*[F.col(c) for c in left.columns]), fan).cast("int")
     salts = F.explode(F.sequence(F.lit(0), fan - 1))
-    return (
-        left.withColumn(SALT, scatter)
-        .join(right.withColumn(SALT, salts), [*on, SALT], how)
-        .drop(SALT)
-    )
+    keys = [*on, SALT]
+    left = _dealt(left.withColumn(SALT, scatter), keys, tasks)
+    return left.join(_dealt(right.withColumn(SALT, salts), keys, tasks), keys, how).drop(SALT)

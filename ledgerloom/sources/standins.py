@@ -153,18 +153,23 @@ class Payments(NamedTuple):
     transfers: DataFrame
     issues: DataFrame
     senders: DataFrame
+    rows: int
 
 
 def payments(spark: SparkSession, folder: str) -> Payments:
-    """Transfers from customers to suppliers, and an issue date for every sender."""
+    """Transfers from customers to suppliers, and an issue date for every sender.
+
+    ``rows`` is the number of order lines, read from the files' footers: about that of transfers.
+    """
     lines = table(spark, folder, "lineitem").select(
         "l_orderkey", "l_suppkey", "l_shipdate", "l_extendedprice"
     )
     orders = table(spark, folder, "orders").select(
         F.col("o_orderkey").alias("l_orderkey"), "o_custkey", "o_orderdate"
     )
+    rows = lines.count()
     transfers = skew_safe_join(
-        lines, orders.select("l_orderkey", "o_custkey"), ["l_orderkey"]
+        lines, orders.select("l_orderkey", "o_custkey"), ["l_orderkey"], rows=rows
     ).select(
         F.col("o_custkey").alias("id_sender"),
         F.col("l_suppkey").alias("id_receiver"),
@@ -177,7 +182,7 @@ def payments(spark: SparkSession, folder: str) -> Payments:
         ).alias("date_cred")
     )
     senders = orders.select(F.col("o_custkey").alias("id_sender"))
-    return Payments(transfers, issues, senders)
+    return Payments(transfers, issues, senders, rows)
 
 
 def graph_transfers(spark: SparkSession, folder: str, cleaned: DataFrame) -> DataFrame:

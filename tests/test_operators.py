@@ -610,6 +610,25 @@ def test_forest_learns_a_rule(spark):
     assert got.filter(F.col("target") == F.col("predicted")).count() > 390
 
 
+def test_large_joins_get_tasks_in_proportion(spark, monkeypatch):
+    monkeypatch.setattr(skew, "TASK_ROWS", 100)
+    assert [skew.task_count(spark, n) for n in (None, 100, 101, 450, 1000)] == [None, None, 4, 5, 10]
+    a = spark.range(1000).select(F.when(F.col("id") % 7 > 0, F.col("id") % 90).alias("k"), "id")
+    b = spark.range(60).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
+    hot = a.withColumn("k", F.when(F.col("id") < 500, 5).otherwise(F.col("k")))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for left in (a, hot):
+            got = skew.skew_safe_join(left, b, ["k"], rows=1000)
+            assert got.rdd.getNumPartitions() == 10
+            assert rows(got) == rows(left.join(b, "k"))
+            kept = skew.skew_safe_join(left, b, ["k"], "left_anti", rows=1000)
+            want = left.join(b, "k", "left_anti")
+            assert kept.exceptAll(want).isEmpty() and want.exceptAll(kept).isEmpty()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_forest_grows_large_nodes_from_blocks_and_small_ones_in_tasks(spark, monkeypatch):
     """No rule to learn: every tree has about as many leaves as different rows."""
     rng = np.random.default_rng(3)

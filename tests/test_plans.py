@@ -6,9 +6,11 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from ledgerloom.operators import skew
 from ledgerloom.plans import (
     cohort, commerce, domains, experiment, films, readout, rfm, sales, transfer_graph, transfers,
 )
+from ledgerloom.session import reliable_checkpoint
 from ledgerloom.sources import generators, readers, schemas, sinks
 
 
@@ -178,6 +180,27 @@ def test_link_cleaning_and_graph(spark, tmp_path):
     assert sinks.read_component(spark, str(tmp_path), "edges", 1).count() == 2
 
 
+def test_many_transfers_get_tasks_in_proportion(spark, monkeypatch):
+    monkeypatch.setattr(skew, "TASK_ROWS", 20)
+    moved = spark.range(300).selectExpr(
+        "id % 40 AS id_sender", "id % 50 AS id_receiver",
+        "date_add(DATE'2024-01-01', CAST(id % 31 AS INT)) AS dates", "5.0D AS amount_new",
+    )
+    issues = spark.range(30).selectExpr("id AS id_sender", "DATE'2024-01-10' AS date_cred")
+    plain = transfers.dated_transfers(moved, issues)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        dated = transfers.dated_transfers(moved, issues, rows=300)
+        known = transfers.known_pairs(dated)
+        # By sender all the way: no task has more than its part, and pairs need no further shuffle.
+        assert known.rdd.getNumPartitions() == 15
+        assert rows(known) == rows(transfers.known_pairs(plain))
+        assert rows(transfers.known_pairs(reliable_checkpoint(dated), rows=300)) == rows(known)
+        assert rows(transfers.clean_links(dated)) == rows(transfers.clean_links(plain))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_sales_rank_and_fibonacci(spark):
     people = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c"), (4, "d")], schemas.PEOPLE)
     data = [(i, p, "s", 1.0) for i, p in enumerate([1, 1, 2, 2, 3, 3, 3, 3, 3])]
