@@ -1,6 +1,7 @@
 """Substring deduplication on words and on bytes, against brute force."""
 
 import random
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -120,6 +121,55 @@ def test_suffix_sort_survives_collisions(monkeypatch, hashes):
             )
 
 
+def hot_stretches(n, window, alphabet, before):
+    """Stretches around two minimisers, nine of ten around the first one."""
+    texts, windows, place = [], [], []
+    for _ in range(n):
+        place.append(random.randint(0, before))
+        windows.append(random.randint(1, min(place[-1] + 1, window - 1)))
+        body = "".join(random.choices(alphabet, k=place[-1])) + "G" + "".join(random.choices(alphabet, k=window))
+        texts.append((body + "x" * window * 2)[: windows[-1] + window - 1].encode())
+    return texts, np.array(windows), np.array(place), np.arange(n) % 10 // 9
+
+
+@pytest.mark.parametrize("limit", [1, 60, 400, 3000, 1 << 20])
+@pytest.mark.parametrize("window", [4, 8, 13, 20])
+@pytest.mark.parametrize("alphabet", ["ab\0", "abcdefgh", "a"])
+def test_suffixes_in_batches(monkeypatch, limit, window, alphabet):
+    random.seed(window)
+    monkeypatch.setattr(suffix_sort, "BATCH_BYTES", limit)
+    texts, windows, place, group = hot_stretches(200, window, alphabet, window - 1)
+    seen, want = set(), []
+    for text, n, at, g in zip(texts, windows.tolist(), place.tolist(), group.tolist()):
+        for i in range(n):
+            want.append((g, at - i, text[i : i + window]) in seen)
+            seen.add((g, at - i, text[i : i + window]))
+    sorted_ = []
+
+    class Noted(suffix_sort.SuffixSorter):
+        def __init__(self, text, window):
+            sorted_.append(len(text))
+            super().__init__(text, window)
+
+    monkeypatch.setattr(suffix_sort, "SuffixSorter", Noted)
+    got = suffix_sort.suffix_repeats(texts, windows, place, group, window)
+    assert got.tolist() == want
+    assert max(sorted_, default=0) <= max(limit, window)
+
+
+def test_memory_of_a_hot_minimiser():
+    """A line of many documents fills a bucket; the sort takes its windows in batches."""
+    random.seed(5)
+    texts, windows, place, group = hot_stretches(20_000, 100, "abcdefgh", 76)
+    suffix_sort.suffix_repeats(texts[:10], windows[:10], place[:10], group[:10], 100)
+    tracemalloc.start()
+    got = suffix_sort.suffix_repeats(texts, windows, place, group, 100)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(got) == windows.sum()
+    assert peak < 60e6
+
+
 def test_pieces_of_long_documents_hold_every_window(monkeypatch):
     import pyarrow as pa
 
